@@ -1,11 +1,13 @@
-"""Porter stems of a vocabulary, by column expressions.
+"""Porter stems of a vocabulary.
 
 The rules are those of the published algorithm (M. F. Porter, 1980) with the usual later extensions.
-A word's shape marks vowels `*` and consonants `#`; a `y` after a consonant is a vowel.
 Apply it to distinct words: a corpus has far fewer words than tokens.
 """
 
-from pyspark.sql import Column, DataFrame
+import re
+
+import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words whose stem no rule gives.
@@ -22,7 +24,7 @@ DERIVATIONAL = (
     ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
     ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
     ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
-    ("fulli", "ful"),
+    ("fulli", "ful"), ("logi", "log"),
 )
 ADJECTIVAL = (
     ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""),
@@ -30,150 +32,99 @@ ADJECTIVAL = (
 )
 
 # Suffixes deleted where the rest has at least two such pairs.
-RESIDUAL = (
+RESIDUAL = tuple((suffix, "") for suffix in (
     "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou",
     "ism", "ate", "iti", "ous", "ive", "ize",
-)
-
-
-def _word() -> Column:
-    return F.col("_word")
-
-
-def _marks() -> Column:
-    return F.col("_shape")
+))
+PAIR = re.compile(r"\*+#+")
 
 
+def shape_of(word: str) -> str:
+    """One mark per letter: `*` vowel, `#` consonant."""
+    marks = ""
+    for letter in word:
+        vowel = letter in "aeiou" or (letter == "y" and marks.endswith("#"))
+        marks += "*" if vowel else "#"
+    return marks
 
-def _shape(word: Column) -> Column:
-    def mark(done, letter):
-        vowel = letter.isin("a", "e", "i", "o", "u") | ((letter == "y") & done.endswith("#"))
-        return F.concat(done, F.when(vowel, "*").otherwise("#"))
-    return F.aggregate(F.split(word, ""), F.lit(""), mark)
 
+def pairs(part: str) -> int:
+    """Number of vowel-consonant pairs in a word's beginning."""
+    return len(PAIR.findall(shape_of(part)))
 
-def _head(column: Column, cut: int) -> Column:
-    return F.substring(column, F.lit(1), F.length(column) - cut)
 
-
-def _pairs(cut: int) -> Column:
-    """Number of vowel-consonant pairs left of the last `cut` letters."""
-    return F.regexp_count(_head(_marks(), cut), F.lit(r"\*+#+"))
-
-
-def _vowel(cut: int) -> Column:
-    return F.contains(_head(_marks(), cut), F.lit("*"))
-
-
-def _short(word: Column, shape: Column) -> Column:
+def _short(word: str) -> bool:
     """Ends consonant-vowel-consonant (last not w, x, y), or is vowel-consonant altogether."""
-    closed = shape.endswith("#*#") & ~F.substring(word, -1, 1).isin("w", "x", "y")
-    return closed | (shape == "*#")
-
-
-def _swap(suffix: str, put: str) -> Column:
-    return F.concat(_head(_word(), len(suffix)), F.lit(put))
-
-
-def _first_rule(rules) -> Column:
-    """The first suffix that fits decides; its condition says whether the word changes."""
-    chosen = None
-    for suffix, put, needed in rules:
-        changed = F.when(needed, _swap(suffix, put)).otherwise(_word())
-        fits = _word().endswith(suffix)
-        chosen = F.when(fits, changed) if chosen is None else chosen.when(fits, changed)
-    return chosen.otherwise(_word())
-
-
-def _plural() -> Column:
-    return (F.when(_word().endswith("ies") & (F.length(_word()) == 4), _swap("ies", "ie"))
-            .when(_word().endswith("sses"), _swap("sses", "ss"))
-            .when(_word().endswith("ies"), _swap("ies", "i"))
-            .when(_word().endswith("ss"), _word())
-            .when(_word().endswith("s"), _swap("s", ""))
-            .otherwise(_word()))
-
-
-def _participle_cut() -> Column:
-    """Letters of a removable `ed` or `ing`, else 0."""
-    return (F.when(_word().endswith("ied") | _word().endswith("eed"), 0)
-            .when(_word().endswith("ed") & _vowel(2), 2)
-            .when(_word().endswith("ing") & _vowel(3), 3)
-            .otherwise(0))
-
-
-def _participle_other() -> Column:
-    return (F.when(_word().endswith("ied"),
-                   F.when(F.length(_word()) == 4, _swap("ied", "ie")).otherwise(_swap("ied", "i")))
-            .when(_word().endswith("eed") & (_pairs(3) > 0), _swap("eed", "ee"))
-            .otherwise(_word()))
-
-
-def _participle_repair() -> Column:
-    last = F.substring(_word(), -1, 1)
-    doubled = _marks().endswith("##") & (last == F.substring(_word(), -2, 1)) & (F.length(_word()) > 1)
-    return (F.when(_word().endswith("at") | _word().endswith("bl") | _word().endswith("iz"),
-                   F.concat(_word(), F.lit("e")))
-            .when(doubled, F.when(last.isin("l", "s", "z"), _word()).otherwise(_head(_word(), 1)))
-            .when((_pairs(0) == 1) & _short(_word(), _marks()), F.concat(_word(), F.lit("e")))
-            .otherwise(_word()))
-
-
-def _final_y() -> Column:
-    fits = _word().endswith("y") & (F.length(_word()) > 2) & _head(_marks(), 1).endswith("#")
-    return F.when(fits, _swap("y", "i")).otherwise(_word())
-
-
-def _double_suffix() -> Column:
-    rules = [(s, put, _pairs(len(s)) > 0) for s, put in DERIVATIONAL]
-    # `logi` keeps its own l when the rest is measured
-    rules.append(("logi", "log", _pairs(3) > 0))
-    return _first_rule(rules)
-
-
-def _residual() -> Column:
-    rules = []
-    for suffix in RESIDUAL:
-        needed = _pairs(len(suffix)) > 1
-        if suffix == "ion":
-            needed = needed & F.substring(_head(_word(), 3), -1, 1).isin("s", "t")
-        rules.append((suffix, "", needed))
-    return _first_rule(rules)
-
-
-def _final_e() -> Column:
-    pairs = _pairs(1)
-    loose = (pairs > 1) | ((pairs == 1) & ~_short(_head(_word(), 1), _head(_marks(), 1)))
-    return F.when(_word().endswith("e") & loose, _head(_word(), 1)).otherwise(_word())
-
-
-def _final_l() -> Column:
-    return F.when(_word().endswith("ll") & (_pairs(1) > 1), _head(_word(), 1)).otherwise(_word())
-
-
-def stem_words(words: DataFrame, column="token", name="stem") -> DataFrame:
-    """Add the stem of each word."""
-    def step(df, expression):
-        return df.withColumn("_word", expression).withColumn("_shape", _shape(_word()))
-
-    df = step(words, F.lower(F.col(column)))
-    df = step(df, _plural())
-    df = df.withColumn("_cut", _participle_cut())
-    cut = F.col("_cut")
-    df = step(df, F.when(cut == 2, _head(_word(), 2)).when(cut == 3, _head(_word(), 3))
-              .otherwise(_participle_other()))
-    df = step(df, F.when(cut > 0, _participle_repair()).otherwise(_word()))
-    df = step(df, _final_y())
-    # `-alli` shortens to `-al`, which may be a suffix of the same list again
-    df = step(df, F.when(_word().endswith("alli") & (_pairs(4) > 0), _swap("alli", "al"))
-              .otherwise(_word()))
-    df = step(df, _double_suffix())
-    df = step(df, _first_rule([(s, put, _pairs(len(s)) > 0) for s, put in ADJECTIVAL]))
-    df = step(df, _residual())
-    df = step(df, _final_e())
-    df = step(df, _final_l())
-    plain = F.lower(F.col(column))
-    listed = F.create_map(*[F.lit(x) for pair in IRREGULAR.items() for x in pair])
-    stem = F.coalesce(F.try_element_at(listed, plain),
-                      F.when(F.length(plain) <= 2, plain).otherwise(_word()))
-    return df.withColumn(name, stem).drop("_word", "_shape", "_cut")
+    marks = shape_of(word)
+    return marks == "*#" or (marks.endswith("#*#") and word[-1] not in "wxy")
+
+
+def _rule(word: str, rules, least: int) -> str:
+    """The first suffix that fits decides; the word changes if enough pairs stay before it."""
+    for suffix, put in rules:
+        if word.endswith(suffix):
+            rest = word[:-len(suffix)]
+            # `logi` may count its own l, `ion` goes after s and t only
+            measured = pairs(rest + "l" if suffix == "logi" else rest) >= least
+            fits = suffix != "ion" or rest.endswith(("s", "t"))
+            return rest + put if measured and fits else word
+    return word
+
+
+def _plural(word: str) -> str:
+    if word.endswith("ies"):
+        return word[:-1] if len(word) == 4 else word[:-2]
+    if word.endswith("sses"):
+        return word[:-2]
+    return word[:-1] if word.endswith("s") and not word.endswith("ss") else word
+
+
+def _participle(word: str) -> str:
+    if word.endswith("ied"):
+        return word[:-1] if len(word) == 4 else word[:-2]
+    if word.endswith("eed"):
+        return word[:-1] if pairs(word[:-3]) > 0 else word
+    cut = 2 if word.endswith("ed") else 3 if word.endswith("ing") else 0
+    if not cut or "*" not in shape_of(word[:-cut]):
+        return word
+    word = word[:-cut]
+    if word.endswith(("at", "bl", "iz")):
+        return word + "e"
+    if len(word) > 1 and word[-1] == word[-2] and shape_of(word).endswith("#"):
+        return word if word[-1] in "lsz" else word[:-1]
+    return word + "e" if pairs(word) == 1 and _short(word) else word
+
+
+def _final_y(word: str) -> str:
+    fits = word.endswith("y") and len(word) > 2 and shape_of(word[:-1]).endswith("#")
+    return word[:-1] + "i" if fits else word
+
+
+def _final_e_and_l(word: str) -> str:
+    if word.endswith("e"):
+        rest = word[:-1]
+        if pairs(rest) > 1 or (pairs(rest) == 1 and not _short(rest)):
+            word = rest
+    return word[:-1] if word.endswith("ll") and pairs(word[:-1]) > 1 else word
+
+
+def stem(word: str) -> str:
+    """The stem of one word."""
+    word = word.lower()
+    if word in IRREGULAR:
+        return IRREGULAR[word]
+    if len(word) <= 2:
+        return word
+    word = _final_y(_participle(_plural(word)))
+    if word.endswith("alli") and pairs(word[:-4]) > 0:
+        word = word[:-2]    # `-al` may end a suffix of the next step
+    word = _rule(_rule(word, DERIVATIONAL, 1), ADJECTIVAL, 1)
+    return _final_e_and_l(_rule(word, RESIDUAL, 2))
+
+
+def stems(words: Column) -> Column:
+    """The stem of each word, in Arrow batches."""
+    @F.pandas_udf("string")
+    def run(batch: pd.Series) -> pd.Series:
+        return batch.map(stem, na_action="ignore")
+    return run(words)

@@ -6,9 +6,8 @@ their number and m, s the mean and standard deviation of their na. x is an outli
 m >= 20 and 1 - na/m > 3 s/m. Radii come from a list; time plays no part.
 """
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -36,55 +35,40 @@ def to_bins(rows: DataFrame, value: str, series: str, bins=BINS, spread="step")
             .drop("_low", "_high"))
 
 
-def _between(running: str, total: Column, order, reach: int) -> Column:
-    """Sum over the bins within `reach`, as the difference of two running sums."""
-    upper = F.coalesce(F.lead(running, reach).over(order), total)
-    lower = F.coalesce(F.lag(running, reach + 1).over(order), F.lit(0))
-    return upper - lower
+def _within(values: np.ndarray, reach: int) -> np.ndarray:
+    """Sum over the bins at most `reach` away, as the difference of two running sums."""
+    run = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
+    at = np.arange(len(values))
+    return run[np.minimum(at + reach + 1, len(values))] - run[np.maximum(at - reach, 0)]
 
 
 def loci_bins(binned: DataFrame, series: str, radii: list[int], bins=BINS, alpha=LOCI_ALPHA,
               k=LOCI_K, minimum=LOCI_MIN_NEIGHBOURS) -> DataFrame:
     """(series, x, flagged) for each bin that holds a value.
 
-    A series of any length collapses to at most bins + 1 counts, before the shuffle. All sums over
-    neighbourhoods are differences of running sums, so the cost per radius is linear in the bins.
+    A series of any length collapses to at most bins + 1 counts, before the shuffle, so a group is
+    never larger than that. The cost per radius is linear in the bins.
     """
     counts = binned.groupBy(series, "x").agg(F.count("*").alias("c"))
-    every = (counts.groupBy(series).agg(F.sum("c").alias("_all"))
-             .withColumn("x", F.explode(F.expr(f"sequence(0L, {bins}L)"))))
-    full = (every.join(counts, [series, "x"], "left")
-            .withColumn("c", F.coalesce("c", F.lit(0))))
-    order = W.partitionBy(series).orderBy("x")
-    upto = order.rowsBetween(W.unboundedPreceding, 0)
-    whole = W.partitionBy(series)
-    number = range(len(radii))
-    full = full.withColumn("_c", F.sum("c").over(upto))
-    full = full.select("*", *[_between("_c", F.col("_all"), order, int(alpha * r)).alias(f"_a{i}")
-                              for i, r in enumerate(radii)])
-    big = [F.col(f"_a{i}").cast("decimal(19,0)") for i in number]
-    full = full.select(
-        "*",
-        *[F.sum(F.col("c") * F.col(f"_a{i}")).over(upto).alias(f"_p{i}") for i in number],
-        *[F.sum((F.col("c") * big[i] * big[i]).cast("decimal(38,0)")).over(upto).alias(f"_q{i}")
-          for i in number])
-    full = full.select("*", *[F.max(f"_{v}{i}").over(whole).alias(f"_{v}{i}_all")
-                              for v in "pq" for i in number])
-    full = full.select(
-        series, "x", "c", *[f"_a{i}" for i in number],
-        *[_between("_c", F.col("_all"), order, r).alias(f"_n{i}") for i, r in enumerate(radii)],
-        *[_between(f"_{v}{i}", F.col(f"_{v}{i}_all"), order, r).alias(f"_{v}{i}")
-          for v in "pq" for i, r in enumerate(radii)])
-
-    def outlier(i):
-        # m >= minimum and (m - na) > k*s, multiplied out so that everything stays an integer
-        n, na, s1, s2 = (F.col(f"_{v}{i}").cast("decimal(38,0)") for v in "napq")
-        gap = s1 - na * n
-        return ((s1 >= minimum * n) & (gap > 0)
-                & (gap * gap > (k * k) * (s2 * n - s1 * s1)))
-
-    flagged = reduce(lambda a, b: a | b, [outlier(i) for i in number])
-    return full.where(F.col("c") > 0).select(series, "x", flagged.alias("flagged"))
+
+    def test(frame):
+        # integers throughout; they grow like the fourth power of the rows of a series
+        exact = np.int64 if frame["c"].sum() < 50_000 else object
+        c = np.zeros(bins + 1, exact)
+        c[frame["x"]] = frame["c"].to_numpy().astype(exact)
+        flagged = np.zeros(bins + 1, bool)
+        for r in radii:
+            na, n = _within(c, int(alpha * r)), _within(c, r)
+            s1, s2 = _within(c * na, r), _within(c * na * na, r)
+            # m >= minimum and m - na > k s, multiplied by the number of neighbours
+            gap = s1 - na * n
+            hit = ((s1 >= minimum * n) & (gap > 0)
+                   & (gap * gap > k * k * (s2 * n - s1 * s1)))
+            flagged |= hit.astype(bool)
+        return frame[[series, "x"]].assign(flagged=flagged[frame["x"]])
+
+    kind = dict(binned.dtypes)[series]
+    return counts.groupBy(series).applyInPandas(test, f"`{series}` {kind}, x bigint, flagged boolean")
 
 
 def tag_anomalies(rows: DataFrame, value="prediction", series="series", spread="timestamp",
@@ -92,7 +76,7 @@ def tag_anomalies(rows: DataFrame, value="prediction", series="series", spread="
     """Add `isAnomaly` (0 or 1) to every row by the values of its series."""
     binned = to_bins(rows, value, series, bins, spread)
     flags = loci_bins(binned, series, radii or radii_for(bins), bins)
-    return (salted_join(binned, flags.select(series, "x", "flagged"), [series, "x"], spread)
+    return (salted_join(binned, flags, [series, "x"], spread)
             .withColumn("isAnomaly", F.col("flagged").cast("int"))
             .drop("flagged", "x"))
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heatline.functions.stemming import stem_words
+from heatline.functions.stemming import stems
 from heatline.operators.relational import salted_join
 
 
@@ -34,7 +34,7 @@ def vocabulary(docs: DataFrame, words: Column) -> DataFrame:
 
 def stemmed_vocabulary(docs: DataFrame, words: Column, longer_than=2) -> DataFrame:
     """(token, occurrences, stem) for stems longer than `longer_than` letters."""
-    return (stem_words(vocabulary(docs, words), "token", "stem")
+    return (vocabulary(docs, words).withColumn("stem", stems(F.col("token")))
             .where(F.length("stem") > longer_than))
 
 

@@ -59,7 +59,7 @@ def _entering(rows: DataFrame, points, series: str, idx: str, width: int):
 
     def shift(key, frame):
         if len(frame) < width:      # idx has no gaps, so nothing follows this slice
-            return pd.DataFrame({series: [], "_slice": [], "s2": [], "added": []})
+            return pd.DataFrame(columns=[series, "_slice", "s2", "added"], dtype=object)
         frame = frame.sort_values(idx)
         s2 = float(frame["s2"].iloc[0])
         _, added = _recursion(points, frame["e"].to_numpy(float), s2, np.zeros(len(points)))
@@ -93,7 +93,7 @@ def garch_path(rows: DataFrame, alpha: float, beta: float, series="series", idx=
 
     def run(key, frame, start):
         if frame.empty:
-            return pd.DataFrame({series: [], idx: [], "e": [], "variance": []})
+            return pd.DataFrame(columns=[series, idx, "e", "variance"], dtype=object)
         frame = frame.sort_values(idx)
         path, _ = _recursion(points, frame["e"].to_numpy(float), float(frame["s2"].iloc[0]),
                              _start(points, frame, start))
@@ -110,14 +110,13 @@ def garch_likelihood(rows: DataFrame, points, series="series", idx="idx",
     points = list(points)
 
     def run(key, frame, start):
-        empty = {series: [], "_slice": [], "s2": [], "alpha": [], "beta": [], "loglik": [],
-                 "next_variance": []}
+        names = [series, "_slice", "s2", "alpha", "beta", "loglik", "next_variance"]
         if frame.empty:
-            return pd.DataFrame(empty)
+            return pd.DataFrame(columns=names, dtype=object)
         frame = frame.sort_values(idx)
         e, s2 = frame["e"].to_numpy(float), float(frame["s2"].iloc[0])
         if not s2 > 0:
-            return pd.DataFrame(empty)
+            return pd.DataFrame(columns=names, dtype=object)
         path, after = _recursion(points, e, s2, _start(points, frame, start))
         loglik = -0.5 * (np.log(2 * np.pi * path) + (e * e)[:, None] / path).sum(axis=0)
         alpha, beta = np.array(points).T

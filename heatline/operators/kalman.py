@@ -106,7 +106,7 @@ def kalman_filter(rows: DataFrame, model: StateModel, series="series", idx="idx"
 
     def summarise(key, frame):
         if len(frame) < width:      # idx has no gaps, so nothing follows this slice
-            return pd.DataFrame({series: [], "_slice": [], "parts": []})
+            return pd.DataFrame(columns=[series, "_slice", "parts"], dtype=object)
         values = frame.sort_values(idx)[value].to_numpy(float)
         flat = np.concatenate([np.ravel(m) for m in _summary(model, values)])
         return pd.DataFrame({series: [key[0]], "_slice": [key[1]], "parts": [flat]})

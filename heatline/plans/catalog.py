@@ -143,9 +143,9 @@ def anomalous_lengths(spark, folder):
 @query
 def sharp_rises(spark, folder):
     rises = anomaly.sharp_rises(hours(spark, folder))
-    return rises.select("series", at(buckets.HOUR, "hour"), F.round("y", 6).alias("y"),
-                        F.round("trailing_mean", 6).alias("trailing_mean"),
-                        F.round("trailing_std", 6).alias("trailing_std"), "rise")
+    return rises.select("series", at(buckets.HOUR, "hour"), "y",
+                        F.round("trailing_mean", 9).alias("trailing_mean"),
+                        F.round("trailing_std", 9).alias("trailing_std"), "rise")
 
 
 # -- projections and predicates ------------------------------------------------------------------

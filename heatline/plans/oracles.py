@@ -213,8 +213,8 @@ SQL = {
         {FLAG} AS "isAnomaly" FROM wide""",
     "anomalous_lengths": LOCI_LENGTHS + f""" SELECT doc_id, series, v AS prediction,
         {FLAG} AS "isAnomaly" FROM wide""",
-    "sharp_rises": f"""WITH {DENSE} SELECT series, hour, round(y, 6) AS y,
-        round(m, 6) AS trailing_mean, round(s, 6) AS trailing_std,
+    "sharp_rises": f"""WITH {DENSE} SELECT series, hour, y,
+        round(m, 9) AS trailing_mean, round(s, 9) AS trailing_std,
         CAST(y > m + 3 * s AS INTEGER) AS rise FROM
         (SELECT *, avg(y) OVER o AS m, stddev_pop(y) OVER o AS s FROM dense WINDOW o AS
          (PARTITION BY series ORDER BY idx ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
