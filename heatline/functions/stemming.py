@@ -1,10 +1,10 @@
 """Porter stems of a vocabulary.
 
 The rules are those of the published algorithm (M. F. Porter, 1980) with the usual later extensions.
-Apply it to distinct words: a corpus has far fewer words than tokens.
 """
 
 import re
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -108,8 +108,9 @@ def _final_e_and_l(word: str) -> str:
     return word[:-1] if word.endswith("ll") and pairs(word[:-1]) > 1 else word
 
 
+@lru_cache(maxsize=100_000)
 def stem(word: str) -> str:
-    """The stem of one word."""
+    """The stem of one word. Frequent words are looked up, so text costs little more than its words."""
     word = word.lower()
     if word in IRREGULAR:
         return IRREGULAR[word]
@@ -128,3 +129,11 @@ def stems(words: Column) -> Column:
     def run(batch: pd.Series) -> pd.Series:
         return batch.map(stem, na_action="ignore")
     return run(words)
+
+
+def stems_of(words: Column) -> Column:
+    """The stems of each array of words, in Arrow batches."""
+    @F.pandas_udf("array<string>")
+    def run(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda row: [stem(w) for w in row], na_action="ignore")
+    return run(words)

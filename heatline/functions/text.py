@@ -1,11 +1,16 @@
 """Column functions over message text."""
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from heatline.constants import CLEAN_PATTERN, ENGLISH_STOP_WORDS, PUNCTUATION
+from heatline.constants import ENGLISH_STOP_WORDS
+
+
+# The same characters as CLEAN_PATTERN, as one class: Java matches it many times faster.
+UNWANTED = r"[\W_&&\S]+"
+# A run of other characters, or nothing between two whitespace characters that text still follows,
+# or the empty text.
+TOKEN = r"(?<!\S)(?:\S+|(?=\s+\S)|^\z)"
 
 
 def clean_text(text: Column, unicode_words=False) -> Column:
@@ -13,13 +18,13 @@ def clean_text(text: Column, unicode_words=False) -> Column:
 
     Word characters are ASCII unless `unicode_words` is set, so accented letters go by default.
     """
-    pattern = ("(?U)" if unicode_words else "") + CLEAN_PATTERN
+    pattern = ("(?U)" if unicode_words else "") + UNWANTED
     return F.trim(F.lower(F.regexp_replace(text, pattern, "")))
 
 
 def normalise_text(text: Column) -> Column:
     """Lower, delete ASCII punctuation, collapse every run of whitespace to one space."""
-    bare = F.regexp_replace(F.lower(text), "[" + re.escape(PUNCTUATION) + "]+", "")
+    bare = F.regexp_replace(F.lower(text), r"\p{Punct}+", "")
     return F.trim(F.regexp_replace(bare, r"[\s\p{Z}]+", " "))
 
 
@@ -28,10 +33,7 @@ def tokens(text: Column) -> Column:
 
     Inner empty tokens stay, trailing ones go; the empty text has one empty token.
     """
-    body = F.regexp_replace(F.lower(text), r"\s+$", "")
-    return (F.when(F.length(text) == 0, F.array(F.lit("")))
-            .when(F.length(body) == 0, F.array().cast("array<string>"))
-            .otherwise(F.split(body, r"\s")))
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0)
 
 
 def stop_words(bare_apostrophes=False) -> list[str]:

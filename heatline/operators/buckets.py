@@ -17,9 +17,10 @@ def bucket_sums(df: DataFrame, ts: str, value: str, seconds: int, series="series
 
     `total` is in millionths. NULL times, NULL and non-finite values are dropped before grouping.
     """
-    return (df.select(F.col(series), step_of(F.col(ts), seconds).alias("step"),
-                      micros(F.col(value)).alias("units"))
-            .where(F.col("step").isNotNull() & F.col("units").isNotNull())
+    return (df.where(F.col(ts).isNotNull() & F.col(value).isNotNull())
+            .select(F.col(series), step_of(F.col(ts), seconds).alias("step"),
+                    micros(F.col(value)).alias("units"))
+            .where(F.col("units").isNotNull())
             .groupBy(series, "step")
             .agg(F.sum("units").alias("total"), F.count("*").alias("n")))
 

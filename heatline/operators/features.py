@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heatline.functions.stemming import stems
+from heatline.functions.stemming import stems, stems_of
 from heatline.operators.relational import salted_join
 
 
@@ -19,7 +19,8 @@ def tfidf_terms(docs: DataFrame, key: str, words: Column) -> DataFrame:
     Frequent terms sit in a large part of all documents, so the join back to the counts is salted.
     """
     tf = term_counts(docs, key, words)
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    # counting on `tf` keeps this branch equal to the other one, so Spark tokenises the corpus once
+    df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     total = docs.agg(F.count("*").alias("m")).scalar()
     weight = F.log((total + 1) / (F.col("df") + 1))
     return (salted_join(tf, df, "term", key)
@@ -39,10 +40,6 @@ def stemmed_vocabulary(docs: DataFrame, words: Column, longer_than=2) -> DataFra
 
 
 def stemmed_tokens(docs: DataFrame, key: str, words: Column, longer_than=2) -> DataFrame:
-    """(key, position, stem): every token of every document by its stem.
-
-    Each distinct token is stemmed once; tokens find their stem by a salted join.
-    """
-    tokens = docs.select(key, F.posexplode(words).alias("position", "token"))
-    stems = stemmed_vocabulary(docs, words, longer_than).select("token", "stem")
-    return salted_join(tokens, stems, "token", key).select(key, "position", "stem")
+    """(key, stems): the stems of each document in order, without the short ones. No shuffle."""
+    found = F.filter(stems_of(words), lambda s: F.length(s) > longer_than)
+    return docs.select(key, found.alias("stems"))

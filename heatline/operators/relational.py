@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from heatline.constants import FETCH_CAP, SPLIT_SEED, TRAIN_SHARE
 
-SALTS = 16
+SALTS = 8
 
 
 def drop_position(df: DataFrame, position: int) -> DataFrame:
@@ -47,16 +47,19 @@ def salted_join(rows: DataFrame, lookup: DataFrame, keys, spread: str, salts=SAL
     """Join a large table with a lookup of unique keys when some keys are very frequent.
 
     Rows of one key go to `salts` tasks by a hash of `spread`; the lookup is repeated per salt.
-    A NULL key is a key like any other.
+    Always a merge join: Spark's size estimate knows neither these copies nor words split out of
+    texts, and would broadcast a vocabulary. A NULL key is a key like any other.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    # never NULL, so that no extra filter makes the two uses of a shared input differ
+    salt = F.coalesce(F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"), F.lit(0))
+    salted = rows.withColumn("_salt", salt)
     copies = (lookup.withColumnsRenamed({k: f"_key_{k}" for k in keys})
               .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     same = F.col("_salt") == F.col("_copy")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    return salted.join(copies, same, "inner").drop("_salt", "_copy", *[f"_key_{k}" for k in keys])
+    return salted.join(copies.hint("merge"), same, "inner").drop("_salt", "_copy", *[f"_key_{k}" for k in keys])
 
 
 def append_by_name(*frames: DataFrame) -> DataFrame:
@@ -97,12 +100,17 @@ def shuffled(df: DataFrame, key: str, seed=SPLIT_SEED) -> DataFrame:
 
 
 def hash_split(df: DataFrame, key: str, share=TRAIN_SHARE, seed=SPLIT_SEED):
-    """(train, test) by a hash of the key: the same rows on any partitioning or retry."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(10_000))
-    chosen = bucket < int(share * 10_000)
+    """(train, test) by a digest of the key: the same rows on any partitioning, retry or engine."""
+    chosen = key_bucket(key, 10_000, seed) < int(share * 10_000)
     return df.where(chosen), df.where(~chosen)
 
 
+def key_bucket(key: str, buckets: int, seed=SPLIT_SEED) -> Column:
+    """Bucket 0..buckets-1 of a row, from the first 8 hex digits of the MD5 of seed and key."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
+
+
 def random_split(df: DataFrame, share=TRAIN_SHARE, seed=SPLIT_SEED):
     """(train, test) by Spark's own sampler; depends on how the input is partitioned."""
     return tuple(df.randomSplit([share, 1 - share], seed=seed))

@@ -13,7 +13,7 @@ from heatline.operators import (
     anomaly, autoreg, buckets, features, garch, kalman, learn, metrics, orders, relational, search)
 from heatline.operators.slices import lagged, row_index
 from heatline.schemas import table
-from heatline.session import fresh_folder, settle
+from heatline.session import fresh_folder, settle, spread
 from heatline.sources import files, messages, tables
 from heatline.streaming import flow, stateful
 
@@ -71,7 +71,7 @@ def daily_residuals(spark, folder):
 
 
 def documents(spark, folder):
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"), "doc_id")
 
 
 def words(cleaned=True):
@@ -226,8 +226,7 @@ def stem_vocabulary(spark, folder):
 @query
 def stemmed_documents(spark, folder):
     stems = features.stemmed_tokens(documents(spark, folder), "doc_id", words())
-    return stems.groupBy("doc_id").agg(F.count("*").alias("n"),
-                                       F.count_distinct("stem").alias("stems"))
+    return stems.select("doc_id", F.size("stems").alias("n"), joined(F.col("stems")).alias("stems"))
 
 
 # -- search, labels, sets ------------------------------------------------------------------------

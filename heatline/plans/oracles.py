@@ -2,7 +2,7 @@
 
 from heatline.constants import (
     CLEAN_PATTERN, ENGLISH_STOP_WORDS, LOCI_ALPHA, LOCI_K, LOCI_MIN_NEIGHBOURS, PUNCTUATION,
-    SYNTHETIC_AXIS_START)
+    SPLIT_SEED, SYNTHETIC_AXIS_START)
 from heatline.operators.anomaly import BINS, radii_for
 from heatline.operators.kalman import acceleration_model, velocity_model
 from heatline.plans import catalog as C
@@ -266,6 +266,8 @@ SQL = {
         AND o_orderdate BETWEEN TIMESTAMP '{C.PRICE_SINCE}' AND TIMESTAMP '{C.PRICE_UNTIL}'""",
     "first_rows": "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 250",
     "shuffled_documents": "SELECT doc_id, text FROM documents",
+    "hash_split": f"""SELECT doc_id, CASE WHEN ('0x' || substr(md5('{SPLIT_SEED}:' || doc_id), 1, 8))
+        ::BIGINT % 10000 < 7500 THEN 'train' ELSE 'test' END AS part FROM documents""",
     "json_encode": f"""WITH {TIMED} SELECT doc_id, CAST(json_object('timestamp',
         strftime("timestamp", '%Y-%m-%d %H:%M:%S'), 'text', text) AS VARCHAR) AS value
         FROM timed""",

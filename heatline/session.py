@@ -57,6 +57,15 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/heatline-{purpose}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the input comes in fewer splits than there are cores.
+
+    Meant before costly work on text. A large table has splits enough and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute a frame once, durably, for several readers.
 
