@@ -124,6 +124,9 @@ def kalman_filter(rows: DataFrame, model: StateModel, series="series", idx="idx"
         return pd.DataFrame({series: key[0], "_slice": frame["_slice"] + 1, "start": starts})
 
     def run(key, frame, start):
+        # a start may exist for a slice that has no rows, when the last slice is exactly full
+        if frame.empty:
+            return pd.DataFrame(columns=[series, idx, value, "predicted", "state"], dtype=object)
         x, p = model.x0, model.P0
         if len(start):
             flat = np.asarray(start["start"].iloc[0])
@@ -137,10 +140,9 @@ def kalman_filter(rows: DataFrame, model: StateModel, series="series", idx="idx"
         summarise, f"`{series}` {kind}, _slice bigint, parts array<double>")
     starts = summaries.groupBy(series).applyInPandas(
         fold, f"`{series}` {kind}, _slice bigint, start array<double>")
-    # a start may exist for a slice that has no rows, when the last slice is exactly full
     out = f"`{series}` {kind}, {idx} bigint, {value} double, predicted double, state array<double>"
     return (cut.groupBy(series, "_slice").cogroup(starts.groupBy(series, "_slice"))
-            .applyInPandas(lambda key, left, right: run(key, left, right), out))
+            .applyInPandas(run, out))
 
 
 def final_states(filtered: DataFrame, series="series", idx="idx") -> DataFrame:

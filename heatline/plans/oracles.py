@@ -346,9 +346,11 @@ SQL = {
               FROM dense WINDOW o AS (PARTITION BY series ORDER BY idx)),
         zz AS (SELECT *, lag(z0) OVER (PARTITION BY series ORDER BY idx) AS z1 FROM z),
         fits AS (SELECT series, idx, y, y1, z1, count(*) OVER o AS n, regr_slope(z0, z1) OVER o AS b,
-                        regr_intercept(z0, z1) OVER o AS c FROM zz WHERE z1 IS NOT NULL WINDOW o AS
+                        regr_intercept(z0, z1) OVER o AS c, avg(z0) OVER o AS m0,
+                        avg(z1) OVER o AS m1 FROM zz WHERE z1 IS NOT NULL WINDOW o AS
                  (PARTITION BY series ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-        SELECT series, idx, round(y, 6) AS y, round(y1 + c + b * z1, 6) AS forecast FROM fits
+        SELECT series, idx, round(y, 6) AS y, round(y1 + coalesce(c + b * z1,
+               m0 * (1 + m1 * z1) / (1 + m1 * m1)), 6) AS forecast FROM fits
         WHERE n >= 4""",
     "best_lag": f"""WITH {DENSE},
         pairs AS (SELECT a.series, k AS lag, a.y, b.y AS p

@@ -11,7 +11,11 @@ NOT_MESSAGES = ("timeseries.csv", "tweets_training.csv")
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType, encoding="UTF-8") -> DataFrame:
-    """Header CSV whose quotes are doubled inside quoted fields; malformed rows are dropped."""
+    """Header CSV whose quotes are doubled inside quoted fields; malformed rows are dropped.
+
+    Fields may span lines, so a file is read by one task: collect messages in many files. An empty
+    field is NULL.
+    """
     return (spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED")
             .option("quote", '"').option("escape", '"').option("multiLine", True)
             .option("enforceSchema", False).option("encoding", encoding).csv(path))
