@@ -29,8 +29,8 @@ def gram(rows: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
         *[F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"g_{i}_{j}") for i, j in pairs])
 
 
-def differenced(column: str, k: int, earlier: str) -> Column:
-    """Difference with the value `earlier`, which lies k rows back."""
+def differenced(column: str, earlier: str) -> Column:
+    """Difference with a lagged value."""
     return F.col(column) - F.col(earlier)
 
 
@@ -44,10 +44,8 @@ def seasonal_lags(rows: DataFrame, season=SEASON, series="series", idx="idx",
     return (lagged(rows, [series], idx, lags)
             .where(F.col("_2t").isNotNull())
             .select(series, idx,
-                    differenced(value, season, "_s").alias("w0"),
-                    differenced("_1", season, "_t").alias("w1"),
-                    differenced("_s", season, "_2s").alias("ws"),
-                    differenced("_t", season, "_2t").alias("wt")))
+                    differenced(value, "_s").alias("w0"), differenced("_1", "_t").alias("w1"),
+                    differenced("_s", "_2s").alias("ws"), differenced("_t", "_2t").alias("wt")))
 
 
 def seasonal_gram(rows: DataFrame, season=SEASON, series="series", idx="idx",

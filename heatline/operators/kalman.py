@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heatline.operators.slices import SLICE, slice_of
+from heatline.operators.slices import SLICE, last_rows, slice_of
 
 
 class StateModel(NamedTuple):
@@ -147,8 +147,8 @@ def kalman_filter(rows: DataFrame, model: StateModel, series="series", idx="idx"
 
 def final_states(filtered: DataFrame, series="series", idx="idx") -> DataFrame:
     """(series, last_idx, state) after the last observation of each series."""
-    return filtered.groupBy(series).agg(F.max(idx).alias("last_idx"),
-                                        F.max_by("state", idx).alias("state"))
+    return last_rows(filtered, [series], idx, 1).select(
+        series, F.col(idx).alias("last_idx"), "state")
 
 
 def _ahead(state: Column, k: Column, size: int, dt: float) -> Column:

@@ -4,6 +4,7 @@ Stand-ins: `events` are scored messages (event_type the topic, value the score),
 messages, `labels` their stored scores, `orders` a daily price-like series per priority.
 """
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from heatline.constants import SCORE_SCALE
@@ -27,6 +28,7 @@ SEARCHED = "worthless"
 SEARCH_SINCE, SEARCH_UNTIL = "2018-04-14 00:00:00", "2018-05-20 00:00:00"
 PRICE_KEYS = ("1-URGENT", "5-LOW")
 PRICE_SINCE, PRICE_UNTIL = "1996-12-31 00:00:00", "1997-12-31 00:00:00"
+BATCH_EDGE = "2024-01-15 00:00:00"
 GARCH_ALPHA, GARCH_BETA = 0.1, 0.8
 GARCH_POINTS = [(a, b) for a in (0.02, 0.1, 0.2, 0.3) for b in (0.0, 0.2, 0.4, 0.6, 0.69)]
 KALMAN_STEPS, GARCH_STEPS, AR_STEPS, MAX_LAG = 50, 25, 100, 24
@@ -53,17 +55,17 @@ def sums(spark, folder, seconds):
 
 
 def hours(spark, folder, fill="forward"):
-    """(series, idx, step, y) per hour, computed once: all later passes read this small table."""
-    return settle(buckets.dense_series(sums(spark, folder, buckets.HOUR), fill))
+    """(series, idx, step, y) per hour. The raw table is read once, all else works on its sums."""
+    return buckets.dense_series(settle(sums(spark, folder, buckets.HOUR)), fill)
 
 
 def daily(spark, folder):
     """(series, idx, step, y): order value per day with orders, numbered per priority."""
     value = table(spark, folder, "orders").select(
         F.col("o_orderpriority").alias("series"), "o_orderdate", "o_totalprice")
-    totals = buckets.bucket_sums(value, "o_orderdate", "o_totalprice", buckets.DAY)
+    totals = settle(buckets.bucket_sums(value, "o_orderdate", "o_totalprice", buckets.DAY))
     days = totals.select("series", "step", (F.col("total") / F.lit(V.MICRO)).alias("y"))
-    return settle(row_index(days, ["series"], "step"))
+    return row_index(days, ["series"], "step")
 
 
 def daily_residuals(spark, folder):
@@ -218,6 +220,21 @@ def tfidf_terms(spark, folder):
             .withColumn("tfidf", F.round("tfidf", 6)))
 
 
+@query
+def hashed_counts(spark, folder):
+    """Tokens per document, as the sum of the hashed term counts."""
+    cleaned = documents(spark, folder).select("doc_id", X.clean_text(F.col("text")).alias("text"))
+    total = F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, b: a + b)
+    return learn.hashed_terms(cleaned).select("doc_id", total.alias("total"))
+
+
+@query
+def word_vectors(spark, folder):
+    """Averaged word vectors of the labelled messages."""
+    return learn.word_vectors(labelled(spark, folder), 8).select(
+        "doc_id", vector_to_array("vectors").alias("vector"))
+
+
 @query
 def stem_vocabulary(spark, folder):
     return features.stemmed_vocabulary(documents(spark, folder), words())
@@ -231,13 +248,19 @@ def stemmed_documents(spark, folder):
 
 # -- search, labels, sets ------------------------------------------------------------------------
 
+def time_axis(spark, folder):
+    """(doc_id, idx, timestamp), made from the ids alone so that no text moves."""
+    return buckets.synthetic_axis(table(spark, folder, "documents").select("doc_id"), "doc_id")
+
+
 def timed_documents(spark, folder):
-    return buckets.synthetic_axis(documents(spark, folder), "doc_id")
+    """Documents with a time. Filters on text or language reach the scan, below the join."""
+    return documents(spark, folder).join(time_axis(spark, folder), "doc_id")
 
 
 @query
 def synthetic_axis(spark, folder):
-    return timed_documents(spark, folder).select("doc_id", "idx", "timestamp")
+    return time_axis(spark, folder)
 
 
 @query
@@ -331,6 +354,18 @@ def hash_split(spark, folder):
         test.withColumn("part", F.lit("test")))
 
 
+@query
+def random_parts(spark, folder):
+    train, test = relational.random_split(documents(spark, folder).select("doc_id"))
+    return train.unionAll(test)
+
+
+@query
+def surrogate_ids(spark, folder):
+    ids = relational.surrogate_id(scored(spark, folder))
+    return ids.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
+
+
 # -- JSON ----------------------------------------------------------------------------------------
 
 def event_messages(spark, folder):
@@ -399,6 +434,13 @@ def log_returns(spark, folder):
     return garch.log_returns(daily(spark, folder)).withColumn("r", F.round("r", 6))
 
 
+@query
+def differences(spark, folder):
+    wide = lagged(hours(spark, folder), ["series"], "idx", {"_1": ("y", 1), "_12": ("y", 12)})
+    return wide.select("series", "idx", autoreg.differenced("y", "_1").alias("by_1"),
+                       autoreg.differenced("y", "_12").alias("by_12"))
+
+
 @query
 def aligned_pairs(spark, folder):
     """Two per-hour tables side by side, by position."""
@@ -646,16 +688,33 @@ def csv_round_trip(spark, folder):
 
 @query
 def batch_table(spark, folder):
-    """Scored messages appended batch by batch, one batch written twice, read back."""
+    """Scored messages appended as two batches, the second one written twice, read back."""
     path = fresh_folder(spark, "batches")
     df = scored(spark, folder)
-    topics = [("click", 0), ("view", 1), ("purchase", 2), ("error", 3), ("signup", 4), ("view", 1)]
-    for topic, batch in topics:
-        tables.write_batch(df.where(F.col("series") == topic), path, batch)
+    late = F.col("timestamp") >= F.lit(BATCH_EDGE).cast("timestamp_ntz")
+    for batch, part in [(0, df.where(~late)), (1, df.where(late)), (1, df.where(late))]:
+        tables.write_batch(part, path, batch)
     return tables.read_table(spark, path).select("event_id", "timestamp", "series", "prediction",
                                                  F.col("batch_id").cast("bigint").alias("batch_id"))
 
 
+@query
+def csv_corpus(spark, folder):
+    """Labelled messages collected into one CSV folder per score, read back as one corpus.
+
+    An output of an earlier run lies beside them and is left out.
+    """
+    path = fresh_folder(spark, "corpus")
+    rows = relational.label_join(timed_documents(spark, folder), table(spark, folder, "labels"),
+                                 "doc_id").select(
+        V.format_timestamp(F.col("timestamp")).alias("timestamp"), "text",
+        F.col("toxic").cast("string").alias("toxicity"))
+    files.write_csv(rows.where("toxicity = '0'"), f"{path}/tweets_mild.csv")
+    files.write_csv(rows.where("toxicity <> '0'"), f"{path}/tweets_harsh.csv")
+    files.write_csv(rows, f"{path}/tweets_training.csv")
+    return files.read_corpus(spark, path, rows.schema)
+
+
 def event_stream(spark, folder):
     """The events file as a stream of scored messages."""
     stored = table(spark, folder, "events")

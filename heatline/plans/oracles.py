@@ -379,9 +379,15 @@ SQL = {
         (SELECT unnest(generate_series(1, {C.GARCH_STEPS}))::BIGINT AS h)""",
     "csv_round_trip": f"""WITH {TIMED} SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S')
         AS "timestamp", text FROM timed""",
-    "batch_table": """SELECT event_id, ts AS "timestamp", event_type AS series, value AS prediction,
-        list_position(['click', 'view', 'purchase', 'error', 'signup'], event_type)::BIGINT - 1
-        AS batch_id FROM events""",
+    "batch_table": f"""SELECT event_id, ts AS "timestamp", event_type AS series,
+        value AS prediction, (ts >= TIMESTAMP '{C.BATCH_EDGE}')::BIGINT AS batch_id FROM events""",
+    "csv_corpus": f"""WITH {TIMED} SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp",
+        text, CAST(toxic AS VARCHAR) AS toxicity FROM timed JOIN labels USING (doc_id)""",
+    "surrogate_ids": "SELECT count(*) AS n, count(*) AS ids FROM events",
+    "random_parts": "SELECT doc_id FROM documents",
+    "differences": f"""WITH {DENSE} SELECT series, idx, y - lag(y) OVER o AS by_1,
+        y - lag(y, 12) OVER o AS by_12 FROM dense WINDOW o AS (PARTITION BY series ORDER BY idx)""",
+    "hashed_counts": f"""WITH {TERMS} SELECT doc_id, len(words)::DOUBLE AS total FROM kept""",
     "stream_hour_mean": bucket("hour"),
     "stream_dedup_hour_mean": bucket("hour"),
     "stream_messages": f'WITH {TIMED} SELECT "timestamp", text FROM timed',

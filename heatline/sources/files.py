@@ -1,5 +1,7 @@
 """Reading and writing delimited files."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,10 +29,11 @@ def read_legacy_csv(spark: SparkSession, path, schema: T.StructType) -> DataFram
 
 def read_corpus(spark: SparkSession, folder: str, schema: T.StructType,
                 excluded=NOT_MESSAGES) -> DataFrame:
-    """All CSV files of a folder as one table, without the listed file names."""
+    """All CSV files (or folders of parts) of a folder as one table, without the listed names."""
     rows = read_csv(spark, f"{folder}/*.csv", schema)
-    return (rows.select("*", F.col("_metadata.file_name").alias("_file"))
-            .where(~F.col("_file").isin(*excluded)).drop("_file"))
+    listed = "|".join(re.escape(name) for name in excluded)
+    return (rows.select("*", F.col("_metadata.file_path").alias("_path"))
+            .where(~F.rlike("_path", F.lit(f"/({listed})(/|$)"))).drop("_path"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from heatline.constants import BATCH_SECONDS
 from heatline.functions.text import clean_text
-from heatline.functions.values import MICRO, micros, plain_timestamp, step_start
+from heatline.functions.values import micros, plain_timestamp, step_start
 from heatline.operators.anomaly import tag_anomalies
 from heatline.operators.autoreg import seasonal_forecast
 from heatline.operators.buckets import (
-    HOUR, MINUTE, bucket_means, bucket_sums, coarser, dense_series, series_ends)
+    HOUR, MINUTE, bucket_means, bucket_sums, coarser, dense_series, mean_of, series_ends)
 from heatline.operators.learn import score
 from heatline.schemas import FORECAST_COLUMNS, MESSAGE_COLUMNS, TIME_SERIES_COLUMNS
 from heatline.sources.tables import read_table, write_batch
@@ -39,10 +39,9 @@ def window_sums(stream: DataFrame, length: str, ts="timestamp", value="predictio
 
 def latest_windows(written: DataFrame, series="series") -> DataFrame:
     """The last state written of each window: later batches replace earlier partial means."""
-    last = F.max_by(F.struct("total", "n"), F.col("batch_id")).alias("_last")
-    return (written.groupBy(series, "timestamp").agg(last)
-            .select(series, "timestamp", "_last.total", "_last.n",
-                    (F.col("_last.total") / (F.col("_last.n") * MICRO)).alias("prediction")))
+    return (written.groupBy(series, "timestamp")
+            .agg(F.max_by("total", "batch_id").alias("total"), F.max_by("n", "batch_id").alias("n"))
+            .withColumn("prediction", mean_of()))
 
 
 def start_batches(stream: DataFrame, handle, checkpoint: str, mode="update", every=None):
