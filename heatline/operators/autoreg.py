@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from heatline.constants import FORECAST_SHARE, SEASON
 from heatline.operators import metrics
 from heatline.operators.buckets import holdout
+from heatline.operators.recurrence import extend
 from heatline.operators.slices import lagged, last_rows, running_totals
 
 ROUNDS = 50
@@ -109,47 +110,28 @@ def seasonal_forecast(rows: DataFrame, season=SEASON, share=FORECAST_SHARE, seri
                       idx="idx", value="y", stationary=False, horizon=None) -> DataFrame:
     """(series, h, forecast) for h = 1..floor(n * share), or 1..horizon.
 
-    Needs only the fit and the last 2s+1 values of each series. The forecast advances season by
-    season: each season is a short fold, so long horizons stay linear.
+    Multiplied out, the model is a linear rule of the last 2s+1 values.
     """
     fits = (seasonal_fit(rows, season, series, idx, value, stationary=stationary)
             .where(F.col("status") == "ok"))
-    steps = (F.floor(F.col("n") * share) if horizon is None else F.lit(horizon)).cast("bigint")
-    pairs = F.sort_array(F.collect_list(F.struct(idx, value)))
-    tail = (last_rows(rows.select(series, idx, value), [series], idx, 2 * season + 1)
-            .groupBy(series).agg(pairs[value].alias("_tail"))
-            .withColumnRenamed(series, "_series"))
-    ready = (fits.withColumn("_steps", steps).where(F.col("_steps") > 0)
-             .join(tail, F.col(series).eqNullSafe(F.col("_series"))))
-
+    steps = F.floor(F.col("n") * share) if horizon is None else F.lit(horizon)
     phi, big = F.col("phi"), F.col("seasonal_phi")
-    # known values y[-2s-1..-1] give differences w[-s-1..-1]
-    history = F.slice("_tail", season + 2, season)
-    changes = F.transform(F.sequence(F.lit(1), F.lit(season + 1)),
-                          lambda i: F.get(F.col("_tail"), i + season - 1)
-                          - F.get(F.col("_tail"), i - 1))
-
-    def one_step(state, j):
-        # w holds the last s+1 differences and those added since; j counts 0.. within the season
-        w = (phi * F.get(state["w"], j + season) + big * F.get(state["w"], j + 1)
-             - phi * big * F.get(state["w"], j))
-        return F.struct(F.concat(state["w"], F.array(w)).alias("w"),
-                        F.concat(state["y"], F.array(F.get(state["y"], j) + w)).alias("y"))
-
-    def one_season(state, _):
-        inner = F.aggregate(F.sequence(F.lit(0), F.lit(season - 1)),
-                            F.struct(state["w"].alias("w"), state["y"].alias("y")), one_step)
-        fresh = F.slice(inner["y"], season + 1, season)
-        return F.struct(F.slice(inner["w"], season + 1, season + 1).alias("w"), fresh.alias("y"),
-                        F.concat(state["out"], F.array(fresh)).alias("out"))
-
-    start = F.struct(changes.alias("w"), history.alias("y"),
-                     F.array().cast("array<array<double>>").alias("out"))
-    seasons = F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("_steps") / season))
-    path = F.flatten(F.aggregate(seasons, start, one_season)["out"])
-    return (ready.select(series, "_steps", F.posexplode(path).alias("_p", "forecast"))
-            .where(F.col("_p") < F.col("_steps"))
-            .select(series, (F.col("_p") + 1).cast("bigint").alias("h"), "forecast"))
+    at = {1: phi, season: 1 + big, season + 1: -phi * (1 + big), 2 * season: -big,
+          2 * season + 1: phi * big}
+    coef = F.array(*[at.get(k, F.lit(0.0)) for k in range(1, 2 * season + 2)])
+    models = fits.select(series, coef.alias("coef"), F.lit(0.0).alias("const"),
+                         steps.cast("bigint").alias("steps"))
+    return extend(_with_tail(models, rows, series, idx, value, 2 * season + 1), series)
+
+
+def _with_tail(models: DataFrame, rows: DataFrame, series: str, idx: str, value: str,
+               n: int) -> DataFrame:
+    """Add `tail`, the last n values of each series in order."""
+    pairs = F.sort_array(F.collect_list(F.struct(idx, value)))
+    tails = (last_rows(rows.select(series, idx, value), [series], idx, n)
+             .groupBy(series).agg(pairs[value].alias("tail"))
+             .withColumnRenamed(series, "_series"))
+    return models.join(tails, F.col(series).eqNullSafe(F.col("_series"))).drop("_series")
 
 
 def score_holdout(rows: DataFrame, forecast, share=FORECAST_SHARE, series="series") -> DataFrame:
@@ -224,27 +206,13 @@ def ar_fit(rows: DataFrame, p: int, d=1, series="series", idx="idx", value="y")
 def ar_forecast(rows: DataFrame, p: int, steps: int, d=1, series="series", idx="idx",
                 value="y") -> DataFrame:
     """(series, h, forecast), h = 1..steps, from the last p + d values of each series."""
-    pairs = F.sort_array(F.collect_list(F.struct(idx, value)))
-    tail = (last_rows(rows.select(series, idx, value), [series], idx, p + d)
-            .groupBy(series).agg(pairs[value].alias("tail")).withColumnRenamed(series, "_series"))
-    fits = ar_fit(rows, p, d, series, idx, value).select(series, "const", "phi")
-    ready = fits.join(tail, F.col(series).eqNullSafe(F.col("_series"))).drop("_series")
-    schema = f"`{series}` {dict(rows.dtypes)[series]}, h bigint, forecast double"
-
-    def advance(batches):
-        for frame in batches:
-            for key, const, phi, tail in zip(frame[series], frame["const"], frame["phi"],
-                                             frame["tail"]):
-                level, phi = float(tail[-1]), np.asarray(phi)
-                z = list(np.diff(tail) if d else tail)
-                out = np.empty(steps)
-                for h in range(steps):
-                    change = const + float(phi @ np.asarray(z[:-p - 1:-1]))
-                    z.append(change)
-                    level = level + change if d else change
-                    out[h] = level
-                yield pd.DataFrame({series: key, "h": np.arange(1, steps + 1), "forecast": out})
-    return ready.mapInPandas(advance, schema)
+    fits = ar_fit(rows, p, d, series, idx, value)
+    phi = [F.get("phi", F.lit(k)) for k in range(p)]
+    if d:
+        phi = [1 + phi[0], *[phi[k] - phi[k - 1] for k in range(1, p)], -phi[-1]]
+    models = fits.select(series, F.array(*phi).alias("coef"), "const",
+                         F.lit(steps).cast("bigint").alias("steps"))
+    return extend(_with_tail(models, rows, series, idx, value, p + d), series)
 
 
 def walk_forward(rows: DataFrame, p: int, d=1, series="series", idx="idx", value="y",

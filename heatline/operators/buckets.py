@@ -53,12 +53,12 @@ def step_series(sums: DataFrame, series="series") -> DataFrame:
 def grid(spans: DataFrame) -> DataFrame:
     """Replace `first`, `last` of each row in `spans` by every `step` between them, and its `idx`.
 
-    Two explodes, so no row ever holds more than one block of steps.
+    First whole blocks, which are spread over the tasks, then the steps of each block.
     """
     block = F.sequence(F.floor(F.col("first") / GRID_BLOCK), F.floor(F.col("last") / GRID_BLOCK))
     start = F.col("block") * GRID_BLOCK
     steps = F.sequence(F.greatest("first", start), F.least("last", start + GRID_BLOCK - 1))
-    return (spans.withColumn("block", F.explode(block))
+    return (spans.withColumn("block", F.explode(block)).repartition(*spans.columns, "block")
             .withColumn("step", F.explode(steps))
             .withColumn("idx", F.col("step") - F.col("first"))
             .drop("block", "first", "last"))
@@ -87,7 +87,7 @@ def dense_series(sums: DataFrame, fill="forward", series="series") -> DataFrame:
 def synthetic_axis(messages: DataFrame, key: str, start=SYNTHETIC_AXIS_START) -> DataFrame:
     """Row i (0-based, by key) gets `start` + (i + 1) hours, the last row too."""
     begin = F.unix_seconds(F.lit(start).cast("timestamp"))
-    return (row_index(messages, [], key, name="idx")
+    return (row_index(messages, [], key, levels=2)
             .withColumn("timestamp", plain_timestamp(
                 F.timestamp_seconds(begin + (F.col("idx") + 1) * HOUR))))
 

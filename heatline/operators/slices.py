@@ -28,17 +28,20 @@ def _with_summary(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataF
     return rows.join(renamed, same, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def row_index(df: DataFrame, series: list[str], key: str, width=KEY_SLICE, name="idx") -> DataFrame:
-    """0-based position of each row in its series, by the integer `key` (unique in the series)."""
-    cut = df.withColumn("_slice", slice_of(F.col(key), width))
-    before = F.sum("_n").over(
-        W.partitionBy(*series).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1))
-    starts = (cut.groupBy(*series, "_slice").agg(F.count("*").alias("_n"))
-              .select(*series, "_slice", F.coalesce(before, F.lit(0)).alias("_before")))
-    inside = F.row_number().over(W.partitionBy(*series, "_slice").orderBy(key))
-    return (_with_summary(cut, starts, [*series, "_slice"])
+def row_index(df: DataFrame, series: list[str], key: str, width=KEY_SLICE, levels=1,
+              name="idx") -> DataFrame:
+    """0-based position of each row in its series, by the integer `key` (unique in the series).
+
+    Where keys are sparse most slices hold few rows and there are many slices; `levels` > 1 counts
+    those in slices too. Two levels bound every window for keys up to 2^48, three for any key.
+    """
+    cut = df.withColumn("_cut", slice_of(F.col(key), width))
+    counts = cut.groupBy(*series, "_cut").agg(F.count("*").alias("_before"))
+    starts = _starts(counts, series, "_cut", ["_before"], width, levels)
+    inside = F.row_number().over(W.partitionBy(*series, "_cut").orderBy(key))
+    return (_with_summary(cut, starts, [*series, "_cut"])
             .withColumn(name, (F.col("_before") + inside - 1).cast("bigint"))
-            .drop("_slice", "_before"))
+            .drop("_cut", "_before"))
 
 
 def lagged(df: DataFrame, series: list[str], idx: str, lags: dict, width=SLICE) -> DataFrame:
@@ -61,23 +64,30 @@ def lagged(df: DataFrame, series: list[str], idx: str, lags: dict, width=SLICE)
 
 
 def running_totals(df: DataFrame, series: list[str], idx: str, columns: list[str],
-                   width=SLICE) -> DataFrame:
+                   width=SLICE, levels=1) -> DataFrame:
     """Replace each column by its total over the strictly earlier rows of the series."""
-    cut = df.withColumn("_slice", slice_of(F.col(idx), width))
-    earlier = (W.partitionBy(*series).orderBy("_slice")
-               .rowsBetween(W.unboundedPreceding, -1))
-    starts = (cut.groupBy(*series, "_slice").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
-              .select(*series, "_slice",
-                      *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_b_{c}")
-                        for c in columns]))
-    inside = (W.partitionBy(*series, "_slice").orderBy(idx)
+    cut_name = f"_cut{levels}"
+    cut = df.withColumn(cut_name, slice_of(F.col(idx), width))
+    totals = cut.groupBy(*series, cut_name).agg(*[F.sum(c).alias(f"_b_{c}") for c in columns])
+    starts = _starts(totals, series, cut_name, [f"_b_{c}" for c in columns], width, levels)
+    inside = (W.partitionBy(*series, cut_name).orderBy(idx)
               .rowsBetween(W.unboundedPreceding, -1))
     kept = [c for c in df.columns if c not in columns]
-    return _with_summary(cut, starts, [*series, "_slice"]).select(
+    return _with_summary(cut, starts, [*series, cut_name]).select(
         *kept, *[(F.col(f"_b_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(c)
                  for c in columns])
 
 
+def _starts(totals: DataFrame, series: list[str], cut: str, columns: list[str], width: int,
+            levels: int) -> DataFrame:
+    """Replace the totals of each slice by those of the slices before it."""
+    if levels > 1:
+        return running_totals(totals, series, cut, columns, width, levels - 1)
+    earlier = W.partitionBy(*series).orderBy(cut).rowsBetween(W.unboundedPreceding, -1)
+    return totals.select(*series, cut, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c)
+                                         for c in columns])
+
+
 def fill_forward(df: DataFrame, series: list[str], idx: str, column: str,
                  width=SLICE) -> DataFrame:
     """Replace NULLs by the latest earlier value of the series."""

@@ -401,8 +401,8 @@ def json_extract(spark, folder):
 def row_positions(spark, folder):
     """Gapless position of every event, overall and within its topic."""
     df = scored(spark, folder).select("event_id", "series")
-    df = row_index(df, ["series"], "event_id", name="in_series")
-    return row_index(df, [], "event_id", name="overall")
+    df = row_index(df, ["series"], "event_id", levels=2, name="in_series")
+    return row_index(df, [], "event_id", levels=2, name="overall")
 
 
 @query

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heatline.functions import synthetic
-from heatline.operators import autoreg, garch, kalman, metrics, orders
+from heatline.operators import autoreg, garch, kalman, metrics, orders, recurrence
 
 SCHEMA = "series string, idx bigint, y double"
 
@@ -95,6 +95,20 @@ def test_seasonal_forecast_follows_the_recursion(spark):
     assert [f for _, f in got] == pytest.approx(ys[200:])
 
 
+def test_blocks_of_a_long_horizon_continue_each_other(spark):
+    models = spark.createDataFrame(
+        [("a", [1.2, -0.3, 0.05], 0.5, [1.0, 2.0, 4.0], 100), ("b", [1.0], 0.0, [7.0], 3)],
+        "series string, coef array<double>, const double, tail array<double>, steps bigint")
+    one, many = (by_series(recurrence.extend(models, block=b), "h", "forecast") for b in (4096, 7))
+    assert [h for h, _ in many["a"]] == list(range(1, 101)) and many["b"] == [
+        (1, 7.0), (2, 7.0), (3, 7.0)]
+    assert [f for _, f in many["a"]] == pytest.approx([f for _, f in one["a"]])
+    ys = [1.0, 2.0, 4.0]
+    for _ in range(100):
+        ys.append(0.5 + 1.2 * ys[-1] - 0.3 * ys[-2] + 0.05 * ys[-3])
+    assert [f for _, f in one["a"]] == pytest.approx(ys[3:])
+
+
 def test_stationary_option_clips(spark):
     y = np.cumprod(np.full(80, 1.1))
     free, kept = (autoreg.seasonal_fit(series(spark, a=y), stationary=s).first() for s in (0, 1))

@@ -34,12 +34,12 @@ def expect(pdf, **columns):
             .reset_index(drop=True))
 
 
-@pytest.mark.parametrize("width", [5, 64, 100_000])
-def test_row_index(frame, width):
+@pytest.mark.parametrize("width,levels", [(5, 1), (64, 1), (5, 3), (64, 2), (100_000, 3)])
+def test_row_index(frame, width, levels):
     df, pdf = frame
-    got = sorted_pandas(slices.row_index(df.drop("idx"), ["series"], "key", width))
+    got = sorted_pandas(slices.row_index(df.drop("idx"), ["series"], "key", width, levels))
     assert list(got["idx"]) == list(expect(pdf)["idx"])
-    overall = slices.row_index(df.where("series = 'hot'").drop("idx"), [], "key", width)
+    overall = slices.row_index(df.where("series = 'hot'").drop("idx"), [], "key", width, levels)
     assert [r.idx for r in overall.orderBy("key").collect()] == list(range(97))
 
 
@@ -58,10 +58,10 @@ def test_lag_deeper_than_a_slice_is_refused(frame):
         slices.lagged(frame[0], ["series"], "idx", {"a": ("y", 14)}, 13)
 
 
-@pytest.mark.parametrize("width", [4, 4096])
-def test_running_totals(frame, width):
+@pytest.mark.parametrize("width,levels", [(4, 1), (4, 3), (4096, 1)])
+def test_running_totals(frame, width, levels):
     df, pdf = frame
-    got = sorted_pandas(slices.running_totals(df, ["series"], "idx", ["y"], width))
+    got = sorted_pandas(slices.running_totals(df, ["series"], "idx", ["y"], width, levels))
     filled = pdf.assign(y=pdf["y"].fillna(0.0))
     want = expect(pdf, t=grouped(filled)["y"].cumsum() - filled["y"])
     np.testing.assert_allclose(got["y"], want["t"], atol=1e-12)
