@@ -23,10 +23,13 @@ MIN_EQUATIONS = 3
 
 
 def gram(rows: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
-    """Sums of all pairwise products as `g_i_j` (i <= j, positions in `columns`), and the count."""
+    """Sums of all pairwise products as `g_i_j` (i <= j, positions in `columns`), with their number.
+
+    `n` counts all rows, `equations` those with a value in the first column.
+    """
     pairs = itertools.combinations_with_replacement(range(len(columns)), 2)
     return rows.groupBy(*group).agg(
-        F.count("*").alias("equations"),
+        F.count("*").alias("n"), F.count(columns[0]).alias("equations"),
         *[F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"g_{i}_{j}") for i, j in pairs])
 
 
@@ -39,19 +42,18 @@ def differenced(column: str, earlier: str) -> Column:
 
 def seasonal_lags(rows: DataFrame, season=SEASON, series="series", idx="idx",
                   value="y") -> DataFrame:
-    """Seasonal difference w and its lags 1, s, s+1 as w0, w1, ws, wt, where all exist."""
+    """Seasonal difference w and its lags 1, s, s+1 as w0, w1, ws, wt; NULL unless all exist."""
     lags = {"_1": (value, 1), "_s": (value, season), "_t": (value, season + 1),
             "_2s": (value, 2 * season), "_2t": (value, 2 * season + 1)}
-    return (lagged(rows, [series], idx, lags)
-            .where(F.col("_2t").isNotNull())
-            .select(series, idx,
-                    differenced(value, "_s").alias("w0"), differenced("_1", "_t").alias("w1"),
-                    differenced("_s", "_2s").alias("ws"), differenced("_t", "_2t").alias("wt")))
+    parts = {"w0": (value, "_s"), "w1": ("_1", "_t"), "ws": ("_s", "_2s"), "wt": ("_t", "_2t")}
+    complete = F.col("_2t").isNotNull()
+    return lagged(rows, [series], idx, lags).select(
+        series, idx, *[F.when(complete, differenced(a, b)).alias(w) for w, (a, b) in parts.items()])
 
 
 def seasonal_gram(rows: DataFrame, season=SEASON, series="series", idx="idx",
                   value="y") -> DataFrame:
-    """The ten sums the seasonal fit is made of: (series, equations, g_0_0 .. g_3_3)."""
+    """The ten sums the seasonal fit is made of: (series, n, equations, g_0_0 .. g_3_3)."""
     return gram(seasonal_lags(rows, season, series, idx, value), [series], ["w0", "w1", "ws", "wt"])
 
 
@@ -91,18 +93,13 @@ def seasonal_fit(rows: DataFrame, season=SEASON, series="series", idx="idx", val
     css = sum((c[i] * c[j] * g[min(i, j), max(i, j)] for i in range(4) for j in range(4)),
               F.lit(0.0))
     m = F.col("equations")
-    fitted = (seasonal_gram(rows, season, series, idx, value)
-              .where(m >= MIN_EQUATIONS)
-              .withColumn("_fit", fit)
-              .select("*", "_fit.phi", "_fit.seasonal_phi")
-              .withColumn("css", F.greatest(css, F.lit(0.0)))
-              .withColumn("aic", F.when(F.col("css") > 0, m * F.log(F.col("css") / m) + 4))
-              .select(F.col(series).alias("_series"), "equations", "phi", "seasonal_phi", "css",
-                      "aic"))
-    sizes = rows.groupBy(series).agg(F.count("*").alias("n"))
-    return (sizes.join(fitted, F.col(series).eqNullSafe(F.col("_series")), "left")
-            .withColumn("equations", F.coalesce("equations", F.lit(0).cast("bigint")))
-            .withColumn("status", F.when(F.col("phi").isNull(), "too_short").otherwise("ok"))
+    enough = m >= MIN_EQUATIONS
+    return (seasonal_gram(rows, season, series, idx, value)
+            .withColumn("_fit", F.when(enough, fit))
+            .select("*", "_fit.phi", "_fit.seasonal_phi")
+            .withColumn("css", F.when(enough, F.greatest(css, F.lit(0.0))))
+            .withColumn("aic", F.when(F.col("css") > 0, m * F.log(F.col("css") / m) + 4))
+            .withColumn("status", F.when(enough, "ok").otherwise("too_short"))
             .select(series, "n", "equations", "phi", "seasonal_phi", "css", "aic", "status"))
 
 

@@ -73,7 +73,11 @@ def dense_series(sums: DataFrame, fill="forward", series="series") -> DataFrame:
     if fill == "none":
         return step_series(sums, series)
     spans = sums.groupBy(series).agg(F.min("step").alias("first"), F.max("step").alias("last"))
-    full = (grid(spans).join(sums, [series, "step"], "left")
+    # every step comes once from the grid, and a second time where it has data
+    full = (grid(spans).unionByName(sums.select(series, "step", "total", "n"),
+                                    allowMissingColumns=True)
+            .groupBy(series, "step")
+            .agg(F.max("idx").alias("idx"), F.max("total").alias("total"), F.max("n").alias("n"))
             .select(series, "idx", "step", mean_of().alias("y")))
     if fill == "forward":
         return fill_forward(full, [series], "idx", "y")

@@ -2,13 +2,12 @@
 
 A window partitioned by series alone runs a whole series in one task. Here every series is cut into
 slices of an integer axis that is unique within the series, so a slice holds a bounded number of
-rows however large the series is. Windows run inside slices; what must cross a slice edge travels
-either as copied edge rows (`lagged`) or through a table with one row per slice (`row_index`,
-`running_totals`, `fill_forward`).
+rows however large the series is. Windows run inside slices. What must cross a slice edge travels
+as extra rows of the slice: copies of the rows before the edge (`lagged`), or one row with what the
+earlier slices add up to (`running_totals`, `fill_forward`). Rows are shuffled once, by series and
+slice, and never joined, so a NULL series is a series like any other.
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,27 +20,58 @@ def slice_of(axis: Column, width: int) -> Column:
     return F.floor(axis / width).cast("bigint")
 
 
-def _with_summary(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the summary's columns to the rows, matching NULL keys too."""
-    renamed = summary.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return rows.join(renamed, same, "left").drop(*[f"_r_{k}" for k in keys])
+def _open_slices(cut: DataFrame, starts: DataFrame, series: list[str], name: str, idx: str):
+    """Rows with one start row ahead of each slice, and the window order in which it comes first."""
+    stacked = cut.withColumn("_own", F.lit(True)).unionByName(
+        starts.withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    return stacked, W.partitionBy(*series, name).orderBy("_own", idx)
+
+
+def running_totals(df: DataFrame, series: list[str], idx: str, columns: list[str], width=SLICE,
+                   levels=1) -> DataFrame:
+    """Replace each column by its total over the strictly earlier rows of the series.
+
+    Where `idx` is sparse most slices hold few rows and there are many slices; `levels` > 1 adds
+    those up in slices too. With slices of 2^16, two levels bound every window for an axis up to
+    2^48, three for any axis.
+    """
+    name = f"_slice{levels}"
+    cut = df.withColumn(name, slice_of(F.col(idx), width))
+    totals = cut.groupBy(*series, name).agg(*[F.sum(c).alias(c) for c in columns])
+    if levels > 1:
+        starts = running_totals(totals, series, name, columns, width, levels - 1)
+    else:
+        earlier = W.partitionBy(*series).orderBy(name).rowsBetween(W.unboundedPreceding, -1)
+        starts = totals.select(*series, name, *[F.sum(c).over(earlier).alias(c) for c in columns])
+    stacked, order = _open_slices(cut, starts, series, name, idx)
+    before = order.rowsBetween(W.unboundedPreceding, -1)
+    kept = [c for c in df.columns if c not in columns]
+    zero = {c: F.lit(0).cast(t) for c, t in totals.dtypes}
+    return (stacked.select("_own", *kept, *[F.coalesce(F.sum(c).over(before), zero[c]).alias(c)
+                                            for c in columns])
+            .where("_own").select(*df.columns))
 
 
 def row_index(df: DataFrame, series: list[str], key: str, width=KEY_SLICE, levels=1,
               name="idx") -> DataFrame:
-    """0-based position of each row in its series, by the integer `key` (unique in the series).
+    """0-based position of each row in its series, by the integer `key` (unique in the series)."""
+    counted = df.withColumn(name, F.lit(1).cast("bigint"))
+    return running_totals(counted, series, key, [name], width, levels)
 
-    Where keys are sparse most slices hold few rows and there are many slices; `levels` > 1 counts
-    those in slices too. Two levels bound every window for keys up to 2^48, three for any key.
-    """
-    cut = df.withColumn("_cut", slice_of(F.col(key), width))
-    counts = cut.groupBy(*series, "_cut").agg(F.count("*").alias("_before"))
-    starts = _starts(counts, series, "_cut", ["_before"], width, levels)
-    inside = F.row_number().over(W.partitionBy(*series, "_cut").orderBy(key))
-    return (_with_summary(cut, starts, [*series, "_cut"])
-            .withColumn(name, (F.col("_before") + inside - 1).cast("bigint"))
-            .drop("_cut", "_before"))
+
+def fill_forward(df: DataFrame, series: list[str], idx: str, column: str,
+                 width=SLICE) -> DataFrame:
+    """Replace NULLs by the latest earlier value of the series."""
+    cut = df.withColumn("_slice", slice_of(F.col(idx), width))
+    at = F.when(F.col(column).isNotNull(), F.col(idx))
+    ends = cut.groupBy(*series, "_slice").agg(F.max_by(column, at).alias(column))
+    earlier = W.partitionBy(*series).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    starts = ends.select(*series, "_slice",
+                         F.last(column, ignorenulls=True).over(earlier).alias(column))
+    stacked, order = _open_slices(cut, starts, series, "_slice", idx)
+    upto = order.rowsBetween(W.unboundedPreceding, 0)
+    return (stacked.withColumn(column, F.last(column, ignorenulls=True).over(upto))
+            .where("_own").select(*df.columns))
 
 
 def lagged(df: DataFrame, series: list[str], idx: str, lags: dict, width=SLICE) -> DataFrame:
@@ -63,49 +93,6 @@ def lagged(df: DataFrame, series: list[str], idx: str, lags: dict, width=SLICE)
             .drop("_slice", "_home"))
 
 
-def running_totals(df: DataFrame, series: list[str], idx: str, columns: list[str],
-                   width=SLICE, levels=1) -> DataFrame:
-    """Replace each column by its total over the strictly earlier rows of the series."""
-    cut_name = f"_cut{levels}"
-    cut = df.withColumn(cut_name, slice_of(F.col(idx), width))
-    totals = cut.groupBy(*series, cut_name).agg(*[F.sum(c).alias(f"_b_{c}") for c in columns])
-    starts = _starts(totals, series, cut_name, [f"_b_{c}" for c in columns], width, levels)
-    inside = (W.partitionBy(*series, cut_name).orderBy(idx)
-              .rowsBetween(W.unboundedPreceding, -1))
-    kept = [c for c in df.columns if c not in columns]
-    return _with_summary(cut, starts, [*series, cut_name]).select(
-        *kept, *[(F.col(f"_b_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(c)
-                 for c in columns])
-
-
-def _starts(totals: DataFrame, series: list[str], cut: str, columns: list[str], width: int,
-            levels: int) -> DataFrame:
-    """Replace the totals of each slice by those of the slices before it."""
-    if levels > 1:
-        return running_totals(totals, series, cut, columns, width, levels - 1)
-    earlier = W.partitionBy(*series).orderBy(cut).rowsBetween(W.unboundedPreceding, -1)
-    return totals.select(*series, cut, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c)
-                                         for c in columns])
-
-
-def fill_forward(df: DataFrame, series: list[str], idx: str, column: str,
-                 width=SLICE) -> DataFrame:
-    """Replace NULLs by the latest earlier value of the series."""
-    cut = df.withColumn("_slice", slice_of(F.col(idx), width))
-    known = F.when(F.col(column).isNotNull(), F.col(idx))
-    ends = cut.groupBy(*series, "_slice").agg(F.max_by(column, known).alias("_end"))
-    earlier = (W.partitionBy(*series).orderBy("_slice")
-               .rowsBetween(W.unboundedPreceding, -1))
-    carried = ends.select(*series, "_slice",
-                          F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
-    inside = (W.partitionBy(*series, "_slice").orderBy(idx)
-              .rowsBetween(W.unboundedPreceding, 0))
-    return (_with_summary(cut, carried, [*series, "_slice"])
-            .withColumn(column, F.coalesce(F.last(column, ignorenulls=True).over(inside),
-                                           F.col("_carried")))
-            .drop("_slice", "_carried"))
-
-
 def last_rows(df: DataFrame, series: list[str], idx: str, n: int) -> DataFrame:
     """The n latest rows of each series. Spark keeps n per task before it shuffles."""
     latest = W.partitionBy(*series).orderBy(F.col(idx).desc())

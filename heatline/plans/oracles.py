@@ -316,7 +316,7 @@ SQL = {
         JOIN c b ON b.series = a.series AND b.idx = a.idx - k
         JOIN s ON s.series = a.series GROUP BY 1, 2""",
     "seasonal_gram": f"""WITH RECURSIVE {DENSE}, {seasonal('dense')}
-        SELECT series, equations, """ + ", ".join(
+        SELECT series, equations + 25 AS n, equations, """ + ", ".join(
             f"round(g{i}{j}, 6) AS g_{i}_{j}" for i in range(4) for j in range(i, 4)) + " FROM g",
     "sarima_fit": f"""WITH RECURSIVE {DENSE}, {seasonal('dense')}
         SELECT series, n, equations, round(phi, 6) AS phi, round(seasonal_phi, 6) AS seasonal_phi,
