@@ -3,7 +3,8 @@
 The outlier test is the local correlation integral (Papadimitriou et al., ICDE 2003). For a value x
 and a radius r, na(x) counts the values within alpha*r of x; over the values within r of x, let N be
 their number and m, s the mean and standard deviation of their na. x is an outlier if for some r
-m >= 20 and 1 - na/m > 3 s/m. Radii come from a list; time plays no part.
+m >= 20 and 1 - na/m > 3 s/m. Time plays no part. Values are binned first; on the bins the test is
+exact unless a shorter list of radii is asked for.
 """
 
 import numpy as np
@@ -35,37 +36,46 @@ def to_bins(rows: DataFrame, value: str, series: str, bins=BINS, spread="step")
             .drop("_low", "_high"))
 
 
-def _within(values: np.ndarray, reach: int) -> np.ndarray:
-    """Sum over the bins at most `reach` away, as the difference of two running sums."""
-    run = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
-    at = np.arange(len(values))
-    return run[np.minimum(at + reach + 1, len(values))] - run[np.maximum(at - reach, 0)]
-
-
-def loci_bins(binned: DataFrame, series: str, radii: list[int], bins=BINS, alpha=LOCI_ALPHA,
+def loci_bins(binned: DataFrame, series: str, radii=None, bins=BINS, alpha=LOCI_ALPHA,
               k=LOCI_K, minimum=LOCI_MIN_NEIGHBOURS) -> DataFrame:
     """(series, x, flagged) for each bin that holds a value.
 
-    A series of any length collapses to at most bins + 1 counts, before the shuffle, so a group is
-    never larger than that. The cost per radius is linear in the bins.
+    Radii are in bins; None tries every radius at which anything can change. A series of any length
+    collapses to at most bins + 1 counts, before the shuffle, so a group is never larger than that.
+    Neighbourhood sums are differences of running sums: the cost per radius is linear in the bins.
     """
     counts = binned.groupBy(series, "x").agg(F.count("*").alias("c"))
+    tried = range(1, int(bins / alpha) + 1) if radii is None else radii
 
     def test(frame):
-        # integers throughout; they grow like the fourth power of the rows of a series
-        exact = np.int64 if frame["c"].sum() < 50_000 else object
-        c = np.zeros(bins + 1, exact)
-        c[frame["x"]] = frame["c"].to_numpy().astype(exact)
-        flagged = np.zeros(bins + 1, bool)
-        for r in radii:
-            na, n = _within(c, int(alpha * r)), _within(c, r)
-            s1, s2 = _within(c * na, r), _within(c * na * na, r)
+        frame = frame.sort_values("x")
+        x = frame["x"].to_numpy(np.int64)
+        # whole numbers throughout, which grow like the fourth power of the rows of a series: exact
+        # in 64 bits below this size, beyond it compared with 64 digits of precision
+        kind = np.int64 if frame["c"].sum() < 50_000 else np.longdouble
+        c = frame["c"].to_numpy().astype(kind)
+        below = np.zeros(bins + 2, np.int64)
+        below[x + 1] = 1
+        below = np.cumsum(below)        # how many of the filled bins lie below each bin
+
+        def within(values, upper, lower):
+            run = np.concatenate([np.zeros(1, kind), np.cumsum(values)])
+            return run[upper] - run[lower]
+
+        def edges(reach):
+            return below[np.minimum(x + reach + 1, bins + 1)], below[np.maximum(x - reach, 0)]
+
+        flagged = np.zeros(len(x), bool)
+        for r in tried:
+            wide = edges(r)
+            na, n = within(c, *edges(int(alpha * r))), within(c, *wide)
+            weighted = c * na
+            s1, s2 = within(weighted, *wide), within(weighted * na, *wide)
             # m >= minimum and m - na > k s, multiplied by the number of neighbours
             gap = s1 - na * n
-            hit = ((s1 >= minimum * n) & (gap > 0)
-                   & (gap * gap > k * k * (s2 * n - s1 * s1)))
-            flagged |= hit.astype(bool)
-        return frame[[series, "x"]].assign(flagged=flagged[frame["x"]])
+            flagged |= ((s1 >= minimum * n) & (gap > 0)
+                        & (gap * gap > k * k * (s2 * n - s1 * s1)))
+        return frame[[series, "x"]].assign(flagged=flagged)
 
     kind = dict(binned.dtypes)[series]
     return counts.groupBy(series).applyInPandas(test, f"`{series}` {kind}, x bigint, flagged boolean")
@@ -73,9 +83,12 @@ def loci_bins(binned: DataFrame, series: str, radii: list[int], bins=BINS, alpha
 
 def tag_anomalies(rows: DataFrame, value="prediction", series="series", spread="timestamp",
                   bins=BINS, radii=None) -> DataFrame:
-    """Add `isAnomaly` (0 or 1) to every row by the values of its series."""
+    """Add `isAnomaly` (0 or 1) to every row by the values of its series.
+
+    `radii` (in bins) may name the only radii to try, see `radii_for`; None tries all.
+    """
     binned = to_bins(rows, value, series, bins, spread)
-    flags = loci_bins(binned, series, radii or radii_for(bins), bins)
+    flags = loci_bins(binned, series, radii, bins)
     return (salted_join(binned, flags, [series, "x"], spread)
             .withColumn("isAnomaly", F.col("flagged").cast("int"))
             .drop("flagged", "x"))

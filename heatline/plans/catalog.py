@@ -127,9 +127,19 @@ def null_safe_mean(spark, folder):
 
 @query
 def anomalies(spark, folder):
+    """Minute means with outlier flags, by a list of radii."""
+    return tagged_minutes(spark, folder, anomaly.radii_for())
+
+
+@query
+def anomalies_every_radius(spark, folder):
     """Minute means with outlier flags: the time series output."""
+    return tagged_minutes(spark, folder, None)
+
+
+def tagged_minutes(spark, folder, radii):
     means = settle(buckets.bucket_means(sums(spark, folder, buckets.MINUTE), buckets.MINUTE))
-    return (anomaly.tag_anomalies(means)
+    return (anomaly.tag_anomalies(means, radii=radii)
             .select("series", F.col("timestamp").alias("times"), "prediction", "isAnomaly"))
 
 
@@ -138,7 +148,7 @@ def anomalous_lengths(spark, folder):
     """Documents of unusual length for their language."""
     docs = documents(spark, folder).select(
         "doc_id", F.col("lang").alias("series"), F.col("n_chars").cast("double").alias("prediction"))
-    return (anomaly.tag_anomalies(docs, spread="doc_id")
+    return (anomaly.tag_anomalies(docs, spread="doc_id", radii=anomaly.radii_for())
             .select("doc_id", "series", "prediction", "isAnomaly"))
 
 

@@ -42,14 +42,16 @@ def utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach; a local one only where the cluster names none."""
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
-    if folder:
-        return folder
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(
-            os.path.join(tempfile.gettempdir(), "heatline-checkpoints"))
-    return spark.sparkContext.getCheckpointDir()
+    """The folder every executor can reach; a temporary one only for a local master without any."""
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+        folder = os.path.join(tempfile.gettempdir(), "heatline-checkpoints")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:

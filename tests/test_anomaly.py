@@ -36,28 +36,36 @@ def values():
     return np.concatenate([rng.normal(30, 4, 300).clip(0, 100), [71, 72, 95, 99, 2]])
 
 
-def test_equals_the_definition_on_binned_values(spark, values):
-    bins = 512
-    x = np.floor((values - values.min()) / (values.max() - values.min()) * bins)
-    radii = anomaly.radii_for(bins)
-    want = brute_force(x, radii)
-    got = flags(rows(spark, values), bins=bins)
+def binned(values, bins):
+    return np.floor((values - values.min()) / (values.max() - values.min()) * bins)
+
+
+def test_equals_the_definition_at_listed_radii(spark, values):
+    radii = anomaly.radii_for(512)
+    want = brute_force(binned(values, 512), radii)
     assert want.sum() > 0
-    assert (got == want).all()
+    assert (flags(rows(spark, values), bins=512, radii=radii) == want).all()
+
+
+def test_equals_the_definition_at_every_radius(spark, values):
+    x = binned(values, 128)
+    gaps = np.unique(np.abs(x[:, None] - x[None, :]))
+    want = brute_force(x, np.unique(np.concatenate([gaps, 2 * gaps])))
+    assert (flags(rows(spark, values), bins=128) == want).all()
 
 
-def test_listed_radii_come_close_to_all_critical_radii(spark, values):
+def test_bins_and_listed_radii_come_close_to_the_values_themselves(spark, values):
     gaps = np.unique(np.abs(values[:, None] - values[None, :]))
     every = brute_force(values, np.unique(np.concatenate([gaps, 2 * gaps]))[1::40])
-    got = flags(rows(spark, values))
-    assert (got == every).mean() > 0.97
-    assert got[-5:-1].all()
+    for options in ({}, {"radii": anomaly.radii_for()}):
+        got = flags(rows(spark, values), **options)
+        assert (got == every).mean() > 0.97 and got[-5:-1].all()
 
 
-def test_large_counts_use_exact_integers(spark, values):
+def test_large_counts(spark, values):
     # each value 200 times: past the size at which 64 bits would overflow
     df = rows(spark, values).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(200))))
-    got = anomaly.tag_anomalies(df, spread="step", bins=512).groupBy("step").agg(
+    got = anomaly.tag_anomalies(df, spread="step", bins=512, radii=anomaly.radii_for(512)).groupBy("step").agg(
         F.min("isAnomaly").alias("low"), F.max("isAnomaly").alias("high")).orderBy("step").collect()
     assert len(got) == len(values) and all(r.low == r.high for r in got)
     x = np.floor((values - values.min()) / (values.max() - values.min()) * 512)
