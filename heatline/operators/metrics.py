@@ -1,5 +1,8 @@
 """Scores of predictions, regression lines, autocorrelation, best candidate."""
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,18 +40,51 @@ def t_statistic(r: Column, n: Column) -> Column:
     return F.try_divide(r * F.sqrt(n - 2), F.sqrt(F.greatest(1 - r * r, F.lit(0.0))))
 
 
+def _beta_share(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta function, by its continued fraction."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - _beta_share(b, a, 1 - x)
+    front = math.exp(a * math.log(x) + b * math.log1p(-x) + math.lgamma(a + b)
+                     - math.lgamma(a) - math.lgamma(b)) / a
+    tiny, c, d = 1e-300, 1.0, 1.0 - (a + b) * x / (a + 1)
+    d = 1 / (d if abs(d) > tiny else tiny)
+    total = d
+    for m in range(1, 10_000):
+        for term in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+                     -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1 + term * d, 1 + term / c
+            d, c = 1 / (d if abs(d) > tiny else tiny), c if abs(c) > tiny else tiny
+            total *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return front * total
+
+
+def p_value(r: Column, n: Column) -> Column:
+    """Two-sided significance of a correlation r over n rows; for one row per group."""
+    @F.pandas_udf("double")
+    def run(rs: pd.Series, ns: pd.Series) -> pd.Series:
+        return pd.Series([
+            _beta_share(k / 2 - 1, 0.5, 1 - min(v * v, 1.0)) if k > 2 and v == v else None
+            for v, k in zip(rs.astype(float), ns)], dtype="float64")
+    return run(r, n)
+
+
 def line_fit(x: Column, y: Column) -> list[Column]:
     """Least squares line y = slope * x + intercept."""
     return [F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept")]
 
 
 def evaluate(scored: DataFrame, group: list[str], label="label", prediction="prediction") -> DataFrame:
-    """n, mean label, RMSE, MSE, Pearson r and its t per group."""
+    """n, mean label, RMSE, MSE, Pearson r, its t and its p per group."""
     y, p = F.col(label), F.col(prediction)
     return (scored.groupBy(*group)
             .agg(F.count("*").alias("n"), F.avg(y).alias("mean_label"), rmse(y, p).alias("rmse"),
                  mse(y, p).alias("mse"), F.corr(p, y).alias("r"))
-            .withColumn("t", t_statistic(F.col("r"), F.col("n"))))
+            .withColumn("t", t_statistic(F.col("r"), F.col("n")))
+            .withColumn("p", p_value(F.col("r"), F.col("n"))))
 
 
 def evaluate_band(scored: DataFrame, group: list[str], label="label", prediction="prediction",

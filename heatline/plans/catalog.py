@@ -475,10 +475,17 @@ def rounded(df, *names):
 
 @query
 def regression_metrics(spark, folder):
-    return rounded(metrics.evaluate(persistence(spark, folder), ["series"]),
+    return rounded(metrics.evaluate(persistence(spark, folder), ["series"]).drop("p"),
                    "mean_label", "rmse", "mse", "r", "t")
 
 
+@query
+def significance(spark, folder):
+    """Two-sided p of the correlation of each hour with the one before."""
+    got = metrics.evaluate(persistence(spark, folder), ["series"])
+    return rounded(got, "r", "p").select("series", "n", "r", "p")
+
+
 @query
 def band_fit(spark, folder):
     return rounded(metrics.evaluate_band(persistence(spark, folder), ["series"]),
@@ -757,9 +764,12 @@ def stream_dedup_hour_mean(spark, folder):
 
 @query
 def stream_messages(spark, folder):
-    """Messages written as JSON lines, read back as a stream and parsed."""
-    source, path = fresh_folder(spark, "lines"), fresh_folder(spark, "parsed")
-    messages.to_values(timed_documents(spark, folder)).write.text(source)
+    """Messages published as a stream of JSON lines, read back as a stream and parsed."""
+    stored, source, path = (fresh_folder(spark, n) for n in ("messages", "lines", "parsed"))
+    timed = timed_documents(spark, folder).select("timestamp", "text")
+    timed.write.parquet(stored)
+    outgoing = spark.readStream.schema(timed.schema).parquet(stored)
+    messages.write_value_files(outgoing, source, source + "-offsets").awaitTermination()
     parsed = messages.readable(messages.parse_messages(messages.read_value_files(spark, source)))
     out = parsed.select(V.plain_timestamp(F.col("timestamp")).alias("timestamp"), "text")
     flow.run_available(out, path, path + "-offsets", "append")

@@ -51,6 +51,13 @@ def to_values(messages: DataFrame) -> DataFrame:
                            .alias("value"))
 
 
+def write_value_files(messages: DataFrame, folder: str, checkpoint: str, every=None):
+    """Publish a stream of messages as text files; without `every`, once over what is there."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (to_values(messages).writeStream.format("text").option("path", folder)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
 def write_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str, every="120 seconds",
                 linger_ms=10, **security):
     """Publish a stream of messages. Needs the Kafka connector on the class path."""

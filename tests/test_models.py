@@ -1,6 +1,7 @@
 """Fits and filters against plain loops, closed forms and simulated truth."""
 
 import itertools
+import math
 
 import numpy as np
 import pytest
@@ -245,6 +246,27 @@ def test_metrics(spark):
     assert (err.m, err.z) == (round(np.mean([1, 1.25, 0.5]) * 100, 2), 1)
 
 
+@pytest.mark.parametrize("r,n,p", [
+    (0.5, 10, 0.14111328), (-0.5, 10, 0.14111328), (0.0, 5, 1.0), (1.0, 8, 0.0),
+    (0.9, 4, 0.1), (0.3, 2, None), (None, 9, None)])
+def test_p_value(spark, r, n, p):
+    df = spark.createDataFrame([(r, n)], "r double, n bigint")
+    got = df.select(metrics.p_value(F.col("r"), F.col("n"))).first()[0]
+    assert got == (None if p is None else pytest.approx(p, rel=1e-4, abs=1e-12))
+
+
+@pytest.mark.parametrize("r,n", [(0.05, 10_000), (0.02, 700), (-0.4, 25), (0.7, 6)])
+def test_p_value_is_the_tail_of_students_t(spark, r, n):
+    t, k = abs(r) * np.sqrt((n - 2) / (1 - r * r)), n - 2
+    u = (np.arange(2_000_000) + 0.5) / 2_000_000        # substitute x = t / u for the tail
+    x = t / u
+    log_density = (math.lgamma((k + 1) / 2) - math.lgamma(k / 2) - 0.5 * math.log(k * math.pi)
+                   - (k + 1) / 2 * np.log1p(x * x / k))
+    want = 2 * np.mean(np.exp(log_density) * t / (u * u))
+    got = spark.range(1).select(metrics.p_value(F.lit(r), F.lit(n))).first()[0]
+    assert got == pytest.approx(want, rel=1e-5)
+
+
 @pytest.mark.parametrize("n", [30, 4200])
 def test_acf(spark, n):
     y = np.random.default_rng(n).normal(3, 1, n)
