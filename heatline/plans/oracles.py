@@ -304,9 +304,9 @@ SQL = {
         abs(r) * sqrt(n - 2) / sqrt(1 - r * r) AS t FROM
         (SELECT series, count(*) AS n, corr(p, label) AS r FROM pairs GROUP BY 1)),
         steps AS (SELECT (unnest(generate_series(0, 19999)) + 0.5) / 20000 AS u)
-        SELECT series, n, round(r, 6) AS r, round(1 - 2 * t / 20000 * sum(
+        SELECT series, n, round(r, 6) AS r, round(abs(1 - 2 * t / 20000 * sum(
         exp(lgamma((n - 1) / 2.0) - lgamma((n - 2) / 2.0)) / sqrt((n - 2) * pi())
-        * pow(1 + u * u * t * t / (n - 2), -(n - 1) / 2.0)), 6) AS p
+        * pow(1 + u * u * t * t / (n - 2), -(n - 1) / 2.0))), 6) AS p
         FROM fits, steps GROUP BY series, n, r, t""",
     "band_fit": PERSIST + """ SELECT series, count(*) AS n, round(regr_slope(p, label), 6) AS slope,
         round(regr_intercept(p, label), 6) AS intercept, round(corr(p, label), 6) AS r
