@@ -27,6 +27,14 @@ LOCI_ALPHA = 0.5
 LOCI_K = 3
 LOCI_MIN_NEIGHBOURS = 20
 
+# State models.
+ACCELERATION_DT = 1 / 60
+ACCELERATION_Q = ((0.05, 0.05, 0.0), (0.05, 0.05, 0.0), (0.0, 0.0, 0.0))
+ACCELERATION_R = 0.5
+VELOCITY_START = 1000.0
+VELOCITY_R = 5.0
+VELOCITY_NOISE = 0.1
+
 # Text model.
 HASH_FEATURES = 1000
 TREE_DEPTH = 10

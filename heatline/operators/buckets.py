@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from heatline.constants import FORECAST_SHARE, SYNTHETIC_AXIS_START
 from heatline.functions.values import MICRO, micros, plain_timestamp, step_of, step_start
 from heatline.operators.relational import salted_join
-from heatline.operators.slices import fill_forward, row_index
+from heatline.operators.slices import neighbours, row_index
 
 MINUTE, HOUR, DAY = 60, 3600, 86_400
 GRID_BLOCK = 4096
@@ -51,41 +51,38 @@ def step_series(sums: DataFrame, series="series") -> DataFrame:
 
 
 def grid(spans: DataFrame) -> DataFrame:
-    """Replace `first`, `last` of each row in `spans` by every `step` between them, and its `idx`.
+    """Replace `first`, `last` of each row in `spans` by every `step` between them.
 
-    First whole blocks, which are spread over the tasks, then the steps of each block.
+    In blocks of steps, so that no row holds a long list.
     """
     block = F.sequence(F.floor(F.col("first") / GRID_BLOCK), F.floor(F.col("last") / GRID_BLOCK))
-    start = F.col("block") * GRID_BLOCK
+    start = F.col("_block") * GRID_BLOCK
     steps = F.sequence(F.greatest("first", start), F.least("last", start + GRID_BLOCK - 1))
-    return (spans.withColumn("block", F.explode(block)).repartition(*spans.columns, "block")
-            .withColumn("step", F.explode(steps))
-            .withColumn("idx", F.col("step") - F.col("first"))
-            .drop("block", "first", "last"))
+    return (spans.withColumn("_block", F.explode(block)).withColumn("step", F.explode(steps))
+            .drop("_block", "first", "last"))
 
 
 def dense_series(sums: DataFrame, fill="forward", series="series") -> DataFrame:
     """(series, idx, step, y) with a row for every step between the first and the last one.
 
     fill: `forward` repeats the latest mean, `zero` puts 0, `null` leaves gaps empty and `none`
-    leaves the empty steps out altogether.
+    leaves the empty steps out altogether. Each step with data emits itself and the empty steps
+    after it, so only steps with data are shuffled.
     """
     if fill == "none":
         return step_series(sums, series)
-    spans = sums.groupBy(series).agg(F.min("step").alias("first"), F.max("step").alias("last"))
-    # every step comes once from the grid, and a second time where it has data
-    full = (grid(spans).unionByName(sums.select(series, "step", "total", "n"),
-                                    allowMissingColumns=True)
-            .groupBy(series, "step")
-            .agg(F.max("idx").alias("idx"), F.max("total").alias("total"), F.max("n").alias("n"))
-            .select(series, "idx", "step", mean_of().alias("y")))
-    if fill == "forward":
-        return fill_forward(full, [series], "idx", "y")
-    if fill == "zero":
-        return full.withColumn("y", F.coalesce("y", F.lit(0.0)))
-    if fill == "null":
-        return full
-    raise ValueError(f"unknown fill {fill!r}")
+    if fill not in ("forward", "zero", "null"):
+        raise ValueError(f"unknown fill {fill!r}")
+    rows = sums.select(series, F.col("step").alias("first"), mean_of().alias("y"))
+    spans = (neighbours(rows, [series], "first")
+             .withColumn("last", F.coalesce(F.col("next") - 1, F.col("first")))
+             .select(series, "first", "last", "origin", "y", F.col("first").alias("_has")))
+    y = F.col("y")
+    if fill != "forward":
+        y = F.when(F.col("step") == F.col("_has"), y).otherwise(
+            F.lit(0.0 if fill == "zero" else None).cast("double"))
+    return grid(spans).select(series, (F.col("step") - F.col("origin")).alias("idx"), "step",
+                              y.alias("y"))
 
 
 def synthetic_axis(messages: DataFrame, key: str, start=SYNTHETIC_AXIS_START) -> DataFrame:

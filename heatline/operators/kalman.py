@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heatline.constants import (
+    ACCELERATION_DT, ACCELERATION_Q, ACCELERATION_R, VELOCITY_NOISE, VELOCITY_R, VELOCITY_START)
 from heatline.operators.slices import SLICE, last_rows, slice_of
 
 
@@ -38,17 +40,17 @@ def state_model(F, H, Q=None, R=1.0, P0=None, x0=None, dt=1.0) -> StateModel:
                       np.zeros(n) if x0 is None else np.asarray(x0, float), float(dt))
 
 
-def acceleration_model(dt=1 / 60) -> StateModel:
+def acceleration_model(dt=ACCELERATION_DT) -> StateModel:
     """Level, slope and acceleration."""
-    return state_model([[1, dt, 0], [0, 1, dt], [0, 0, 1]], [1, 0, 0],
-                       Q=[[0.05, 0.05, 0], [0.05, 0.05, 0], [0, 0, 0]], R=0.5, dt=dt)
+    return state_model(np.eye(3) + dt * np.eye(3, k=1), [1, 0, 0], Q=ACCELERATION_Q,
+                       R=ACCELERATION_R, dt=dt)
 
 
-def velocity_model(noise_dt=1 / 60, variance=0.1) -> StateModel:
+def velocity_model(noise_dt=ACCELERATION_DT, variance=VELOCITY_NOISE) -> StateModel:
     """Level and slope with discrete white noise, vague start."""
-    q = variance * np.array([[noise_dt ** 4 / 4, noise_dt ** 3 / 2],
-                             [noise_dt ** 3 / 2, noise_dt ** 2]])
-    return state_model([[1, 1], [0, 1]], [1, 0], Q=q, R=5.0, P0=1000 * np.eye(2))
+    push = np.array([noise_dt ** 2 / 2, noise_dt])
+    return state_model(np.eye(2) + np.eye(2, k=1), [1, 0], Q=variance * np.outer(push, push),
+                       R=VELOCITY_R, P0=VELOCITY_START * np.eye(2))
 
 
 def advance(model: StateModel, x, p, values):

@@ -4,7 +4,7 @@ A window partitioned by series alone runs a whole series in one task. Here every
 slices of an integer axis that is unique within the series, so a slice holds a bounded number of
 rows however large the series is. Windows run inside slices. What must cross a slice edge travels
 as extra rows of the slice: copies of the rows before the edge (`lagged`), or one row with what the
-earlier slices add up to (`running_totals`, `fill_forward`). Rows are shuffled once, by series and
+other slices contribute (`running_totals`, `neighbours`). Rows are shuffled once, by series and
 slice, and never joined, so a NULL series is a series like any other.
 """
 
@@ -59,19 +59,19 @@ def row_index(df: DataFrame, series: list[str], key: str, width=KEY_SLICE, level
     return running_totals(counted, series, key, [name], width, levels)
 
 
-def fill_forward(df: DataFrame, series: list[str], idx: str, column: str,
-                 width=SLICE) -> DataFrame:
-    """Replace NULLs by the latest earlier value of the series."""
+def neighbours(df: DataFrame, series: list[str], idx: str, width=SLICE) -> DataFrame:
+    """Add `next`, the `idx` of the following row (NULL at the end), and `origin`, the first one."""
     cut = df.withColumn("_slice", slice_of(F.col(idx), width))
-    at = F.when(F.col(column).isNotNull(), F.col(idx))
-    ends = cut.groupBy(*series, "_slice").agg(F.max_by(column, at).alias(column))
-    earlier = W.partitionBy(*series).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    starts = ends.select(*series, "_slice",
-                         F.last(column, ignorenulls=True).over(earlier).alias(column))
+    whole = W.partitionBy(*series).orderBy("_slice")
+    starts = (cut.groupBy(*series, "_slice").agg(F.min(idx).alias("_first"))
+              .select(*series, "_slice", F.lead("_first").over(whole).alias("next"),
+                      F.first("_first").over(whole).alias("origin")))
     stacked, order = _open_slices(cut, starts, series, "_slice", idx)
-    upto = order.rowsBetween(W.unboundedPreceding, 0)
-    return (stacked.withColumn(column, F.last(column, ignorenulls=True).over(upto))
-            .where("_own").select(*df.columns))
+    opened = order.rowsBetween(W.unboundedPreceding, 0)
+    following = F.coalesce(F.lead(idx).over(order), F.first("next").over(opened))
+    return (stacked.select("_own", *df.columns, following.alias("next"),
+                           F.first("origin").over(opened).alias("origin"))
+            .where("_own").drop("_own"))
 
 
 def lagged(df: DataFrame, series: list[str], idx: str, lags: dict, width=SLICE) -> DataFrame:

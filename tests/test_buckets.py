@@ -39,8 +39,18 @@ def test_grid_crosses_blocks(spark):
     n = buckets.GRID_BLOCK * 2 + 5
     spans = spark.createDataFrame([("a", 4090, 4090 + n - 1)],
                                   "series string, first bigint, last bigint")
-    got = buckets.grid(spans).agg(F.count("*"), F.min("idx"), F.max("idx"), F.count_distinct("step"))
-    assert tuple(got.first()) == (n, 0, n - 1, n)
+    got = buckets.grid(spans).agg(F.min("step"), F.max("step"), F.count("*"), F.count_distinct("step"))
+    assert tuple(got.first()) == (4090, 4090 + n - 1, n, n)
+
+
+def test_dense_series_over_a_long_gap(spark):
+    n = buckets.GRID_BLOCK * 2 + 5
+    sums = spark.createDataFrame(
+        [("a", 4000, 2_000_000, 1), ("a", 4000 + n, 5_000_000, 1), (None, 7, 1_000_000, 1)],
+        "series string, step bigint, total bigint, n bigint")
+    got = buckets.dense_series(sums).orderBy(F.col("series").desc(), "idx").collect()
+    assert [tuple(r) for r in got] == [("a", i, 4000 + i, 2.0 if i < n else 5.0)
+                                       for i in range(n + 1)] + [(None, 0, 7, 1.0)]
 
 
 @pytest.mark.parametrize("n", [1, 7, 8, 25, 26, 30])

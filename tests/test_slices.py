@@ -67,12 +67,14 @@ def test_running_totals(frame, width, levels):
     np.testing.assert_allclose(got["y"], want["t"], atol=1e-12)
 
 
-@pytest.mark.parametrize("width", [4, 4096])
-def test_fill_forward(frame, width):
+@pytest.mark.parametrize("width", [4, 50, 100_000])
+def test_neighbours(frame, width):
     df, pdf = frame
-    got = sorted_pandas(slices.fill_forward(df, ["series"], "idx", "y", width))
-    want = expect(pdf, f=grouped(pdf)["y"].ffill())
-    np.testing.assert_allclose(got["y"], want["f"])
+    got = (slices.neighbours(df.select("series", "key"), ["series"], "key", width).toPandas()
+           .sort_values(["series", "key"], na_position="last"))
+    pdf = pdf.sort_values(["series", "key"], na_position="last")
+    np.testing.assert_allclose(got["next"], grouped(pdf)["key"].shift(-1))
+    assert list(got["origin"]) == list(grouped(pdf)["key"].transform("min"))
 
 
 def test_last_rows(frame):
