@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from heatline.constants import FORECAST_SHARE, SYNTHETIC_AXIS_START
 from heatline.functions.values import MICRO, micros, plain_timestamp, step_of, step_start
-from heatline.operators.relational import salted_join
-from heatline.operators.slices import neighbours, row_index
+from heatline.operators.slices import neighbours, row_index, sized
 
 MINUTE, HOUR, DAY = 60, 3600, 86_400
 GRID_BLOCK = 4096
@@ -112,8 +111,8 @@ def forecast_axis(ends: DataFrame, seconds=HOUR, minimum=2, series="series") ->
 
 def holdout(rows: DataFrame, share=FORECAST_SHARE, series="series") -> DataFrame:
     """Mark the last floor(n * share) rows of each series `test`, all others `train`."""
-    ends = series_ends(rows, share, series).select(series, "n", "horizon")
     test = F.col("idx") >= F.col("n") - F.col("horizon")
-    return (salted_join(rows, ends, series, "idx")
+    return (sized(rows, [series], "idx")
+            .withColumn("horizon", F.floor(F.col("n") * share).cast("bigint"))
             .withColumn("part", F.when(test, "test").otherwise("train"))
             .withColumn("h", F.when(test, F.col("idx") - (F.col("n") - F.col("horizon")) + 1)))

@@ -74,6 +74,17 @@ def neighbours(df: DataFrame, series: list[str], idx: str, width=SLICE) -> DataF
             .where("_own").drop("_own"))
 
 
+def sized(df: DataFrame, series: list[str], idx: str, width=SLICE) -> DataFrame:
+    """Add `n`, the number of rows of the series."""
+    cut = df.withColumn("_slice", slice_of(F.col(idx), width))
+    starts = (cut.groupBy(*series, "_slice").agg(F.count("*").alias("n"))
+              .withColumn("n", F.sum("n").over(W.partitionBy(*series))))
+    stacked, order = _open_slices(cut, starts, series, "_slice", idx)
+    opened = order.rowsBetween(W.unboundedPreceding, 0)
+    return (stacked.select("_own", *df.columns, F.first("n").over(opened).alias("n"))
+            .where("_own").drop("_own"))
+
+
 def lagged(df: DataFrame, series: list[str], idx: str, lags: dict, width=SLICE) -> DataFrame:
     """Add columns {name: (column, k)}: the value k rows earlier in the series.
 

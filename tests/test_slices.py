@@ -77,6 +77,12 @@ def test_neighbours(frame, width):
     assert list(got["origin"]) == list(grouped(pdf)["key"].transform("min"))
 
 
+@pytest.mark.parametrize("width", [4, 100_000])
+def test_sized(frame, width):
+    got = slices.sized(frame[0], ["series"], "idx", width).groupBy("series").agg({"n": "min", "*": "count"})
+    assert all(r["min(n)"] == r["count(1)"] for r in got.collect()) and got.count() == 4
+
+
 def test_last_rows(frame):
     df, _ = frame
     got = {}
