@@ -4,6 +4,8 @@ Stand-ins: `events` are scored messages (event_type the topic, value the score),
 messages, `labels` their stored scores, `orders` a daily price-like series per priority.
 """
 
+from functools import wraps
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from heatline.operators import (
     anomaly, autoreg, buckets, features, garch, kalman, learn, metrics, orders, relational, search)
 from heatline.operators.slices import lagged, row_index
 from heatline.schemas import table
-from heatline.session import fresh_folder, settle, spread
+from heatline.session import fresh_folder, settle, ship, spread
 from heatline.sources import files, messages, tables
 from heatline.streaming import flow, stateful
 
@@ -37,8 +39,11 @@ QUERIES = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark, folder):
+        return function(ship(spark), folder)
+    QUERIES[function.__name__] = run
+    return run
 
 
 # -- shared inputs -------------------------------------------------------------------------------

@@ -3,10 +3,12 @@
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_shipped = set()
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -32,7 +34,27 @@ def build_session(name="heatline", master=None, shuffle_partitions=None, **extra
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Hand this package to the Python workers, once per application.
+
+    Workers need not share the driver's folders; Spark serves the archive to them. Nothing to do
+    where the package already came as an archive (`--py-files`).
+    """
+    context, package = spark.sparkContext, os.path.dirname(os.path.abspath(__file__))
+    if context.applicationId not in _shipped and os.path.isdir(package):
+        path = os.path.join(tempfile.mkdtemp(prefix="heatline-code-"), "heatline.zip")
+        with zipfile.ZipFile(path, "w") as archive:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+        context.addPyFile(path)
+        _shipped.add(context.applicationId)
+    return spark
 
 
 def utc(spark: SparkSession) -> SparkSession:
