@@ -1,7 +1,9 @@
 """Small helpers shared by the operators on text."""
 
+import io
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,4 +58,36 @@ def bounded_sample(df: DataFrame, row_id: str, bound: int, seed: str) -> DataFra
     return df.where(point < share).limit(bound)
 
 
-__all__ = ["FOLDS", "HELD_OUT_FOLD", "bounded_sample", "fold", "held_out", "map_rows", "read", "settle"]
+def fit_once(sample: DataFrame, order: str, fit: Callable[[pa.Table], bytes]) -> bytes:
+    """Fit a model on a bounded sample in one task, in an order that does not depend on the run.
+
+    Returns the model's bytes; raises where the sample is empty.
+    """
+    def run(batches):
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([fit(pa.Table.from_batches(held))], pa.binary())],
+                                             names=["model"])
+
+    one = (sample.withColumn("_at", F.xxhash64(F.lit("order"), order)).repartition(1)
+           .sortWithinPartitions("_at", order).drop("_at"))
+    rows = one.mapInArrow(run, "model binary").collect()
+    if not rows:
+        raise ValueError("no labelled row to learn from")
+    return bytes(rows[0][0])
+
+
+def pack(**arrays) -> bytes:
+    """Arrays by name as bytes, without pickling."""
+    out = io.BytesIO()
+    np.savez(out, **arrays)
+    return out.getvalue()
+
+
+def unpack(blob: bytes) -> dict[str, np.ndarray]:
+    with np.load(io.BytesIO(blob), allow_pickle=False) as got:
+        return {k: got[k] for k in got.files}
+
+
+__all__ = ["FOLDS", "HELD_OUT_FOLD", "bounded_sample", "fit_once", "fold", "held_out", "map_rows", "pack", "read",
+           "settle", "unpack"]

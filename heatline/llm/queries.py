@@ -2,7 +2,7 @@
 
 from functools import wraps
 
-from heatline.llm import simhash
+from heatline.llm import langid, quality, rules, simhash
 from heatline.llm.common import read
 
 QUERIES = {}
@@ -20,3 +20,18 @@ def query(function):
 @query
 def op5_simhash(spark, folder):
     return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@query
+def op3_language(spark, folder):
+    return langid.identify(read(spark, folder, "documents"))
+
+
+@query
+def op9_quality(spark, folder):
+    return quality.classify(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query
+def op8_rules(spark, folder):
+    return rules.judge(read(spark, folder, "documents"))
