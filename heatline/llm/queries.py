@@ -2,7 +2,7 @@
 
 from functools import wraps
 
-from heatline.llm import langid, quality, rules, simhash
+from heatline.llm import langid, pii, quality, rules, simhash
 from heatline.llm.common import read
 
 QUERIES = {}
@@ -35,3 +35,8 @@ def op9_quality(spark, folder):
 @query
 def op8_rules(spark, folder):
     return rules.judge(read(spark, folder, "documents"))
+
+
+@query
+def op6_pii(spark, folder):
+    return pii.report(read(spark, folder, "documents"))
