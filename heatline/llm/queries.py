@@ -2,7 +2,7 @@
 
 from functools import wraps
 
-from heatline.llm import langid, pii, quality, rules, simhash
+from heatline.llm import langid, mixing, pii, quality, rules, simhash
 from heatline.llm.common import read
 
 QUERIES = {}
@@ -40,3 +40,43 @@ def op8_rules(spark, folder):
 @query
 def op6_pii(spark, folder):
     return pii.report(read(spark, folder, "documents"))
+
+
+@query
+def op1_mixing(spark, folder):
+    return mixing.mix(read(spark, folder, "documents"))
+
+
+SQL["op1_mixing"] = r"""
+WITH RECURSIVE
+rows_ AS (SELECT doc_id, coalesce(source, '') AS src,
+                 greatest(1, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0))::BIGINT AS tokens
+          FROM documents),
+totals AS (SELECT src, sum(tokens)::BIGINT AS t FROM rows_ GROUP BY src),
+known AS (SELECT sum(t)::DOUBLE AS total, max(t)::DOUBLE AS most, min(t)::DOUBLE AS least, count(*) AS n FROM totals),
+bisect AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high, 0.0::DOUBLE AS mid
+  UNION ALL
+  SELECT step + 1, CASE WHEN flat THEN mid ELSE low END, CASE WHEN flat THEN high ELSE mid END,
+         CASE WHEN flat THEN (mid + high) / 2 ELSE (low + mid) / 2 END
+  FROM (SELECT b.*, (SELECT ln(sum(pow(t / total, b.mid)))
+                            - b.mid * sum(pow(t / total, b.mid) * ln(t / total)) / sum(pow(t / total, b.mid))
+                            > 0.9995 * ln(any_value(n))
+                            OR pow(any_value(most) / any_value(least), 1 - b.mid) > 2.0
+                     FROM totals, known) AS flat
+        FROM bisect b)
+  WHERE step < 43),
+alpha AS (SELECT high AS a FROM bisect WHERE step = 43),
+plan AS (SELECT src, t, greatest(t, floor(t * pow(most / t, 1 - a) + 0.5)::BIGINT) AS budget FROM totals, known, alpha),
+blocks AS (SELECT greatest(1, ceil(sum(budget)::DOUBLE / 65536))::HUGEINT AS blocks FROM plan),
+uses AS (SELECT doc_id, src, tokens, t, budget, epoch,
+                ('0x' || substr(md5(concat_ws(':', 'use', epoch, doc_id, src, tokens)), 1, 15))::BIGINT AS axis,
+                ('0x' || substr(md5(concat_ws(':', 'place', epoch, doc_id, src, tokens)), 1, 15))::BIGINT AS spot
+         FROM rows_ JOIN plan USING (src), unnest(range(0, ceil(budget::DOUBLE / t)::BIGINT)) AS e(epoch)),
+placed AS (SELECT *, epoch * t + coalesce(sum(tokens) OVER (PARTITION BY src, epoch ORDER BY axis, tokens
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM uses),
+kept AS (SELECT *, ((before::HUGEINT * blocks) // budget)::BIGINT AS block FROM placed, blocks WHERE before < budget)
+SELECT doc_id, src AS source, epoch::INTEGER AS epoch, block,
+       (row_number() OVER (PARTITION BY block ORDER BY spot, epoch, doc_id) - 1)::INTEGER AS place, tokens
+FROM kept
+"""
