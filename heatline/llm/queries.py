@@ -2,7 +2,7 @@
 
 from functools import wraps
 
-from heatline.llm import langid, mixing, pii, quality, rules, simhash
+from heatline.llm import langid, mixing, neighbours, pii, quality, rules, simhash
 from heatline.llm.common import read
 
 QUERIES = {}
@@ -80,3 +80,8 @@ SELECT doc_id, src AS source, epoch::INTEGER AS epoch, block,
        (row_number() OVER (PARTITION BY block ORDER BY spot, epoch, doc_id) - 1)::INTEGER AS place, tokens
 FROM kept
 """
+
+
+@query
+def op10_vectors(spark, folder):
+    return neighbours.near_duplicates(read(spark, folder, "embeddings"))
