@@ -2,7 +2,7 @@
 
 from functools import wraps
 
-from heatline.llm import langid, mixing, neighbours, pii, quality, rules, simhash
+from heatline.llm import langid, mixing, neighbours, pieces, pii, quality, rules, simhash
 from heatline.llm.common import read
 
 QUERIES = {}
@@ -85,3 +85,8 @@ FROM kept
 @query
 def op10_vectors(spark, folder):
     return neighbours.near_duplicates(read(spark, folder, "embeddings"))
+
+
+@query
+def op7_pieces(spark, folder):
+    return pieces.encode(read(spark, folder, "documents").select("doc_id", "text")).drop("text")
