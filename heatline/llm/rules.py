@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heatline.llm.common import map_rows
+from heatline.llm.common import map_rows, settle
 from heatline.llm.ngrams import code_points
 
 SYMBOLS = b"#*$%&|<>"
@@ -118,8 +118,8 @@ def references(docs: DataFrame) -> dict:
               .mapInArrow(run, "lang string, kind string, item string, n long")
               .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-    top = counts.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= COMMON).drop("_r")
-    sizes = [r.lang for r in counts.where("kind = 'words'").orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()]
+    top = settle(counts.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= COMMON).drop("_r"))
+    sizes = [r.lang for r in top.where("kind = 'words'").orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()]
     made: dict = {}
     if sizes:
         for r in top.where(F.col("lang").isin(sizes)).collect():
