@@ -2,7 +2,8 @@
 
 from functools import wraps
 
-from heatline.llm import langid, mixing, neighbours, pieces, pii, quality, rules, simhash
+from heatline.llm import (
+    langid, licences, mixing, neighbours, pieces, pii, quality, rules, simhash)
 from heatline.llm.common import read
 
 QUERIES = {}
@@ -90,3 +91,8 @@ def op10_vectors(spark, folder):
 @query
 def op7_pieces(spark, folder):
     return pieces.encode(read(spark, folder, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op4_licenses(spark, folder):
+    return licences.scan(read(spark, folder, "documents"))
