@@ -2,8 +2,10 @@
 
 from functools import wraps
 
+from pyspark.sql import functions as F
+
 from heatline.llm import (
-    langid, licences, mixing, neighbours, pieces, pii, quality, rules, simhash)
+    langid, licences, mixing, neighbours, pieces, pii, quality, repeats, rules, simhash)
 from heatline.llm.common import read
 
 QUERIES = {}
@@ -96,3 +98,11 @@ def op7_pieces(spark, folder):
 @query
 def op4_licenses(spark, folder):
     return licences.scan(read(spark, folder, "documents"))
+
+
+@query
+def op2_repeats(spark, folder):
+    found = repeats.remove_repeats(read(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (sum, s) -> sum + s.end - s.start)").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
