@@ -163,7 +163,7 @@ def predict(docs: DataFrame, model: bytes, text="text") -> DataFrame:
         keep = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if i != at}
         return keep | {"lang_pred": pa.array(known, pa.string()), "score": pa.array(scores, pa.float64())}
 
-    clean = docs.drop("lang_pred", "score", "_text").withColumn("_text", docs[text].cast("string"))
+    clean = docs.withColumn("_text", docs[text].cast("string")).drop("lang_pred", "score")
     out = [f"`{n}` {t}" for n, t in clean.dtypes if n != "_text"] + ["lang_pred string", "score double"]
     return map_rows(clean, made, ", ".join(out))
 

@@ -291,11 +291,10 @@ def redact(docs: DataFrame, selector: Selector, text="text") -> DataFrame:
             concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start,
                 'end', greatest(element_at(acc, -1).end, -s.less), 'k', element_at(acc, -1).k))),
             concat(acc, array(named_struct('start', s.start, 'end', -s.less, 'k', s.k)))))"""
-    rebuilt = f"""if(size(_merged) = 0, `{text}`, aggregate(_merged, named_struct('at', 0, 'out', ''),
-        (acc, s) -> named_struct('at', s.end, 'out', concat(acc.out, substring(`{text}`, acc.at + 1, s.start - acc.at),
+    rebuilt = f"""if(size(_merged) = 0, text, aggregate(_merged, named_struct('at', 0, 'out', ''),
+        (acc, s) -> named_struct('at', s.end, 'out', concat(acc.out, substring(text, acc.at + 1, s.start - acc.at),
             element_at(array({names}), s.k + 1))),
-        acc -> concat(acc.out, substring(`{text}`, acc.at + 1))))"""
-    return (detect(docs, selector, text).withColumn("_merged", F.expr(merged)).withColumn(text, F.expr(rebuilt))
-            .select(*docs.columns))
-
-
+        acc -> concat(acc.out, substring(text, acc.at + 1))))"""
+    whole = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
+    clean = detect(whole, selector).withColumn("_merged", F.expr(merged)).withColumn("_clean", F.expr(rebuilt))
+    return clean.select(*[F.col("_clean").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
