@@ -3,8 +3,8 @@
 The outlier test is the local correlation integral (Papadimitriou et al., ICDE 2003). For a value x
 and a radius r, na(x) counts the values within alpha*r of x; over the values within r of x, let N be
 their number and m, s the mean and standard deviation of their na. x is an outlier if for some r
-m >= 20 and 1 - na/m > 3 s/m. Time plays no part. Values are binned first; on the bins the test is
-exact unless a shorter list of radii is asked for.
+m >= 20 and 1 - na/m > 3 s/m. Time plays no part. Values are binned first, in units of the value; on
+the bins the test is exact: every radius at which a count can change is tried, in whole numbers.
 """
 
 import numpy as np
@@ -13,60 +13,55 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from heatline.constants import LOCI_ALPHA, LOCI_K, LOCI_MIN_NEIGHBOURS
-from heatline.operators.relational import salted_join
 
-BINS = 4096
+RESOLUTION = 0.5
+RADIUS_BLOCKS = 8
 
 
-def radii_for(bins=BINS, per_doubling=2) -> list[int]:
-    """Even radii spaced geometrically, from 8 bins up to twice the range (then alpha*r covers it)."""
-    radii, r = [], 8.0
-    while r <= 2 * bins:
-        radii.append(int(r // 2) * 2)
-        r *= 2 ** (1 / per_doubling)
-    return sorted(set(radii))
+def critical_radii(x: np.ndarray, alpha=LOCI_ALPHA) -> np.ndarray:
+    """Radii, in bins, at which some neighbourhood of the sorted filled bins x grows.
 
-
-def to_bins(rows: DataFrame, value: str, series: str, bins=BINS, spread="step") -> DataFrame:
-    """Add `x`, the value as a bin number 0..bins between the smallest and largest of its series."""
-    ends = rows.groupBy(series).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    share = (F.col(value) - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
-    return (salted_join(rows, ends, series, spread)
-            .withColumn("x", F.coalesce(F.floor(share * bins), F.lit(0)).cast("bigint"))
-            .drop("_low", "_high"))
+    N changes at the distances between bins, na where alpha*r reaches one. Distances are gathered
+    bin by bin, so a few far strays add their own and no more.
+    """
+    seen = [np.zeros(0, np.int64)]
+    for i in range(1, len(x)):
+        seen.append(x[i:] - x[:-i])
+        if len(seen) > 256:
+            seen = [np.unique(np.concatenate(seen))]
+    gaps = np.unique(np.concatenate(seen))
+    return np.unique(np.concatenate([gaps, np.ceil(gaps / alpha).astype(np.int64)]))
 
 
-def loci_bins(binned: DataFrame, series: str, radii=None, bins=BINS, alpha=LOCI_ALPHA,
-              k=LOCI_K, minimum=LOCI_MIN_NEIGHBOURS) -> DataFrame:
+def loci_bins(binned: DataFrame, series: str, alpha=LOCI_ALPHA, k=LOCI_K, minimum=LOCI_MIN_NEIGHBOURS,
+              blocks=RADIUS_BLOCKS) -> DataFrame:
     """(series, x, flagged) for each bin that holds a value.
 
-    Radii are in bins; None tries every radius at which anything can change. A series of any length
-    collapses to at most bins + 1 counts, before the shuffle, so a group is never larger than that.
-    Neighbourhood sums are differences of running sums: the cost per radius is linear in the bins.
+    A series of any length collapses to the counts of its filled bins, before the shuffle. Its radii
+    are dealt out to `blocks` tasks. Neighbourhood sums are differences of running sums: the cost per
+    radius is linear in the filled bins. Sums grow like the fourth power of the rows of a series; they
+    are kept in 64 bits where these provably hold them and in unbounded whole numbers elsewhere, with
+    equal results.
     """
-    counts = binned.groupBy(series, "x").agg(F.count("*").alias("c"))
-    tried = range(1, int(bins / alpha) + 1) if radii is None else radii
+    counts = (binned.groupBy(series, "x").agg(F.count("*").alias("c"))
+              .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
 
     def test(frame):
         frame = frame.sort_values("x")
         x = frame["x"].to_numpy(np.int64)
-        # whole numbers throughout, which grow like the fourth power of the rows of a series: exact
-        # in 64 bits below this size, beyond it compared with 64 digits of precision
-        kind = np.int64 if frame["c"].sum() < 50_000 else np.longdouble
-        c = frame["c"].to_numpy().astype(kind)
-        below = np.zeros(bins + 2, np.int64)
-        below[x + 1] = 1
-        below = np.cumsum(below)        # how many of the filled bins lie below each bin
+        rows = int(frame["c"].sum())
+        c = frame["c"].to_numpy().astype(np.int64 if k * k * rows ** 4 < 2 ** 63 else object)
+        zero = np.zeros(1, c.dtype)
 
         def within(values, upper, lower):
-            run = np.concatenate([np.zeros(1, kind), np.cumsum(values)])
+            run = np.concatenate([zero, np.cumsum(values)])
             return run[upper] - run[lower]
 
         def edges(reach):
-            return below[np.minimum(x + reach + 1, bins + 1)], below[np.maximum(x - reach, 0)]
+            return np.searchsorted(x, x + reach, "right"), np.searchsorted(x, x - reach, "left")
 
         flagged = np.zeros(len(x), bool)
-        for r in tried:
+        for r in critical_radii(x, alpha)[int(frame["_block"].iloc[0])::blocks].tolist():
             wide = edges(r)
             na, n = within(c, *edges(int(alpha * r))), within(c, *wide)
             weighted = c * na
@@ -74,24 +69,28 @@ def loci_bins(binned: DataFrame, series: str, radii=None, bins=BINS, alpha=LOCI_
             # m >= minimum and m - na > k s, multiplied by the number of neighbours
             gap = s1 - na * n
             flagged |= ((s1 >= minimum * n) & (gap > 0)
-                        & (gap * gap > k * k * (s2 * n - s1 * s1)))
+                        & (gap * gap > k * k * (s2 * n - s1 * s1))).astype(bool)
         return frame[[series, "x"]].assign(flagged=flagged)
 
     kind = dict(binned.dtypes)[series]
-    return counts.groupBy(series).applyInPandas(test, f"`{series}` {kind}, x bigint, flagged boolean")
+    return (counts.groupBy(series, "_block")
+            .applyInPandas(test, f"`{series}` {kind}, x bigint, flagged boolean")
+            .groupBy(series, "x").agg(F.bool_or("flagged").alias("flagged")))
 
 
-def tag_anomalies(rows: DataFrame, value="prediction", series="series", spread="timestamp",
-                  bins=BINS, radii=None) -> DataFrame:
+def tag_anomalies(rows: DataFrame, value="prediction", series="series", resolution=RESOLUTION) -> DataFrame:
     """Add `isAnomaly` (0 or 1) to every row by the values of its series.
 
-    `radii` (in bins) may name the only radii to try, see `radii_for`; None tries all.
+    `resolution` is the width of a bin in units of the value: values in one bin are alike. Rows whose
+    value is NULL or no finite number are in no bin and get NULL.
     """
-    binned = to_bins(rows, value, series, bins, spread)
-    flags = loci_bins(binned, series, radii, bins)
-    return (salted_join(binned, flags, [series, "x"], spread)
-            .withColumn("isAnomaly", F.col("flagged").cast("int"))
-            .drop("flagged", "x"))
+    bin_of = F.floor(F.col(value) / F.lit(float(resolution)))
+    finite = F.abs(F.col(value)) < F.lit(float("inf"))
+    binned = rows.withColumn("x", F.when(finite, bin_of).cast("bigint"))
+    flags = loci_bins(binned.where("x is not null"), series).select(
+        F.col(series).alias("_series"), F.col("x").alias("_x"), F.col("flagged").cast("int").alias("isAnomaly"))
+    same = F.col(series).eqNullSafe(F.col("_series")) & (F.col("x") == F.col("_x"))
+    return binned.join(flags, same, "left").drop("_series", "_x", "x")
 
 
 def sharp_rises(rows: DataFrame, series="series", idx="idx", value="y", trailing=24, k=3.0,

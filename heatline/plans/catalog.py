@@ -132,28 +132,28 @@ def null_safe_mean(spark, folder):
 
 @query
 def anomalies(spark, folder):
-    """Minute means with outlier flags, by a list of radii."""
-    return tagged_minutes(spark, folder, anomaly.radii_for())
+    """Minute means with outlier flags: the time series output."""
+    return tagged_minutes(spark, folder, anomaly.RESOLUTION)
 
 
 @query
 def anomalies_every_radius(spark, folder):
-    """Minute means with outlier flags: the time series output."""
-    return tagged_minutes(spark, folder, None)
+    """The same on finer bins."""
+    return tagged_minutes(spark, folder, 0.25)
 
 
-def tagged_minutes(spark, folder, radii):
+def tagged_minutes(spark, folder, resolution):
     means = settle(buckets.bucket_means(sums(spark, folder, buckets.MINUTE), buckets.MINUTE))
-    return (anomaly.tag_anomalies(means, radii=radii)
+    return (anomaly.tag_anomalies(means, resolution=resolution)
             .select("series", F.col("timestamp").alias("times"), "prediction", "isAnomaly"))
 
 
 @query
 def anomalous_lengths(spark, folder):
-    """Documents of unusual length for their language."""
+    """Documents of unusual length for their language, in steps of 50 characters."""
     docs = documents(spark, folder).select(
         "doc_id", F.col("lang").alias("series"), F.col("n_chars").cast("double").alias("prediction"))
-    return (anomaly.tag_anomalies(docs, spread="doc_id", radii=anomaly.radii_for())
+    return (anomaly.tag_anomalies(docs, resolution=50)
             .select("doc_id", "series", "prediction", "isAnomaly"))
 
 

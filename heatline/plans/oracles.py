@@ -1,9 +1,7 @@
 """Plain SQL for the same results, written without the operators it checks."""
 
 from heatline.constants import (
-    CLEAN_PATTERN, ENGLISH_STOP_WORDS, LOCI_ALPHA, LOCI_K, LOCI_MIN_NEIGHBOURS, PUNCTUATION,
-    SPLIT_SEED, SYNTHETIC_AXIS_START)
-from heatline.operators.anomaly import BINS, radii_for
+    CLEAN_PATTERN, ENGLISH_STOP_WORDS, PUNCTUATION, SPLIT_SEED, SYNTHETIC_AXIS_START)
 from heatline.operators.kalman import acceleration_model, velocity_model
 from heatline.plans import catalog as C
 
@@ -76,31 +74,29 @@ def found(where="TRUE"):
 TOPIC_ROWS = ", ".join(f"({text(t)})" for t in C.TOPICS)
 
 
-def loci(source):
-    """Row-level range windows, one pair per radius."""
-    steps, tests = [], []
-    for i, r in enumerate(radii_for(BINS)):
-        near = f"RANGE BETWEEN {int(LOCI_ALPHA * r)} PRECEDING AND {int(LOCI_ALPHA * r)} FOLLOWING"
-        steps.append(f"count(*) OVER (PARTITION BY series ORDER BY x {near}) AS a{i}")
-        wide = f"OVER (PARTITION BY series ORDER BY x RANGE BETWEEN {r} PRECEDING AND {r} FOLLOWING)"
-        tests.append(f"count(*) {wide} AS n{i}, sum(a{i}) {wide} AS p{i}, "
-                     f"sum(a{i}::HUGEINT * a{i}) {wide} AS q{i}")
-    flag = " OR ".join(
-        f"(p{i} >= {LOCI_MIN_NEIGHBOURS} * n{i} AND p{i} - a{i} * n{i} > 0 AND "
-        f"(p{i} - a{i} * n{i}) * (p{i} - a{i} * n{i}) > {LOCI_K ** 2} * (q{i} * n{i} - p{i} * p{i}))"
-        for i in range(len(steps)))
-    return f"""{source},
-    scaled AS (SELECT *, coalesce(floor((v - min(v) OVER s) /
-                      nullif(max(v) OVER s - min(v) OVER s, 0) * {BINS}), 0)::BIGINT AS x
-               FROM input WINDOW s AS (PARTITION BY series)),
-    close AS (SELECT *, {", ".join(steps)} FROM scaled),
-    wide AS (SELECT *, {", ".join(tests)} FROM close)""", f"CAST(({flag}) AS INTEGER)"
-
-
-LOCI_MINUTES, FLAG = loci(f"WITH input AS (SELECT series, \"timestamp\", prediction AS v FROM "
-                          f"({bucket('minute')}))")
-LOCI_LENGTHS, _ = loci("WITH input AS (SELECT doc_id, lang AS series, n_chars::DOUBLE AS v "
-                       "FROM documents)")
+def loci(source, width):
+    """CTEs that end in `tagged`: the input with its flag, from the definition at every radius.
+
+    Values fall into bins of `width`; a radius matters if it, or half of it, is the distance of two
+    filled bins.
+    """
+    near = "PARTITION BY series, r ORDER BY x RANGE BETWEEN r // 2 PRECEDING AND r // 2 FOLLOWING"
+    wide = "PARTITION BY series, r ORDER BY x RANGE BETWEEN r PRECEDING AND r FOLLOWING"
+    return f"""WITH input AS ({source}),
+    binned AS (SELECT *, floor(v / {width})::BIGINT AS x FROM input),
+    filled AS (SELECT series, x, count(*)::HUGEINT AS c FROM binned GROUP BY 1, 2),
+    gaps AS (SELECT DISTINCT a.series, a.x - b.x AS d FROM filled a JOIN filled b USING (series) WHERE a.x > b.x),
+    radii AS (SELECT series, d AS r FROM gaps UNION SELECT series, 2 * d FROM gaps),
+    near AS (SELECT series, r, x, c, sum(c) OVER ({near}) AS a FROM filled JOIN radii USING (series)),
+    wide AS (SELECT series, x, a, sum(c) OVER ({wide}) AS n, sum(c * a) OVER ({wide}) AS p,
+                    sum(c * a * a) OVER ({wide}) AS q FROM near),
+    marks AS (SELECT series, x, max(CAST(p >= 20 * n AND p > a * n
+                     AND (p - a * n) * (p - a * n) > 9 * (q * n - p * p) AS INTEGER)) AS flag FROM wide GROUP BY 1, 2),
+    tagged AS (SELECT b.*, coalesce(flag, 0) AS flag FROM binned b LEFT JOIN marks USING (series, x))"""
+
+
+MINUTES = f"""SELECT series, "timestamp", prediction AS v FROM ({bucket('minute')})"""
+LOCI_LENGTHS = loci("SELECT doc_id, lang AS series, n_chars::DOUBLE AS v FROM documents", 50)
 
 PERSIST = f"""WITH {DENSE},
 pairs AS (SELECT series, idx, y AS label, lag(y) OVER (PARTITION BY series ORDER BY idx) AS p
@@ -209,10 +205,12 @@ SQL = {
     "hour_mean": bucket("hour"),
     "hour_from_minute": bucket("hour"),
     "null_safe_mean": bucket("hour", where="value <= 200 AND value >= 2"),
-    "anomalies": LOCI_MINUTES + f""" SELECT series, "timestamp" AS times, v AS prediction,
-        {FLAG} AS "isAnomaly" FROM wide""",
-    "anomalous_lengths": LOCI_LENGTHS + f""" SELECT doc_id, series, v AS prediction,
-        {FLAG} AS "isAnomaly" FROM wide""",
+    "anomalies": loci(MINUTES, 0.5) + """ SELECT series, "timestamp" AS times, v AS prediction,
+        flag AS "isAnomaly" FROM tagged""",
+    "anomalies_every_radius": loci(MINUTES, 0.25) + """ SELECT series, "timestamp" AS times,
+        v AS prediction, flag AS "isAnomaly" FROM tagged""",
+    "anomalous_lengths": LOCI_LENGTHS + """ SELECT doc_id, series, v AS prediction,
+        flag AS "isAnomaly" FROM tagged""",
     "sharp_rises": f"""WITH {DENSE} SELECT series, hour, y,
         round(m, 9) AS trailing_mean, round(s, 9) AS trailing_std,
         CAST(y > m + 3 * s AS INTEGER) AS rise FROM

@@ -12,7 +12,7 @@ def rows(spark, values, series="a"):
 
 
 def flags(df, **options):
-    tagged = anomaly.tag_anomalies(df, spread="step", **options).orderBy("step").collect()
+    tagged = anomaly.tag_anomalies(df, **options).orderBy("step").collect()
     return np.array([r.isAnomaly for r in tagged])
 
 
@@ -36,41 +36,49 @@ def values():
     return np.concatenate([rng.normal(30, 4, 300).clip(0, 100), [71, 72, 95, 99, 2]])
 
 
-def binned(values, bins):
-    return np.floor((values - values.min()) / (values.max() - values.min()) * bins)
+def every_radius(x):
+    gaps = np.unique(np.abs(x[:, None] - x[None, :]))
+    return np.unique(np.concatenate([gaps, 2 * gaps]))[1:]
 
 
-def test_equals_the_definition_at_listed_radii(spark, values):
-    radii = anomaly.radii_for(512)
-    want = brute_force(binned(values, 512), radii)
+@pytest.mark.parametrize("resolution", [0.5, 2.0])
+def test_equals_the_definition_at_every_radius(spark, values, resolution):
+    x = np.floor(values / resolution)
+    want = brute_force(x, every_radius(x))
     assert want.sum() > 0
-    assert (flags(rows(spark, values), bins=512, radii=radii) == want).all()
+    assert (flags(rows(spark, values), resolution=resolution) == want).all()
 
 
-def test_equals_the_definition_at_every_radius(spark, values):
-    x = binned(values, 128)
-    gaps = np.unique(np.abs(x[:, None] - x[None, :]))
-    want = brute_force(x, np.unique(np.concatenate([gaps, 2 * gaps])))
-    assert (flags(rows(spark, values), bins=128) == want).all()
+def test_bins_come_close_to_the_values_themselves(spark, values):
+    got = flags(rows(spark, values))
+    assert (got == brute_force(values, every_radius(values)[::40])).mean() > 0.97 and got[-5:-1].all()
+
+
+def test_a_far_stray_hides_no_other(spark, values):
+    alone, joined = flags(rows(spark, values)), flags(rows(spark, np.append(values, 1e6)))
+    assert joined[-1] == 1 and (joined[:-1] >= alone).mean() > 0.99 and joined[:-1].sum() >= alone.sum() - 3
 
 
-def test_bins_and_listed_radii_come_close_to_the_values_themselves(spark, values):
-    gaps = np.unique(np.abs(values[:, None] - values[None, :]))
-    every = brute_force(values, np.unique(np.concatenate([gaps, 2 * gaps]))[1::40])
-    for options in ({}, {"radii": anomaly.radii_for()}):
-        got = flags(rows(spark, values), **options)
-        assert (got == every).mean() > 0.97 and got[-5:-1].all()
+def test_no_value_or_no_number(spark):
+    df = spark.createDataFrame([(i, "a", v) for i, v in enumerate([5.0, None, float("nan"), float("inf"), -3.0])], SCHEMA)
+    got = {r.step: r.isAnomaly for r in anomaly.tag_anomalies(df).collect()}
+    assert got == {0: 0, 1: None, 2: None, 3: None, 4: 0}
 
 
-def test_large_counts(spark, values):
-    # each value 200 times: past the size at which 64 bits would overflow
-    df = rows(spark, values).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(200))))
-    got = anomaly.tag_anomalies(df, spread="step", bins=512, radii=anomaly.radii_for(512)).groupBy("step").agg(
+def counted(spark, values, copies):
+    """Flag of each value, all of its copies alike."""
+    df = rows(spark, values).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    got = anomaly.tag_anomalies(df, resolution=1.0).groupBy("step").agg(
         F.min("isAnomaly").alias("low"), F.max("isAnomaly").alias("high")).orderBy("step").collect()
     assert len(got) == len(values) and all(r.low == r.high for r in got)
-    x = np.floor((values - values.min()) / (values.max() - values.min()) * 512)
-    want = brute_force_weighted(x, 200, anomaly.radii_for(512))
-    assert [bool(r.high) for r in got] == list(want)
+    return [bool(r.high) for r in got]
+
+
+@pytest.mark.parametrize("copies", [1, 60, 200])
+def test_one_rule_at_all_sizes(spark, values, copies):
+    # 305, 18,300 and 61,000 rows: below and beyond what 64 bits hold
+    x = np.floor(values)
+    assert counted(spark, values, copies) == list(brute_force_weighted(x, copies, every_radius(x)))
 
 
 def brute_force_weighted(x, copies, radii):
@@ -85,6 +93,12 @@ def brute_force_weighted(x, copies, radii):
     return flagged
 
 
+def test_critical_radii():
+    x = np.array([0, 1, 5, 1_000_000])
+    assert anomaly.critical_radii(x).tolist() == sorted(
+        {1, 4, 5, 999_995, 999_999, 1_000_000} | {2, 8, 10, 1_999_990, 1_999_998, 2_000_000})
+
+
 def test_quiet_series_have_no_outliers(spark):
     assert flags(rows(spark, [5.0] * 50)).sum() == 0
     assert flags(rows(spark, [1, 2, 90])).sum() == 0        # fewer than 20 neighbours
@@ -92,7 +106,7 @@ def test_quiet_series_have_no_outliers(spark):
 
 
 def test_series_do_not_mix(spark, values):
-    both = rows(spark, values).unionAll(rows(spark, values * 1000, "b").withColumn(
+    both = rows(spark, values).unionAll(rows(spark, values + 500, "b").withColumn(
         "step", F.col("step") + 1000))
     alone = flags(rows(spark, values))
     assert (flags(both) == np.concatenate([alone, alone])).all()
