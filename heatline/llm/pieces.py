@@ -64,9 +64,22 @@ class Codec:
         self.silent = {i for i, kind in enumerate(known["kinds"]) if kind == CONTROL}
         self.longest = max(map(len, self.ids), default=1)
         self.unknown_score = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
-        # Every beginning of a piece, with its score and ids; one that is no piece scores -inf.
-        self.entries = {p[:k]: (-inf, ()) for p in self.ids for k in range(1, len(p) + 1)}
-        self.entries |= {p: (self.scores[p], (i,)) for p, i in self.ids.items()}
+        # Pieces letter by letter: what may follow, the score (-inf if no piece ends here) and the ids.
+        self.root: dict = {}
+        for piece, i in self.ids.items():
+            node = self.root
+            for c in piece[:-1]:
+                node = node.setdefault(c, [{}, -inf, ()])[0]
+            node.setdefault(piece[-1], [{}, -inf, ()])[1:] = [self.scores[piece], (i,)]
+        self.inner = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
+        # What a piece reads as; bytes of more than one to a character are put together first.
+        self.surface = [p.replace(SPACE, " ") for p in self.pieces]
+        self.high = np.zeros(len(self.pieces), bool)
+        for i, b in self.bytes_of.items():
+            self.surface[i] = chr(b)
+            self.high[i] = b > 127
+        for i in self.silent:
+            self.surface[i] = ""
         # Where no piece can lie across a boundary, all paths meet there, whatever the text.
         self.split = re.compile(self._parts())
         self.cache: dict[str, tuple[int, ...]] = {}
@@ -94,7 +107,7 @@ class Codec:
         text lies across it, or once the best paths to all boundaries that later pieces can still
         start from run through it. Ties go to the path whose last piece is longest.
         """
-        entry, longest = self.entries.get, self.longest
+        root, longest = self.root, self.longest
         n, base, reach, check = len(text), 0, 0, 4 * longest
         best, back = [0.0] + [-inf] * longest, [(0, ())] * (longest + 1)
         for s in range(n):
@@ -103,20 +116,21 @@ class Codec:
             if len(best) < at + longest + 1:
                 best += [-inf] * longest
                 back += [(0, ())] * longest
-            first = entry(text[s])
-            if first is None or first[0] == -inf:
+            first = root.get(text[s])
+            if first is None or first[1] == -inf:
                 if here + self.unknown_score > best[at + 1]:
                     best[at + 1], back[at + 1] = here + self.unknown_score, (at, self.spell(text[s]))
                 reach = max(reach, s + 1)
-            if first is not None:
-                for e in range(s + 1, min(n, s + longest) + 1):
-                    found = entry(text[s:e])
-                    if found is None:
-                        break
-                    if found[0] > -inf:
-                        reach = max(reach, e)
-                        if here + found[0] > best[e - base]:
-                            best[e - base], back[e - base] = here + found[0], (at, found[1])
+            node = root
+            for e in range(s, min(n, s + longest)):
+                found = node.get(text[e])
+                if found is None:
+                    break
+                node, score, ids = found
+                if score > -inf:
+                    reach = max(reach, e + 1)
+                    if here + score > best[e + 1 - base]:
+                        best[e + 1 - base], back[e + 1 - base] = here + score, (at, ids)
             if reach == s + 1:
                 yield self._walk(back, at + 1)
                 base = s + 1
@@ -133,24 +147,25 @@ class Codec:
 
     def path(self, text: str) -> tuple[int, ...]:
         """Ids of the best path of a text so short that the window holds it all."""
-        entry, longest, n = self.entries.get, self.longest, len(text)
+        root, n = self.root, len(text)
         best, back = [0.0] + [-inf] * n, [(0, ())] * (n + 1)
         for s in range(n):
             here = best[s]
-            first = entry(text[s])
-            if first is None or first[0] == -inf:
-                total = here + self.unknown_score
-                if total > best[s + 1]:
-                    best[s + 1], back[s + 1] = total, (s, self.spell(text[s]))
-                if first is None:
-                    continue
-            for e in range(s + 1, min(n, s + longest) + 1):
-                found = entry(text[s:e])
+            node, e = root, s
+            for c in text[s:]:
+                found = node.get(c)
                 if found is None:
                     break
-                total = here + found[0]
+                node, score, ids = found
+                e += 1
+                total = here + score
                 if total > best[e]:
-                    best[e], back[e] = total, (s, found[1])
+                    best[e], back[e] = total, (s, ids)
+            first = root.get(text[s])
+            if first is None or first[1] == -inf:
+                total = here + self.unknown_score
+                if total > best[s + 1]:
+                    best[s + 1], back[s + 1] = total, (s, self.spell(text[s]))
         return self._walk(back, n)
 
     @staticmethod
@@ -176,6 +191,21 @@ class Codec:
             shared = own if shared is None else shared & own
         return max(shared, default=0) if shared else 0
 
+    def segment(self, text: str) -> tuple[int, ...]:
+        """Ids of a short segment: cut where no piece holds both neighbours, each part by its best path."""
+        inner, cache, older = self.inner, self.cache, self.older
+        cuts = [k for k in range(1, len(text)) if text[k - 1:k + 1] not in inner]
+        if not cuts:
+            return self.path(text)
+        out: tuple[int, ...] = ()
+        for a, b in zip([0, *cuts], [*cuts, len(text)]):
+            part = text[a:b]
+            ids = cache.get(part) or older.get(part)
+            if ids is None:
+                ids = cache[part] = self.path(part)
+            out += ids
+        return out
+
     def encode(self, text: str) -> array:
         out = array("i")
         if not text:
@@ -185,39 +215,43 @@ class Codec:
                 # The sign that stands for a space, if the text itself holds it, is spelled in bytes.
                 out.extend(self.spell(SPACE))
             body = (SPACE if self.prefix and not k else "") + part.replace(" ", SPACE)
-            cache, older = self.cache, self.older
             found = self.split.findall(body) if len(body) < 1 << 20 else (m.group(0) for m in self.split.finditer(body))
+            made: list[int] = []
+            get, add = self.cache.get, made.extend
             for segment in found:
-                ids = cache.get(segment)
+                ids = get(segment)
                 if ids is None:
                     if len(segment) > CACHED:
                         for ids in self.paths(segment):
-                            out.extend(ids)
+                            add(ids)
                         continue
-                    ids = older.get(segment) or self.path(segment)
-                    if len(cache) >= CACHE:
-                        self.older, self.cache = older, cache = cache, {}
-                    cache[segment] = ids
-                out.extend(ids)
+                    ids = self.older.get(segment) or self.segment(segment)
+                    if len(self.cache) >= CACHE:
+                        self.older, self.cache = self.cache, {}
+                        get = self.cache.get
+                    self.cache[segment] = ids
+                add(ids)
+                if len(made) > 1 << 16:
+                    out.extend(made)
+                    made.clear()
+            out.extend(made)
         return out
 
     def decode(self, ids) -> str:
-        if self.bytes_of:
+        ids = np.asarray(ids, np.int32)
+        if not self.high[ids].any():
+            whole = "".join(map(self.surface.__getitem__, ids.tolist()))
+        else:
             text, run = [], bytearray()
-            for i in ids:
-                b = self.bytes_of.get(i)
-                if b is not None:
-                    run.append(b)
+            for i in ids.tolist():
+                if self.high[i]:
+                    run.append(self.bytes_of[i])
                     continue
                 if run:
                     text.append(run.decode("utf-8", "replace"))
                     run.clear()
-                if i not in self.silent:
-                    text.append(self.pieces[i].replace(SPACE, " "))
-            text.append(run.decode("utf-8", "replace"))
-        else:
-            text = [self.pieces[i].replace(SPACE, " ") for i in ids if i not in self.silent]
-        whole = "".join(text)
+                text.append(self.surface[i])
+            whole = "".join([*text, run.decode("utf-8", "replace")])
         return whole[1:] if self.prefix and whole.startswith(" ") else whole
 
 
