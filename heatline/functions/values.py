@@ -6,8 +6,6 @@ from pyspark.sql import types as T
 
 from heatline.constants import SCORE_JSON_PATH, TIMESTAMP_FORMAT
 
-MICRO = 1_000_000
-
 MESSAGE = T.StructType([
     T.StructField("timestamp", T.StringType()),
     T.StructField("text", T.StringType()),
@@ -56,13 +54,10 @@ def number_strict(text: Column) -> Column:
     return text.cast("double")
 
 
-def micros(value: Column) -> Column:
-    """Value in whole millionths; NULL for NULL, NaN and infinities.
-
-    Sums of integers do not depend on the order of addition, so a retried task or another
-    partitioning gives the same mean to the last bit.
-    """
-    return F.round(value * MICRO).try_cast("bigint")
+def finite(value: Column) -> Column:
+    """The value as a double; NULL for NULL, NaN and infinities."""
+    number_ = value.cast("double")
+    return F.when(F.abs(number_) < F.lit(float("inf")), number_)
 
 
 def encode_message(ts: Column, text: Column) -> Column:

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heatline.constants import FORECAST_SHARE, SYNTHETIC_AXIS_START
-from heatline.functions.values import MICRO, micros, plain_timestamp, step_of, step_start
+from heatline.functions.values import finite, plain_timestamp, step_of, step_start
 from heatline.operators.slices import neighbours, row_index, sized
 
 MINUTE, HOUR, DAY = 60, 3600, 86_400
@@ -14,14 +14,23 @@ GRID_BLOCK = 4096
 def bucket_sums(df: DataFrame, ts: str, value: str, seconds: int, series="series") -> DataFrame:
     """(series, step, total, n): partial sums that can be added up to coarser steps.
 
-    `total` is in millionths. NULL times, NULL and non-finite values are dropped before grouping.
+    `total` is a double, so no value is too large or too small for it; how partial sums meet decides
+    its last bits. NULL times, NULL and non-finite values are dropped before grouping (`rejected`
+    counts them).
     """
-    return (df.where(F.col(ts).isNotNull() & F.col(value).isNotNull())
-            .select(F.col(series), step_of(F.col(ts), seconds).alias("step"),
-                    micros(F.col(value)).alias("units"))
-            .where(F.col("units").isNotNull())
+    return (df.where(F.col(ts).isNotNull())
+            .select(F.col(series), step_of(F.col(ts), seconds).alias("step"), finite(F.col(value)).alias("_value"))
+            .where(F.col("_value").isNotNull())
             .groupBy(series, "step")
-            .agg(F.sum("units").alias("total"), F.count("*").alias("n")))
+            .agg(F.sum("_value").alias("total"), F.count("*").alias("n")))
+
+
+def rejected(df: DataFrame, ts: str, value: str, series="series") -> DataFrame:
+    """(series, no_time, no_value, not_finite): rows that `bucket_sums` leaves out, by reason."""
+    known = F.col(value).isNotNull()
+    return (df.groupBy(series).agg(
+        F.count_if(F.col(ts).isNull()).alias("no_time"), F.count_if(F.col(ts).isNotNull() & ~known).alias("no_value"),
+        F.count_if(F.col(ts).isNotNull() & known & finite(F.col(value)).isNull()).alias("not_finite")))
 
 
 def coarser(sums: DataFrame, factor: int, series="series") -> DataFrame:
@@ -32,7 +41,7 @@ def coarser(sums: DataFrame, factor: int, series="series") -> DataFrame:
 
 
 def mean_of(total="total", n="n") -> Column:
-    return F.col(total) / (F.col(n) * MICRO)
+    return F.col(total) / F.col(n)
 
 
 def bucket_means(sums: DataFrame, seconds: int, series="series") -> DataFrame:
@@ -87,7 +96,7 @@ def dense_series(sums: DataFrame, fill="forward", series="series") -> DataFrame:
 def synthetic_axis(messages: DataFrame, key: str, start=SYNTHETIC_AXIS_START) -> DataFrame:
     """Row i (0-based, by key) gets `start` + (i + 1) hours, the last row too."""
     begin = F.unix_seconds(F.lit(start).cast("timestamp"))
-    return (row_index(messages, [], key, levels=2)
+    return (row_index(messages, [], key, levels=3)
             .withColumn("timestamp", plain_timestamp(
                 F.timestamp_seconds(begin + (F.col("idx") + 1) * HOUR))))
 

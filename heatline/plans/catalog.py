@@ -33,6 +33,7 @@ PRICE_SINCE, PRICE_UNTIL = "1996-12-31 00:00:00", "1997-12-31 00:00:00"
 BATCH_EDGE = "2024-01-15 00:00:00"
 GARCH_ALPHA, GARCH_BETA = 0.1, 0.8
 GARCH_POINTS = [(a, b) for a in (0.02, 0.1, 0.2, 0.3) for b in (0.0, 0.2, 0.4, 0.6, 0.69)]
+REPLAY_DELAY = "36500 days"
 KALMAN_STEPS, GARCH_STEPS, AR_STEPS, MAX_LAG = 50, 25, 100, 24
 
 QUERIES = {}
@@ -61,7 +62,13 @@ def sums(spark, folder, seconds):
 
 def hours(spark, folder, fill="forward"):
     """(series, idx, step, y) per hour. The raw table is read once, all else works on its sums."""
-    return buckets.dense_series(settle(sums(spark, folder, buckets.HOUR)), fill)
+    dense = buckets.dense_series(settle(sums(spark, folder, buckets.HOUR)), fill)
+    return dense.withColumn("y", F.round("y", 9))
+
+
+def means(partial, seconds):
+    """Means to nine digits: what is left does not depend on the order of addition."""
+    return buckets.bucket_means(partial, seconds).withColumn("prediction", F.round("prediction", 9))
 
 
 def daily(spark, folder):
@@ -69,7 +76,7 @@ def daily(spark, folder):
     value = table(spark, folder, "orders").select(
         F.col("o_orderpriority").alias("series"), "o_orderdate", "o_totalprice")
     totals = settle(buckets.bucket_sums(value, "o_orderdate", "o_totalprice", buckets.DAY))
-    days = totals.select("series", "step", (F.col("total") / F.lit(V.MICRO)).alias("y"))
+    days = totals.select("series", "step", F.round("total", 4).alias("y"))
     return row_index(days, ["series"], "step")
 
 
@@ -98,20 +105,18 @@ def at(seconds, name):
 
 @query
 def minute_mean(spark, folder):
-    means = buckets.bucket_means(sums(spark, folder, buckets.MINUTE), buckets.MINUTE)
-    return means.orderBy("timestamp", "series")
+    return means(sums(spark, folder, buckets.MINUTE), buckets.MINUTE).orderBy("timestamp", "series")
 
 
 @query
 def hour_mean(spark, folder):
-    means = buckets.bucket_means(sums(spark, folder, buckets.HOUR), buckets.HOUR)
-    return means.orderBy("timestamp", "series")
+    return means(sums(spark, folder, buckets.HOUR), buckets.HOUR).orderBy("timestamp", "series")
 
 
 @query
 def hour_from_minute(spark, folder):
     by_hour = buckets.coarser(sums(spark, folder, buckets.MINUTE), 60)
-    return buckets.bucket_means(by_hour, buckets.HOUR)
+    return means(by_hour, buckets.HOUR)
 
 
 @query
@@ -126,7 +131,7 @@ def null_safe_mean(spark, folder):
     df = df.select("series", V.parse_timestamp(F.col("timestamp")).alias("timestamp"),
                    V.number(F.col("prediction")).alias("prediction"))
     df = relational.known(df, "timestamp", "prediction")
-    return buckets.bucket_means(
+    return means(
         buckets.bucket_sums(df, "timestamp", "prediction", buckets.HOUR), buckets.HOUR)
 
 
@@ -143,8 +148,8 @@ def anomalies_every_radius(spark, folder):
 
 
 def tagged_minutes(spark, folder, resolution):
-    means = settle(buckets.bucket_means(sums(spark, folder, buckets.MINUTE), buckets.MINUTE))
-    return (anomaly.tag_anomalies(means, resolution=resolution)
+    minutes = settle(means(sums(spark, folder, buckets.MINUTE), buckets.MINUTE))
+    return (anomaly.tag_anomalies(minutes, resolution=resolution)
             .select("series", F.col("timestamp").alias("times"), "prediction", "isAnomaly"))
 
 
@@ -737,34 +742,43 @@ def csv_corpus(spark, folder):
     return files.read_corpus(spark, path, rows.schema)
 
 
+def stream_of(spark, folder, name):
+    """A stored table as a stream, whether it is one file or a folder of parts."""
+    return spark.readStream.schema(table(spark, folder, name).schema).parquet(f"{folder}/{name}.parquet")
+
+
 def event_stream(spark, folder):
-    """The events file as a stream of scored messages."""
-    stored = table(spark, folder, "events")
-    stream = (spark.readStream.schema(stored.schema).option("pathGlobFilter", "events.parquet")
-              .parquet(folder))
-    return stream.select("event_id", F.col("ts").alias("timestamp"),
+    """The events, one file or a folder of them, as a stream of scored messages."""
+    return stream_of(spark, folder, "events").select("event_id", F.col("ts").alias("timestamp"),
                          F.col("event_type").alias("series"), F.col("value").alias("prediction"))
 
 
 @query
 def stream_hour_mean(spark, folder):
-    stream = flow.event_time(event_stream(spark, folder))
+    """Update mode over a stored table: windows stay open, files may come in any order."""
     path = fresh_folder(spark, "hours")
+    stream = event_stream(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     flow.run_available(flow.window_sums(stream, "1 hour"), path, path + "-offsets")
+    return current_hours(spark, path)
+
+
+def current_hours(spark, path):
     return flow.latest_windows(tables.read_table(spark, path)).select(
-        "series", "timestamp", "prediction", "n")
+        "series", "timestamp", F.round("prediction", 9).alias("prediction"), "n")
 
 
 @query
 def stream_dedup_hour_mean(spark, folder):
-    """Every message arrives twice; the second copy is dropped before the mean."""
+    """Every message arrives twice; the second copy is dropped before the mean.
+
+    The delay is that of a replay: longer than the table's span, so that no stored row is late.
+    """
     once = event_stream(spark, folder)
     twice = once.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    stream = flow.once_each(flow.event_time(twice), ["event_id"])
+    stream = flow.once_each(flow.event_time(twice, delay=REPLAY_DELAY), ["event_id"])
     path = fresh_folder(spark, "dedup")
     flow.run_available(flow.window_sums(stream, "1 hour"), path, path + "-offsets")
-    return flow.latest_windows(tables.read_table(spark, path)).select(
-        "series", "timestamp", "prediction", "n")
+    return current_hours(spark, path)
 
 
 @query
@@ -797,9 +811,7 @@ def stream_kalman(spark, folder):
 def stream_scores(spark, folder):
     """The live flow: a stream of messages scored, averaged, flagged and forecast."""
     model = learn.score_model(features=100, depth=3, rounds=3).fit(labelled(spark, folder))
-    stored = documents(spark, folder)
-    stream = (spark.readStream.schema(stored.schema).option("pathGlobFilter", "documents.parquet")
-              .parquet(folder))
+    stream = stream_of(spark, folder, "documents")
     begin = F.unix_seconds(F.lit("2018-04-13 10:31:30").cast("timestamp"))
     stamped = stream.select(
         F.timestamp_seconds(begin + (F.col("doc_id") + 1) * 3600).alias("timestamp"),
@@ -808,7 +820,7 @@ def stream_scores(spark, folder):
     flow.start_batches(flow.score_stream(stamped, model),
                        lambda df, i: flow.signal_batch(df, i, out), out + "-offsets",
                        "append").awaitTermination()
-    return tables.read_table(spark, f"{out}/time_series").select(
+    return flow.latest_rows(tables.read_table(spark, f"{out}/time_series"), ["series", "times"]).select(
         "series", "times", "prediction", "isAnomaly")
 
 

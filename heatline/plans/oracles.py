@@ -10,8 +10,8 @@ def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def mean(value="value", n="count(*)"):
-    return f"sum(cast(round({value} * 1000000) AS BIGINT))::DOUBLE / ({n} * 1000000)::DOUBLE"
+def mean(value="value"):
+    return f"round(avg({value}), 9)"
 
 
 def bucket(unit, name="timestamp", where="TRUE"):
@@ -34,7 +34,7 @@ dense AS (SELECT series, row_number() OVER (PARTITION BY series ORDER BY hour) -
           FROM axis LEFT JOIN raw USING (series, hour))"""
 DAILY = f"""
 daily AS (SELECT o_orderpriority AS series, o_orderdate AS day,
-                 sum(cast(round(o_totalprice * 1000000) AS BIGINT))::DOUBLE / 1000000 AS y
+                 round(sum(o_totalprice), 4) AS y
           FROM orders GROUP BY 1, 2),
 returns AS (SELECT series, row_number() OVER w - 2 AS idx, ln(y) - lag(ln(y)) OVER w AS r
             FROM daily WINDOW w AS (PARTITION BY series ORDER BY day)

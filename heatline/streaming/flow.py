@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from heatline.constants import BATCH_SECONDS
 from heatline.functions.text import clean_text
-from heatline.functions.values import micros, plain_timestamp, step_start
+from heatline.functions.values import finite, plain_timestamp, step_start
 from heatline.operators.anomaly import tag_anomalies
 from heatline.operators.autoreg import seasonal_forecast
 from heatline.operators.buckets import (
@@ -29,11 +29,14 @@ def once_each(stream: DataFrame, keys: list[str]) -> DataFrame:
 
 def window_sums(stream: DataFrame, length: str, ts="timestamp", value="prediction",
                 series="series") -> DataFrame:
-    """(series, timestamp, total, n) per tumbling window, in millionths as in `bucket_sums`."""
-    return (stream.withColumn("_units", micros(F.col(value)))
-            .where(F.col("_units").isNotNull() & F.col(ts).isNotNull())
+    """(series, timestamp, total, n) per tumbling window, as in `bucket_sums`.
+
+    Without a declared event time (`event_time`) windows never close, and no row is too late.
+    """
+    return (stream.withColumn("_value", finite(F.col(value)))
+            .where(F.col("_value").isNotNull() & F.col(ts).isNotNull())
             .groupBy(F.window(ts, length).alias("_w"), F.col(series))
-            .agg(F.sum("_units").alias("total"), F.count("*").alias("n"))
+            .agg(F.sum("_value").alias("total"), F.count("*").alias("n"))
             .select(series, plain_timestamp(F.col("_w.start")).alias("timestamp"), "total", "n"))
 
 
@@ -44,6 +47,13 @@ def latest_windows(written: DataFrame, series="series") -> DataFrame:
             .withColumn("prediction", mean_of()))
 
 
+def latest_rows(written: DataFrame, keys: list[str]) -> DataFrame:
+    """The last row written of each key: what a table of partial results says now."""
+    rest = [c for c in written.columns if c not in keys and c != "batch_id"]
+    last = F.max_by(F.struct(*rest), "batch_id").alias("_last")
+    return written.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
 def start_batches(stream: DataFrame, handle, checkpoint: str, mode="update", every=None):
     """Run `handle(df, batch_id)` per micro-batch: every so often, or once over what is there.
 
@@ -85,10 +95,12 @@ def signal_batch(scored: DataFrame, batch_id: int, folder: str, series="series",
                  per_batch=False) -> None:
     """Sink of the live flow: tables `messages`, `minute_sums`, `time_series` and `forecast`.
 
-    Minute sums are stored per batch and added up over all batches, so a minute that spans two
-    batches has one mean. `time_series` receives the minutes this batch touched, flagged against
-    the whole history; `forecast` starts from all hours so far. With `per_batch` both see this
-    batch alone. A replayed batch replaces its own partition of every table.
+    Minute sums are stored per batch and added up over all batches. `time_series` receives the minutes
+    this batch touched, with their mean over all batches so far and flagged against the whole
+    history; a minute that spans two batches is written by both, and `latest_rows(time_series,
+    [series, "times"])` has its one mean. `forecast` starts from all hours so far. Only the history
+    of the series that the batch touches is read. With `per_batch` both see this batch alone. A
+    replayed batch replaces its own partition of every table.
     """
     spark = scored.sparkSession
     kept = scored.persist()
@@ -102,7 +114,9 @@ def signal_batch(scored: DataFrame, batch_id: int, folder: str, series="series",
         kept.unpersist()
     stored = read_table(spark, f"{folder}/minute_sums")
     touched = stored.where(F.col("batch_id") == batch_id)
-    minutes = ((touched if per_batch else stored).groupBy(series, "step")
+    there = touched.select(F.col(series).alias("_there")).distinct()
+    history = stored.join(there, F.col(series).eqNullSafe(F.col("_there")), "left_semi")
+    minutes = ((touched if per_batch else history).groupBy(series, "step")
                .agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
     outputs = signals(minutes, series)
     stamps = touched.select(series, step_start(F.col("step"), MINUTE).alias("times")).distinct()

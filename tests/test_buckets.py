@@ -26,6 +26,19 @@ def test_hour_mean_is_the_weighted_mean_of_minutes(spark):
     assert [(r.prediction, r.n) for r in got] == [(40.0, 3), (5.0, 1)]
 
 
+@pytest.mark.parametrize("values,mean", [
+    ([1e13, 2.0], 5_000_000_000_001.0), ([1e-9, 3e-9], 2e-9), ([5e12, 6e12], 5.5e12), ([1e300, 1e300], 1e300)])
+def test_no_value_is_too_large_or_too_small(spark, values, mean):
+    df = messages(spark, [(START, "a", v) for v in values])
+    got = buckets.bucket_means(buckets.bucket_sums(df, "timestamp", "prediction", 60), 60).first()
+    assert got.prediction == pytest.approx(mean, rel=1e-12) and got.n == len(values)
+
+
+def test_rejected_rows_are_counted(spark):
+    rows = [(None, "a", 1.0), (START, "a", None), (START, "a", float("nan")), (START, "a", float("inf")), (START, "a", 2.0)]
+    assert tuple(buckets.rejected(messages(spark, rows), "timestamp", "prediction").first()) == ("a", 1, 1, 2)
+
+
 @pytest.mark.parametrize("fill,expected", [
     ("forward", [0.0, 1.0, 1.0, 3.0]), ("zero", [0.0, 1.0, 0.0, 3.0]),
     ("null", [0.0, 1.0, None, 3.0]), ("none", [0.0, 1.0, 3.0])])
@@ -46,8 +59,8 @@ def test_grid_crosses_blocks(spark):
 def test_dense_series_over_a_long_gap(spark):
     n = buckets.GRID_BLOCK * 2 + 5
     sums = spark.createDataFrame(
-        [("a", 4000, 2_000_000, 1), ("a", 4000 + n, 5_000_000, 1), (None, 7, 1_000_000, 1)],
-        "series string, step bigint, total bigint, n bigint")
+        [("a", 4000, 4.0, 2), ("a", 4000 + n, 5.0, 1), (None, 7, 1.0, 1)],
+        "series string, step bigint, total double, n bigint")
     got = buckets.dense_series(sums).orderBy(F.col("series").desc(), "idx").collect()
     assert [tuple(r) for r in got] == [("a", i, 4000 + i, 2.0 if i < n else 5.0)
                                        for i in range(n + 1)] + [(None, 0, 7, 1.0)]
@@ -70,6 +83,12 @@ def test_forecast_axis_offsets_every_row(spark, n, horizon):
                                           for h in range(1, horizon + 1)]
 
 
+def test_synthetic_axis_of_hashed_ids(spark):
+    df = spark.range(3000).select(F.xxhash64("id").alias("doc_id"))
+    got = [r.doc_id for r in buckets.synthetic_axis(df, "doc_id").orderBy("timestamp").collect()]
+    assert got == sorted(got) and len(got) == 3000
+
+
 def test_synthetic_axis_offsets_every_row(spark):
     df = spark.createDataFrame([(5, "a"), (9, "b"), (700_000, "c")], "doc_id bigint, text string")
     got = buckets.synthetic_axis(df, "doc_id").orderBy("doc_id").collect()

@@ -28,9 +28,9 @@ def test_strict_forms_raise(spark):
 
 def test_numbers(spark):
     assert one(spark, V.number(F.col("c")), "n/a") is None
-    assert one(spark, V.micros(F.col("c")), 6.55, "double") == 6_550_000
-    for odd in (float("nan"), float("inf"), None):
-        assert one(spark, V.micros(F.col("c")), odd, "double") is None
+    assert one(spark, V.finite(F.col("c")), 6.55, "double") == 6.55
+    for odd in (float("nan"), float("inf"), float("-inf"), None):
+        assert one(spark, V.finite(F.col("c")), odd, "double") is None
 
 
 def test_steps_round_down_before_the_epoch(spark):
