@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from heatline.operators.relational import salted_join
 from heatline.operators.slices import SLICE, lagged, slice_of
 
 
@@ -35,7 +34,8 @@ def residuals(returns: DataFrame, series="series", idx="idx", value="r") -> Data
     """(series, idx, e, s2): deviation from the mean return, and the variance of the series."""
     level = returns.groupBy(series).agg(F.avg(value).alias("_mean"),
                                         F.var_pop(value).alias("s2"))
-    return (salted_join(returns, level, series, idx)
+    level = level.withColumnRenamed(series, "_series")
+    return (returns.join(level, F.col(series).eqNullSafe(F.col("_series")))
             .select(series, idx, (F.col(value) - F.col("_mean")).alias("e"), "s2"))
 
 

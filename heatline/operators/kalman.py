@@ -73,29 +73,42 @@ def advance(model: StateModel, x, p, values):
 
 
 def _summary(model: StateModel, values):
-    """Summary (A, b, C, eta, J) of a stretch of observations, for any state before it."""
+    """Summary (A, b, C, eta, J) of a stretch of observations, for any state before it.
+
+    One element per observation, all stacked, then combined pairwise: as many steps as the logarithm
+    of the length.
+    """
     n, one = len(model.x0), np.eye(len(model.x0))
-    total = (one, np.zeros(n), np.zeros((n, n)), np.zeros(n), np.zeros((n, n)))
     spread = model.R + model.H @ model.Q @ model.H
     gain = model.Q @ model.H / spread
     seen = model.F.T @ model.H / spread
-    part = ((one - np.outer(gain, model.H)) @ model.F, (one - np.outer(gain, model.H)) @ model.Q,
-            np.outer(model.F.T @ model.H, seen))
-    unseen = (model.F, np.zeros(n), model.Q, np.zeros(n), np.zeros((n, n)))
-    for z in values:
-        last = unseen if np.isnan(z) else (part[0], gain * z, part[1], seen * z, part[2])
-        total = _combine(total, last)
-    return total
+    keep = one - np.outer(gain, model.H)
+    z = np.where(np.isnan(values), 0.0, values)[:, None]
+    there = ~np.isnan(values)[:, None]
+    parts = (np.where(there[:, :, None], keep @ model.F, model.F), np.where(there, gain * z, 0.0),
+             np.where(there[:, :, None], keep @ model.Q, model.Q), np.where(there, seen * z, 0.0),
+             np.where(there[:, :, None], np.outer(model.F.T @ model.H, seen), np.zeros((n, n))))
+    while len(parts[0]) > 1:
+        odd = len(parts[0]) % 2
+        joined = _combine(tuple(p[:len(p) - odd:2] for p in parts), tuple(p[1:len(p):2] for p in parts))
+        parts = tuple(np.concatenate([j, p[len(p) - odd:]]) for j, p in zip(joined, parts))
+    return tuple(p[0] for p in parts)
+
+
+def _times(matrix, vector):
+    return np.einsum("...ij,...j->...i", matrix, vector)
 
 
 def _combine(first, then):
+    """Summaries of neighbouring stretches, single or stacked."""
     a1, b1, c1, e1, j1 = first
     a2, b2, c2, e2, j2 = then
-    one = np.eye(len(b1))
+    one = np.eye(b1.shape[-1])
     forward = a2 @ np.linalg.inv(one + c1 @ j2)
-    back = a1.T @ np.linalg.inv(one + j2 @ c1)
-    return (forward @ a1, forward @ (b1 + c1 @ e2) + b2, forward @ c1 @ a2.T + c2,
-            back @ (e2 - j2 @ b1) + e1, back @ j2 @ a1 + j1)
+    back = np.swapaxes(a1, -1, -2) @ np.linalg.inv(one + j2 @ c1)
+    return (forward @ a1, _times(forward, b1 + _times(c1, e2)) + b2,
+            forward @ c1 @ np.swapaxes(a2, -1, -2) + c2,
+            _times(back, e2 - _times(j2, b1)) + e1, back @ j2 @ a1 + j1)
 
 
 def kalman_filter(rows: DataFrame, model: StateModel, series="series", idx="idx", value="y",

@@ -130,8 +130,11 @@ def acf(rows: DataFrame, max_lag: int, series="series", idx="idx", value="y") ->
 
 
 def best_positive(candidates: DataFrame, group: list[str], aic="aic") -> DataFrame:
-    """The candidate with the smallest positive AIC of each group, with all its columns."""
+    """The candidate with the smallest positive AIC of each group, with all its columns.
+
+    A group without a positive AIC keeps its row, all other columns NULL.
+    """
     others = [c for c in candidates.columns if c not in group]
-    best = candidates.where(F.col(aic) > 0).groupBy(*group).agg(
-        F.min_by(F.struct(*others), F.col(aic)).alias("_best"))
+    positive = F.when(F.col(aic) > 0, F.col(aic))
+    best = candidates.groupBy(*group).agg(F.min_by(F.struct(*others), positive).alias("_best"))
     return best.select(*group, "_best.*")

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from heatline.constants import SEASON
 from heatline.operators.autoreg import _matrix, gram
 from heatline.operators.metrics import best_positive
-from heatline.operators.relational import salted_join
 from heatline.operators.slices import lagged
 
 ROUNDS = 30
@@ -104,7 +103,9 @@ def order_search(rows: DataFrame, season=SEASON, series="series", idx="idx",
 
     fits = products.where(F.col(f"s{long}").isNotNull()).mapInPandas(
         long_fit, f"`{series}` {kind}, d int, sd int, shock_fit array<double>")
-    ready = salted_join(wide.where(F.col(f"z{long}").isNotNull()), fits, group, "pos")
+    known = fits.withColumnsRenamed({g: f"_{g}" for g in group})
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
+    ready = wide.where(F.col(f"z{long}").isNotNull()).join(known, same)
     shock = F.col("z") - sum((F.col(f"z{k}") * F.get("shock_fit", F.lit(k - 1))
                               for k in range(2, long + 1)),
                              F.col("z1") * F.get("shock_fit", F.lit(0)))

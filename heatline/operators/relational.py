@@ -73,15 +73,16 @@ def append_by_name(*frames: DataFrame) -> DataFrame:
 def earliest_copies(df: DataFrame, content: list[str], key: str) -> DataFrame:
     """One row per distinct content, the one with the smallest key.
 
-    Only a digest and the key are shuffled, and copies collapse before the shuffle, so a message
-    that was fetched a billion times costs one row per task.
+    Only digests and keys are shuffled. What is joined to the messages are the keys of the copies,
+    usually few, which Spark broadcasts where it measures them to be small. Rows without a key stay.
     """
     parts = [F.coalesce(F.concat(F.length(F.col(c)).cast("string"), F.lit(":"), F.col(c)),
                         F.lit("-")) for c in content]
     digest = F.sha2(F.concat(*parts), 256)
-    first = (df.select(digest.alias("_digest"), F.col(key))
-             .groupBy("_digest").agg(F.min(key).alias(key)).select(key))
-    return df.join(first, key, "left_semi")
+    narrow = df.select(digest.alias("_digest"), F.col(key).alias("_key"))
+    first = narrow.groupBy("_digest").agg(F.min("_key").alias("_first"))
+    copies = narrow.join(first, "_digest").where("_key > _first").select(F.col("_key").alias(key))
+    return df.join(copies, key, "left_anti")
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -17,7 +17,8 @@ def topic_search(messages: DataFrame, topic: str, key: str, lang="en", since=Non
                  cap=FETCH_CAP) -> DataFrame:
     """The newest `cap` messages of one topic, optionally in [since, until) of `timestamp`.
 
-    The cap is what a search returns; None gives every match.
+    The cap is what a search returns; None gives every match. The newest are found by key alone; only
+    their texts are fetched afterwards. Keys are unique.
     """
     found = messages.where(F.col("lang") == lang).where(mentions(F.col("text"), topic))
     if since is not None:
@@ -25,7 +26,10 @@ def topic_search(messages: DataFrame, topic: str, key: str, lang="en", since=Non
     if until is not None:
         found = found.where(F.col("timestamp") < F.lit(until).cast("timestamp_ntz"))
     found = found.withColumn("topic", F.lit(topic))
-    return found if cap is None else newest_per_group(found, "topic", key, cap)
+    if cap is None:
+        return found
+    newest = newest_per_group(found.select("topic", key), "topic", key, cap)
+    return found.drop("topic").join(newest, key)
 
 
 def topic_matches(messages: DataFrame, topics, lang=None) -> DataFrame:

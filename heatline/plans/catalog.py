@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from heatline.constants import SCORE_SCALE
+from heatline.constants import SCORE_SCALE, SYNTHETIC_AXIS_START
 from heatline.functions import text as X
 from heatline.functions import values as V
 from heatline.operators import (
@@ -32,9 +32,9 @@ PRICE_KEYS = ("1-URGENT", "5-LOW")
 PRICE_SINCE, PRICE_UNTIL = "1996-12-31 00:00:00", "1997-12-31 00:00:00"
 BATCH_EDGE = "2024-01-15 00:00:00"
 GARCH_ALPHA, GARCH_BETA = 0.1, 0.8
-GARCH_POINTS = [(a, b) for a in (0.02, 0.1, 0.2, 0.3) for b in (0.0, 0.2, 0.4, 0.6, 0.69)]
+GARCH_POINTS = garch.lattice()
 REPLAY_DELAY = "36500 days"
-KALMAN_STEPS, GARCH_STEPS, AR_STEPS, MAX_LAG = 50, 25, 100, 24
+KALMAN_STEPS, VELOCITY_STEPS, GARCH_STEPS, AR_STEPS, MAX_LAG = 50, 500, 25, 100, 24
 
 QUERIES = {}
 
@@ -166,8 +166,8 @@ def anomalous_lengths(spark, folder):
 def sharp_rises(spark, folder):
     rises = anomaly.sharp_rises(hours(spark, folder))
     return rises.select("series", at(buckets.HOUR, "hour"), "y",
-                        F.round("trailing_mean", 9).alias("trailing_mean"),
-                        F.round("trailing_std", 9).alias("trailing_std"), "rise")
+                        F.round("trailing_mean", 12).alias("trailing_mean"),
+                        F.round("trailing_std", 6).alias("trailing_std"), "rise")
 
 
 # -- projections and predicates ------------------------------------------------------------------
@@ -274,8 +274,10 @@ def time_axis(spark, folder):
 
 
 def timed_documents(spark, folder):
-    """Documents with a time. Filters on text or language reach the scan, below the join."""
-    return documents(spark, folder).join(time_axis(spark, folder), "doc_id")
+    """Documents with a time: an hour per id, without ranking the ids."""
+    begin = F.unix_seconds(F.lit(SYNTHETIC_AXIS_START).cast("timestamp"))
+    when = F.timestamp_seconds(begin + (F.col("doc_id") + 1) * buckets.HOUR)
+    return documents(spark, folder).withColumn("timestamp", V.plain_timestamp(when))
 
 
 @query
@@ -616,7 +618,7 @@ def kalman_velocity(spark, folder):
 def kalman_velocity_forecast(spark, folder):
     model = kalman.velocity_model()
     states = kalman.final_states(kalman.kalman_filter(hours(spark, folder), model))
-    return rounded(kalman.kalman_forecast(states, model, KALMAN_STEPS), "forecast")
+    return rounded(kalman.kalman_forecast(states, model, VELOCITY_STEPS), "forecast")
 
 
 @query
@@ -713,6 +715,15 @@ def csv_round_trip(spark, folder):
     return files.read_csv(spark, path, df.schema)
 
 
+@query
+def series_file(spark, folder):
+    """Hourly means of one topic, stored with an order column and read back in that order."""
+    path = fresh_folder(spark, "series")
+    one = hours(spark, folder, "none").where("series = 'click'")
+    files.write_series(one.select(F.col("step").alias("position"), F.col("y").alias("prediction")), path)
+    return files.read_series(spark, path)
+
+
 @query
 def batch_table(spark, folder):
     """Scored messages appended as two batches, the second one written twice, read back."""
@@ -743,8 +754,11 @@ def csv_corpus(spark, folder):
 
 
 def stream_of(spark, folder, name):
-    """A stored table as a stream, whether it is one file or a folder of parts."""
-    return spark.readStream.schema(table(spark, folder, name).schema).parquet(f"{folder}/{name}.parquet")
+    """A stored table as a stream, whether it is one file or a folder of parts.
+
+    A plain path has to be a folder; a pattern, here one that only this name fits, may find either.
+    """
+    return spark.readStream.schema(table(spark, folder, name).schema).parquet(f"{folder}/{name}.parque[t]")
 
 
 def event_stream(spark, folder):

@@ -47,6 +47,11 @@ timed AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx,
                  TIMESTAMP '{SYNTHETIC_AXIS_START}'
                  + to_hours(row_number() OVER (ORDER BY doc_id)) AS "timestamp" FROM documents)"""
 
+# The queries that need a time but not a rank: an hour per id.
+DATED = f"""
+timed AS (SELECT *, TIMESTAMP '{SYNTHETIC_AXIS_START}' + to_hours((doc_id + 1)::BIGINT) AS "timestamp"
+          FROM documents)"""
+
 CLEAN = f"trim(lower(regexp_replace(text, '{CLEAN_PATTERN}', '', 'g')))"
 PLAIN = "[" + "".join("\\" + c for c in PUNCTUATION) + "]+"
 NORMAL = (f"trim(regexp_replace(regexp_replace(lower(text), {text(PLAIN)}, '', 'g'), "
@@ -66,7 +71,7 @@ kept AS (SELECT doc_id, list_filter({split(CLEAN)}, lambda w: w NOT IN ({STOPS})
 
 
 def found(where="TRUE"):
-    return f"""WITH {TIMED} SELECT '{C.SEARCHED}' AS topic, doc_id, "timestamp", text FROM timed
+    return f"""WITH {DATED} SELECT '{C.SEARCHED}' AS topic, doc_id, "timestamp", text FROM timed
         WHERE lang = 'en' AND contains(lower(text), '{C.SEARCHED}') AND {where}
         QUALIFY row_number() OVER (ORDER BY doc_id DESC) <= 100"""
 
@@ -145,7 +150,7 @@ def seasonal_path(rows, steps):
              WHERE h < steps)"""
 
 
-def kalman(model, forecast=False):
+def kalman(model, forecast=0):
     """Scalar recursion; a two-state model is the three-state one without the third row."""
     dt, q, n = model.dt, model.Q, len(model.x0)
     noise = {(i, j): (float(q[i][j]) if i < n and j < n else 0.0) for i in range(3)
@@ -174,7 +179,7 @@ def kalman(model, forecast=False):
     """ + (f"""SELECT series, h, round(x0 + h * {dt} * x1
                  + {third} * h * (h - 1) / 2.0 * {dt * dt} * x2, 6) AS forecast
         FROM (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY series ORDER BY idx DESC) = 1),
-             (SELECT unnest(generate_series(1, {C.KALMAN_STEPS}))::BIGINT AS h)""" if forecast else
+             (SELECT unnest(generate_series(1, {forecast}))::BIGINT AS h)""" if forecast else
            """SELECT f.series, f.idx, round(y, 6) AS y, round(predicted, 6) AS predicted
         FROM f JOIN dense USING (series, idx)""")
 
@@ -212,7 +217,7 @@ SQL = {
     "anomalous_lengths": LOCI_LENGTHS + """ SELECT doc_id, series, v AS prediction,
         flag AS "isAnomaly" FROM tagged""",
     "sharp_rises": f"""WITH {DENSE} SELECT series, hour, y,
-        round(m, 9) AS trailing_mean, round(s, 9) AS trailing_std,
+        round(m, 12) AS trailing_mean, round(s, 6) AS trailing_std,
         CAST(y > m + 3 * s AS INTEGER) AS rise FROM
         (SELECT *, avg(y) OVER o AS m, stddev_pop(y) OVER o AS s FROM dense WINDOW o AS
          (PARTITION BY series ORDER BY idx ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
@@ -266,7 +271,7 @@ SQL = {
     "shuffled_documents": "SELECT doc_id, text FROM documents",
     "hash_split": f"""SELECT doc_id, CASE WHEN ('0x' || substr(md5('{SPLIT_SEED}:' || doc_id), 1, 8))
         ::BIGINT % 10000 < 7500 THEN 'train' ELSE 'test' END AS part FROM documents""",
-    "json_encode": f"""WITH {TIMED} SELECT doc_id, CAST(json_object('timestamp',
+    "json_encode": f"""WITH {DATED} SELECT doc_id, CAST(json_object('timestamp',
         strftime("timestamp", '%Y-%m-%d %H:%M:%S'), 'text', text) AS VARCHAR) AS value
         FROM timed""",
     "json_decode": """SELECT event_id, date_trunc('second', ts) AS "timestamp", props AS text
@@ -369,9 +374,9 @@ SQL = {
         (SELECT *, n * ln(css / n) + 6 AS aic FROM fits) WHERE aic > 0
         QUALIFY row_number() OVER (PARTITION BY series ORDER BY aic) = 1""",
     "kalman_velocity": kalman(velocity_model()),
-    "kalman_velocity_forecast": kalman(velocity_model(), forecast=True),
+    "kalman_velocity_forecast": kalman(velocity_model(), forecast=C.VELOCITY_STEPS),
     "kalman_acceleration": kalman(acceleration_model()),
-    "kalman_acceleration_forecast": kalman(acceleration_model(), forecast=True),
+    "kalman_acceleration_forecast": kalman(acceleration_model(), forecast=C.KALMAN_STEPS),
     "garch_path": f"""WITH RECURSIVE {DAILY},
         v AS (SELECT series, 0::BIGINT AS idx, s2 AS v FROM level UNION ALL
               SELECT v.series, v.idx + 1, s2 * {1 - C.GARCH_ALPHA - C.GARCH_BETA}
@@ -384,19 +389,20 @@ SQL = {
     "garch_forecast": GARCH_FIT + f"""SELECT series, h, round(s2 + pow(alpha + beta, h - 1)
         * (next_variance - s2), 6) AS variance FROM fits,
         (SELECT unnest(generate_series(1, {C.GARCH_STEPS}))::BIGINT AS h)""",
-    "csv_round_trip": f"""WITH {TIMED} SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S')
+    "csv_round_trip": f"""WITH {DATED} SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S')
         AS "timestamp", text FROM timed""",
     "batch_table": f"""SELECT event_id, ts AS "timestamp", event_type AS series,
         value AS prediction, (ts >= TIMESTAMP '{C.BATCH_EDGE}')::BIGINT AS batch_id FROM events""",
-    "csv_corpus": f"""WITH {TIMED} SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp",
+    "csv_corpus": f"""WITH {DATED} SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp",
         text, CAST(toxic AS VARCHAR) AS toxicity FROM timed JOIN labels USING (doc_id)""",
     "surrogate_ids": "SELECT count(*) AS n, count(*) AS ids FROM events",
     "random_parts": "SELECT doc_id FROM documents",
     "differences": f"""WITH {DENSE} SELECT series, idx, y - lag(y) OVER o AS by_1,
         y - lag(y, 12) OVER o AS by_12 FROM dense WINDOW o AS (PARTITION BY series ORDER BY idx)""",
     "hashed_counts": f"""WITH {TERMS} SELECT doc_id, len(words)::DOUBLE AS total FROM kept""",
+    "series_file": f"""WITH {SPARSE} SELECT idx, y FROM sparse WHERE series = 'click'""",
     "stream_hour_mean": bucket("hour"),
     "stream_dedup_hour_mean": bucket("hour"),
-    "stream_messages": f'WITH {TIMED} SELECT "timestamp", text FROM timed',
+    "stream_messages": f'WITH {DATED} SELECT "timestamp", text FROM timed',
     "stream_kalman": kalman(velocity_model()),
 }

@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -82,12 +83,13 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the input comes in fewer splits than there are cores.
+    """Rows over all cores when the whole input is one split.
 
-    Meant before costly work on text. A large table has splits enough and is left as it is.
+    Meant before costly work on text. What moves is at most one split, however many cores there are;
+    a table of two splits or more is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < 2 else df
 
 
 def settle(df: DataFrame) -> DataFrame:

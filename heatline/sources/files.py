@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heatline.constants import LEGACY_ENCODING
+from heatline.functions.values import number
+from heatline.operators.slices import row_index
 
 # Files in a corpus folder that are not collected messages.
 NOT_MESSAGES = ("timeseries.csv", "tweets_training.csv")
@@ -40,3 +42,17 @@ def write_csv(df: DataFrame, path: str) -> None:
     """Replace the folder by header CSV with doubled quotes."""
     (df.write.mode("overwrite").option("header", True).option("quote", '"')
      .option("escape", '"').option("emptyValue", '""').csv(path))
+
+
+def write_series(df: DataFrame, path: str, order="position", value="prediction") -> None:
+    """A stored series: header CSV of an order column and the value."""
+    write_csv(df.select(F.col(order).cast("bigint").alias(order), value), path)
+
+
+def read_series(spark: SparkSession, path: str, order="position", value="prediction") -> DataFrame:
+    """(idx, y) of a stored series. The whole-number order column of the file says which value comes
+    first, not the place of a line; rows without an order or a number are dropped."""
+    schema = T.StructType([T.StructField(order, T.LongType()), T.StructField(value, T.StringType())])
+    rows = read_csv(spark, path, schema).select(F.col(order).alias("position"), number(F.col(value)).alias("y"))
+    ordered = row_index(rows.where("position is not null and y is not null"), [], "position", levels=3)
+    return ordered.select("idx", "y")

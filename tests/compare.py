@@ -50,7 +50,7 @@ def main():
     import __spark_entry__ as entry
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(entry.queries())
-    spark = build_session("compare", "local[8]", 8, **{"spark.driver.memory": "12g"})
+    spark = build_session("compare", f"local[{os.environ.get('COMPARE_CPUS', '8')}]", 8, **{"spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = connect(folder), entry.oracle_sql(), 0
     for name in names:

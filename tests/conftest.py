@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark(tmp_path_factory):
     from heatline.session import build_session
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
-    session = build_session("tests", "local[8]", 4, **{
+    session = build_session("tests", f"local[{os.environ.get('TEST_CPUS', '8')}]", 4, **{
         "spark.sql.warehouse.dir": warehouse, "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("OFF")
     yield session

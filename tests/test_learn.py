@@ -76,3 +76,12 @@ def test_stem_tables(spark):
            for r in features.stemmed_vocabulary(docs, words).collect()}
     assert got == {"running": (1, "run"), "runs": (2, "run")}
     assert features.stemmed_tokens(docs, "id", words).orderBy("id").first().stems == ["run", "run"]
+
+
+def test_only_labelled_texts_are_cleaned(spark):
+    messages = spark.createDataFrame([(1, "A, b!"), (2, None), (3, "no label")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, "0.5"), (2, "1"), (4, "1"), (1, "bad")], "doc_id bigint, score string")
+    got = learn.training_set(messages, labels, "doc_id", "score")
+    assert [tuple(r) for r in got.collect()] == [(1, "a b", 50.0)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1

@@ -394,3 +394,24 @@ def test_synthetic_series(spark):
 def test_linear_series_is_forecast_exactly(spark):
     got = by_series(autoreg.seasonal_forecast(synthetic.linear(spark, 200)), "h", "forecast")
     assert [f for _, f in got["linear"]] == pytest.approx([200 + i for i in range(50)])
+
+
+def test_a_group_without_a_positive_aic_keeps_its_row(spark):
+    fits = spark.createDataFrame([("a", 1, -5.0), ("a", 2, None), ("b", 1, 3.0), ("b", 2, 2.0)],
+                                 "series string, lag int, aic double")
+    got = sorted(tuple(r) for r in metrics.best_positive(fits, ["series"]).collect())
+    assert got == [("a", None, None), ("b", 2, 2.0)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 64, 100])
+@pytest.mark.parametrize("model", [kalman.velocity_model(), kalman.acceleration_model()])
+def test_a_summary_does_what_its_observations_do(model, n):
+    rng = np.random.default_rng(n)
+    y = rng.normal(size=n)
+    y[rng.random(n) < 0.2] = np.nan
+    x, p = rng.normal(size=len(model.x0)), model.P0 + np.eye(len(model.x0))
+    _, states, last = kalman.advance(model, x, p, y)
+    size = len(model.x0)
+    start = (np.zeros((size, size)), x, p, np.zeros(size), np.zeros((size, size)))
+    _, b, c, _, _ = kalman._combine(start, kalman._summary(model, y))
+    assert b == pytest.approx(states[-1], rel=1e-6, abs=1e-9) and c == pytest.approx(last, rel=1e-6, abs=1e-9)

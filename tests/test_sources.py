@@ -86,3 +86,11 @@ def test_kafka_options():
     got = messages.kafka_options("host:1", "politics", **{"security.protocol": "SSL"})
     assert got == {"kafka.bootstrap.servers": "host:1", "subscribe": "politics",
                    "startingOffsets": "latest", "kafka.security.protocol": "SSL"}
+
+
+def test_a_series_file_is_read_in_its_order(spark, tmp_path):
+    rows = spark.createDataFrame([(30, "3.5"), (-5, "1.5"), (7, "n/a"), (8, "2.5"), (None, "9")],
+                                 "position bigint, prediction string")
+    files.write_series(rows.repartition(3), str(tmp_path / "s"))
+    got = files.read_series(spark, str(tmp_path / "s")).orderBy("idx").collect()
+    assert [tuple(r) for r in got] == [(0, 1.5), (1, 2.5), (2, 3.5)]
