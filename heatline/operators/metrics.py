@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from heatline.constants import FIT_BAND
 from heatline.operators.relational import between_open
-from heatline.operators.slices import lagged
+from heatline.operators.slices import lagged, previous
 
 
 def mse(label: Column, prediction: Column) -> Column:
@@ -104,29 +104,23 @@ def lag_corr(rows: DataFrame, series="series", idx="idx", value="y", lag=1) -> D
 def acf(rows: DataFrame, max_lag: int, series="series", idx="idx", value="y") -> DataFrame:
     """(series, lag, r) for lag = 1..max_lag, around the mean of the whole series.
 
-    One pass: r(k) needs sum(y_t y_{t-k}) and the sums of the rows that take part on either side,
-    all of which are partial sums.
+    r(k) needs sum(y_t y_{t-k}) and the sums of the rows that take part on either side, all of which
+    are partial sums. The pairs of a row and its lags are added up where they arise; what is shuffled
+    is one row per task, series and lag.
     """
-    lags = {f"_l{k}": (value, k) for k in range(1, max_lag + 1)}
-    wide = lagged(rows, [series], idx, lags)
-    y = F.col(value)
-    sums = wide.groupBy(series).agg(
-        F.count("*").alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("s2"),
-        *[F.sum(y * F.col(f"_l{k}")).alias(f"p{k}") for k in range(1, max_lag + 1)],
-        *[F.sum(F.when(F.col(f"_l{k}").isNotNull(), y)).alias(f"u{k}")
-          for k in range(1, max_lag + 1)],
-        *[F.sum(f"_l{k}").alias(f"v{k}") for k in range(1, max_lag + 1)])
+    y, before = F.col(value), F.col("before")
+    pairs = (previous(rows, [series], idx, value, max_lag)
+             .select(series, value, F.posexplode("before").alias("pos", "before")))
+    cross = pairs.where(before.isNotNull() & y.isNotNull()).groupBy(series, (F.col("pos") + 1).alias("lag")).agg(
+        F.sum(y * before).alias("p"), F.sum(y).alias("u"), F.sum(before).alias("v"))
+    level = rows.groupBy(F.col(series).alias("_series")).agg(
+        F.count("*").alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("s2"))
     mean = F.col("s") / F.col("n")
     spread = F.col("s2") - F.col("n") * mean * mean
-
-    def r(k):
-        cross = (F.col(f"p{k}") - mean * (F.col(f"u{k}") + F.col(f"v{k}"))
-                 + (F.col("n") - k) * mean * mean)
-        return F.try_divide(cross, F.nullif(spread, F.lit(0.0)))
-
-    pairs = F.array(*[F.struct(F.lit(k).alias("lag"), r(k).alias("r"))
-                      for k in range(1, max_lag + 1)])
-    return sums.select(series, F.inline(pairs)).where(F.col("r").isNotNull())
+    top = F.col("p") - mean * (F.col("u") + F.col("v")) + (F.col("n") - F.col("lag")) * mean * mean
+    return (cross.join(level, F.col(series).eqNullSafe(F.col("_series")))
+            .select(series, "lag", F.try_divide(top, F.nullif(spread, F.lit(0.0))).alias("r"))
+            .where(F.col("r").isNotNull()))
 
 
 def best_positive(candidates: DataFrame, group: list[str], aic="aic") -> DataFrame:

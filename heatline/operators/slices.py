@@ -91,17 +91,33 @@ def lagged(df: DataFrame, series: list[str], idx: str, lags: dict, width=SLICE)
     `idx` must be gapless (`row_index` or a regular grid). The last rows of each slice are copied
     into the next one, so the only shuffle is on (series, slice).
     """
-    depth = max(k for _, k in lags.values())
+    cut, order = _overlapping(df, series, idx, max(k for _, k in lags.values()), width)
+    return (cut.select("*", *[F.lag(c, k).over(order).alias(n) for n, (c, k) in lags.items()])
+            .where(F.col("_slice") == F.col("_home"))
+            .drop("_slice", "_home"))
+
+
+def previous(df: DataFrame, series: list[str], idx: str, column: str, depth: int, width=SLICE,
+             name="before") -> DataFrame:
+    """Add the array of up to `depth` values before the row, the nearest first, as `lagged` does.
+
+    For more lags than columns are good for. Slices are at least `depth` wide.
+    """
+    cut, order = _overlapping(df, series, idx, depth, max(width, depth))
+    rows = F.collect_list(F.struct(F.col(column).alias("value"))).over(order.rowsBetween(-depth, -1))
+    return (cut.withColumn(name, F.reverse(rows)["value"])
+            .where(F.col("_slice") == F.col("_home")).drop("_slice", "_home"))
+
+
+def _overlapping(df: DataFrame, series: list[str], idx: str, depth: int, width: int):
+    """Rows in slices that begin with copies of the `depth` rows before, and the order inside."""
     if depth > width:
         raise ValueError(f"a lag of {depth} rows does not fit slices of {width}")
     home = slice_of(F.col(idx), width)
     near_end = F.pmod(F.col(idx), F.lit(width)) >= width - depth
     homes = F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))
     cut = df.withColumn("_home", home).withColumn("_slice", F.explode(homes))
-    order = W.partitionBy(*series, "_slice").orderBy(idx)
-    return (cut.select("*", *[F.lag(c, k).over(order).alias(n) for n, (c, k) in lags.items()])
-            .where(F.col("_slice") == F.col("_home"))
-            .drop("_slice", "_home"))
+    return cut, W.partitionBy(*series, "_slice").orderBy(idx)
 
 
 def last_rows(df: DataFrame, series: list[str], idx: str, n: int) -> DataFrame:

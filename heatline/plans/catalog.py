@@ -34,6 +34,7 @@ BATCH_EDGE = "2024-01-15 00:00:00"
 GARCH_ALPHA, GARCH_BETA = 0.1, 0.8
 GARCH_POINTS = garch.lattice()
 REPLAY_DELAY = "36500 days"
+WEEK_LAG = 168
 KALMAN_STEPS, VELOCITY_STEPS, GARCH_STEPS, AR_STEPS, MAX_LAG = 50, 500, 25, 100, 24
 
 QUERIES = {}
@@ -529,6 +530,13 @@ def autocorrelation(spark, folder):
         "lag", F.col("lag").cast("bigint")), "r")
 
 
+@query
+def autocorrelation_week(spark, folder):
+    """Every lag of a week of hours."""
+    return rounded(metrics.acf(hours(spark, folder), WEEK_LAG).withColumn(
+        "lag", F.col("lag").cast("bigint")), "r")
+
+
 # -- autoregressive models -----------------------------------------------------------------------
 
 @query
@@ -669,6 +677,18 @@ def score_messages(spark, folder):
                        learn.load_model(path)).select("doc_id", "prediction")
 
 
+@query
+def retrained_scores(spark, folder):
+    """A stored model replaced by one trained on all labelled messages so far, then scores by it."""
+    path = fresh_folder(spark, "retrained")
+    first, more = relational.hash_split(labelled(spark, folder), "doc_id")
+    model = learn.score_model(features=100, depth=3, rounds=5)
+    learn.refit(model, first, path)
+    learn.refit(model, relational.append_by_name(first, more), path)
+    return learn.score(documents(spark, folder).select("doc_id", "text"),
+                       learn.load_model(path)).select("doc_id", "prediction")
+
+
 @query
 def holdout_scores(spark, folder):
     """RMSE, mean label and correlation on the quarter not trained on."""

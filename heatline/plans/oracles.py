@@ -200,9 +200,14 @@ fits AS (SELECT series, sum(wt * alpha) / sum(wt) AS alpha, sum(wt * beta) / sum
 """
 
 
-def acf_terms():
-    return ", ".join(
-        f"sum((y - m) * (lag(y, {k}) OVER o - m))" for k in range(1, C.MAX_LAG + 1))
+def acf(lags):
+    return f"""WITH {DENSE},
+        c AS (SELECT series, idx, y - avg(y) OVER (PARTITION BY series) AS d FROM dense),
+        s AS (SELECT series, sum(d * d) AS total FROM c GROUP BY 1)
+        SELECT a.series, k AS lag, round(sum(a.d * b.d) / any_value(total), 6) AS r
+        FROM c a, (SELECT unnest(generate_series(1, {lags}))::BIGINT AS k) ks
+        JOIN c b ON b.series = a.series AND b.idx = a.idx - k
+        JOIN s ON s.series = a.series GROUP BY 1, 2"""
 
 
 SQL = {
@@ -320,13 +325,8 @@ SQL = {
         FROM pairs GROUP BY 1""",
     "overall_mean": "SELECT count(*) AS n, avg(toxic * 100.0::DOUBLE) AS mean_score FROM labels",
     "lag_correlation": PERSIST + " SELECT series, round(corr(p, label), 6) AS r FROM pairs GROUP BY 1",
-    "autocorrelation": f"""WITH {DENSE},
-        c AS (SELECT series, idx, y - avg(y) OVER (PARTITION BY series) AS d FROM dense),
-        s AS (SELECT series, sum(d * d) AS total FROM c GROUP BY 1)
-        SELECT a.series, k AS lag, round(sum(a.d * b.d) / any_value(total), 6) AS r
-        FROM c a, (SELECT unnest(generate_series(1, {C.MAX_LAG}))::BIGINT AS k) ks
-        JOIN c b ON b.series = a.series AND b.idx = a.idx - k
-        JOIN s ON s.series = a.series GROUP BY 1, 2""",
+    "autocorrelation": acf(C.MAX_LAG),
+    "autocorrelation_week": acf(C.WEEK_LAG),
     "seasonal_gram": f"""WITH RECURSIVE {DENSE}, {seasonal('dense')}
         SELECT series, equations + 25 AS n, equations, """ + ", ".join(
             f"round(g{i}{j}, 6) AS g_{i}_{j}" for i in range(4) for j in range(i, 4)) + " FROM g",

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from heatline.plans.catalog import QUERIES
 
 SLOW = {"score_messages", "holdout_scores", "tuned_candidates", "classified_messages",
-        "svm_messages", "stream_scores"}
+        "svm_messages", "stream_scores", "retrained_scores"}
 
 
 @pytest.fixture(scope="module")
