@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heatline.schemas import table
-from heatline.session import settle, ship
+from heatline.session import fresh_folder, settle, ship
 
 FOLDS = 3
 HELD_OUT_FOLD = 1
@@ -44,22 +44,30 @@ def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema:
     return df.mapInArrow(run, schema)
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written as a table below the shared folder and read back.
+
+    Durable like a checkpoint, and Spark knows its size: joins with it are broadcast where it is below
+    Spark's own limit, and shuffled where it is not.
+    """
+    path = fresh_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_sample(df: DataFrame, row_id: str, bound: int, seed: str) -> DataFrame:
-    """About `bound` rows at most, chosen by a hash of the id; all rows where there are fewer.
+    """Some `bound` rows, chosen by a hash of the id; all rows where there are fewer.
 
-    Only for fitting a model. The expected size is 0.95 of the bound, so the bound holds in practice
-    and `limit` makes it certain.
+    Only for fitting a model. The expected size is 0.95 of the bound. Ids that repeat often can bring
+    more, so whoever gathers the sample also limits it to the bound.
     """
-    rows = df.count()
-    share = min(1.0, 0.95 * bound / max(rows, 1))
-    if share == 1.0:
-        return df.limit(bound) if rows > bound else df
+    share = min(1.0, 0.95 * bound / max(df.count(), 1))
     point = F.pmod(F.xxhash64(F.lit(seed), F.col(row_id)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return df.where(point < share).limit(bound)
+    return df if share == 1.0 else df.where(point < share)
 
 
-def fit_once(sample: DataFrame, order: str, fit: Callable[[pa.Table], bytes]) -> bytes:
-    """Fit a model on a bounded sample in one task, in an order that does not depend on the run.
+def fit_once(sample: DataFrame, order: str, bound: int, fit: Callable[[pa.Table], bytes]) -> bytes:
+    """Fit a model on `bound` rows at most in one task, in an order that does not depend on the run.
 
     Returns the model's bytes; raises where the sample is empty.
     """
@@ -69,7 +77,7 @@ def fit_once(sample: DataFrame, order: str, fit: Callable[[pa.Table], bytes]) ->
             yield pa.RecordBatch.from_arrays([pa.array([fit(pa.Table.from_batches(held))], pa.binary())],
                                              names=["model"])
 
-    one = (sample.withColumn("_at", F.xxhash64(F.lit("order"), order)).repartition(1)
+    one = (sample.limit(bound).withColumn("_at", F.xxhash64(F.lit("order"), order)).repartition(1)
            .sortWithinPartitions("_at", order).drop("_at"))
     rows = one.mapInArrow(run, "model binary").collect()
     if not rows:
@@ -90,4 +98,4 @@ def unpack(blob: bytes) -> dict[str, np.ndarray]:
 
 
 __all__ = ["FOLDS", "HELD_OUT_FOLD", "bounded_sample", "fit_once", "fold", "held_out", "map_rows", "pack", "read",
-           "settle", "unpack"]
+           "settle", "stored", "unpack"]

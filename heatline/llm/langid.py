@@ -107,23 +107,31 @@ def fit(docs: DataFrame, row_id="doc_id", text="text", lang="lang", sample=SAMPL
     """A model from the rows of `docs` that have a language and a letter.
 
     Document frequencies cover all of these rows; the weights are learned on at most `sample` rows,
-    chosen by a hash of the id, a fifth of which only sets the temperature.
+    chosen by a hash of the id, a fifth of which only sets the temperature. Texts are counted where
+    they are; the one task that learns gets no more than the buckets of each.
     """
     rows = docs.select(F.col(row_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
                        F.col(lang).cast("string").alias("lang")).where("lang is not null and text is not null")
     seen, df = document_frequencies(rows)
     idf = np.log((1 + seen) / (1 + df)) + 1
 
+    def counted(batch):
+        found = [counts(t.as_py()) for t in batch.column(2)]
+        ons = [np.flatnonzero(f) if f is not None else np.zeros(0, np.int64) for f in found]
+        return {"doc_id": batch.column(0), "lang": batch.column(1),
+                "grams": pa.array([on.astype(np.int32) for on in ons], pa.list_(pa.int32())),
+                "n": pa.array([f[on].astype(np.float32) if len(on) else [] for f, on in zip(found, ons)],
+                              pa.list_(pa.float32()))}
+
     def learn(got: pa.Table) -> bytes:
         names = np.array(sorted(set(got.column("lang").to_pylist())))
         of = {name: k for k, name in enumerate(names.tolist())}
         data = []
-        for t, name in zip(got.column("text"), got.column("lang").to_pylist()):
-            total = counts(t.as_py())
-            if total is not None:
-                x = weighted(total, idf)
-                at = np.flatnonzero(x)
-                data.append((np.append(at, 1 << BITS), np.append(x[at], 1.0), of[name]))
+        for at, n, name in zip(got.column("grams"), got.column("n"), got.column("lang").to_pylist()):
+            at = at.values.to_numpy()
+            if len(at):
+                x = weighted(n.values.to_numpy(), idf[at])
+                data.append((np.append(at, np.int32(1 << BITS)), np.append(x, 1.0).astype(np.float32), of[name]))
         model = Ftrl((1 << BITS) + 1, len(names))
         own = [d for k, d in enumerate(data) if k % VALIDATION] or data
         for _ in range(PASSES):
@@ -136,7 +144,10 @@ def fit(docs: DataFrame, row_id="doc_id", text="text", lang="lang", sample=SAMPL
         return pack(w=w[:-1].astype(np.float32), b=w[-1] / warm, idf=idf.astype(np.float32),
                     warm=np.float64(warm), names=names)
 
-    return fit_once(bounded_sample(rows, "doc_id", sample, "language"), "doc_id", learn)
+    chosen = bounded_sample(rows, "doc_id", sample, "language").select("doc_id", "lang", "text")
+    kind = dict(rows.dtypes)["doc_id"]
+    return fit_once(map_rows(chosen, counted, f"doc_id {kind}, lang string, grams array<int>, n array<float>"),
+                    "doc_id", sample, learn)
 
 
 def predict(docs: DataFrame, model: bytes, text="text") -> DataFrame:

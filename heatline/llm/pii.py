@@ -201,7 +201,7 @@ def fit(docs: DataFrame, row_id="doc_id", text="text", sample=SAMPLE) -> Selecto
     quarter of the rows each kind gets the least margin at which 98 in 100 selected candidates are
     personal; a kind without such a margin selects nothing.
     """
-    rows = bounded_sample(docs.where(F.col(text).isNotNull()), row_id, sample, "pii")
+    rows = bounded_sample(docs.where(F.col(text).isNotNull()), row_id, sample, "pii").limit(sample)
     all_of = with_candidates(with_base(rows.select(F.col(row_id).alias("_id"), text), text), decoys=True)
     found = all_of.select("_id", "_base", F.explode(F.expr("concat(_wide, _decoys)")).alias("c"))
     marked = found.withColumn("label", F.expr("""

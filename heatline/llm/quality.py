@@ -37,14 +37,16 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def learn(texts: list[str], labels: list[int]) -> bytes:
-    """Bucket vectors and output weights; what is kept is their product, one row per bucket."""
+def learn(texts: list[tuple[np.ndarray, np.ndarray]], labels: list[int]) -> bytes:
+    """Bucket vectors and output weights; what is kept is their product, one row per bucket.
+
+    A text is given as its buckets and how often it has each.
+    """
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (1 << BITS, WIDTH))
     out, bias = np.zeros((WIDTH, CLASSES)), np.zeros(CLASSES)
     data = []
-    for text, label in zip(texts, labels):
-        at, n = np.unique(features(text), return_counts=True)
+    for (at, n), label in zip(texts, labels):
         if len(at):
             data.append((at, n / n.sum(), label))
     steps = max(1, PASSES * len(data))
@@ -68,7 +70,10 @@ def learn(texts: list[str], labels: list[int]) -> bytes:
 
 def fit(docs: DataFrame, labels: DataFrame, row_id="doc_id", text="text", label="quality",
         sample=SAMPLE) -> bytes | None:
-    """A model from at most `sample` labelled rows, chosen by a hash of the id; None without any."""
+    """A model from at most `sample` labelled rows, chosen by a hash of the id; None without any.
+
+    Texts are hashed where they are; the one task that learns gets no more than the buckets of each.
+    """
     marked = labels.select(F.col(row_id).alias("doc_id"), F.col(label).cast("int").alias("label")).where(
         "label in (0, 1)")
     chosen = bounded_sample(marked, "doc_id", sample, "quality")
@@ -77,10 +82,19 @@ def fit(docs: DataFrame, labels: DataFrame, row_id="doc_id", text="text", label=
     if not rows.take(1):
         return None
 
+    def counted(batch):
+        found = [np.unique(features(t.as_py()), return_counts=True) for t in batch.column(1)]
+        return {"doc_id": batch.column(0), "label": batch.column(2),
+                "buckets": pa.array([at.astype(np.int32) for at, _ in found], pa.list_(pa.int32())),
+                "n": pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32()))}
+
     def run(got: pa.Table) -> bytes:
-        return learn(got.column("text").to_pylist(), got.column("label").to_pylist())
+        texts = [(at.values.to_numpy(), n.values.to_numpy()) for at, n in zip(got.column("buckets"), got.column("n"))]
+        return learn(texts, got.column("label").to_pylist())
 
-    return fit_once(rows, "doc_id", run)
+    kind = dict(rows.dtypes)["doc_id"]
+    return fit_once(map_rows(rows.select("doc_id", "text", "label"), counted,
+                             f"doc_id {kind}, label int, buckets array<int>, n array<int>"), "doc_id", sample, run)
 
 
 def score(model: dict, text: str) -> float:

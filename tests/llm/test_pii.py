@@ -69,7 +69,7 @@ def test_random_texts(spark, selector):
 
 
 def test_edge_cases(spark, selector):
-    texts = {1: None, 2: "", 3: "1 " * 40_000, 4: "1" * 200_000, 5: "a@b" + ".c" * 50_000, 6: "a" * 200_000, 7: "1.2.3." * 6_000,
+    texts = {1: None, 2: "", 3: "1 " * 40_000, 4: "1" * 20_000, 5: "a@b" + ".c" * 50_000, 6: "a" * 20_000, 7: "1.2.3." * 6_000,
              8: "+" + "1 (" * 20_000, 9: "x@y.z " * 2000}
     docs = spark.createDataFrame([(k, v, 7) for k, v in texts.items()], "doc_id long, text string, spans int")
     check(pii.report(docs, selector=selector).collect(), texts)
