@@ -73,23 +73,19 @@ def test_small_chunks(spark, monkeypatch):
     rows = [(1, part), (2, "x" * 700 + part[500:2500] + "y" * 300), (3, part[::-1] + part[100:149] + "z" + part[100:150])]
     want = brute(rows)
     monkeypatch.setattr(repeats, "CHUNK", 256)
-    texts = repeats.Texts([t.encode() for _, t in rows])
-    at, codes = texts.anchors()
-    monkeypatch.setattr(repeats, "CHUNK", 1 << 20)
-    whole_at, whole_codes = texts.anchors()
-    assert (at == whole_at).all() and (codes == whole_codes).all()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert plain(repeats.remove_repeats(docs).collect()) == sorted(want, key=str)
 
 
-def test_every_window_has_an_anchor():
+def test_cells_hold_every_window_once():
     rng = np.random.default_rng(0)
     texts = repeats.Texts([rng.integers(97, 100, n).astype(np.uint8).tobytes() for n in (49, 50, 51, 400, 0, 90)])
-    at, _ = texts.anchors()
-    for row, (lo, hi) in enumerate(zip(texts.starts[:-1], texts.starts[1:])):
-        for j in range(lo, hi - 49):
-            assert ((at >= j) & (at < j + repeats.REACH)).any()
-        assert not ((at >= lo) & (at < hi)).any() or hi - lo >= 50
+    heads, tails, _ = texts.cells()
+    want = [j for lo, hi in zip(texts.starts[:-1], texts.starts[1:]) for j in range(lo, hi - 49)]
+    assert repeats.spread(heads, tails).tolist() == want
+    assert (tails - heads < repeats.REACH).all()
+    codes, windows = texts.codes(np.array(want)), [texts.data[j:j + 50].tobytes() for j in want]
+    assert len(set(codes.tolist())) == len(set(windows))
 
 
 def test_edge_cases(spark):
