@@ -8,7 +8,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heatline.llm.common import settle
+from heatline.llm.common import settle, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 ENTROPY = 0.9995
@@ -104,7 +104,7 @@ def offsets(rows: DataFrame) -> DataFrame:
 def planned(docs: DataFrame, row_id, source, text, entropy, most_epochs) -> tuple[DataFrame, DataFrame]:
     rows = settle(measured(docs, row_id, source, text))
     totals = settle(rows.groupBy("src").agg(F.sum("tokens").alias("t"), F.count("*").alias("n")))
-    return rows, settle(budgets(totals, exponent(totals, entropy, most_epochs)))
+    return rows, stored(budgets(totals, exponent(totals, entropy, most_epochs)), "sources")
 
 
 def mix(docs: DataFrame, row_id="doc_id", source="source", text="text", entropy=ENTROPY, most_epochs=MOST_EPOCHS,
@@ -139,14 +139,15 @@ def repeat(docs: DataFrame, row_id="doc_id", source="source", text="text", entro
     """`docs` with every row as often as the mix uses it.
 
     The last, unfinished epoch of a source ends at one point of its order. So each source needs only
-    its number of whole epochs and that point, and the texts are not shuffled.
+    its number of whole epochs and that point: one row per source, joined to the texts without a
+    shuffle while Spark measures that table to be small.
     """
     rows, plan = planned(docs, row_id, source, text, entropy, most_epochs)
     plan = plan.withColumn("whole_epochs", F.expr("int(budget div t)"))
     last = (rows.join(plan.where("budget % t > 0"), "src").withColumn("epoch", F.col("whole_epochs"))
             .withColumn("axis", order_key(F.col("epoch"), "use")))
     ends = offsets(last).where("before < budget % t").groupBy("src").agg(F.max("axis").alias("end"))
-    by_source = settle(plan.join(ends, "src", "left").select("src", "whole_epochs", "end"))
+    by_source = stored(plan.join(ends, "src", "left").select("src", "whole_epochs", "end"), "sources")
     own = {c: f"_mixed_{i}" for i, c in enumerate(docs.columns)}
     named = docs.select([F.col(f"`{c}`").alias(n) for c, n in own.items()])
     keyed = named.select("*", *[c.alias(n) for c, n in zip(
