@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heatline.llm.common import stored
+
 WIDTH = 2048
 
 
@@ -17,10 +19,13 @@ def meeting_places(rows: DataFrame, key: str, unit: str, width: int = WIDTH) ->
     `unit`, and every two parts (and each part with itself) are a place of their own, so that any
     two rows of a group meet while a place stays near 2 * `width` rows. `_a` and `_b` name the two
     parts of a place and `_part` the row's own. Rows whose key is unique meet nobody and go.
+
+    The sizes are stored first, so that the join with them is a plain one, which Spark can split where
+    a key is hot.
     """
-    sizes = (rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
-             .withColumn("_parts", F.ceil(F.col("_n") / F.lit(width)).cast("int")))
-    cut = (rows.join(sizes.drop("_n"), key)
+    sizes = stored(rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
+                   .select(key, F.ceil(F.col("_n") / F.lit(width)).cast("int").alias("_parts")), "sizes")
+    cut = (rows.join(sizes, key)
            .withColumn("_part", F.pmod(F.xxhash64(F.lit("part"), unit), F.col("_parts")).cast("int"))
            .withColumn("_other", F.explode(F.expr("sequence(0, _parts - 1)"))))
     return (cut.withColumn("_a", F.least("_part", "_other")).withColumn("_b", F.greatest("_part", "_other"))
