@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from heatline.operators import folds
 from heatline.operators.slices import SLICE, lagged, slice_of
 
 
@@ -59,24 +60,24 @@ def _entering(rows: DataFrame, points, series: str, idx: str, width: int):
 
     def shift(key, frame):
         if len(frame) < width:      # idx has no gaps, so nothing follows this slice
-            return pd.DataFrame(columns=[series, "_slice", "s2", "added"], dtype=object)
+            return pd.DataFrame(columns=[series, "_slice", "parts"], dtype=object)
         frame = frame.sort_values(idx)
         s2 = float(frame["s2"].iloc[0])
         _, added = _recursion(points, frame["e"].to_numpy(float), s2, np.zeros(len(points)))
-        return pd.DataFrame({series: [key[0]], "_slice": [key[1]], "s2": [s2], "added": [added]})
-
-    def fold(key, frame):
-        frame = frame.sort_values("_slice")
-        now, starts = np.full(len(points), float(frame["s2"].iloc[0])), []
-        for added in frame["added"]:
-            now = np.asarray(added) + beta ** width * now
-            starts.append(now)
-        return pd.DataFrame({series: key[0], "_slice": frame["_slice"] + 1, "start": starts})
-
-    shifts = cut.groupBy(series, "_slice").applyInPandas(
-        shift, f"`{series}` {kind}, _slice bigint, s2 double, added array<double>")
-    starts = shifts.groupBy(series).applyInPandas(
-        fold, f"`{series}` {kind}, _slice bigint, start array<double>")
+        return pd.DataFrame({series: [key[0]], "_slice": [key[1]], "parts": [np.append(s2, added)]})
+
+    def apply(state, parts, slices):
+        return parts[1:] + beta ** (width * slices) * state
+
+    def reduce(parts):
+        total = np.zeros(len(beta))
+        for p in parts:
+            total = apply(total, p, 1)
+        return np.append(parts[0][0], total)
+
+    summaries = cut.groupBy(series, "_slice").applyInPandas(
+        shift, f"`{series}` {kind}, _slice bigint, parts array<double>")
+    starts = folds.starts(summaries, lambda parts: np.full(len(beta), parts[0]), apply, reduce, series)
     return cut.groupBy(series, "_slice").cogroup(starts.groupBy(series, "_slice"))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from heatline.constants import (
     ACCELERATION_DT, ACCELERATION_Q, ACCELERATION_R, VELOCITY_NOISE, VELOCITY_R, VELOCITY_START)
+from heatline.operators import folds
 from heatline.operators.slices import SLICE, last_rows, slice_of
 
 
@@ -88,6 +89,11 @@ def _summary(model: StateModel, values):
     parts = (np.where(there[:, :, None], keep @ model.F, model.F), np.where(there, gain * z, 0.0),
              np.where(there[:, :, None], keep @ model.Q, model.Q), np.where(there, seen * z, 0.0),
              np.where(there[:, :, None], np.outer(model.F.T @ model.H, seen), np.zeros((n, n))))
+    return _together(parts)
+
+
+def _together(parts):
+    """One summary of stacked ones, neighbours pairwise."""
     while len(parts[0]) > 1:
         odd = len(parts[0]) % 2
         joined = _combine(tuple(p[:len(p) - odd:2] for p in parts), tuple(p[1:len(p):2] for p in parts))
@@ -95,6 +101,17 @@ def _summary(model: StateModel, values):
     return tuple(p[0] for p in parts)
 
 
+def _flat(parts) -> np.ndarray:
+    return np.concatenate([np.ravel(p) for p in parts])
+
+
+def _unflat(flat: np.ndarray, n: int) -> tuple:
+    """The parts of one summary, or of several stacked ones."""
+    a, b, c, e, j = np.split(flat, np.cumsum([n * n, n, n * n, n]), axis=-1)
+    square = (*flat.shape[:-1], n, n)
+    return a.reshape(square), b, c.reshape(square), e, j.reshape(square)
+
+
 def _times(matrix, vector):
     return np.einsum("...ij,...j->...i", matrix, vector)
 
@@ -123,20 +140,18 @@ def kalman_filter(rows: DataFrame, model: StateModel, series="series", idx="idx"
         if len(frame) < width:      # idx has no gaps, so nothing follows this slice
             return pd.DataFrame(columns=[series, "_slice", "parts"], dtype=object)
         values = frame.sort_values(idx)[value].to_numpy(float)
-        flat = np.concatenate([np.ravel(m) for m in _summary(model, values)])
-        return pd.DataFrame({series: [key[0]], "_slice": [key[1]], "parts": [flat]})
-
-    def fold(key, frame):
-        frame = frame.sort_values("_slice")
-        sizes = [n * n, n, n * n, n, n * n]
-        x = (np.zeros((n, n)), model.x0, model.P0, np.zeros(n), np.zeros((n, n)))
-        starts = []
-        for flat in frame["parts"]:
-            cuts = np.split(np.asarray(flat), np.cumsum(sizes)[:-1])
-            x = _combine(x, [c.reshape(n, n) if c.size == n * n and i % 2 == 0 else c
-                             for i, c in enumerate(cuts)])
-            starts.append(np.concatenate([x[1], np.ravel(x[2])]))
-        return pd.DataFrame({series: key[0], "_slice": frame["_slice"] + 1, "start": starts})
+        return pd.DataFrame({series: [key[0]], "_slice": [key[1]], "parts": [_flat(_summary(model, values))]})
+
+    def first(parts):
+        return np.concatenate([model.x0, np.ravel(model.P0)])
+
+    def apply(state, parts, slices):
+        zero = np.zeros((n, n))
+        after = _combine((zero, state[:n], state[n:].reshape(n, n), np.zeros(n), zero), _unflat(parts, n))
+        return np.concatenate([after[1], np.ravel(after[2])])
+
+    def reduce(parts):
+        return _flat(_together(_unflat(np.stack(parts), n)))
 
     def run(key, frame, start):
         # a start may exist for a slice that has no rows, when the last slice is exactly full
@@ -153,8 +168,7 @@ def kalman_filter(rows: DataFrame, model: StateModel, series="series", idx="idx"
 
     summaries = cut.groupBy(series, "_slice").applyInPandas(
         summarise, f"`{series}` {kind}, _slice bigint, parts array<double>")
-    starts = summaries.groupBy(series).applyInPandas(
-        fold, f"`{series}` {kind}, _slice bigint, start array<double>")
+    starts = folds.starts(summaries, first, apply, reduce, series)
     out = f"`{series}` {kind}, {idx} bigint, {value} double, predicted double, state array<double>"
     return (cut.groupBy(series, "_slice").cogroup(starts.groupBy(series, "_slice"))
             .applyInPandas(run, out))

@@ -2,13 +2,14 @@
 
 import itertools
 import math
+from functools import partial
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from heatline.functions import synthetic
-from heatline.operators import autoreg, garch, kalman, metrics, orders, recurrence
+from heatline.operators import autoreg, folds, garch, kalman, metrics, orders, recurrence
 
 SCHEMA = "series string, idx bigint, y double"
 
@@ -295,8 +296,9 @@ def textbook(model, values):
 
 
 @pytest.mark.parametrize("model", [kalman.acceleration_model(), kalman.velocity_model()])
-@pytest.mark.parametrize("width", [16, 50, 4096])
-def test_kalman_in_slices_equals_one_pass(spark, model, width):
+@pytest.mark.parametrize("width,block", [(16, 1024), (50, 1024), (4096, 1024), (7, 3), (10, 2)])
+def test_kalman_in_slices_equals_one_pass(spark, monkeypatch, model, width, block):
+    monkeypatch.setattr(folds, "starts", partial(folds.starts, block=block))
     rng = np.random.default_rng(0)
     x = np.linspace(-10, 10, 100)
     long, short = -(x ** 2 + 2 * x - 2) + rng.normal(0, 2, 100), rng.normal(size=7)
@@ -346,8 +348,9 @@ def loop_path(e, s2, alpha, beta):
     return out, loglik, v
 
 
-@pytest.mark.parametrize("width", [16, 50, 4096])
-def test_garch_in_slices_equals_one_pass(spark, width):
+@pytest.mark.parametrize("width,block", [(16, 1024), (50, 1024), (4096, 1024), (7, 3), (10, 2)])
+def test_garch_in_slices_equals_one_pass(spark, monkeypatch, width, block):
+    monkeypatch.setattr(folds, "starts", partial(folds.starts, block=block))
     r = simulated_returns(100, 0.1, 0.8)
     df = series(spark, a=r, b=r[:20]).withColumnRenamed("y", "r")
     rows = garch.residuals(df)
