@@ -19,6 +19,7 @@ from heatline.operators.recurrence import extend
 from heatline.operators.slices import lagged, last_rows, running_totals
 
 ROUNDS = 50
+SETTLED = 1e-6
 MIN_EQUATIONS = 3
 
 
@@ -64,31 +65,33 @@ def _ratio(above: Column, below: Column, limit) -> Column:
 
 def seasonal_fit(rows: DataFrame, season=SEASON, series="series", idx="idx", value="y",
                  rounds=ROUNDS, stationary=False) -> DataFrame:
-    """(series, n, equations, phi, seasonal_phi, css, aic, status).
+    """(series, n, equations, phi, seasonal_phi, css, aic, change, status).
 
     Residual w0 - phi w1 - Phi ws + phi Phi wt: with either coefficient fixed the other has a closed
-    form, so they are updated in turn. Series with fewer than 3 equations are `too_short`.
+    form, so they are updated in turn. Series with fewer than 3 equations are `too_short`; one whose
+    last round still changed a coefficient by more than 1e-6 (`change`) is `not_converged`.
     `stationary` keeps both inside (-1, 1).
     """
     limit = 0.999 if stationary else None
     g = {(i, j): F.col(f"g_{i}_{j}") for i in range(4) for j in range(i, 4)}
     mixed = g[1, 2] + g[0, 3]
 
-    def update(state, _):
+    def update(state):
         big = state["seasonal_phi"]
         phi = _ratio(g[0, 1] - big * mixed + big * big * g[2, 3],
                      g[1, 1] - 2 * big * g[1, 3] + big * big * g[3, 3], limit)
-        return F.struct(phi.alias("phi"), big.alias("seasonal_phi"))
+        return F.struct(phi.alias("phi"), big.alias("seasonal_phi"), F.abs(phi - state["phi"]).alias("change"))
 
     def update_seasonal(state):
         phi = state["phi"]
         big = _ratio(g[0, 2] - phi * mixed + phi * phi * g[1, 3],
                      g[2, 2] - 2 * phi * g[2, 3] + phi * phi * g[3, 3], limit)
-        return F.struct(phi.alias("phi"), big.alias("seasonal_phi"))
+        return F.struct(phi.alias("phi"), big.alias("seasonal_phi"),
+                        F.greatest(state["change"], F.abs(big - state["seasonal_phi"])).alias("change"))
 
-    start = F.struct(F.lit(0.0).alias("phi"), F.lit(0.0).alias("seasonal_phi"))
+    start = F.struct(*[F.lit(0.0).alias(c) for c in ("phi", "seasonal_phi", "change")])
     fit = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start,
-                      lambda state, i: update_seasonal(update(state, i)))
+                      lambda state, i: update_seasonal(update(state)))
     c = [F.lit(1.0), -F.col("phi"), -F.col("seasonal_phi"), F.col("phi") * F.col("seasonal_phi")]
     css = sum((c[i] * c[j] * g[min(i, j), max(i, j)] for i in range(4) for j in range(4)),
               F.lit(0.0))
@@ -96,11 +99,12 @@ def seasonal_fit(rows: DataFrame, season=SEASON, series="series", idx="idx", val
     enough = m >= MIN_EQUATIONS
     return (seasonal_gram(rows, season, series, idx, value)
             .withColumn("_fit", F.when(enough, fit))
-            .select("*", "_fit.phi", "_fit.seasonal_phi")
+            .select("*", "_fit.phi", "_fit.seasonal_phi", "_fit.change")
             .withColumn("css", F.when(enough, F.greatest(css, F.lit(0.0))))
             .withColumn("aic", F.when(F.col("css") > 0, m * F.log(F.col("css") / m) + 4))
-            .withColumn("status", F.when(enough, "ok").otherwise("too_short"))
-            .select(series, "n", "equations", "phi", "seasonal_phi", "css", "aic", "status"))
+            .withColumn("status", F.when(~enough, "too_short").when(F.col("change") > SETTLED, "not_converged")
+                        .otherwise("ok"))
+            .select(series, "n", "equations", "phi", "seasonal_phi", "css", "aic", "change", "status"))
 
 
 def seasonal_forecast(rows: DataFrame, season=SEASON, share=FORECAST_SHARE, series="series",
@@ -110,7 +114,7 @@ def seasonal_forecast(rows: DataFrame, season=SEASON, share=FORECAST_SHARE, seri
     Multiplied out, the model is a linear rule of the last 2s+1 values.
     """
     fits = (seasonal_fit(rows, season, series, idx, value, stationary=stationary)
-            .where(F.col("status") == "ok"))
+            .where(F.col("status") != "too_short"))
     steps = F.floor(F.col("n") * share) if horizon is None else F.lit(horizon)
     phi, big = F.col("phi"), F.col("seasonal_phi")
     at = {1: phi, season: 1 + big, season + 1: -phi * (1 + big), 2 * season: -big,

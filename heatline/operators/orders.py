@@ -19,6 +19,7 @@ from heatline.operators.metrics import best_positive
 from heatline.operators.slices import lagged
 
 ROUNDS = 30
+SETTLED = 1e-6
 
 
 def _variants(rows: DataFrame, season: int, series: str, idx: str, value: str) -> DataFrame:
@@ -34,7 +35,7 @@ def _variants(rows: DataFrame, season: int, series: str, idx: str, value: str) -
 
 
 def _alternate(g: np.ndarray, has) -> tuple:
-    """Coefficients (phi, Phi, theta, Theta) and sum of squares for each matrix of a batch.
+    """Coefficients (phi, Phi, theta, Theta), sum of squares and last change for each matrix of a batch.
 
     The residual is linear in (phi, theta) for fixed seasonal coefficients and the other way round;
     variables are z, z lag 1, s, s+1 and shocks lag 1, s, s+1.
@@ -60,6 +61,7 @@ def _alternate(g: np.ndarray, has) -> tuple:
         return base, ways
 
     for _ in range(ROUNDS):
+        before = coef.copy()
         for free in ([k for k in (0, 2) if has[k]], [k for k in (1, 3) if has[k]]):
             if not free:
                 continue
@@ -73,13 +75,14 @@ def _alternate(g: np.ndarray, has) -> tuple:
     base, _ = vectors([])
     base[:, 3] = coef[:, 0] * coef[:, 1]
     base[:, 6] = -coef[:, 2] * coef[:, 3]
-    return coef, np.maximum(np.einsum("bi,bij,bj->b", base, g, base), 0.0)
+    return coef, np.maximum(np.einsum("bi,bij,bj->b", base, g, base), 0.0), np.abs(coef - before).max(axis=1)
 
 
 def order_search(rows: DataFrame, season=SEASON, series="series", idx="idx",
                  value="y") -> DataFrame:
-    """(series, p, d, q, sp, sd, sq, n, phi, seasonal_phi, theta, seasonal_theta, aic), 64 per series.
+    """(series, p, d, q, sp, sd, sq, n, phi, seasonal_phi, theta, seasonal_theta, aic, status), 64 per series.
 
+    The status is `not_converged` where the last round still changed a coefficient by more than 1e-6.
     All candidates of a series are scored on the same rows, those from position 4s+3 on.
     """
     long = 2 * season + 1
@@ -123,7 +126,7 @@ def order_search(rows: DataFrame, season=SEASON, series="series", idx="idx",
                 continue
             g, n = _matrix(frame, 7), frame["equations"].to_numpy(float)
             for p, q, sp, sq in itertools.product((0, 1), repeat=4):
-                coef, css = _alternate(g, (p, sp, q, sq))
+                coef, css, change = _alternate(g, (p, sp, q, sq))
                 with np.errstate(divide="ignore"):
                     aic = np.where(css > 0, n * (np.log(2 * np.pi * css / n) + 1)
                                    + 2 * (p + q + sp + sq + 1), np.nan)
@@ -131,11 +134,13 @@ def order_search(rows: DataFrame, season=SEASON, series="series", idx="idx",
                     series: frame[series], "p": p, "d": frame["d"], "q": q, "sp": sp,
                     "sd": frame["sd"], "sq": sq, "n": frame["equations"], "phi": coef[:, 0],
                     "seasonal_phi": coef[:, 1], "theta": coef[:, 2],
-                    "seasonal_theta": coef[:, 3], "aic": aic})
+                    "seasonal_theta": coef[:, 3], "aic": aic,
+                    "status": np.where(change > SETTLED, "not_converged", "ok")})
 
     return sums.mapInPandas(
         score, f"`{series}` {kind}, p int, d int, q int, sp int, sd int, sq int, n bigint, "
-               "phi double, seasonal_phi double, theta double, seasonal_theta double, aic double")
+               "phi double, seasonal_phi double, theta double, seasonal_theta double, aic double, "
+              "status string")
 
 
 def best_order(rows: DataFrame, season=SEASON, series="series", idx="idx", value="y") -> DataFrame:

@@ -547,7 +547,8 @@ def seasonal_gram(spark, folder):
 
 @query
 def sarima_fit(spark, folder):
-    return rounded(autoreg.seasonal_fit(hours(spark, folder)), "phi", "seasonal_phi", "css", "aic")
+    fit = autoreg.seasonal_fit(hours(spark, folder)).drop("change")
+    return rounded(fit, "phi", "seasonal_phi", "css", "aic")
 
 
 @query
