@@ -610,6 +610,13 @@ def order_search(spark, folder):
     return orders.order_search(hours(spark, folder))
 
 
+@query
+def order_search_ar(spark, folder):
+    """The candidates without moving-average terms."""
+    found = orders.order_search(hours(spark, folder)).where("q = 0 and sq = 0").drop("q", "sq", "theta", "seasonal_theta")
+    return rounded(found, "phi", "seasonal_phi", "aic")
+
+
 @query
 def best_order(spark, folder):
     return orders.best_order(hours(spark, folder))

@@ -210,7 +210,37 @@ def acf(lags):
         JOIN s ON s.series = a.series GROUP BY 1, 2"""
 
 
+def order_search_ar(rounds=30):
+    """Least squares of the 16 candidates with q = Q = 0, by alternation over sums of lagged products."""
+    names = ["z", "z1", "zs", "zt"]
+    sums = ", ".join(f"sum({names[i]} * {names[j]}) AS g{i}{j}" for i in range(4) for j in range(i, 4))
+    phi = "(g01 - b * (g12 + g03) + b * b * g23) / (g11 - 2 * b * g13 + b * b * g33)"
+    big = "(g02 - a * (g12 + g03) + a * a * g13) / (g22 - 2 * a * g23 + a * a * g33)"
+    c = ["1", "-a", "-b", "a * b"]
+    css = " + ".join(f"({c[i]}) * ({c[j]}) * g{min(i, j)}{max(i, j)}" for i in range(4) for j in range(4))
+    return f"""WITH RECURSIVE {DENSE},
+    wide AS (SELECT *, lag(y) OVER o AS y1, lag(y, 12) OVER o AS ys, lag(y, 13) OVER o AS yt FROM dense
+             WINDOW o AS (PARTITION BY series ORDER BY idx)),
+    forms AS (SELECT series, idx, 0 AS d, 0 AS sd, y AS z FROM wide
+              UNION ALL SELECT series, idx, 1, 0, y - y1 FROM wide UNION ALL SELECT series, idx, 0, 1, y - ys FROM wide
+              UNION ALL SELECT series, idx, 1, 1, y - y1 - ys + yt FROM wide),
+    lags AS (SELECT *, lag(z) OVER o AS z1, lag(z, 12) OVER o AS zs, lag(z, 13) OVER o AS zt FROM forms
+             WHERE z IS NOT NULL WINDOW o AS (PARTITION BY series, d, sd ORDER BY idx)),
+    g AS (SELECT series, d, sd, count(*) AS n, {sums} FROM lags WHERE idx >= 51 GROUP BY ALL),
+    fit AS (SELECT *, 0 AS round, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS pa,
+                   0.0::DOUBLE AS pb FROM g,
+                   (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS t(p, sp)
+            UNION ALL
+            SELECT * REPLACE (round + 1 AS round, CASE WHEN sp = 1 THEN {big} ELSE 0 END AS b) FROM
+            (SELECT * REPLACE (CASE WHEN p = 1 THEN {phi} ELSE 0 END AS a, a AS pa, b AS pb) FROM fit WHERE round < {rounds})),
+    done AS (SELECT *, {css} AS css FROM fit WHERE round = {rounds})
+    SELECT series, p, d, sp, sd, n, round(a, 6) AS phi, round(b, 6) AS seasonal_phi,
+           round(n * (ln(2 * pi() * css / n) + 1) + 2 * (p + sp + 1), 6) AS aic,
+           CASE WHEN greatest(abs(a - pa), abs(b - pb)) > 1e-6 THEN 'not_converged' ELSE 'ok' END AS status FROM done"""
+
+
 SQL = {
+    "order_search_ar": order_search_ar(),
     "minute_mean": bucket("minute"),
     "hour_mean": bucket("hour"),
     "hour_from_minute": bucket("hour"),
