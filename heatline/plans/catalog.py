@@ -589,14 +589,15 @@ def walk_forward_ar1(spark, folder):
 
 @query
 def walk_forward_ar5(spark, folder):
-    return autoreg.walk_forward(hours(spark, folder), 5, d=1)
+    return rounded(autoreg.walk_forward(hours(spark, folder), 5, d=1), "y", "forecast")
 
 
 @query
 def walk_forward_error(spark, folder):
     steps = autoreg.walk_forward(hours(spark, folder), 5, d=1)
-    return steps.groupBy("series").agg(
+    errors = steps.groupBy("series").agg(
         F.count("*").alias("n"), metrics.mse(F.col("y"), F.col("forecast")).alias("mse"))
+    return rounded(errors, "mse")
 
 
 @query

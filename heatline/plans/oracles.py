@@ -210,6 +210,62 @@ def acf(lags):
         JOIN s ON s.series = a.series GROUP BY 1, 2"""
 
 
+def eliminated(size):
+    """CTEs `solved` (key, i, v) from `cells` (key, i, j, v), symmetric systems with the right side in
+    column `size`, by Gauss-Jordan elimination in order."""
+    return f"""
+    steps AS (SELECT key, i, j, v, 0 AS k FROM cells
+              UNION ALL
+              SELECT key, i, j, CASE WHEN i = k THEN v / head ELSE v - factor * across / head END, k + 1 FROM
+              (SELECT *, max(CASE WHEN i = k AND j = k THEN v END) OVER (PARTITION BY key) AS head,
+                      max(CASE WHEN i = k THEN v END) OVER (PARTITION BY key, j) AS across,
+                      max(CASE WHEN j = k THEN v END) OVER (PARTITION BY key, i) AS factor
+               FROM steps WHERE k < {size})),
+    solved AS (SELECT key, i, v FROM steps WHERE k = {size} AND j = {size})"""
+
+
+def changes(p):
+    """CTE `wide`: z0, the change of y, its lags z1..zp, and a constant, where all exist."""
+    lags = ", ".join(f"lag(z0, {k}) OVER o AS z{k}" for k in range(1, p + 1))
+    return f"""{DENSE},
+    z AS (SELECT series, idx, y, y - lag(y) OVER (PARTITION BY series ORDER BY idx) AS z0 FROM dense),
+    wide AS (SELECT series, idx, y, 1.0::DOUBLE AS one, z0, {lags} FROM z
+             WINDOW o AS (PARTITION BY series ORDER BY idx) QUALIFY z{p} IS NOT NULL)"""
+
+
+def ar_forecast(p, steps):
+    """Least squares on p lagged changes, carried on step by step."""
+    names = ["one"] + [f"z{k}" for k in range(1, p + 1)] + ["z0"]
+    cells = " UNION ALL ".join(f"SELECT series AS key, {i} AS i, {j} AS j, sum({names[i]} * {names[j]}) AS v "
+                               "FROM wide GROUP BY 1" for i in range(p + 1) for j in range(p + 2))
+    return f"""WITH RECURSIVE {changes(p)},
+    cells AS ({cells}), {eliminated(p + 1)},
+    model AS (SELECT key AS series, list(v ORDER BY i) AS coef FROM solved GROUP BY 1),
+    latest AS (SELECT series, y, [z0{''.join(f', z{k}' for k in range(1, p))}] AS past FROM wide
+               QUALIFY row_number() OVER (PARTITION BY series ORDER BY idx DESC) = 1),
+    path AS (SELECT series, 0::BIGINT AS h, y, past, coef FROM latest JOIN model USING (series)
+             UNION ALL
+             SELECT series, h + 1, y + move, list_prepend(move, past[1:{p - 1}]), coef FROM
+             (SELECT *, coef[1] + list_dot_product(coef[2:], past) AS move FROM path WHERE h < {steps}))
+    SELECT series, h, round(y, 6) AS forecast FROM path WHERE h > 0"""
+
+
+def walk_forward(p):
+    """CTEs up to `steps_ahead`: each row predicted by least squares on the strictly earlier rows."""
+    names = ["one"] + [f"z{k}" for k in range(1, p + 1)] + ["z0"]
+    sums = ", ".join(f"sum({names[i]} * {names[j]}) OVER o AS g_{i}_{j}" for i in range(p + 1) for j in range(i, p + 2))
+    cells = " UNION ALL ".join(f"SELECT key, {i} AS i, {j} AS j, g_{min(i, j)}_{max(i, j)} AS v FROM g"
+                               for i in range(p + 1) for j in range(p + 2))
+    x = " + ".join(f"CASE i WHEN {k} THEN {n} ELSE 0 END" for k, n in enumerate(names[:-1]))
+    return f"""WITH RECURSIVE {changes(p)},
+    g AS (SELECT series || ':' || idx AS key, {sums} FROM wide
+          WINDOW o AS (PARTITION BY series ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+          QUALIFY g_0_0 >= {2 * (p + 1)}),
+    cells AS ({cells}), {eliminated(p + 1)},
+    steps_ahead AS (SELECT series, idx, any_value(y) AS y, any_value(y - z0) + sum(v * ({x})) AS forecast
+                    FROM wide JOIN solved ON key = series || ':' || idx GROUP BY 1, 2)"""
+
+
 def order_search_ar(rounds=30):
     """Least squares of the 16 candidates with q = Q = 0, by alternation over sums of lagged products."""
     names = ["z", "z1", "zs", "zt"]
@@ -241,6 +297,11 @@ def order_search_ar(rounds=30):
 
 SQL = {
     "order_search_ar": order_search_ar(),
+    "ar10_forecast": ar_forecast(10, C.AR_STEPS),
+    "walk_forward_ar5": walk_forward(5) + """
+    SELECT series, idx, round(y, 6) AS y, round(forecast, 6) AS forecast FROM steps_ahead""",
+    "walk_forward_error": walk_forward(5) + """
+    SELECT series, count(*) AS n, round(avg((forecast - y) * (forecast - y)), 6) AS mse FROM steps_ahead GROUP BY 1""",
     "minute_mean": bucket("minute"),
     "hour_mean": bucket("hour"),
     "hour_from_minute": bucket("hour"),
