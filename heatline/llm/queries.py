@@ -106,3 +106,42 @@ def op2_repeats(spark, folder):
     return found.select(
         "doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (sum, s) -> sum + s.end - s.start)").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Every 50-byte string of every text, by its hexadecimal form.
+SQL["op2_repeats"] = """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+               FROM documents),
+windows AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM bytes, unnest(range(0, n - 49)) AS t(i) WHERE n >= 50),
+firsts AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, i FROM windows JOIN firsts USING (s) WHERE least < doc_id),
+marked AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS opens FROM gone),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY 1, 2),
+gaps AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM spans),
+cut AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+               string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS head
+        FROM gaps JOIN bytes USING (doc_id) GROUP BY 1)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM bytes LEFT JOIN cut USING (doc_id)
+"""
+
+# All pairs of a label. The query finds a pair at the threshold with a chance of 0.97, closer ones more surely.
+SQL["op10_vectors"] = """
+WITH RECURSIVE
+usable AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b
+          ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT u AS node, u AS least FROM links UNION
+          SELECT links.v, reach.least FROM reach JOIN links ON links.u = reach.node),
+parts AS (SELECT node, min(least) AS least FROM reach GROUP BY 1),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY 1)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(least, e.vec_id) AS component_id,
+       coalesce(least, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN counts ON u = e.vec_id LEFT JOIN parts ON node = e.vec_id
+"""
