@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heatline.functions.stemming import stems, stems_of
-from heatline.operators.relational import salted_join
+from heatline.operators.relational import SALTS, salted_join
 
 
 def term_counts(docs: DataFrame, key: str, words: Column) -> DataFrame:
@@ -13,17 +13,18 @@ def term_counts(docs: DataFrame, key: str, words: Column) -> DataFrame:
             .groupBy(key, "term").agg(F.count("*").alias("tf")))
 
 
-def tfidf_terms(docs: DataFrame, key: str, words: Column) -> DataFrame:
+def tfidf_terms(docs: DataFrame, key: str, words: Column, salts=SALTS) -> DataFrame:
     """(key, term, tf, df, tfidf) with tfidf = tf * ln((m + 1) / (df + 1)), m the number of docs.
 
-    Frequent terms sit in a large part of all documents, so the join back to the counts is salted.
+    Frequent terms sit in a large part of all documents, so the join back to the counts is salted:
+    the rows of a term go to `salts` tasks.
     """
     tf = term_counts(docs, key, words)
     # counting on `tf` keeps this branch equal to the other one, so Spark tokenises the corpus once
     df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     total = docs.agg(F.count("*").alias("m")).scalar()
     weight = F.log((total + 1) / (F.col("df") + 1))
-    return (salted_join(tf, df, "term", key)
+    return (salted_join(tf, df, "term", key, salts)
             .select(key, "term", "tf", "df", (F.col("tf") * weight).alias("tfidf")))
 
 

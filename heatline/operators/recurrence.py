@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 4096
+TOGETHER = 256
 
 
 def _before(state: np.ndarray, coef: np.ndarray, const: float, steps: int) -> np.ndarray:
@@ -37,13 +38,24 @@ def extend(models: DataFrame, series="series", block=BLOCK) -> DataFrame:
 
     def run(batches):
         for frame in batches:
-            for key, coef, const, tail, steps, number in frame.itertuples(index=False, name=None):
-                first, coef = int(number) * block, np.asarray(coef, float)
-                state = _before(np.asarray(tail, float), coef, const, first)
-                known, n = len(state), min(block, int(steps) - first)
-                path = np.concatenate([state, np.empty(n)])
-                for i in range(known, known + n):
-                    path[i] = const + coef @ path[i - known:i][::-1]
-                yield pd.DataFrame({series: key, "h": np.arange(first + 1, first + n + 1),
-                                    "forecast": path[known:]})
+            sizes = frame["coef"].map(len)
+            for known in sorted(sizes.unique()):
+                same = frame[sizes == known]
+                for at in range(0, len(same), TOGETHER):
+                    yield continued(same.iloc[at:at + TOGETHER], known)
+
+    def continued(frame, known):
+        """The blocks of many models, step by step for all of them."""
+        coef = np.stack([np.asarray(c, float)[::-1] for c in frame["coef"]])
+        const, first = frame["const"].to_numpy(float), frame["_block"].to_numpy(np.int64) * block
+        length = np.minimum(block, frame["steps"].to_numpy(np.int64) - first)
+        path = np.empty((len(frame), known + int(length.max())))
+        path[:, :known] = [_before(np.asarray(t, float), c[::-1], k, f)
+                           for t, c, k, f in zip(frame["tail"], coef, const, first.tolist())]
+        for i in range(known, path.shape[1]):
+            path[:, i] = const + np.einsum("mk,mk->m", coef, path[:, i - known:i])
+        row = np.repeat(np.arange(len(frame)), length)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+        return pd.DataFrame({series: frame[series].to_numpy()[row], "h": first[row] + step + 1,
+                             "forecast": path[row, known + step]})
     return blocks.mapInPandas(run, schema)
