@@ -73,10 +73,11 @@ def fit(docs: DataFrame, labels: DataFrame, row_id="doc_id", text="text", label=
     """A model from at most `sample` labelled rows, chosen by a hash of the id; None without any.
 
     Texts are hashed where they are; the one task that learns gets no more than the buckets of each.
+    What is broadcast are the chosen ids and labels, `sample` rows at most.
     """
     marked = labels.select(F.col(row_id).alias("doc_id"), F.col(label).cast("int").alias("label")).where(
         "label in (0, 1)")
-    chosen = bounded_sample(marked, "doc_id", sample, "quality")
+    chosen = F.broadcast(bounded_sample(marked, "doc_id", sample, "quality").limit(sample))
     rows = docs.select(F.col(row_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where(
         "text is not null").join(chosen, "doc_id")
     if not rows.take(1):
