@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatline.llm.blocks import at_places, meeting_places
-from heatline.llm.common import map_rows, settle
+from heatline.llm.common import map_rows, settle, stored
 from heatline.llm.graph import components
 
 SHINGLE = 4
@@ -170,13 +170,15 @@ def near_duplicates(docs: DataFrame, row_id="doc_id", text="text", shingle=SHING
     Repeated rows are returned as often as they come. Rows with a NULL id get component NULL and link
     nothing. Columns other than the two named are ignored. An empty table gives an empty result.
 
-    Equal fingerprints collapse to one row before candidates are sought, so copies cost nothing.
+    Equal fingerprints collapse to one row before candidates are sought, so copies cost nothing. The
+    classes are stored before they are joined to the rows, so that Spark can split a fingerprint that
+    very many rows have.
     """
     prints = settle(fingerprints(docs, row_id, text, shingle))
     distinct = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
     joined = components(links(distinct, distance))
-    of_print = distinct.join(joined, F.col("rep") == F.col("node"), "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
+    of_print = stored(distinct.join(joined, F.col("rep") == F.col("node"), "left").select(
+        "fp", F.coalesce("component", "rep").alias("component_id")), "classes")
     return prints.join(of_print, "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
