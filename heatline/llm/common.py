@@ -14,6 +14,7 @@ from heatline.session import fresh_folder, settle, ship
 
 FOLDS = 3
 HELD_OUT_FOLD = 1
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +30,18 @@ def held_out(row_id: Column) -> Column:
     return fold(row_id) == HELD_OUT_FOLD
 
 
+def short_batches(df: DataFrame) -> DataFrame:
+    """The frame, with its session's Arrow batches at most `BATCH_ROWS` long.
+
+    Rows here hold whole texts or vectors. Ten thousand of them, the default, take tens of megabytes in
+    each of the JVM's and the worker's buffers, several times over.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_KEY, "10000")) <= BATCH_ROWS:
+        conf.set(BATCH_KEY, str(BATCH_ROWS))
+    return df
+
+
 def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Apply `function` to each Arrow batch; it returns the columns of `schema` by name."""
     fields = [(f.name, f.dataType) for f in T._parse_datatype_string(schema).fields] \
@@ -41,7 +54,7 @@ def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema:
                 made = function(batch)
                 yield pa.RecordBatch.from_arrays([made[n] for n in names], names=names)
 
-    return df.mapInArrow(run, schema)
+    return short_batches(df).mapInArrow(run, schema)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -98,4 +111,4 @@ def unpack(blob: bytes) -> dict[str, np.ndarray]:
 
 
 __all__ = ["FOLDS", "HELD_OUT_FOLD", "bounded_sample", "fit_once", "fold", "held_out", "map_rows", "pack", "read",
-           "settle", "stored", "unpack"]
+           "settle", "short_batches", "stored", "unpack"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatline.llm.blocks import at_places, meeting_places
-from heatline.llm.common import settle
+from heatline.llm.common import settle, short_batches, stored
 from heatline.llm.graph import components
 
 COSINE = 0.93
@@ -73,7 +73,7 @@ def signatures(distinct: DataFrame, hashes: int, tables: int) -> DataFrame:
                 names=[*batch.schema.names, "sigs"])
 
     kinds = dict(distinct.dtypes)
-    return distinct.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in distinct.columns) + ", sigs array<bigint>")
+    return short_batches(distinct).mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in distinct.columns) + ", sigs array<bigint>")
 
 
 def forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,9 +181,9 @@ def near_duplicates(vectors: DataFrame, row_id="vec_id", vector="embedding", lab
     found = settle(links(distinct.select("rep", "weight", "label", "vec"), cosine, hashes, tables))
     joined = components(found.where("v is not null").select("u", "v"))
     counts = found.where("n is not null").groupBy("u").agg(F.sum("n").alias("others"))
-    of_rep = (distinct.join(counts, F.col("rep") == F.col("u"), "left").join(joined, F.col("rep") == F.col("node"), "left")
+    of_rep = stored(distinct.join(counts, F.col("rep") == F.col("u"), "left").join(joined, F.col("rep") == F.col("node"), "left")
               .select("label", "vec", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-                      F.coalesce("component", "rep").alias("component_id")))
+                      F.coalesce("component", "rep").alias("component_id")), "classes")
     linked = usable.join(of_rep, ["label", "vec"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

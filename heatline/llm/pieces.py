@@ -11,10 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heatline.llm.common import short_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE, CACHED = 250_000, 48
+CACHE, CACHED = 200_000, 48
 ROWS = 512
 BPE, UNIGRAM = 2, 1
 # Kinds of pieces in a model file.
@@ -46,7 +48,11 @@ def vocabulary(blob: bytes) -> dict:
 
 
 class Codec:
-    """Encodes and decodes with one vocabulary."""
+    """Encodes and decodes with one vocabulary.
+
+    Inside, a space is a plain space and not the sign for it in pieces, so that Western texts stay
+    strings of one byte a letter; ids wait in the cache as bytes.
+    """
 
     def __init__(self, known: dict):
         self.pieces, self.prefix = known["pieces"], known["prefix"]
@@ -64,14 +70,15 @@ class Codec:
         self.silent = {i for i, kind in enumerate(known["kinds"]) if kind == CONTROL}
         self.longest = max(map(len, self.ids), default=1)
         self.unknown_score = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
+        self.kind = "H" if len(self.pieces) <= 1 << 16 else "I"
         # Pieces letter by letter: what may follow, the score (-inf if no piece ends here) and the ids.
         self.root: dict = {}
-        for piece, i in self.ids.items():
-            node = self.root
+        for name, i in self.ids.items():
+            piece, node = name.replace(SPACE, " "), self.root
             for c in piece[:-1]:
                 node = node.setdefault(c, [{}, -inf, ()])[0]
-            node.setdefault(piece[-1], [{}, -inf, ()])[1:] = [self.scores[piece], (i,)]
-        self.inner = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
+            node.setdefault(piece[-1], [{}, -inf, ()])[1:] = [self.scores[name], (i,)]
+        self.inner = {p[k:k + 2].replace(SPACE, " ") for p in self.ids for k in range(len(p) - 1)}
         # What a piece reads as; bytes of more than one to a character are put together first.
         self.surface = [p.replace(SPACE, " ") for p in self.pieces]
         self.high = np.zeros(len(self.pieces), bool)
@@ -82,8 +89,8 @@ class Codec:
             self.surface[i] = ""
         # Where no piece can lie across a boundary, all paths meet there, whatever the text.
         self.split = re.compile(self._parts())
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _parts(self) -> str:
         inner = [p for p in self.ids if SPACE in p.lstrip(SPACE)]
@@ -91,8 +98,8 @@ class Codec:
             return r"[\s\S]+"
         alone = "".join(c for c in "\n\r\t" if not any(c in p and len(p) > 1 for p in self.ids))
         if not alone:
-            return f"{SPACE}*[^{SPACE}]+|{SPACE}+"
-        return f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]"
+            return " *[^ ]+| +"
+        return f" *[^ {alone}]+| +|[{alone}]"
 
     def spell(self, char: str) -> tuple[int, ...]:
         """Ids of a character without a piece of its own."""
@@ -101,7 +108,7 @@ class Codec:
         return (self.unknown,)
 
     def paths(self, text: str) -> Iterator[tuple[int, ...]]:
-        """Ids of the best path, in parts as they become certain.
+        """Ids of the best path of a text with plain spaces, in parts as they become certain.
 
         Keeps the boundaries since the last certain one. A boundary is certain once no piece of the
         text lies across it, or once the best paths to all boundaries that later pieces can still
@@ -191,50 +198,49 @@ class Codec:
             shared = own if shared is None else shared & own
         return max(shared, default=0) if shared else 0
 
-    def segment(self, text: str) -> tuple[int, ...]:
+    def packed(self, ids) -> bytes:
+        return array(self.kind, ids).tobytes()
+
+    def segment(self, text: str) -> bytes:
         """Ids of a short segment: cut where no piece holds both neighbours, each part by its best path."""
         inner, cache, older = self.inner, self.cache, self.older
         cuts = [k for k in range(1, len(text)) if text[k - 1:k + 1] not in inner]
         if not cuts:
-            return self.path(text)
-        out: tuple[int, ...] = ()
+            return self.packed(self.path(text))
+        out = b""
         for a, b in zip([0, *cuts], [*cuts, len(text)]):
             part = text[a:b]
             ids = cache.get(part) or older.get(part)
             if ids is None:
-                ids = cache[part] = self.path(part)
+                ids = cache[part] = self.packed(self.path(part))
             out += ids
         return out
 
     def encode(self, text: str) -> array:
-        out = array("i")
-        if not text:
-            return out
-        for k, part in enumerate(text.split(SPACE)):
+        """Ids of a whole text."""
+        made = bytearray()
+        for k, part in enumerate(text.split(SPACE) if text else ()):
             if k:
                 # The sign that stands for a space, if the text itself holds it, is spelled in bytes.
-                out.extend(self.spell(SPACE))
-            body = (SPACE if self.prefix and not k else "") + part.replace(" ", SPACE)
+                made += self.packed(self.spell(SPACE))
+            body = " " + part if self.prefix and not k else part
             found = self.split.findall(body) if len(body) < 1 << 20 else (m.group(0) for m in self.split.finditer(body))
-            made: list[int] = []
-            get, add = self.cache.get, made.extend
+            get = self.cache.get
             for segment in found:
                 ids = get(segment)
                 if ids is None:
                     if len(segment) > CACHED:
-                        for ids in self.paths(segment):
-                            add(ids)
+                        for part_ids in self.paths(segment):
+                            made += self.packed(part_ids)
                         continue
                     ids = self.older.get(segment) or self.segment(segment)
                     if len(self.cache) >= CACHE:
                         self.older, self.cache = self.cache, {}
                         get = self.cache.get
                     self.cache[segment] = ids
-                add(ids)
-                if len(made) > 1 << 16:
-                    out.extend(made)
-                    made.clear()
-            out.extend(made)
+                made += ids
+        out = array("i")
+        out.frombytes(np.frombuffer(made, self.kind).astype(np.int32).tobytes())
         return out
 
     def decode(self, ids) -> str:
@@ -264,6 +270,8 @@ def load(path: str = MODEL) -> dict:
 def _mapped(df: DataFrame, known: dict, source: str, added: str, function) -> DataFrame:
     """`df` with columns added by `function(codec, values of source)`, a few rows at a time."""
     names = [f.strip().split()[0] for f in added.split(",")]
+    if source in names:
+        raise ValueError(f"the column {source} would be replaced by what is made from it")
     own = df.drop(*names)
     shared = df.sparkSession.sparkContext.broadcast(known)
     held: list[Codec] = []
@@ -274,13 +282,11 @@ def _mapped(df: DataFrame, known: dict, source: str, added: str, function) -> Da
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                made = function(held[0], batch.column(batch.schema.get_field_index("_pieces_input")))
-                kept = [c for c in batch.schema.names if c != "_pieces_input"]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(batch.schema.get_field_index(c)) for c in kept] + made, names=kept + names)
+                made = function(held[0], batch.column(batch.schema.get_field_index(source)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *names])
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in own.dtypes) + (", " if own.columns else "") + added
-    return own.withColumn("_pieces_input", df[source]).mapInArrow(run, schema)
+    schema = ", ".join([f"`{c}` {t}" for c, t in own.dtypes] + [added])
+    return short_batches(own).mapInArrow(run, schema)
 
 
 def _lists(rows: list[array]) -> pa.ListArray:

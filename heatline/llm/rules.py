@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heatline.llm.common import map_rows, settle
+from heatline.llm.common import map_rows, settle, short_batches
 from heatline.llm.ngrams import code_points
 
 SYMBOLS = b"#*$%&|<>"
@@ -114,7 +114,7 @@ def references(docs: DataFrame) -> dict:
             [pa.array(lang), pa.array(kind), pa.array(item), pa.array(list(found.values()), pa.int64())],
             names=["lang", "kind", "item", "n"])
 
-    counts = (docs.where("lang is not null and text is not null").select("lang", "text")
+    counts = (short_batches(docs.where("lang is not null and text is not null").select("lang", "text"))
               .mapInArrow(run, "lang string, kind string, item string, n long")
               .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
