@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heatline.llm import langid, mixing, pieces, pii, simhash
-from heatline.llm.common import held_out, read
-from heatline.session import fresh_folder, settle, ship
+from heatline.llm.common import held_out, read, stored
+from heatline.session import fresh_folder, ship
 
 LEAST_LANGUAGE_SCORE = 0.5
 
@@ -22,26 +22,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learned = docs.where(~held_out(F.col("doc_id"))).where("lang is not null and text rlike '\\\\p{L}'")
     if not learned.take(1):
         return docs.where("text rlike '\\\\p{L}'")
-    whole = docs.select(F.struct("*").alias("row"), "text")
-    judged = langid.predict(whole, langid.fit(learned))
-    return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("row.*")
+    # By number, so that a column of the documents cannot clash with one that is added.
+    own = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    judged = langid.predict(docs.select(*[F.col(c).alias(n) for c, n in own.items()]), langid.fit(learned), own["text"])
+    kept = judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return kept.select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays.
 
-    Rows that share an id are one group too. Documents with a NULL id stay. Only the ids that go are
-    joined; texts are compared by nothing but their fingerprints.
+    Rows that share an id are one group too. Documents with a NULL id stay. Joined are only the ids of
+    which a row goes; texts are compared by nothing but their fingerprints.
     """
-    found = settle(simhash.near_duplicates(docs).where("doc_id is not null").groupBy("doc_id")
-                   .agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")))
-    again = found.where("n > 1 and doc_id = component_id").select("doc_id")
-    gone = found.where("n > 1 or doc_id <> component_id").select("doc_id")
-    single = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    repeated = (docs.join(again, "doc_id", "left_semi").withColumn("_row", F.row_number().over(one))
-                .where("_row = 1").select(*docs.columns))
-    return single.unionByName(repeated)
+    found = (simhash.near_duplicates(docs).where("doc_id is not null").groupBy("doc_id")
+             .agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")))
+    marks = stored(found.where("n > 1 or doc_id <> component_id")
+                   .select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("_simhash_mark")), "marks")
+    names = docs.columns
+    marked = docs.join(marks, "doc_id", "left")
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*names))
+    repeated = marked.where("_simhash_mark").withColumn("_simhash_row", F.row_number().over(one)).where("_simhash_row = 1")
+    return marked.where("_simhash_mark is null").select(*names).unionByName(repeated.select(*names))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

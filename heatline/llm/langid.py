@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatline.llm.common import bounded_sample, fit_once, held_out, map_rows, pack, unpack
+from heatline.llm.common import bounded_sample, fit_once, held_out, map_rows, pack, short_batches, unpack
 from heatline.llm.ngrams import chunks, code_points, grams, letters
 
 BITS = 15
@@ -52,7 +52,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
         yield pa.RecordBatch.from_arrays(
             [pa.array([np.append(total, seen).tolist()], pa.list_(pa.int64()))], names=["df"])
 
-    rows = (docs.select("text").mapInArrow(run, "df array<bigint>").select(F.posexplode("df").alias("gram", "df"))
+    rows = (short_batches(docs.select("text")).mapInArrow(run, "df array<bigint>").select(F.posexplode("df").alias("gram", "df"))
             .groupBy("gram").agg(F.sum("df").alias("df")).collect())
     found = np.zeros((1 << BITS) + 1, np.int64)
     for gram, df in rows:
@@ -115,43 +115,48 @@ def fit(docs: DataFrame, row_id="doc_id", text="text", lang="lang", sample=SAMPL
     seen, df = document_frequencies(rows)
     idf = np.log((1 + seen) / (1 + df)) + 1
 
+    def present(text):
+        found = counts(text)
+        on = np.flatnonzero(found) if found is not None else np.zeros(0, np.int64)
+        return on.astype(np.int16), found[on].astype(np.int32) if len(on) else np.zeros(0, np.int32)
+
     def counted(batch):
-        found = [counts(t.as_py()) for t in batch.column(2)]
-        ons = [np.flatnonzero(f) if f is not None else np.zeros(0, np.int64) for f in found]
+        found = [present(t.as_py()) for t in batch.column(2)]
         return {"doc_id": batch.column(0), "lang": batch.column(1),
-                "grams": pa.array([on.astype(np.int32) for on in ons], pa.list_(pa.int32())),
-                "n": pa.array([f[on].astype(np.float32) if len(on) else [] for f, on in zip(found, ons)],
-                              pa.list_(pa.float32()))}
+                "grams": pa.array([on for on, _ in found], pa.list_(pa.int16())),
+                "n": pa.array([n for _, n in found], pa.list_(pa.int32()))}
 
     def learn(got: pa.Table) -> bytes:
         names = np.array(sorted(set(got.column("lang").to_pylist())))
         of = {name: k for k, name in enumerate(names.tolist())}
-        data = []
-        for at, n, name in zip(got.column("grams"), got.column("n"), got.column("lang").to_pylist()):
-            at = at.values.to_numpy()
-            if len(at):
-                x = weighted(n.values.to_numpy(), idf[at])
-                data.append((np.append(at, np.int32(1 << BITS)), np.append(x, 1.0).astype(np.float32), of[name]))
+        rows = [k for k, at in enumerate(got.column("grams")) if len(at)]
+
+        def row(k):
+            """Weights of row k, made anew each time: what is held are the counts."""
+            at = got.column("grams")[k].values.to_numpy().astype(np.int32)
+            x = weighted(got.column("n")[k].values.to_numpy(), idf[at])
+            return np.append(at, np.int32(1 << BITS)), np.append(x, 1.0), of[got.column("lang")[k].as_py()]
+
         model = Ftrl((1 << BITS) + 1, len(names))
-        own = [d for k, d in enumerate(data) if k % VALIDATION] or data
+        own = [k for i, k in enumerate(rows) if i % VALIDATION] or rows
         for _ in range(PASSES):
-            for at, x, label in own:
-                model.learn(at, x, label)
+            for k in own:
+                model.learn(*row(k))
         w = model.weights()
-        rest = data[::VALIDATION]
-        warm = temperature(np.array([x @ w[at] for at, x, _ in rest]), np.array([y for _, _, y in rest])) \
-            if rest and len(names) > 1 else 1.0
+        tested = [(x @ w[at], label) for at, x, label in map(row, rows[::VALIDATION])]
+        warm = temperature(np.array([z for z, _ in tested]), np.array([y for _, y in tested])) \
+            if tested and len(names) > 1 else 1.0
         return pack(w=w[:-1].astype(np.float32), b=w[-1] / warm, idf=idf.astype(np.float32),
                     warm=np.float64(warm), names=names)
 
     chosen = bounded_sample(rows, "doc_id", sample, "language").select("doc_id", "lang", "text")
     kind = dict(rows.dtypes)["doc_id"]
-    return fit_once(map_rows(chosen, counted, f"doc_id {kind}, lang string, grams array<int>, n array<float>"),
+    return fit_once(map_rows(chosen, counted, f"doc_id {kind}, lang string, grams array<short>, n array<int>"),
                     "doc_id", sample, learn)
 
 
 def predict(docs: DataFrame, model: bytes, text="text") -> DataFrame:
-    """`docs` with lang_pred and score added, one row for each row given."""
+    """`docs` with lang_pred and score added, one row for each row given; `text` is a string column."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     held: dict = {}
 
@@ -159,8 +164,7 @@ def predict(docs: DataFrame, model: bytes, text="text") -> DataFrame:
         if not held:
             held.update(unpack(shared.value))
         names, known, scores = held["names"].tolist(), [], []
-        at = batch.schema.get_field_index("_text")
-        for t in batch.column(at):
+        for t in batch.column(batch.schema.get_field_index(text)):
             total = counts(t.as_py() or "")
             if total is None:
                 known.append(UNKNOWN)
@@ -171,12 +175,11 @@ def predict(docs: DataFrame, model: bytes, text="text") -> DataFrame:
             p = softmax((x @ held["w"][on]) / np.sqrt(x @ x) / held["warm"] + held["b"])
             known.append(names[int(p.argmax())])
             scores.append(float(p.max()))
-        keep = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if i != at}
-        return keep | {"lang_pred": pa.array(known, pa.string()), "score": pa.array(scores, pa.float64())}
+        own = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+        return own | {"lang_pred": pa.array(known, pa.string()), "score": pa.array(scores, pa.float64())}
 
-    clean = docs.withColumn("_text", docs[text].cast("string")).drop("lang_pred", "score")
-    out = [f"`{n}` {t}" for n, t in clean.dtypes if n != "_text"] + ["lang_pred string", "score double"]
-    return map_rows(clean, made, ", ".join(out))
+    clean = docs.drop("lang_pred", "score")
+    return map_rows(clean, made, ", ".join(f"`{n}` {t}" for n, t in [*clean.dtypes, ("lang_pred", "string"), ("score", "double")]))
 
 
 def identify(docs: DataFrame, row_id="doc_id", text="text", lang="lang", sample=SAMPLE) -> DataFrame:
