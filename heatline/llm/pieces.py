@@ -16,7 +16,7 @@ from heatline.llm.common import short_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE, CACHED = 200_000, 48
+CACHE, CACHED = 120_000, 48
 ROWS = 512
 BPE, UNIGRAM = 2, 1
 # Kinds of pieces in a model file.
