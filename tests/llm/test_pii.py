@@ -96,3 +96,16 @@ def test_wide_spans_are_added(spark, selector):
 def test_no_python_in_the_plan(documents, selector):
     plan = pii.report(documents, selector=selector)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_wide_forms_are_found_and_redacted(spark, selector):
+    texts = ["call me at (663) 555-6869 now", "tel 5551234567 ok", "write jane [at] example [dot] com soon",
+             "jane at example dot com", "jane (at) example.com", "card 4539.1488.0343.6467 paid", "host 1[.]2[.]3[.]4 up",
+             "at 1700000000 it was 4539.1488.0343.6468, look at example.com", "a 1,2,3,4 list of 10.000.000"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in pii.report(docs, selector=selector).collect()} == {
+        0: "phone:11:25", 1: "phone:4:14", 2: "email:6:33", 3: "email:0:23", 4: "email:0:21", 5: "card:5:24", 6: "ip:5:18",
+        7: "", 8: ""}
+    assert {r.doc_id: r.text for r in pii.redact(docs, selector).collect()} == {
+        0: "call me at [PHONE] now", 1: "tel [PHONE] ok", 2: "write [EMAIL] soon", 3: "[EMAIL]", 4: "[EMAIL]",
+        5: "card [CARD] paid", 6: "host [IP] up", 7: texts[7], 8: texts[8]}
