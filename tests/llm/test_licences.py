@@ -92,3 +92,31 @@ def test_hashing_does_not_depend_on_chunks(scanner, monkeypatch):
     want = scanner.scan(text)
     monkeypatch.setattr(L, "CHUNK", 64)
     assert scanner.scan(text) == want and want
+
+
+def test_usual_licenses_and_their_neighbours(spark):
+    gnu = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published " \
+          "by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    texts = {
+        "Licensed under the MIT License": "MIT", "This project is licensed under the MIT license.": "MIT",
+        "This work is licensed under the GNU General Public License, version 2": "GPL-2.0",
+        "This work is licensed under the GNU General Public License, version 3": "GPL-3.0",
+        "released under the GNU Lesser General Public License, version 2.1": "LGPL-2.1",
+        gnu.format("Affero General Public License", 3): "AGPL-3.0", gnu.format("Lesser General Public License", 3): "LGPL-3.0",
+        gnu.format("General Public License", 2): "GPL-2.0", gnu.format("General Public License", 3): "GPL-3.0,GPL-header",
+        "made available under the terms of the Eclipse Public License 2.0": "EPL-2.0", "Licensed under CC0 1.0": "CC0-1.0",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0", "SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        L.BSD_TWO + L.BSD_WARRANTY: "BSD-2-Clause", L.BSD_TWO + L.BSD_NAMES.format(3) + L.BSD_WARRANTY: "BSD-3-Clause",
+        "an ordinary text about the terms of the general public": ""}
+    docs = spark.createDataFrame([(k, f"some words ahead {t} and a few words after it") for k, t in enumerate(texts)],
+                                 "doc_id long, text string")
+    assert {r.doc_id: r.licenses for r in L.scan(docs).collect()} == dict(enumerate(texts.values()))
+
+
+def test_bodies_are_found_as_themselves():
+    scanner = L.Scanner(L.templates())
+    for spdx, body in {**L.BODIES, "AGPL-3.0": L.AGPL_TERMS}.items():
+        names = {m[0] for m in scanner.scan("ahead " * 50 + body + " after" * 50)}
+        assert spdx in {L.family(n) for n in names}, (spdx, names)
+    assert not any(m[0] == "GPL-3.0-text" for m in scanner.scan(L.AGPL_TERMS))
