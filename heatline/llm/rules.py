@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heatline.llm.common import map_rows, settle, short_batches
+from heatline.llm.common import map_rows, short_batches, stored
 from heatline.llm.ngrams import code_points
 
 SYMBOLS = b"#*$%&|<>"
@@ -19,8 +19,6 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50
 WINDOW = 3
 COMMON = 40
-COMMON_LENGTH = 6
-MOST_LANGUAGES = 256
 LEAST_CHARS = 200
 LEAST_LETTER_WORDS = 40
 # Allowed distance: a base, and the sampling noise of a text of n items, noise / sqrt(n).
@@ -84,12 +82,10 @@ def base(text: bytes) -> tuple[int, int, int, int, int]:
             len(lines) - len(set(lines)), repeated_words(words))
 
 
-def references(docs: DataFrame) -> dict:
-    """Per language: share of each character class, and the most common words with their shares.
+def references(docs: DataFrame) -> DataFrame:
+    """A stored table of one row per language: character classes, words, the most common ones and their counts.
 
-    Counts cover every row of (lang, text) with a language; words of at most six letters can be
-    common ones. Up to 256 languages, those with the most text, become references: a model of
-    bounded size, whatever the number of rows.
+    Counts cover every row of (lang, text) with a language, and words of every length.
     """
     def run(batches):
         found: Counter = Counter()
@@ -100,8 +96,7 @@ def references(docs: DataFrame) -> dict:
                 words = letter_words(text)
                 found[lang, "words", ""] += len(words)
                 for word, n in Counter(words).items():
-                    if len(word) <= COMMON_LENGTH:
-                        found[lang, "word", word] += n
+                    found[lang, "word", word] += n
             if len(found) > 200_000:
                 yield rows(found)
                 found = Counter()
@@ -118,19 +113,17 @@ def references(docs: DataFrame) -> dict:
               .mapInArrow(run, "lang string, kind string, item string, n long")
               .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-    top = settle(counts.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= COMMON).drop("_r"))
-    sizes = [r.lang for r in top.where("kind = 'words'").orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()]
-    made: dict = {}
-    if sizes:
-        for r in top.where(F.col("lang").isin(sizes)).collect():
-            own = made.setdefault(r.lang, {"classes": np.zeros(len(CLASSES)), "words": {}, "total": 0})
-            if r.kind == "class":
-                own["classes"][int(r.item)] = r.n
-            elif r.kind == "words":
-                own["total"] = r.n
-            else:
-                own["words"][r.item] = r.n
-    return made
+    top = counts.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= COMMON)
+    own = F.collect_list(F.when(F.col("kind") == "word", F.struct("_r", "item", "n")))
+    made = top.groupBy("lang").agg(
+        F.sort_array(F.collect_list(F.when(F.col("kind") == "class", F.struct(F.col("item").cast("int").alias("k"), "n")))).alias("c"),
+        F.sort_array(own).alias("w"), F.sum(F.when(F.col("kind") == "words", F.col("n"))).alias("total"))
+    return stored(made.select("lang", F.col("c.n").alias("classes"), F.col("w.item").alias("words"), F.col("w.n").alias("counts"),
+                              "total"), "references")
+
+
+def reference(classes: list[int], words: list[str], counts: list[int], total: int) -> dict:
+    return {"classes": np.array(classes, float), "words": dict(zip(words, counts)), "total": total}
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> float:
@@ -154,14 +147,12 @@ def allowed(limit: tuple[float, float], n: int) -> float:
     return limit[0] + limit[1] / np.sqrt(n)
 
 
-def divergence(text: str, lang: str | None, refs: dict, class_limit=CLASS_LIMIT,
+def divergence(text: str, near: list[dict], class_limit=CLASS_LIMIT,
                word_limit=WORD_LIMIT) -> tuple[float, float, bool]:
-    """Distance of character classes and of common words to the text's language, and if both do.
+    """Distance of character classes and of common words to the nearest of some languages, and if both do.
 
-    A text in no known language is compared with all, and the nearest counts. Texts below the
-    guards' lengths, or without any reference, have distance 0: too little to judge by.
+    Texts below the guards' lengths, or without any reference, have distance 0: too little to judge by.
     """
-    near = [refs[lang]] if lang in refs else list(refs.values())
     own = class_counts(text)
     words = letter_words(text)
     by_class = by_word = 0.0
@@ -189,23 +180,43 @@ def judge(docs: DataFrame, row_id="doc_id", text="text", lang="lang", class_limi
     `base_failed` is set below 50 words, or where over half of the words stand in repeated windows of
     three. Other texts are kept when neither histogram is further from its language than allowed: a
     limit plus the noise of a sample of the text's length, so that short texts are not held to what
-    only long ones can meet. A NULL text has no words and fails. Repeated rows are returned as often as they come, ids may be
+    only long ones can meet. A text without a language is compared with all, and the nearest counts.
+    A NULL text has no words and fails. Repeated rows are returned as often as they come, ids may be
     NULL, other columns are ignored; an empty table gives an empty result.
     """
     rows = docs.select(F.col(row_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
                        F.col(lang).cast("string").alias("lang"))
-    shared = docs.sparkSession.sparkContext.broadcast(references(rows))
+    refs = references(rows)
+    whole = rows.where("lang is not null").join(refs, "lang", "left").select("doc_id", "text", "lang", *refs.columns[1:])
+    if rows.where("lang is null").take(1):
+        # Any language may be the nearest, so these texts meet them all.
+        every = docs.sparkSession.sparkContext.broadcast([tuple(r)[1:] for r in refs.orderBy("lang").collect()])
+        held = rows.where("lang is null").select("doc_id", "text", "lang", *[
+            F.lit(None).cast(kind).alias(name) for name, kind in refs.dtypes[1:]])
+        whole = whole.unionByName(held)
+    else:
+        every = None
+    nearest: list[dict] = []
 
     def made(batch):
-        refs, out = shared.value, []
-        for raw, own in zip(batch.column(1), batch.column(2).to_pylist()):
+        if every is not None and not nearest:
+            nearest.extend(reference(*r) for r in every.value)
+        known, out = {}, []
+        for k, (raw, own) in enumerate(zip(batch.column(1), batch.column(2).to_pylist())):
+            if own is None:
+                near = nearest
+            elif own in known:
+                near = known[own]
+            else:
+                found = [batch.column(c)[k].as_py() for c in range(3, 7)]
+                near = known[own] = [] if found[0] is None else [reference(*found)]
             body = raw.as_py() or ""
             found = base(body.encode("utf-8", "replace"))
             failed = found[0] < LEAST_WORDS or 100 * found[4] > MOST_REPEATED * found[0]
-            far = divergence(body, own, refs, class_limit, word_limit)
+            far = divergence(body, near, class_limit, word_limit)
             out.append((*found, failed, *far[:2], not failed and far[2]))
         columns = list(zip(*out))
         names = [f.split()[0] for f in SCHEMA.split(", ")]
         return {"doc_id": batch.column(0)} | {n: pa.array(c) for n, c in zip(names, columns)}
 
-    return map_rows(rows, made, f"doc_id {dict(rows.dtypes)['doc_id']}, {SCHEMA}")
+    return map_rows(whole, made, f"doc_id {dict(rows.dtypes)['doc_id']}, {SCHEMA}")

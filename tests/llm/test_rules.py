@@ -58,3 +58,19 @@ def test_edge_cases(spark):
     assert by[1].n_words == 0 and by[1].base_failed and by[3].n_repeat_words == 400_000
     assert not by[4].base_failed
     assert rules.judge(docs.where("false")).count() == 0
+
+
+def test_every_language_has_its_own_reference(spark):
+    rng = np.random.default_rng(3)
+
+    def text(k, n):
+        own = [chr(97 + k % 26) * 2 + chr(97 + k // 26) * 3 + c * 4 for c in "abcdefghij"]
+        return " ".join(rng.choice(own, n).tolist())
+
+    rows = [(k, text(k, 60 if k == 299 else 120), f"l{k}") for k in range(300)] + [(300, text(7, 120), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in rules.judge(docs).collect()}
+    assert len(got) == 301 and rules.references(docs).count() == 300
+    assert got[299].word_distance < 1e-6 and got[299].class_distance < 1e-6
+    assert got[7].word_distance < 1e-6 and got[300].word_distance < 0.5
+    assert set(rules.references(docs).where("lang = 'l299'").first().words) == set(rows[299][1].split())
