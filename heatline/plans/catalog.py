@@ -681,7 +681,7 @@ def score_messages(spark, folder):
     """Train on three quarters of the labelled messages, save, load, score all messages."""
     train, _ = relational.hash_split(labelled(spark, folder), "doc_id")
     path = fresh_folder(spark, "model")
-    learn.save_model(learn.score_model(features=100, depth=3, rounds=5).fit(train), path)
+    learn.save_model(learn.score_model().fit(train), path)
     return learn.score(documents(spark, folder).select("doc_id", "text"),
                        learn.load_model(path)).select("doc_id", "prediction")
 
@@ -691,7 +691,7 @@ def retrained_scores(spark, folder):
     """A stored model replaced by one trained on all labelled messages so far, then scores by it."""
     path = fresh_folder(spark, "retrained")
     first, more = relational.hash_split(labelled(spark, folder), "doc_id")
-    model = learn.score_model(features=100, depth=3, rounds=5)
+    model = learn.score_model()
     learn.refit(model, first, path)
     learn.refit(model, relational.append_by_name(first, more), path)
     return learn.score(documents(spark, folder).select("doc_id", "text"),
@@ -702,15 +702,14 @@ def retrained_scores(spark, folder):
 def holdout_scores(spark, folder):
     """RMSE, mean label and correlation on the quarter not trained on."""
     train, test = relational.hash_split(labelled(spark, folder), "doc_id")
-    model = learn.score_model(features=100, depth=3, rounds=5).fit(train)
+    model = learn.score_model().fit(train)
     return metrics.evaluate(model.transform(test), [])
 
 
 @query
 def tuned_candidates(spark, folder):
-    """Cross-validated error of each candidate of a small grid."""
-    fitted = learn.tune(labelled(spark, folder), "doc_id", features=(10, 100), depths=(2,),
-                        rounds=(2,), folds=2)
+    """Cross-validated error of each candidate of the grid."""
+    fitted = learn.tune(labelled(spark, folder), "doc_id")
     return spark.createDataFrame(learn.grid_results(fitted),
                                  "features int, depth int, rounds int, rmse double")
 
@@ -718,7 +717,7 @@ def tuned_candidates(spark, folder):
 @query
 def classified_messages(spark, folder):
     """Naive Bayes classes of all messages."""
-    model = learn.class_model("bayes", 100).fit(labelled(spark, folder))
+    model = learn.class_model("bayes").fit(labelled(spark, folder))
     return learn.score(documents(spark, folder).select("doc_id", "text"), model).select(
         "doc_id", "prediction")
 
@@ -726,7 +725,7 @@ def classified_messages(spark, folder):
 @query
 def svm_messages(spark, folder):
     """One linear SVM per class."""
-    model = learn.class_model("svm", 100).fit(
+    model = learn.class_model("svm").fit(
         labelled(spark, folder).withColumn("label", (F.col("label") > 0).cast("double")))
     return learn.score(documents(spark, folder).select("doc_id", "text"), model).select(
         "doc_id", "prediction")
@@ -853,7 +852,7 @@ def stream_kalman(spark, folder):
 @query
 def stream_scores(spark, folder):
     """The live flow: a stream of messages scored, averaged, flagged and forecast."""
-    model = learn.score_model(features=100, depth=3, rounds=3).fit(labelled(spark, folder))
+    model = learn.score_model().fit(labelled(spark, folder))
     stream = stream_of(spark, folder, "documents")
     begin = F.unix_seconds(F.lit("2018-04-13 10:31:30").cast("timestamp"))
     stamped = stream.select(

@@ -1,8 +1,11 @@
+import inspect
+
 import pytest
 from pyspark.sql import functions as F
 
 from heatline.operators import features, learn, metrics, relational
 from heatline.functions import text as X
+from heatline.plans.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -85,3 +88,22 @@ def test_only_labelled_texts_are_cleaned(spark):
     assert [tuple(r) for r in got.collect()] == [(1, "a b", 50.0)]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace") == 1
+
+
+@pytest.mark.parametrize("name, maker", [(n, "score_model") for n in ("score_messages", "retrained_scores", "holdout_scores",
+                                                                      "stream_scores")]
+                         + [("tuned_candidates", "tune"), ("classified_messages", "class_model"), ("svm_messages", "class_model")])
+def test_registered_queries_learn_at_full_size(spark, tables, monkeypatch, name, maker):
+    class Stop(Exception):
+        pass
+
+    real, sizes = getattr(learn, maker), {"features", "depth", "depths", "rounds", "folds", "embeddings"}
+
+    def asked(*args, **named):
+        bound = inspect.signature(real).bind(*args, **named)
+        assert not sizes & set(bound.arguments)
+        raise Stop
+
+    monkeypatch.setattr(learn, maker, asked)
+    with pytest.raises(Stop):
+        QUERIES[name](spark, tables)
