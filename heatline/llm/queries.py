@@ -5,7 +5,7 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 from heatline.llm import (
-    langid, licences, mixing, neighbours, pieces, pii, quality, repeats, rules, simhash)
+    langid, licences, mixing, neighbours, pieces, pii, quality, repeats, rules, simhash, whitening)
 from heatline.llm.common import read
 
 QUERIES = {}
@@ -145,3 +145,8 @@ SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(least, e.vec_id) AS
        coalesce(least, e.vec_id) = e.vec_id AS kept
 FROM embeddings e LEFT JOIN counts ON u = e.vec_id LEFT JOIN parts ON node = e.vec_id
 """
+
+
+@query
+def op11_whitening(spark, folder):
+    return whitening.whiten(read(spark, folder, "embeddings"))

@@ -13,6 +13,6 @@ def test_equals_sql(spark, tables, name):
 
 def test_all_are_registered():
     known = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in known) == 1
     assert "pipeline" in known
