@@ -5,7 +5,7 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 from heatline.llm import (
-    langid, licences, mixing, neighbours, pieces, pii, quality, repeats, rules, simhash, whitening)
+    langid, licences, mixing, neighbours, pieces, pii, quality, repeats, rules, simhash, whitening, winnowing)
 from heatline.llm.common import read
 
 QUERIES = {}
@@ -150,3 +150,27 @@ FROM embeddings e LEFT JOIN counts ON u = e.vec_id LEFT JOIN parts ON node = e.v
 @query
 def op11_whitening(spark, folder):
     return whitening.whiten(read(spark, folder, "embeddings"))
+
+
+@query
+def op13_contamination(spark, folder):
+    return winnowing.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+# Every span of ten words, by its words.
+SQL["op13_contamination"] = r"""
+WITH spoken AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item, least(len(w), 10) AS m, w[i:i + least(len(w), 10) - 1] AS span
+            FROM spoken, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(i) WHERE len(w) > 0),
+docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+spans AS (SELECT doc_id, m, i, w[i:i + m - 1] AS span FROM docs, (SELECT DISTINCT m FROM windows), unnest(range(1, len(w) - m + 2)) AS t(i)),
+met AS (SELECT doc_id, spans.m, i, item FROM spans JOIN windows ON spans.m = windows.m AND spans.span = windows.span),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM met, unnest(range(i, i + m)) AS t(p) GROUP BY 1),
+listed AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+           FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(digest, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
