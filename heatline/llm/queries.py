@@ -5,7 +5,7 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 from heatline.llm import (
-    langid, licences, mixing, neighbours, pieces, pii, quality, repeats, rules, simhash, whitening, winnowing)
+    langid, lexical, licences, mixing, neighbours, pieces, pii, quality, repeats, rules, simhash, whitening, winnowing)
 from heatline.llm.common import read
 
 QUERIES = {}
@@ -174,3 +174,25 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        coalesce(digest, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+
+@query
+def op12_search(spark, folder):
+    return lexical.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+SQL["op12_search"] = r"""
+WITH said AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+wanted AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+counts AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM said GROUP BY 1, 2),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY 1),
+known AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM sizes),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counts, known GROUP BY term, docs),
+scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+           FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), known GROUP BY 1, 2),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+           FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
