@@ -16,6 +16,7 @@ from heatline.llm.licence_bodies import BODIES
 from heatline.llm.ngrams import FACTORS, code_points, word_codes
 
 SHINGLE = 5
+LEAST_WORDS = 2
 CONTAINMENT = 0.8
 SURE = 0.999
 SLACK = 1.1
@@ -154,7 +155,7 @@ CC_PARTS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "At
             "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
 # How a license is named in one line, by SPDX identifier.
 NAMED = {
-    **{f"{short}-{spdx}": [f"the GNU {name}{v}{number}" for v in (", version ", " v", " ")] + [f"{short} {number}", f"the {short} v{number}"]
+    **{f"{short}-{spdx}": [f"the GNU {name}{v}{number}" for v in (", version ", " v", " ")] + [f"{short} {number}", f"the {short} v{number}", f"{short} v{number}", f"{short}v{number}"]
        for short, name, numbers in (("GPL", "General Public License", ("1.0", "2.0", "3.0")),
                                     ("LGPL", "Library General Public License", ("2.0",)),
                                     ("LGPL", "Lesser General Public License", ("2.1", "3.0")),
@@ -166,7 +167,7 @@ NAMED = {
        for part, words in CC_PARTS.items() for v, place in (("4.0", "International"), ("3.0", "Unported"))},
     "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "the Apache 2.0 License", "Apache License 2.0",
                    "the Apache License v2.0"],
-    "MIT": ["the MIT License", "an MIT License", "the MIT/X11 License"], "ISC": ["the ISC License"], "Zlib": ["the zlib License"],
+    "MIT": ["the MIT License", "an MIT License", "the MIT/X11 License", "MIT License"], "ISC": ["the ISC License"], "Zlib": ["the zlib License"],
     "Unlicense": ["the Unlicense license"], "0BSD": ["the Zero-Clause BSD License", "the 0BSD License"],
     "BSD-2-Clause": ["the BSD 2-Clause License", "the 2-Clause BSD License", "the Simplified BSD License"],
     "BSD-3-Clause": ["the BSD 3-Clause License", "the 3-Clause BSD License", "the New BSD License"],
@@ -181,6 +182,7 @@ NAMED = {
     "OFL-1.1": ["the SIL Open Font License, Version 1.1", "the SIL Open Font License 1.1"],
     "ODbL-1.0": ["the Open Database License v1.0", "the Open Data Commons Open Database License"],
     "SSPL-1.0": ["the Server Side Public License, version 1"],
+    "BSD": ["the BSD License", "a BSD License", "BSD License"],
 }
 VERBS = ("licensed", "released", "distributed", "available", "published", "provided")
 
@@ -190,7 +192,8 @@ def lines(name: str) -> list[str]:
     short = [f"under {name}", f"terms of {name}"]
     forms = [f for f in short if len(WORD.findall(f)) >= SHINGLE]
     forms += [f for f in (f"{verb} under {name}" for verb in VERBS) if len(forms) < 2 and len(WORD.findall(f)) >= SHINGLE]
-    return [*forms, f"This work is licensed under {name}"]
+    brief = [f for f in (short[0],) if 3 <= len(WORD.findall(f)) < SHINGLE]
+    return [*forms, *brief, f"This work is licensed under {name}"]
 
 
 def templates() -> list[tuple[str, str]]:
@@ -200,7 +203,7 @@ def templates() -> list[tuple[str, str]]:
     out += [(f"{spdx}-text", body) for spdx, body in BODIES.items()]
     for spdx, names in NAMED.items():
         tags = [f"SPDX-License-Identifier: {spdx}"]
-        out += [(spdx, line) for line in [*[x for n in names for x in lines(n)], *tags] if len(WORD.findall(line)) >= SHINGLE]
+        out += [(spdx, line) for line in [*[x for n in names for x in lines(n)], *tags]]
     return list(dict.fromkeys(out))
 
 
@@ -224,14 +227,18 @@ def lowered(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def shingle_codes(text: str) -> np.ndarray:
-    """32-bit code of each run of five words, letters lowered."""
-    codes = word_codes(word_points()[code_points(lowered(text))])
-    n = len(codes) - SHINGLE + 1
+def lowered_codes(text: str) -> np.ndarray:
+    """32-bit code of each word, letters lowered."""
+    return word_codes(word_points()[code_points(lowered(text))])
+
+
+def shingle_codes(codes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """32-bit code of each run of `size` words, from the codes of the words."""
+    n = len(codes) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint32)
     total = np.zeros(n, np.uint32)
-    for k in range(SHINGLE):
+    for k in range(size):
         total = (total + codes[k:k + n]) * FACTORS[k]
         total ^= total >> np.uint32(15)
     return total
@@ -258,7 +265,23 @@ def bands_for(containment: float = CONTAINMENT, sure: float = SURE) -> int:
 
 
 def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    return {tuple(words[i:i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
+    """Runs of five words; all words where there are fewer, so that containment of 0.8 means all of them."""
+    size = min(SHINGLE, len(words))
+    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)}
+
+
+class Marks:
+    """Whether a code is one of a fixed set: a bitmap first, then a binary search."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = np.unique(codes)
+        self.bits = np.zeros(1 << 22, bool)
+        self.bits[self.codes >> np.uint32(10)] = True
+
+    def places(self, codes: np.ndarray) -> np.ndarray:
+        near = np.flatnonzero(self.bits[codes >> np.uint32(10)])
+        at = np.searchsorted(self.codes, codes[near])
+        return near[self.codes[np.minimum(at, len(self.codes) - 1)] == codes[near]] if len(near) else near
 
 
 class Scanner:
@@ -272,67 +295,95 @@ class Scanner:
         self.shift = rng.integers(0, 1 << 32, (self.bands, 1), dtype=np.uint32)
         self.names, self.sets = [], []
         by_stride: dict[int, list[int]] = {}
-        signatures = []
+        by_size: dict[int, list[int]] = {}
+        codes = []
         for name, text in sorted(notices.items() if isinstance(notices, dict) else notices):
-            own = shingles(WORD.findall(lowered(text)))
-            if not own:
-                raise ValueError(f"notice {name} has fewer than {SHINGLE} words")
-            by_stride.setdefault(stride_for(len(own)), []).append(len(self.names))
+            words = WORD.findall(lowered(text))
+            own = shingles(words)
+            if len(words) < LEAST_WORDS:
+                raise ValueError(f"notice {name} has fewer than {LEAST_WORDS} words")
+            if len(words) < SHINGLE:
+                by_size.setdefault(len(words), []).append(len(self.names))
+            else:
+                by_stride.setdefault(stride_for(len(own)), []).append(len(self.names))
             self.names.append(name)
             self.sets.append(own)
-            signatures.append(self.hashed(shingle_codes(text)).min(axis=1))
+            codes.append(shingle_codes(lowered_codes(text), min(SHINGLE, len(words))))
         self.strides = {}
         for stride, k in sorted(by_stride.items()):
-            bands = np.array([signatures[i] for i in k]).T
+            bands = np.array([self.hashed(codes[i]).min(axis=1) for i in k]).T
             # By band and half of its hash: whether a notice has it. Few windows are left to compare.
             known, each = np.zeros((2, self.bands, 1 << 16), bool), np.arange(self.bands)[:, None]
             known[0, each, bands >> np.uint32(16)] = True
             known[1, each, bands & np.uint32(0xFFFF)] = True
-            self.strides[stride] = np.array(k), bands, known
+            fewest = min(ceil(containment * len(self.sets[i]) - 1e-9) for i in k)
+            self.strides[stride] = np.array(k), bands, known, Marks(np.concatenate([codes[i] for i in k])), fewest
+        self.marks = Marks(np.concatenate([codes[i] for k in by_stride.values() for i in k])) if by_stride else None
+        # A notice of one shingle is its own and only window.
+        self.short = {size: (Marks(np.concatenate([codes[i] for i in k])), k) for size, k in sorted(by_size.items())}
 
     def hashed(self, codes: np.ndarray) -> np.ndarray:
         """A row of permuted codes per band."""
         x = codes[None, :] * self.factor + self.shift
         return x ^ (x >> np.uint32(16))
 
+    def minima(self, codes: np.ndarray, blocks: np.ndarray, stride: int) -> np.ndarray:
+        """Least permuted codes per band of the given blocks of `stride` shingles; the last may be short."""
+        out = np.empty((self.bands, len(blocks)), np.uint32)
+        step = max(1, CHUNK // stride)
+        for lo in range(0, len(blocks), step):
+            at = np.minimum(blocks[lo:lo + step, None] * stride + np.arange(stride), len(codes) - 1)
+            # Beyond the end the last shingle repeats, which is in that block already.
+            out[:, lo:lo + step] = self.hashed(codes[at.ravel()]).reshape(self.bands, -1, stride).min(axis=2)
+        return out
+
     def candidates(self, codes: np.ndarray):
-        """(notice, first shingle, end) of windows that agree with a notice in a band."""
-        largest = max(self.strides)
-        step = max(CHUNK // largest, 1) * largest
-        for at in range(0, max(1, len(codes)), step):
-            part = codes[at:at + step + 3 * largest]
-            blocks, width = self.hashed(part), 1
-            for stride, (notices, bands, known) in self.strides.items():
-                while width < stride:
-                    if blocks.shape[1] % 2:
-                        blocks = np.concatenate([blocks, np.full((self.bands, 1), 0xFFFFFFFF, np.uint32)], axis=1)
-                    blocks = np.minimum(blocks[:, ::2], blocks[:, 1::2])
-                    width *= 2
-                n = blocks.shape[1]
-                if not n:
-                    continue
-                windows = blocks if n < 3 else np.minimum(np.minimum(blocks[:, :-2], blocks[:, 1:-1]), blocks[:, 2:])
-                if n < 3:
-                    windows = windows.min(axis=1, keepdims=True)
-                near = np.zeros(windows.shape[1], bool)
-                for band in range(self.bands):
-                    near |= known[0, band][windows[band] >> np.uint32(16)]
-                left, each = np.flatnonzero(near), np.arange(self.bands)[:, None]
-                some = windows[:, left]
-                both = known[0, each, some >> np.uint32(16)] & known[1, each, some & np.uint32(0xFFFF)]
-                for w in left[both.any(axis=0)].tolist():
-                    for notice in notices[(bands == windows[:, w:w + 1]).any(axis=0)].tolist():
-                        yield notice, at + w * stride, min(len(codes), at + (w + 3) * stride)
+        """(notice, first shingle, end) of windows that agree with a notice in a band.
+
+        Only windows with as many shingles of the stride's notices as the smallest of them demands are
+        hashed: no other can hold the demanded part of any.
+        """
+        if self.marks is None or not len(codes):
+            return
+        marked = self.marks.places(codes)
+        if not len(marked):
+            return
+        for stride, (notices, bands, known, own, fewest) in self.strides.items():
+            places = marked[own.places(codes[marked])]
+            if len(places) < fewest:
+                continue
+            n = -(-len(codes) // stride)
+            blocks, held = np.unique(places // stride, return_counts=True)
+            windows = np.unique(np.clip(np.concatenate([blocks, blocks - 1, blocks - 2]), 0, max(0, n - 3)))
+            total = np.concatenate(([0], np.cumsum(held)))
+            inside = total[np.searchsorted(blocks, windows + 3)] - total[np.searchsorted(blocks, windows)]
+            windows = windows[inside >= fewest]
+            if not len(windows):
+                continue
+            parts = np.minimum(windows[:, None] + np.arange(3), n - 1)
+            wanted, back = np.unique(parts, return_inverse=True)
+            hashes = self.minima(codes, wanted, stride)[:, back.reshape(parts.shape)].min(axis=2)
+            each = np.arange(self.bands)[:, None]
+            both = known[0, each, hashes >> np.uint32(16)] & known[1, each, hashes & np.uint32(0xFFFF)]
+            for w in np.flatnonzero(both.any(axis=0)).tolist():
+                at = int(windows[w]) * stride
+                for notice in notices[(bands == hashes[:, w:w + 1]).any(axis=0)].tolist():
+                    yield notice, at, min(len(codes), at + 3 * stride)
+
+    def short_candidates(self, codes: np.ndarray):
+        """(notice, place, place + 1) of runs of words that have the code of a notice of fewer than five."""
+        for size, (marks, notices) in self.short.items():
+            for place in marks.places(shingle_codes(codes, size)).tolist():
+                for notice in notices:
+                    yield notice, place, place + 1
 
     def scan(self, text: str) -> list[tuple[str, int, int, float]]:
         """(notice, start, end, containment), in code points; matches of a notice that touch are one.
 
         A span reaches from the first to the last shingle of the window that the notice has too.
         """
-        codes = shingle_codes(text)
-        if not len(codes):
-            return []
-        found = sorted(set(self.candidates(codes)))
+        codes = lowered_codes(text)
+        found = sorted({*self.candidates(shingle_codes(codes)), *self.short_candidates(codes)})
         if not found:
             return []
         matches = list(WORD.finditer(lowered(text)))
@@ -340,13 +391,14 @@ class Scanner:
         held: list[tuple] = []
         for notice, lo, hi in found:
             own = self.sets[notice]
-            here = [i for i in range(lo, hi) if tuple(words[i:i + SHINGLE]) in own]
-            n = len({tuple(words[i:i + SHINGLE]) for i in here})
+            size = len(next(iter(own)))
+            here = [i for i in range(lo, hi) if tuple(words[i:i + size]) in own]
+            n = len({tuple(words[i:i + size]) for i in here})
             if n / len(own) >= self.containment:
-                held.append((self.names[notice], here, n, n / len(own)))
+                held.append((self.names[notice], here, n, n / len(own), size))
         out: list[list] = []
-        for name, here, _, share in sorted(self.best(held), key=lambda h: (h[0], h[1][0])):
-            start, end = matches[here[0]].start(), matches[here[-1] + SHINGLE - 1].end()
+        for name, here, _, share, size in sorted(self.best(held), key=lambda h: (h[0], h[1][0])):
+            start, end = matches[here[0]].start(), matches[here[-1] + size - 1].end()
             if out and out[-1][0] == name and start <= out[-1][2]:
                 out[-1][2], out[-1][3] = max(out[-1][2], end), max(out[-1][3], share)
             else:
@@ -354,7 +406,7 @@ class Scanner:
         return [tuple(x) for x in out]
 
     def best(self, held: list[tuple]) -> list[tuple]:
-        """Matches (name, shingles' places, distinct shingles, share) without those that another license's
+        """Matches (name, shingles' places, distinct shingles, share, words a shingle) without those that another license's
         notice explains better: one that has the demanded part of the same places, and more in all."""
         at: dict[int, list[int]] = {}
         if len({family(h[0]) for h in held}) > 1:
@@ -364,7 +416,7 @@ class Scanner:
         out = []
         for h in held:
             shared = Counter(k for place in h[1] for k in at.get(place, ()))
-            if not any(n >= self.containment * len(h[1]) and held[k][2:] > h[2:] and family(held[k][0]) != family(h[0])
+            if not any(n >= self.containment * len(h[1]) and held[k][2:4] > h[2:4] and family(held[k][0]) != family(h[0])
                        for k, n in shared.items()):
                 out.append(h)
         return out
@@ -375,12 +427,12 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None, row_id="doc_id"
     """(doc_id, n_matches, licenses, matches) per row of `docs`.
 
     `matches` lists (license, start, end, containment), `licenses` the distinct names joined by commas.
-    `notices` are a fixed list of texts of five words or more that goes to every task; those of
-    `templates` unless given. Where notices of two licenses hold the same words, the one that has more of
+    `notices` are a fixed list of texts of two words or more that goes to every task; those of
+    `templates` unless given. One of fewer than five words is found where all its words stand in a row. Where notices of two licenses hold the same words, the one that has more of
     them is reported. A notice is
     found where a window holds at least `containment` of its five-word shingles; such a window is
     retrieved with probability `sure` or more, and whatever is retrieved is verified on the words.
-    A NULL text, or one of fewer than five words, has no match. Repeated rows are returned as often as
+    A NULL text, or one without a word, has no match. Repeated rows are returned as often as
     they come, ids may be NULL, other columns are ignored; an empty table gives an empty result.
     """
     rows = docs.select(F.col(row_id).alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -83,7 +83,7 @@ def test_edge_cases(spark):
     assert (start, end) == (200_000, 200_000 + len(notice))
     assert L.scan(docs.where("false")).count() == 0
     with pytest.raises(ValueError):
-        L.scan(docs, {"x": "too short"})
+        L.scan(docs, {"x": "short"})
 
 
 def test_hashing_does_not_depend_on_chunks(scanner, monkeypatch):
@@ -120,3 +120,32 @@ def test_bodies_are_found_as_themselves():
         names = {m[0] for m in scanner.scan("ahead " * 50 + body + " after" * 50)}
         assert spdx in {L.family(n) for n in names}, (spdx, names)
     assert not any(m[0] == "GPL-3.0-text" for m in scanner.scan(L.AGPL_TERMS))
+
+
+def test_short_notices_need_all_their_words():
+    scanner = L.Scanner(L.templates())
+    for text, want in {"SPDX-License-Identifier: MIT": {"MIT"}, "Licensed under GPL v2 or later": {"GPL-2.0"}, "# spdx license identifier isc": {"ISC"},
+                       "Released under the BSD license": {"BSD"}, "code under MIT license": {"MIT"}, "Released under the MIT": set(),
+                       "SPDX-License-Identifier:": set(), "under the GPL": set(), "": set(), "MIT": set()}.items():
+        assert {m[0] for m in scanner.scan(text)} == want, text
+    (name, start, end, share), = scanner.scan("x y. SPDX-License-Identifier: MIT. z")
+    assert (start, end, share) == (5, 33, 1.0)
+
+
+def test_windows_that_are_not_hashed_hold_too_few_shingles():
+    """Against all windows of the grid, with every notice there is."""
+    scanner, rng = L.Scanner(L.templates()), random.Random(8)
+    texts = [t for _, t in L.templates()]
+    words = [w for t in rng.sample(texts, 60) for w in t.split()]
+    for _ in range(15):
+        text = " ".join(" ".join(words[a:a + rng.randrange(3, 40)]) for a in (rng.randrange(len(words)) for _ in range(20)))
+        codes = L.shingle_codes(L.lowered_codes(text))
+        found = {(notice, at) for notice, at, _ in scanner.candidates(codes)}
+        said = L.WORD.findall(L.lowered(text))
+        runs = [tuple(said[i:i + L.SHINGLE]) for i in range(len(codes))]
+        for stride, (notices, *_) in scanner.strides.items():
+            for at in range(0, max(1, len(runs) - 2 * stride), stride):
+                window = set(runs[at:at + 3 * stride])
+                for notice in notices.tolist():
+                    if len(window & scanner.sets[notice]) >= 0.95 * len(scanner.sets[notice]):
+                        assert (notice, at) in found
