@@ -17,6 +17,7 @@ BLOCK_TOKENS = 1 << 16
 BUCKET_ROWS = 2048
 STEPS, ROUNDS = 64, 7
 AXIS_BITS = 60
+TIE, TIED_ROWS = "tie", 1000
 
 
 def words(text: Column) -> Column:
@@ -31,10 +32,12 @@ def order_key(epoch: Column, kind: str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, AXIS_BITS // 4), 16, 10).cast("long")
 
 
-def measured(docs: DataFrame, row_id="doc_id", source="source", text="text") -> DataFrame:
-    """(doc_id, src, tokens) per row. NULL sources form one source with the empty name."""
+def measured(docs: DataFrame, row_id="doc_id", source="source", text="text", ties: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, src, tokens, and a hash of the text under each name in `ties`) per row. NULL sources form one
+    source with the empty name."""
+    body = F.col(text).cast("string")
     return docs.select(F.col(row_id).alias("doc_id"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("src"),
-                       words(F.col(text).cast("string")).alias("tokens"))
+                       words(body).alias("tokens"), *[F.xxhash64(body).alias(name) for name in ties])
 
 
 def exponent(totals: DataFrame, entropy=ENTROPY, most_epochs=MOST_EPOCHS) -> float:
@@ -84,8 +87,8 @@ def budgets(totals: DataFrame, alpha: float) -> DataFrame:
     return out.withColumn("share", F.col("budget") / F.lit(float(whole))).withColumn("whole", F.lit(whole))
 
 
-def offsets(rows: DataFrame) -> DataFrame:
-    """Add `before`: tokens ahead of the row in the order of its source and epoch.
+def offsets(rows: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Add `before`: tokens ahead of the row in the order of its source and epoch, then of `ties`.
 
     `rows` has (src, epoch, axis, bits, tokens). A source is cut into buckets of its axis, so that no
     window runs over a source; only one sum per bucket is added up per source.
@@ -94,15 +97,15 @@ def offsets(rows: DataFrame) -> DataFrame:
     sums = cut.groupBy("src", "epoch", "bucket").agg(F.sum("tokens").alias("own"))
     earlier = Window.partitionBy("src", "epoch").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("src", "epoch", "bucket", F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("start"))
-    inside = (Window.partitionBy("src", "epoch", "bucket").orderBy("axis", "tokens")
+    inside = (Window.partitionBy("src", "epoch", "bucket").orderBy("axis", "tokens", *ties)
               .rowsBetween(Window.unboundedPreceding, -1))
     return (cut.join(starts, ["src", "epoch", "bucket"])
             .withColumn("before", F.col("start") + F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
             .drop("bucket", "start"))
 
 
-def planned(docs: DataFrame, row_id, source, text, entropy, most_epochs) -> tuple[DataFrame, DataFrame]:
-    rows = settle(measured(docs, row_id, source, text))
+def planned(docs: DataFrame, row_id, source, text, entropy, most_epochs, ties=()) -> tuple[DataFrame, DataFrame]:
+    rows = settle(measured(docs, row_id, source, text, ties))
     totals = settle(rows.groupBy("src").agg(F.sum("tokens").alias("t"), F.count("*").alias("n")))
     return rows, stored(budgets(totals, exponent(totals, entropy, most_epochs)), "sources")
 
@@ -138,23 +141,38 @@ def repeat(docs: DataFrame, row_id="doc_id", source="source", text="text", entro
            most_epochs=MOST_EPOCHS) -> DataFrame:
     """`docs` with every row as often as the mix uses it.
 
-    The last, unfinished epoch of a source ends at one point of its order. So each source needs only
+    The last, unfinished epoch of a source ends at one point of its order, a row. So each source needs only
     its number of whole epochs and that point: one row per source, joined to the texts without a
-    shuffle while Spark measures that table to be small.
+    shuffle while Spark measures that table to be small. Rows that agree in id, source and text share
+    their point; where the epoch ends among them, one of them stands for all that are still used.
+
+    NULL, empty, repeated rows and empty tables are treated as by `mix`; all columns stay.
     """
-    rows, plan = planned(docs, row_id, source, text, entropy, most_epochs)
+    rows, plan = planned(docs, row_id, source, text, entropy, most_epochs, (TIE,))
     plan = plan.withColumn("whole_epochs", F.expr("int(budget div t)"))
     last = (rows.join(plan.where("budget % t > 0"), "src").withColumn("epoch", F.col("whole_epochs"))
             .withColumn("axis", order_key(F.col("epoch"), "use")))
-    ends = offsets(last).where("before < budget % t").groupBy("src").agg(F.max("axis").alias("end"))
-    by_source = stored(plan.join(ends, "src", "left").select("src", "whole_epochs", "end"), "sources")
+    taken = (offsets(last, (TIE,)).withColumn("taken", F.expr("int(before < budget % t)"))
+             .groupBy("src", "axis", "tokens", TIE).agg(F.sum("taken").alias("taken"), F.count("*").alias("tied")).where("taken > 0"))
+    ends = taken.groupBy("src").agg(F.max(F.struct("axis", "tokens", TIE, "taken", "tied")).alias("end"))
+    by_source = stored(plan.join(ends, "src", "left").select("src", "whole_epochs", F.struct("end.axis", "end.tokens", f"end.{TIE}").alias("end"),
+                                                             "end.taken", "end.tied"), "sources")
     own = {c: f"_mixed_{i}" for i, c in enumerate(docs.columns)}
     named = docs.select([F.col(f"`{c}`").alias(n) for c, n in own.items()])
+    body = F.col(own[text]).cast("string")
     keyed = named.select("*", *[c.alias(n) for c, n in zip(
-        [F.col(own[row_id]), F.coalesce(F.col(own[source]).cast("string"), F.lit("")), words(F.col(own[text]).cast("string"))],
-        ["doc_id", "src", "tokens"])])
-    used = (keyed.join(by_source, "src")
-            .withColumn("uses", F.col("whole_epochs") + F.when(
-                order_key(F.col("whole_epochs"), "use") <= F.col("end"), 1).otherwise(0))
+        [F.col(own[row_id]), F.coalesce(F.col(own[source]).cast("string"), F.lit("")), words(body), F.xxhash64(body)],
+        ["doc_id", "src", "tokens", TIE])])
+    joined = keyed.join(by_source, "src").withColumn("point", F.struct(order_key(F.col("whole_epochs"), "use").alias("axis"), "tokens", TIE))
+    more = F.coalesce((F.col("point") < F.col("end")) | ((F.col("point") == F.col("end")) & (F.col("taken") == F.col("tied"))), F.lit(False))
+    used = (joined.withColumn("uses", F.col("whole_epochs") + more.cast("int"))
             .withColumn("_use", F.explode(F.expr("sequence(1, uses)"))))
-    return used.select([F.col(n).alias(c) for c, n in own.items()])
+    names = list(own.values())
+    whole = used.select(names)
+    if by_source.where("taken < tied").take(1):
+        parts = (joined.where((F.col("point") == F.col("end")) & (F.col("taken") < F.col("tied"))).dropDuplicates(["src"])
+                 .withColumn("_part", F.explode(F.expr(f"sequence(0, int((taken - 1) div {TIED_ROWS}))")))
+                 .repartition("src", "_part"))
+        whole = whole.unionByName(parts.withColumn("_use", F.explode(F.expr(
+            f"sequence(1, int(least({TIED_ROWS}, taken - _part * {TIED_ROWS})))"))).select(names))
+    return whole.select([F.col(n).alias(c) for c, n in own.items()])

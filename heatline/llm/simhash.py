@@ -5,6 +5,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heatline.llm.blocks import at_places, meeting_places
 from heatline.llm.common import map_rows, settle, stored
@@ -161,6 +162,21 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return at_places(placed, compare, "u long, v long")
 
 
+def classes(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(fp, root, least, component_id) of every fingerprint that a row with an id has, stored.
+
+    `least` is the smallest id with that fingerprint, `component_id` the smallest reachable. Components
+    are made of fingerprints, so an id that stands on several texts does not join them.
+    """
+    distinct = settle(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("least")))
+    joined = components(links(distinct.select("fp", F.col("fp").alias("rep")), distance))
+    rooted = stored(distinct.join(joined, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("root")), "roots")
+    linked = rooted.join(stored(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("prints"))
+                                .where("prints > 1").drop("prints"), "components"), "root", "left")
+    return stored(linked.select("fp", "root", "least", F.coalesce("component_id", "least").alias("component_id")), "classes")
+
+
 def near_duplicates(docs: DataFrame, row_id="doc_id", text="text", shingle=SHINGLE, distance=DISTANCE) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of `docs`.
 
@@ -175,10 +191,49 @@ def near_duplicates(docs: DataFrame, row_id="doc_id", text="text", shingle=SHING
     very many rows have.
     """
     prints = settle(fingerprints(docs, row_id, text, shingle))
-    distinct = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    joined = components(links(distinct, distance))
-    of_print = stored(distinct.join(joined, F.col("rep") == F.col("node"), "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id")), "classes")
+    of_print = classes(prints, distance).select("fp", "component_id")
     return prints.join(of_print, "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def with_fingerprint(docs: DataFrame, text: str, name: str, shingle=SHINGLE) -> DataFrame:
+    """`docs` with one more column, the fingerprint of the text."""
+    def made(batch):
+        texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
+        return {**{c: batch.column(k) for k, c in enumerate(batch.schema.names)},
+                name: pa.array([fingerprint(t.as_py() or b"", shingle) for t in texts], pa.int64())}
+    return map_rows(docs, made, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
+def keep_one(docs: DataFrame, row_id="doc_id", text="text", shingle=SHINGLE, distance=DISTANCE) -> DataFrame:
+    """Of each group of near-duplicates one row: the one with the smallest id.
+
+    Of rows that agree in id and fingerprint one stays; rows that share an id but not a group are decided
+    each on its own. Rows with a NULL id stay. All columns stay as they are, of any type and name. NULL
+    and empty texts are near-duplicates of each other. An empty table stays empty.
+
+    Only ids are joined to the texts: those of which a row goes. Texts of ids that stand on several rows
+    get their fingerprint a second time, to tell the rows apart.
+    """
+    prints = settle(fingerprints(docs, row_id, text, shingle))
+    known = classes(prints, distance)
+    # One (id, fingerprint) per group; of several fingerprints of one group under its smallest id the least.
+    chosen = stored(known.where("least = component_id").groupBy("root").agg(F.min(F.struct("fp", "least")).alias("one"))
+                    .select(F.col("one.fp").alias("fp"), F.col("one.least").alias("id")), "chosen")
+    ids = prints.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).withColumnRenamed("doc_id", "id")
+    marks = stored(ids.join(chosen.select("id").distinct().withColumn("chosen", F.lit(True)), "id", "left")
+                   .where("n > 1 or chosen is null").select("id", F.expr("n > 1 and chosen is not null").alias("several")), "marks")
+    # By number, so that a column of the documents cannot clash with one that is added.
+    own = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    named = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()]).withColumn("id", F.col(own[row_id]).cast("long"))
+    marked = named.where("id is not null").join(marks, "id", "left")
+    parts = [named.where("id is null"), marked.where("several is null")]
+    if marks.where("several").take(1):
+        several = with_fingerprint(marked.where("several").withColumn(own[text], F.col(own[text]).cast("string")), own[text], "fp", shingle)
+        parts.append(several.join(chosen, ["id", "fp"], "left_semi").dropDuplicates(["id", "fp"]))
+    names = list(own.values())
+    whole = parts[0].select(*names)
+    for part in parts[1:]:
+        whole = whole.unionByName(part.select(*names))
+    return whole.select(*[F.col(n).alias(c) for c, n in own.items()])

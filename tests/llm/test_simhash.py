@@ -84,3 +84,28 @@ def test_edge_cases(spark):
 @pytest.mark.parametrize("text", ["a b c d e", "A\x0bB\x1cC", "x", "ÀB c d"])
 def test_fingerprint(text):
     assert simhash.fingerprint(text.encode()) & (2**64 - 1) == brute_fingerprint(text)
+
+
+def kept(spark, rows, schema="doc_id long, text string"):
+    return sorted((tuple(r)[:2] for r in simhash.keep_one(spark.createDataFrame(rows, schema)).collect()), key=str)
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b = (" ".join(f"{p}{k}" for k in range(60)) for p in "ab")
+    assert kept(spark, [(5, a), (5, b), (2, a), (9, b)]) == [(2, a), (5, b)]
+    assert kept(spark, [(5, a), (5, b)]) == [(5, a), (5, b)]
+    assert kept(spark, [(5, a), (5, a), (6, a)]) == [(5, a)]
+    assert kept(spark, [(1, a), (2, b), (3, a), (4, None), (7, ""), (None, a), (None, a)]) == sorted(
+        [(1, a), (2, b), (4, None), (None, a), (None, a)], key=str)
+    assert kept(spark, []) == []
+
+
+def test_kept_rows_keep_any_column(spark):
+    text = "some words that are said here and again"
+    schema = "doc_id long, text string, extra map<string,int>, id int, fp string, several int, root array<int>, c0 int"
+    rows = [(i, text if i < 4 else f"other {i}", {"k": i}, 7, "f", 8, [i], 9) for i in (1, 2, 2, 3, 4)]
+    got = simhash.keep_one(spark.createDataFrame(rows, schema))
+    assert got.schema.simpleString() == spark.createDataFrame(rows, schema).schema.simpleString()
+    assert sorted(tuple(r) for r in got.collect()) == [rows[0], rows[4]]
+    again = simhash.keep_one(spark.createDataFrame([rows[1], rows[2], rows[4]], schema))
+    assert sorted(tuple(r) for r in again.collect()) == [rows[1], rows[4]]
