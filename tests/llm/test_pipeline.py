@@ -79,3 +79,13 @@ def test_edge_cases(spark, folder):
     assert {r.doc_id for r in got} == {1, 6, None} and all(r.round_trip for r in got)
     assert {r.score for r in got} == {0.0}
     assert "[EMAIL]" in next(r.text for r in got if r.doc_id == 6)
+
+
+def test_ids_on_several_texts_and_columns_of_any_type(spark, folder):
+    """Rows that share an id lose nothing but their own copies; no stage needs n_chars or a type that can be hashed."""
+    one, two = "The quick brown fox jumps over the lazy dog near the river bank today. ", "A slow green turtle walks under some old bridge by night. "
+    rows = [(5, one * 3, "en", "a", {"k": 1}), (5, two * 3, "en", "a", {"k": 2}), (2, one * 3, "en", "a", {"k": 3}), (9, two * 3, "en", "a", {"k": 4})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, extra map<string,int>")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder)
+    assert sorted((r.doc_id, r.text) for r in docs.collect()) == [(2, one * 3), (5, two * 3)]
