@@ -1,15 +1,16 @@
 """From raw documents to token ids: language, near-duplicates, personal data, mix, encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes every stage's result as
-Parquet below the shared folder and reads it back as the next one's documents.
+Parquet below the shared folder and reads it back as the next one's documents; what a stage has read is
+deleted once its result is written.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heatline.llm import langid, mixing, pieces, pii, simhash
-from heatline.llm.common import held_out, read, stored
-from heatline.session import fresh_folder, ship
+from heatline.llm.common import held_out, read
+from heatline.session import drop_folder, fresh_folder, ship
 
 LEAST_LANGUAGE_SCORE = 0.5
 
@@ -17,7 +18,9 @@ LEAST_LANGUAGE_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language is less likely than not, go.
 
-    The model learns from the documents given, but for the held-out third.
+    The model learns from the documents given, but for the held-out third. NULL and empty texts have no
+    letter and go; repeated rows are judged alike; where no row has a language to learn, all texts with a
+    letter stay. Every column stays as it is. An empty table stays empty.
     """
     learned = docs.where(~held_out(F.col("doc_id"))).where("lang is not null and text rlike '\\\\p{L}'")
     if not learned.take(1):
@@ -32,33 +35,35 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays.
 
-    Rows that share an id are one group too. Documents with a NULL id stay. Joined are only the ids of
-    which a row goes; texts are compared by nothing but their fingerprints.
+    Rows that share id and fingerprint are one document, rows that share only the id are not. Rows with a
+    NULL id stay. NULL and empty texts are near-duplicates of each other; an empty table stays empty.
     """
-    found = (simhash.near_duplicates(docs).where("doc_id is not null").groupBy("doc_id")
-             .agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")))
-    marks = stored(found.where("n > 1 or doc_id <> component_id")
-                   .select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("_simhash_mark")), "marks")
-    names = docs.columns
-    marked = docs.join(marks, "doc_id", "left")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*names))
-    repeated = marked.where("_simhash_mark").withColumn("_simhash_row", F.row_number().over(one)).where("_simhash_row = 1")
-    return marked.where("_simhash_mark is null").select(*names).unionByName(repeated.select(*names))
+    return simhash.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts is replaced by its kind."""
+    """Personal data in the texts is replaced by its kind, and `n_chars`, where there is one, counted anew.
+
+    NULL texts stay NULL, empty ones empty; no row goes or is added, repeated rows stay alike. An empty
+    table stays empty.
+    """
     clean = pii.redact(docs, pii.fit(docs))
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of small sources repeat until every source has its target share; none goes."""
+    """Documents of small sources repeat until every source has its target share; none goes.
+
+    A NULL or empty text counts as one token, a NULL source as one source; repeated rows are used like
+    others, up to the budget. An empty table stays empty.
+    """
     return mixing.repeat(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids."""
+    """Documents with their token ids. A NULL or empty text has no ids; all rows stay, of an empty table none."""
     return pieces.encode(docs)
 
 
@@ -81,4 +86,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{k}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if k:
+            drop_folder(spark, f"{folder}/{k - 1}")
     return docs

@@ -8,6 +8,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+SPREAD_BYTES = 64 << 20
 _shipped = set()
 
 SETTINGS = {
@@ -82,14 +83,30 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/heatline-{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the whole input is one split.
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this job's own tables, wherever Spark can write."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
-    Meant before costly work on text. What moves is at most one split, however many cores there are;
-    a table of two splits or more is left as it is.
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes on disk of the files that a frame reads, from the file index; no job runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    plans = [leaves.apply(k) for k in range(leaves.size())]
+    return sum(int(p.relation().sizeInBytes()) for p in plans if p.getClass().getSimpleName() == "LogicalRelation")
+
+
+def spread(df: DataFrame, key: str, per_core=SPREAD_BYTES) -> DataFrame:
+    """Rows dealt over all cores where the input is too small to give each of them a task.
+
+    Meant before costly work on text. A row group is one task, however many splits it is cut into, so
+    files count by their bytes: they are dealt anew where there are fewer of them than cores and they
+    hold less than `per_core` bytes a core, so what moves is small. A larger input has row groups enough
+    and is left as it is. Other frames are dealt only where they are one partition.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < 2 else df
+    cores, size = df.sparkSession.sparkContext.defaultParallelism, scanned_bytes(df)
+    small = size < per_core * cores and len(df.inputFiles()) < cores if size else df.rdd.getNumPartitions() < 2
+    return df.repartition(cores, key) if small else df
 
 
 def settle(df: DataFrame) -> DataFrame:

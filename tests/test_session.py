@@ -37,3 +37,26 @@ def test_spread_leaves_enough_splits_alone(spark):
     few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, cores)
     assert session.spread(few, "id").rdd.getNumPartitions() == cores
     assert session.spread(many, "id") is many
+
+
+def test_one_row_group_is_spread_whatever_its_splits(spark, tmp_path):
+    """A file of one row group is cut into splits of which all but one are empty."""
+    path, cores = str(tmp_path / "one"), spark.sparkContext.defaultParallelism
+    spark.range(20_000).selectExpr("id", "sha2(string(id), 256) AS text").coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+        df = spark.read.parquet(path)
+        assert df.rdd.getNumPartitions() > 2
+        sizes = session.spread(df, "id").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert len(sizes) == cores and min(sizes) > 0
+        assert session.spread(df, "id", per_core=session.scanned_bytes(df) // cores) is df
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_folders_are_dropped(spark, tmp_path):
+    path = str(tmp_path / "gone")
+    spark.range(3).write.parquet(path)
+    session.drop_folder(spark, path)
+    assert not os.path.exists(path)
