@@ -8,7 +8,7 @@ the bins the test is exact: every radius at which a count can change is tried, i
 """
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -43,8 +43,13 @@ def loci_bins(binned: DataFrame, series: str, alpha=LOCI_ALPHA, k=LOCI_K, minimu
     are kept in 64 bits where these provably hold them and in unbounded whole numbers elsewhere, with
     equal results.
     """
-    counts = (binned.groupBy(series, "x").agg(F.count("*").alias("c"))
-              .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+    return loci_counts(binned.groupBy(series, "x").agg(F.count("*").alias("c")), series, alpha, k, minimum, blocks)
+
+
+def loci_counts(filled: DataFrame, series: str, alpha=LOCI_ALPHA, k=LOCI_K, minimum=LOCI_MIN_NEIGHBOURS,
+                blocks=RADIUS_BLOCKS) -> DataFrame:
+    """(series, x, flagged) for each bin of (series, x, c), the counts of filled bins."""
+    counts = filled.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def test(frame):
         frame = frame.sort_values("x")
@@ -72,21 +77,24 @@ def loci_bins(binned: DataFrame, series: str, alpha=LOCI_ALPHA, k=LOCI_K, minimu
                         & (gap * gap > k * k * (s2 * n - s1 * s1))).astype(bool)
         return frame[[series, "x"]].assign(flagged=flagged)
 
-    kind = dict(binned.dtypes)[series]
+    kind = dict(filled.dtypes)[series]
     return (counts.groupBy(series, "_block")
             .applyInPandas(test, f"`{series}` {kind}, x bigint, flagged boolean")
             .groupBy(series, "x").agg(F.bool_or("flagged").alias("flagged")))
 
 
+def bin_of(value: Column, resolution=RESOLUTION) -> Column:
+    """The bin that a finite value falls into."""
+    return F.when(F.abs(value) < F.lit(float("inf")), F.floor(value / F.lit(float(resolution)))).cast("bigint")
+
+
 def tag_anomalies(rows: DataFrame, value="prediction", series="series", resolution=RESOLUTION) -> DataFrame:
     """Add `isAnomaly` (0 or 1) to every row by the values of its series.
 
     `resolution` is the width of a bin in units of the value: values in one bin are alike. Rows whose
     value is NULL or no finite number are in no bin and get NULL.
     """
-    bin_of = F.floor(F.col(value) / F.lit(float(resolution)))
-    finite = F.abs(F.col(value)) < F.lit(float("inf"))
-    binned = rows.withColumn("x", F.when(finite, bin_of).cast("bigint"))
+    binned = rows.withColumn("x", bin_of(F.col(value), resolution))
     flags = loci_bins(binned.where("x is not null"), series).select(
         F.col(series).alias("_series"), F.col("x").alias("_x"), F.col("flagged").cast("int").alias("isAnomaly"))
     same = F.col(series).eqNullSafe(F.col("_series")) & (F.col("x") == F.col("_x"))

@@ -42,14 +42,16 @@ def differenced(column: str, earlier: str) -> Column:
 # -- seasonal model (1,0,0)(1,1,0)_s -------------------------------------------------------------
 
 def seasonal_lags(rows: DataFrame, season=SEASON, series="series", idx="idx",
-                  value="y") -> DataFrame:
-    """Seasonal difference w and its lags 1, s, s+1 as w0, w1, ws, wt; NULL unless all exist."""
+                  value="y", keep=()) -> DataFrame:
+    """Seasonal difference w and its lags 1, s, s+1 as w0, w1, ws, wt; NULL unless all exist.
+
+    Other columns go, but for those to `keep`."""
     lags = {"_1": (value, 1), "_s": (value, season), "_t": (value, season + 1),
             "_2s": (value, 2 * season), "_2t": (value, 2 * season + 1)}
     parts = {"w0": (value, "_s"), "w1": ("_1", "_t"), "ws": ("_s", "_2s"), "wt": ("_t", "_2t")}
     complete = F.col("_2t").isNotNull()
     return lagged(rows, [series], idx, lags).select(
-        series, idx, *[F.when(complete, differenced(a, b)).alias(w) for w, (a, b) in parts.items()])
+        series, idx, *keep, *[F.when(complete, differenced(a, b)).alias(w) for w, (a, b) in parts.items()])
 
 
 def seasonal_gram(rows: DataFrame, season=SEASON, series="series", idx="idx",
@@ -65,7 +67,12 @@ def _ratio(above: Column, below: Column, limit) -> Column:
 
 def seasonal_fit(rows: DataFrame, season=SEASON, series="series", idx="idx", value="y",
                  rounds=ROUNDS, stationary=False) -> DataFrame:
-    """(series, n, equations, phi, seasonal_phi, css, aic, change, status).
+    """(series, n, equations, phi, seasonal_phi, css, aic, change, status) of each series."""
+    return seasonal_solve(seasonal_gram(rows, season, series, idx, value), series, rounds, stationary)
+
+
+def seasonal_solve(sums: DataFrame, series="series", rounds=ROUNDS, stationary=False) -> DataFrame:
+    """The fit from its sums (`seasonal_gram`), wherever they were added up.
 
     Residual w0 - phi w1 - Phi ws + phi Phi wt: with either coefficient fixed the other has a closed
     form, so they are updated in turn. Series with fewer than 3 equations are `too_short`; one whose
@@ -97,8 +104,7 @@ def seasonal_fit(rows: DataFrame, season=SEASON, series="series", idx="idx", val
               F.lit(0.0))
     m = F.col("equations")
     enough = m >= MIN_EQUATIONS
-    return (seasonal_gram(rows, season, series, idx, value)
-            .withColumn("_fit", F.when(enough, fit))
+    return (sums.withColumn("_fit", F.when(enough, fit))
             .select("*", "_fit.phi", "_fit.seasonal_phi", "_fit.change")
             .withColumn("css", F.when(enough, F.greatest(css, F.lit(0.0))))
             .withColumn("aic", F.when(F.col("css") > 0, m * F.log(F.col("css") / m) + 4))
@@ -113,16 +119,21 @@ def seasonal_forecast(rows: DataFrame, season=SEASON, share=FORECAST_SHARE, seri
 
     Multiplied out, the model is a linear rule of the last 2s+1 values.
     """
-    fits = (seasonal_fit(rows, season, series, idx, value, stationary=stationary)
-            .where(F.col("status") != "too_short"))
+    fits = seasonal_fit(rows, season, series, idx, value, stationary=stationary)
+    models = seasonal_rule(fits, season, share, series, horizon)
+    return extend(_with_tail(models, rows, series, idx, value, 2 * season + 1), series)
+
+
+def seasonal_rule(fits: DataFrame, season=SEASON, share=FORECAST_SHARE, series="series", horizon=None) -> DataFrame:
+    """(series, coef, const, steps): each fit as a linear rule of the last 2s+1 values; short series go."""
+    fits = fits.where(F.col("status") != "too_short")
     steps = F.floor(F.col("n") * share) if horizon is None else F.lit(horizon)
     phi, big = F.col("phi"), F.col("seasonal_phi")
     at = {1: phi, season: 1 + big, season + 1: -phi * (1 + big), 2 * season: -big,
           2 * season + 1: phi * big}
     coef = F.array(*[at.get(k, F.lit(0.0)) for k in range(1, 2 * season + 2)])
-    models = fits.select(series, coef.alias("coef"), F.lit(0.0).alias("const"),
-                         steps.cast("bigint").alias("steps"))
-    return extend(_with_tail(models, rows, series, idx, value, 2 * season + 1), series)
+    return fits.select(series, coef.alias("coef"), F.lit(0.0).alias("const"),
+                       steps.cast("bigint").alias("steps"))
 
 
 def _with_tail(models: DataFrame, rows: DataFrame, series: str, idx: str, value: str,

@@ -16,9 +16,9 @@ from heatline.operators import (
     anomaly, autoreg, buckets, features, garch, kalman, learn, metrics, orders, relational, search)
 from heatline.operators.slices import lagged, row_index
 from heatline.schemas import table
-from heatline.session import fresh_folder, settle, ship, spread
+from heatline.session import folder_names, fresh_folder, settle, ship, spread
 from heatline.sources import files, messages, tables
-from heatline.streaming import flow, stateful
+from heatline.streaming import flow, live, stateful
 
 # What the registered searches look for.
 TOPICS = (
@@ -708,9 +708,8 @@ def holdout_scores(spark, folder):
 
 @query
 def tuned_candidates(spark, folder):
-    """Cross-validated error of each candidate of the grid."""
-    fitted = learn.tune(labelled(spark, folder), "doc_id")
-    return spark.createDataFrame(learn.grid_results(fitted),
+    """Cross-validated error of each of the 48 candidates of the grid, in five folds."""
+    return spark.createDataFrame(learn.tune_by_prefix(labelled(spark, folder), "doc_id"),
                                  "features int, depth int, rounds int, rmse double")
 
 
@@ -860,10 +859,37 @@ def stream_scores(spark, folder):
         F.col("lang").alias("series"), "text")
     out = fresh_folder(spark, "live")
     flow.start_batches(flow.score_stream(stamped, model),
-                       lambda df, i: flow.signal_batch(df, i, out), out + "-offsets",
+                       lambda df, i: live.signal_batch(df, i, out), out + "-offsets",
                        "append").awaitTermination()
-    return flow.latest_rows(tables.read_table(spark, f"{out}/time_series"), ["series", "times"]).select(
-        "series", "times", "prediction", "isAnomaly")
+    return live.current_minutes(spark, out).select("series", "times", "prediction", "isAnomaly")
+
+
+LIVE_BATCHES = 4
+
+
+def live_events(spark, folder):
+    """The live tables after the events have come in several batches, one file each, in any order."""
+    source, out = fresh_folder(spark, "events"), fresh_folder(spark, "live")
+    events = scored(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    events.repartitionByRange(LIVE_BATCHES, "timestamp").write.parquet(source)
+    stream = (spark.readStream.schema(events.schema)
+              .option("maxFilesPerTrigger", max(1, len(folder_names(spark, source)) // LIVE_BATCHES)).parquet(source))
+    flow.start_batches(stream, lambda df, i: live.signal_batch(df, i, out), out + "-offsets", "append").awaitTermination()
+    return out
+
+
+@query
+def stream_minutes(spark, folder):
+    """Minute means that several batches have added up, one row per minute."""
+    now = live.current_minutes(spark, live_events(spark, folder))
+    return now.select("series", "times", F.round("prediction", 9).alias("prediction"))
+
+
+@query
+def stream_forecast(spark, folder):
+    """The forecast that several batches have left, each from the sums of the one before."""
+    ahead = live.current_forecast(spark, live_events(spark, folder))
+    return ahead.select("series", "times", F.round("prediction", 4).alias("prediction"))
 
 
 def flagship(spark, folder):

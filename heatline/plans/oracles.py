@@ -429,6 +429,12 @@ SQL = {
         SELECT series, h::BIGINT AS h, round(forecast, 6) AS forecast FROM path WHERE h > 0""",
     "sarima_forecast_sparse": f"""WITH RECURSIVE {SPARSE}, {seasonal_path('sparse', 'n // 4')}
         SELECT series, h::BIGINT AS h, round(forecast, 6) AS forecast FROM path WHERE h > 0""",
+    "stream_forecast": f"""WITH RECURSIVE {SPARSE}, {seasonal_path('sparse', 'n // 4')},
+        lasts AS (SELECT series, max(hour) AS last FROM sparse GROUP BY 1)
+        SELECT series, last + to_hours(h::BIGINT) AS times, round(forecast, 4) AS prediction
+        FROM path JOIN lasts USING (series) WHERE h > 0""",
+    "stream_minutes": f"""SELECT event_type AS series, date_trunc('minute', ts) AS times, {mean()} AS prediction
+        FROM events GROUP BY 1, 2""",
     "sarima_holdout": f"""WITH RECURSIVE {DENSE},
         parted AS (SELECT *, idx - (n - n // 4) + 1 AS h FROM
                    (SELECT *, count(*) OVER (PARTITION BY series) AS n FROM dense)),

@@ -89,6 +89,13 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder wherever Spark can read; none where it does not exist."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
+
+
 def scanned_bytes(df: DataFrame) -> int:
     """Bytes on disk of the files that a frame reads, from the file index; no job runs."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

@@ -4,15 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatline.constants import BATCH_SECONDS
-from heatline.functions.text import clean_text
 from heatline.functions.values import finite, plain_timestamp, step_start
 from heatline.operators.anomaly import tag_anomalies
 from heatline.operators.autoreg import seasonal_forecast
 from heatline.operators.buckets import (
     HOUR, MINUTE, bucket_means, bucket_sums, coarser, dense_series, mean_of, series_ends)
 from heatline.operators.learn import score
-from heatline.schemas import FORECAST_COLUMNS, MESSAGE_COLUMNS, TIME_SERIES_COLUMNS
-from heatline.sources.tables import read_table, write_batch
+from heatline.schemas import FORECAST_COLUMNS, TIME_SERIES_COLUMNS
+from heatline.sources.tables import write_batch
 
 EVERY = f"{BATCH_SECONDS} seconds"
 
@@ -89,37 +88,3 @@ def signals(minute_sums: DataFrame, series="series") -> dict:
         .withColumnsRenamed(TIME_SERIES_COLUMNS),
         "forecast": ahead.select(series, *FORECAST_COLUMNS).withColumnsRenamed(FORECAST_COLUMNS),
     }
-
-
-def signal_batch(scored: DataFrame, batch_id: int, folder: str, series="series",
-                 per_batch=False) -> None:
-    """Sink of the live flow: tables `messages`, `minute_sums`, `time_series` and `forecast`.
-
-    Minute sums are stored per batch and added up over all batches. `time_series` receives the minutes
-    this batch touched, with their mean over all batches so far and flagged against the whole
-    history; a minute that spans two batches is written by both, and `latest_rows(time_series,
-    [series, "times"])` has its one mean. `forecast` starts from all hours so far. Only the history
-    of the series that the batch touches is read. With `per_batch` both see this batch alone. A
-    replayed batch replaces its own partition of every table.
-    """
-    spark = scored.sparkSession
-    kept = scored.persist()
-    try:
-        write_batch(kept.select(series, plain_timestamp(F.col("timestamp")).alias("timestamp"),
-                                clean_text(F.col("text")).alias("text"))
-                    .withColumnsRenamed(MESSAGE_COLUMNS), f"{folder}/messages", batch_id)
-        write_batch(bucket_sums(kept, "timestamp", "prediction", MINUTE, series),
-                    f"{folder}/minute_sums", batch_id)
-    finally:
-        kept.unpersist()
-    stored = read_table(spark, f"{folder}/minute_sums")
-    touched = stored.where(F.col("batch_id") == batch_id)
-    there = touched.select(F.col(series).alias("_there")).distinct()
-    history = stored.join(there, F.col(series).eqNullSafe(F.col("_there")), "left_semi")
-    minutes = ((touched if per_batch else history).groupBy(series, "step")
-               .agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
-    outputs = signals(minutes, series)
-    stamps = touched.select(series, step_start(F.col("step"), MINUTE).alias("times")).distinct()
-    write_batch(outputs["time_series"].join(stamps, [series, "times"], "left_semi"),
-                f"{folder}/time_series", batch_id)
-    write_batch(outputs["forecast"], f"{folder}/forecast", batch_id)

@@ -51,6 +51,19 @@ def test_tuning(corpus):
     assert size == 50 and error >= 0 and "prediction" in model.transform(corpus).columns
 
 
+def test_prefixes_score_the_same_candidates(corpus):
+    """One fit per feature size, depth and fold against one per candidate and fold."""
+    noisy = corpus.withColumn("label", F.col("label") + F.pmod(F.xxhash64("id"), F.lit(17)))
+    grid = {"features": (5, 40), "depths": (1, 3), "rounds": (2, 5), "folds": 2}
+    want = {row[:3]: row[3] for row in learn.grid_results(learn.tune(noisy, "id", **grid))}
+    got = learn.tune_by_prefix(noisy, "id", **grid)
+    assert [row[:3] for row in got] == sorted(want) and len(got) == 8
+    assert all(error == pytest.approx(want[row], rel=1e-9) for *row, error in got for row in [tuple(row)])
+    model = learn.best_model(noisy, got)
+    least = min(got, key=lambda row: row[3])
+    assert model.stages[2].getNumFeatures() == least[0] and model.stages[-1].getNumTrees == least[2]
+
+
 def test_word_vectors(corpus):
     model = learn.score_model(features=20, depth=2, rounds=1, embeddings=4).fit(corpus)
     assert len(model.transform(corpus).first()["features"]) == 24
@@ -92,7 +105,7 @@ def test_only_labelled_texts_are_cleaned(spark):
 
 @pytest.mark.parametrize("name, maker", [(n, "score_model") for n in ("score_messages", "retrained_scores", "holdout_scores",
                                                                       "stream_scores")]
-                         + [("tuned_candidates", "tune"), ("classified_messages", "class_model"), ("svm_messages", "class_model")])
+                         + [("tuned_candidates", "tune_by_prefix"), ("classified_messages", "class_model"), ("svm_messages", "class_model")])
 def test_registered_queries_learn_at_full_size(spark, tables, monkeypatch, name, maker):
     class Stop(Exception):
         pass

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from heatline.operators import buckets, kalman, learn
 from heatline.sources import messages, tables
-from heatline.streaming import flow, stateful
+from heatline.streaming import flow, live, stateful
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "event_id bigint, timestamp timestamp_ntz, series string, prediction double"
@@ -149,7 +149,7 @@ def test_live_batches(spark, tmp_path, scored):
     changed = (rows[249][0], "a", "Again", rows[249][3] + 10)
     frames = [spark.createDataFrame(part, schema) for part in (rows[:250], rows[250:] + [changed])]
     for i, df in [(0, frames[0]), (1, frames[1]), (1, frames[1])]:     # the last one a replay
-        flow.signal_batch(df, i, folder)
+        live.signal_batch(df, i, folder)
     assert tables.read_table(spark, f"{folder}/messages").count() == 401
     series = tables.read_table(spark, f"{folder}/time_series")
     assert series.columns[:4] == ["series", "times", "prediction", "isAnomaly"]
@@ -168,7 +168,7 @@ def test_live_batches(spark, tmp_path, scored):
 def test_live_batches_on_their_own(spark, tmp_path, scored):
     rows, schema = scored
     for i, part in enumerate((rows[:300], rows[300:])):
-        flow.signal_batch(spark.createDataFrame(part, schema), i, str(tmp_path), per_batch=True)
+        live.signal_batch(spark.createDataFrame(part, schema), i, str(tmp_path), per_batch=True)
     got = tables.read_table(spark, f"{tmp_path}/forecast").groupBy("batch_id").count().collect()
     # 75 hours give 18 forecasts; 25 hours are too few for the seasonal model
     assert [(r.batch_id, r["count"]) for r in got] == [(0, 18)]
