@@ -13,7 +13,7 @@ from heatline.constants import SCORE_SCALE, SYNTHETIC_AXIS_START
 from heatline.functions import text as X
 from heatline.functions import values as V
 from heatline.operators import (
-    anomaly, autoreg, buckets, features, garch, kalman, learn, metrics, orders, relational, search)
+    anomaly, autoreg, buckets, features, garch, kalman, learn, metrics, orders, oversample, relational, search)
 from heatline.operators.slices import lagged, row_index
 from heatline.schemas import table
 from heatline.session import folder_names, fresh_folder, settle, ship, spread
@@ -713,6 +713,14 @@ def tuned_candidates(spark, folder):
                                  "features int, depth int, rounds int, rmse double")
 
 
+@query
+def oversampled_vectors(spark, folder):
+    """New vectors for the rarer labels, until all are as many: where each comes from, and its sum."""
+    made = oversample.oversample(table(spark, folder, "embeddings"), "vec_id", "embedding", "label")
+    return made.select("id", "copy", "label", "neighbour", F.round("weight", 9).alias("weight"),
+                       F.round(F.aggregate("vec", F.lit(0.0), lambda total, v: total + v), 6).alias("total"))
+
+
 @query
 def classified_messages(spark, folder):
     """Naive Bayes classes of all messages."""

@@ -433,6 +433,22 @@ SQL = {
         lasts AS (SELECT series, max(hour) AS last FROM sparse GROUP BY 1)
         SELECT series, last + to_hours(h::BIGINT) AS times, round(forecast, 4) AS prediction
         FROM path JOIN lasts USING (series) WHERE h > 0""",
+    # All pairs of a label: labels here are small enough for the query to search them whole.
+    "oversampled_vectors": """WITH rows_ AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+        counted AS (SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY id) - 1 AS idx,
+                           count(*) OVER (PARTITION BY label) AS n FROM rows_),
+        wanted AS (SELECT id, label, ((idx + 1) * (most - n)) // n - (idx * (most - n)) // n AS copies
+                   FROM counted, (SELECT max(n) AS most FROM counted)),
+        near AS (SELECT a.id, b.id AS other, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) - 1 AS place,
+                        least(5, count(*) OVER (PARTITION BY a.id)) AS known
+                 FROM rows_ a JOIN rows_ b ON a.label = b.label AND a.id <> b.id QUALIFY place < 5),
+        made AS (SELECT id, label, copy, ('0x' || substr(md5(concat_ws(':', 7, 'pick', id, copy)), 1, 15))::BIGINT AS pick,
+                        ('0x' || substr(md5(concat_ws(':', 7, 'weight', id, copy)), 1, 15))::BIGINT / 1152921504606846976.0::DOUBLE AS weight
+                 FROM wanted, unnest(range(1, copies + 1)) AS t(copy))
+        SELECT made.id, copy, made.label, other AS neighbour, round(weight, 9) AS weight,
+               round(list_sum(a.v) + weight * (list_sum(b.v) - list_sum(a.v)), 6) AS total
+        FROM made JOIN near ON near.id = made.id AND place = pick % known JOIN rows_ a ON a.id = made.id JOIN rows_ b ON b.id = other""",
     "stream_minutes": f"""SELECT event_type AS series, date_trunc('minute', ts) AS times, {mean()} AS prediction
         FROM events GROUP BY 1, 2""",
     "sarima_holdout": f"""WITH RECURSIVE {DENSE},

@@ -97,6 +97,15 @@ def test_topic_sweep_caps_each_topic(messages):
         search.topic_matches(messages, [str(i) for i in range(10_001)])
 
 
+def test_many_topics_give_the_rows_of_few(spark, monkeypatch):
+    rows = [(1, "The Cat sat, catalogue", {"a": 1}), (2, None, {}), (3, "", {}), (4, "ÉTÉ ΑΣ İ cat\n", {}), (5, "dog", None)]
+    df = spark.createDataFrame(rows, "id bigint, text string, extra map<string,int>")
+    topics = ["cat", "Cat", "cata", "été", "ας", "i", "", "at, c", "no such topic", "dog", "o"] + [f"zz{k}" for k in range(80)]
+    got = sorted((r.id, r.topic, str(r.extra)) for r in search.topic_matches(df, topics).collect())
+    monkeypatch.setattr(search, "FEW_TOPICS", 1000)
+    assert got == sorted((r.id, r.topic, str(r.extra)) for r in search.topic_matches(df, topics).collect()) and len(got) > 15
+
+
 def test_the_cap_is_applied_before_the_shuffle(messages):
     plan = search.topic_sweep(messages, ["cat"], "id")._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Partial") > plan.index("Exchange") and "WindowGroupLimit" in plan
