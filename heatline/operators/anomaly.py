@@ -7,6 +7,8 @@ m >= 20 and 1 - na/m > 3 s/m. Time plays no part. Values are binned first, in un
 the bins the test is exact: every radius at which a count can change is tried, in whole numbers.
 """
 
+from collections.abc import Iterable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 from heatline.constants import LOCI_ALPHA, LOCI_K, LOCI_MIN_NEIGHBOURS
 
 RESOLUTION = 0.5
-RADIUS_BLOCKS = 8
+#: Bins times radii that one task takes, and the most tasks of a series.
+BLOCK_WORK, MOST_BLOCKS = 1 << 24, 1 << 16
 
 
 def critical_radii(x: np.ndarray, alpha=LOCI_ALPHA) -> np.ndarray:
@@ -33,42 +36,76 @@ def critical_radii(x: np.ndarray, alpha=LOCI_ALPHA) -> np.ndarray:
     return np.unique(np.concatenate([gaps, np.ceil(gaps / alpha).astype(np.int64)]))
 
 
-def loci_bins(binned: DataFrame, series: str, alpha=LOCI_ALPHA, k=LOCI_K, minimum=LOCI_MIN_NEIGHBOURS,
-              blocks=RADIUS_BLOCKS) -> DataFrame:
+def radii_of(x: np.ndarray, alpha: float, block: int, blocks: int) -> Iterable[int]:
+    """The block's share of radii that cover every change of a neighbourhood of the sorted filled bins x.
+
+    Between two critical radii nothing changes, so more radii do no harm: where the bins lie close all
+    whole numbers up to the last critical one are taken, without gathering distances.
+    """
+    last = int(np.ceil((x[-1] - x[0]) / alpha)) if len(x) else 0
+    if last <= max(len(x) ** 2, 1 << 12):
+        return range(1 + block, last + 1, blocks)
+    return critical_radii(x, alpha)[block::blocks].tolist()
+
+
+class Neighbourhoods:
+    """Places in the sorted bins x between which the bins within a reach of each bin lie.
+
+    Looked up in a table of the axis where that is not much longer than x, else searched for.
+    """
+
+    def __init__(self, x: np.ndarray):
+        self.x, self.span = x, int(x[-1] - x[0]) if len(x) else 0
+        self.at = x - x[0] if len(x) else x
+        self.table = None
+        if self.span <= max(64 * len(x), 1 << 16):
+            self.table = np.concatenate(([0], np.cumsum(np.bincount(self.at, minlength=self.span + 1)))).astype(np.int32)
+
+    def edges(self, reach: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.table is None:
+            return np.searchsorted(self.x, self.x + reach, "right"), np.searchsorted(self.x, self.x - reach, "left")
+        return self.table[np.minimum(self.at + reach, self.span) + 1], self.table[np.maximum(self.at - reach, 0)]
+
+
+def within(values: np.ndarray, upper: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Sums of values[lower:upper]."""
+    run = np.zeros(len(values) + 1, values.dtype)
+    np.cumsum(values, out=run[1:])
+    return run[upper] - run[lower]
+
+
+def loci_bins(binned: DataFrame, series: str, alpha=LOCI_ALPHA, k=LOCI_K, minimum=LOCI_MIN_NEIGHBOURS) -> DataFrame:
     """(series, x, flagged) for each bin that holds a value.
 
-    A series of any length collapses to the counts of its filled bins, before the shuffle. Its radii
-    are dealt out to `blocks` tasks. Neighbourhood sums are differences of running sums: the cost per
-    radius is linear in the filled bins. Sums grow like the fourth power of the rows of a series; they
-    are kept in 64 bits where these provably hold them and in unbounded whole numbers elsewhere, with
-    equal results.
+    A series of any length collapses to the counts of its filled bins, before the shuffle.
     """
-    return loci_counts(binned.groupBy(series, "x").agg(F.count("*").alias("c")), series, alpha, k, minimum, blocks)
+    return loci_counts(binned.groupBy(series, "x").agg(F.count("*").alias("c")), series, alpha, k, minimum)
 
 
-def loci_counts(filled: DataFrame, series: str, alpha=LOCI_ALPHA, k=LOCI_K, minimum=LOCI_MIN_NEIGHBOURS,
-                blocks=RADIUS_BLOCKS) -> DataFrame:
-    """(series, x, flagged) for each bin of (series, x, c), the counts of filled bins."""
-    counts = filled.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+def loci_counts(filled: DataFrame, series: str, alpha=LOCI_ALPHA, k=LOCI_K, minimum=LOCI_MIN_NEIGHBOURS) -> DataFrame:
+    """(series, x, flagged) for each bin of (series, x, c), the counts of filled bins.
+
+    The radii of a series are dealt out to as many tasks as it has work for. Neighbourhood sums are
+    differences of running sums: the cost per radius is linear in the filled bins, and a task holds a few
+    arrays of their length. Sums grow like the fourth power of the rows of a series; they are kept in 64
+    bits where these provably hold them and in unbounded whole numbers elsewhere, with equal results.
+    """
+    work = (filled.groupBy(series).agg(F.count("*").alias("_bins"), (F.max("x") - F.min("x")).alias("_range"))
+            .select(F.col(series).alias("_series"), F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCKS), F.ceil(
+                F.col("_bins") * F.least(F.col("_range") * 2, F.col("_bins").cast("decimal(20,0)") * F.col("_bins")) / BLOCK_WORK))).cast("int").alias("_blocks")))
+    counts = (filled.join(work, F.col(series).eqNullSafe(F.col("_series"))).drop("_series")
+              .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))))
 
     def test(frame):
         frame = frame.sort_values("x")
         x = frame["x"].to_numpy(np.int64)
         rows = int(frame["c"].sum())
         c = frame["c"].to_numpy().astype(np.int64 if k * k * rows ** 4 < 2 ** 63 else object)
-        zero = np.zeros(1, c.dtype)
-
-        def within(values, upper, lower):
-            run = np.concatenate([zero, np.cumsum(values)])
-            return run[upper] - run[lower]
-
-        def edges(reach):
-            return np.searchsorted(x, x + reach, "right"), np.searchsorted(x, x - reach, "left")
-
+        near = Neighbourhoods(x)
         flagged = np.zeros(len(x), bool)
-        for r in critical_radii(x, alpha)[int(frame["_block"].iloc[0])::blocks].tolist():
-            wide = edges(r)
-            na, n = within(c, *edges(int(alpha * r))), within(c, *wide)
+        for r in radii_of(x, alpha, int(frame["_block"].iloc[0]), int(frame["_blocks"].iloc[0])):
+            wide = near.edges(r)
+            na, n = within(c, *near.edges(int(alpha * r))), within(c, *wide)
             weighted = c * na
             s1, s2 = within(weighted, *wide), within(weighted * na, *wide)
             # m >= minimum and m - na > k s, multiplied by the number of neighbours

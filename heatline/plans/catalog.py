@@ -148,6 +148,9 @@ def anomalies_every_radius(spark, folder):
     return tagged_minutes(spark, folder, 0.25)
 
 
+FINEST = 0.01
+
+
 def tagged_minutes(spark, folder, resolution):
     minutes = settle(means(sums(spark, folder, buckets.MINUTE), buckets.MINUTE))
     return (anomaly.tag_anomalies(minutes, resolution=resolution)
@@ -900,6 +903,12 @@ def stream_forecast(spark, folder):
     return ahead.select("series", "times", F.round("prediction", 4).alias("prediction"))
 
 
+@query
+def anomalies_finest(spark, folder):
+    """The same on bins as fine as the values are written."""
+    return tagged_minutes(spark, folder, FINEST)
+
+
 def flagship(spark, folder):
-    """Minute means with outlier flags, in time order."""
-    return anomalies(spark, folder).orderBy("times", "series")
+    """Minute means with outlier flags, in time order. On the smallest tables finer bins change no flag."""
+    return anomalies_finest(spark, folder).orderBy("times", "series")

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heatline.operators import anomaly
+from heatline.plans.catalog import QUERIES
 
 SCHEMA = "step bigint, series string, prediction double"
 
@@ -54,6 +55,42 @@ def test_bins_come_close_to_the_values_themselves(spark, values):
     assert (got == brute_force(values, every_radius(values)[::40])).mean() > 0.97 and got[-5:-1].all()
 
 
+def test_finest_bins_give_the_flags_of_the_values(spark, tables):
+    """Against the definition on the unbinned values, at every distance of two of them and twice that."""
+    got = {}
+    for r in QUERIES["anomalies_finest"](spark, tables).collect():
+        got.setdefault(r.series, []).append((r.prediction, r.isAnomaly))
+    total = 0
+    for pairs in got.values():
+        values, flags = map(np.array, zip(*pairs))
+        gap = np.abs(values[:, None] - values[None, :])
+        radii, want = np.unique(np.round(np.concatenate([gap.ravel(), 2 * gap.ravel()]), 9))[1:], np.zeros(len(values), bool)
+        order = np.sort(values)
+        for r in radii + 1e-7:
+            na = np.searchsorted(order, order + r / 2, "right") - np.searchsorted(order, order - r / 2, "left")
+            low, high = np.searchsorted(order, order - r, "left"), np.searchsorted(order, order + r, "right")
+            run1, run2 = np.concatenate(([0], np.cumsum(na))), np.concatenate(([0], np.cumsum(na * na)))
+            n, s1, s2 = high - low, run1[high] - run1[low], run2[high] - run2[low]
+            want |= (s1 >= 20 * n) & (s1 > na * n) & ((s1 - na * n) ** 2 > 9 * (s2 * n - s1 * s1))
+        assert (flags == want[np.searchsorted(order, values)]).all()
+        total += want.sum()
+    assert total == 65
+
+
+def test_a_table_of_the_axis_and_a_search_give_the_same(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.unique(rng.integers(-5000, 5000, 700))
+    table = anomaly.Neighbourhoods(x)
+    search = anomaly.Neighbourhoods(x)
+    search.table = None
+    for reach in (0, 1, 17, 4000, 9999, 30000):
+        assert all((a == b).all() for a, b in zip(table.edges(reach), search.edges(reach)))
+    assert table.table is not None and anomaly.Neighbourhoods(np.array([0, 1, 10**12])).table is None
+    far = np.array([0, 3, 10**9])
+    dealt = sorted(r for b in range(3) for r in anomaly.radii_of(far, 0.5, b, 3))
+    assert dealt == anomaly.critical_radii(far).tolist()
+
+
 def test_a_far_stray_hides_no_other(spark, values):
     alone, joined = flags(rows(spark, values)), flags(rows(spark, np.append(values, 1e6)))
     assert joined[-1] == 1 and (joined[:-1] >= alone).mean() > 0.99 and joined[:-1].sum() >= alone.sum() - 3
