@@ -3,7 +3,7 @@
 Moving-average terms are estimated in two regressions (Hannan and Rissanen, 1982): a long
 autoregression gives estimated shocks, then each candidate is least squares on lagged values and
 lagged shocks. Both steps need only sums of products, so all 64 candidates of a series come out of
-four small matrices and no candidate rereads the series.
+one matrix of lagged products and no candidate rereads the series.
 """
 
 import itertools
@@ -14,24 +14,76 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatline.constants import SEASON
-from heatline.operators.autoreg import _matrix, gram
 from heatline.operators.metrics import best_positive
-from heatline.operators.slices import lagged
+from heatline.operators.slices import SLICE, overlapping
 
 ROUNDS = 30
 SETTLED = 1e-6
 
 
-def _variants(rows: DataFrame, season: int, series: str, idx: str, value: str) -> DataFrame:
-    """(variant, d, sd, pos, z): each series plain and differenced in the four possible ways."""
-    wide = lagged(rows.select(series, idx, value), [series], idx,
-                  {"_1": (value, 1), "_s": (value, season), "_t": (value, season + 1)})
-    y, y1, ys, yt = (F.col(c) for c in (value, "_1", "_s", "_t"))
-    forms = {(0, 0): y, (1, 0): y - y1, (0, 1): y - ys, (1, 1): y - y1 - ys + yt}
-    listed = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(sd).alias("sd"), z.alias("z"))
-                       for (d, sd), z in forms.items()])
-    return (wide.select(F.col(series), F.col(idx).alias("pos"), F.inline(listed))
-            .where(F.col("z").isNotNull()))
+def lag_products(rows: DataFrame, lags: int, series: str, idx: str, value: str, width=SLICE) -> DataFrame:
+    """(series, n, level, head, products): sums of products of a constant and the lags 0..lags of each series.
+
+    `level` is the first value; it is taken off before products are formed, so that a high level costs
+    no digits. `products` is the matrix, row by row, over the `n` rows that have all lags; `head` are the
+    first values. The series must be gapless. Rows are shuffled once, by (series, slice), and a slice
+    gives one row.
+    """
+    kind = dict(rows.dtypes)[series]
+    first = rows.groupBy(F.col(series).alias("_series")).agg(F.min_by(value, idx).alias("level"))
+    cut = overlapping(rows.select(series, F.col(idx).alias("_idx"), F.col(value).alias("_y")), [series], "_idx", lags, width)
+    cut = cut.join(first, F.col(series).eqNullSafe(F.col("_series"))).drop("_series")
+
+    def of_slice(frame):
+        frame = frame.sort_values("_idx")
+        y, at = frame["_y"].to_numpy(float) - frame["level"].iloc[0], frame["_idx"].to_numpy(np.int64)
+        total, n = np.zeros((lags + 2, lags + 2)), max(0, len(y) - lags)
+        for lo in range(0, n, 1024):
+            part = np.lib.stride_tricks.sliding_window_view(y[lo:lo + 1024 + lags], lags + 1)[:, ::-1]
+            seen = np.concatenate([np.ones((len(part), 1)), part], axis=1)
+            total += seen.T @ seen
+        head = y[:lags].tolist() if at[0] == 0 else []
+        return pd.DataFrame({series: frame[series].iloc[:1].to_numpy(), "n": [n], "level": [frame["level"].iloc[0]],
+                             "head": [head], "products": [total.ravel()]})
+
+    def of_series(frame):
+        head = max(frame["head"], key=len)
+        return pd.DataFrame({series: frame[series].iloc[:1].to_numpy(), "n": [int(frame["n"].sum())], "level": [frame["level"].iloc[0]],
+                             "head": [head], "products": [np.sum([np.asarray(p) for p in frame["products"]], axis=0)]})
+
+    schema = f"`{series}` {kind}, n bigint, level double, head array<double>, products array<double>"
+    parts = cut.groupBy(series, "_slice").applyInPandas(lambda frame: of_slice(frame), schema)
+    # Two levels: a very long series has many slices.
+    near = parts.withColumn("_some", F.pmod(F.monotonically_increasing_id(), F.lit(64))).groupBy(series, "_some")
+    return near.applyInPandas(of_series, schema).groupBy(series).applyInPandas(of_series, schema)
+
+
+def lag_polynomial(d: int, sd: int, season: int) -> np.ndarray:
+    """Weights of the lags of y that make the differenced z."""
+    weights = np.zeros(season + 2)
+    for a in range(d + 1):
+        for b in range(sd + 1):
+            weights[a + b * season] += (-1.0) ** (a + b)
+    return weights
+
+
+def long_products(g: np.ndarray, head: np.ndarray, level: float, weights: np.ndarray, long: int, lags: int, n: int) -> np.ndarray:
+    """Sums of z(t) z(t-k), k = 0..long, over all t that have both: those of the rows in `g`, and the first
+    rows of the series, which lack a lag and are worked out from its head."""
+    first = np.flatnonzero(weights)[-1]
+    shifts = np.array([on_lags(weights, k, level, lags) for k in range(long + 1)])
+    sums = shifts @ (g @ shifts[0])
+    y = head[:lags] + level
+    z = np.convolve(y, weights[:first + 1])[first:len(y)]
+    return sums + [z[k:] @ z[:len(z) - k] if len(z) > k else 0.0 for k in range(long + 1)]
+
+
+def on_lags(weights: np.ndarray, shift: int, level: float, lags: int) -> np.ndarray:
+    """z(t - shift) as a combination of the constant and the lags of y less its level."""
+    out = np.zeros(lags + 2)
+    out[0] = level * weights.sum()
+    out[1 + shift:1 + shift + len(weights)] = weights
+    return out
 
 
 def _alternate(g: np.ndarray, has) -> tuple:
@@ -80,51 +132,42 @@ def _alternate(g: np.ndarray, has) -> tuple:
 
 def order_search(rows: DataFrame, season=SEASON, series="series", idx="idx",
                  value="y") -> DataFrame:
-    """(series, p, d, q, sp, sd, sq, n, phi, seasonal_phi, theta, seasonal_theta, aic, status), 64 per series.
+    """(series, p, d, q, sp, sd, sq, n, phi, seasonal_phi, theta, seasonal_theta, aic, change, status),
+    64 per series.
 
     The status is `not_converged` where the last round still changed a coefficient by more than 1e-6.
     All candidates of a series are scored on the same rows, those from position 4s+3 on.
+
+    Differences and shocks are linear in the lags of the series, so both regressions of every candidate
+    follow from one matrix of products of 4s+4 lags: the series is read once.
     """
-    long = 2 * season + 1
+    long, lags = 2 * season + 1, 4 * season + 3
     kind = dict(rows.dtypes)[series]
-    group = [series, "d", "sd"]
-    wide = lagged(_variants(rows, season, series, idx, value), group, "pos",
-                  {f"z{k}": ("z", k) for k in range(1, long + 1)})
-    products = wide.groupBy(*group).agg(
-        *[F.sum(F.col("z") * F.col(f"z{k}" if k else "z")).alias(f"s{k}")
-          for k in range(long + 1)])
-
-    def long_fit(batches):
-        for frame in batches:
-            if frame.empty:
-                continue
-            s = frame[[f"s{k}" for k in range(long + 1)]].to_numpy(float)
-            lag = np.abs(np.subtract.outer(np.arange(long), np.arange(long)))
-            left = s[:, lag] + 1e-9 * s[:, :1, None] * np.eye(long)
-            coef = np.einsum("bij,bj->bi", np.linalg.pinv(left, hermitian=True), s[:, 1:])
-            yield frame[group].assign(shock_fit=list(coef))
-
-    fits = products.where(F.col(f"s{long}").isNotNull()).mapInPandas(
-        long_fit, f"`{series}` {kind}, d int, sd int, shock_fit array<double>")
-    known = fits.withColumnsRenamed({g: f"_{g}" for g in group})
-    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
-    ready = wide.where(F.col(f"z{long}").isNotNull()).join(known, same)
-    shock = F.col("z") - sum((F.col(f"z{k}") * F.get("shock_fit", F.lit(k - 1))
-                              for k in range(2, long + 1)),
-                             F.col("z1") * F.get("shock_fit", F.lit(0)))
-    shocks = ready.select(*group, "pos", "z", "z1", F.col(f"z{season}").alias("zs"),
-                          F.col(f"z{season + 1}").alias("zt"), shock.alias("e"))
-    lagged_shocks = (lagged(shocks, group, "pos",
-                            {"e1": ("e", 1), "es": ("e", season), "et": ("e", season + 1)})
-                     .where(F.col("pos") >= long + 2 * (season + 1)))
-    sums = gram(lagged_shocks, group, ["z", "z1", "zs", "zt", "e1", "es", "et"])
+    known = lag_products(rows, lags, series, idx, value).where("n > 0")
+
+    def candidates(frame):
+        """The seven variables' sums of products per series and kind of difference."""
+        out = []
+        for _, r in frame.iterrows():
+            g, head = np.asarray(r["products"]).reshape(lags + 2, lags + 2), np.asarray(r["head"])
+            for d, sd in itertools.product((0, 1), repeat=2):
+                weights = lag_polynomial(d, sd, season)
+                s = long_products(g, head, r["level"], weights, long, lags, r["n"])
+                lag = np.abs(np.subtract.outer(np.arange(long), np.arange(long)))
+                coef = np.linalg.pinv(s[lag] + 1e-9 * s[0] * np.eye(long), hermitian=True) @ s[1:]
+                z = [on_lags(weights, k, r["level"], lags) for k in range(long + season + 2)]
+                e = {k: z[k] - sum(c * z[k + j + 1] for j, c in enumerate(coef)) for k in (1, season, season + 1)}
+                ways = np.array([z[0], z[1], z[season], z[season + 1], e[1], e[season], e[season + 1]])
+                out.append({series: r[series], "d": d, "sd": sd, "equations": r["n"], "g": ways @ g @ ways.T})
+        return pd.DataFrame(out)
 
     def score(batches):
         for frame in batches:
-            frame = frame[frame["equations"] > 6]
+            frame = frame[frame["n"] > 6]
             if frame.empty:
                 continue
-            g, n = _matrix(frame, 7), frame["equations"].to_numpy(float)
+            frame = candidates(frame)
+            g, n = np.stack(frame["g"].to_list()), frame["equations"].to_numpy(float)
             for p, q, sp, sq in itertools.product((0, 1), repeat=4):
                 coef, css, change = _alternate(g, (p, sp, q, sq))
                 with np.errstate(divide="ignore"):
@@ -134,13 +177,13 @@ def order_search(rows: DataFrame, season=SEASON, series="series", idx="idx",
                     series: frame[series], "p": p, "d": frame["d"], "q": q, "sp": sp,
                     "sd": frame["sd"], "sq": sq, "n": frame["equations"], "phi": coef[:, 0],
                     "seasonal_phi": coef[:, 1], "theta": coef[:, 2],
-                    "seasonal_theta": coef[:, 3], "aic": aic,
+                    "seasonal_theta": coef[:, 3], "aic": aic, "change": change,
                     "status": np.where(change > SETTLED, "not_converged", "ok")})
 
-    return sums.mapInPandas(
+    return known.mapInPandas(
         score, f"`{series}` {kind}, p int, d int, q int, sp int, sd int, sq int, n bigint, "
                "phi double, seasonal_phi double, theta double, seasonal_theta double, aic double, "
-              "status string")
+               "change double, status string")
 
 
 def best_order(rows: DataFrame, season=SEASON, series="series", idx="idx", value="y") -> DataFrame:

@@ -120,6 +120,14 @@ def _overlapping(df: DataFrame, series: list[str], idx: str, depth: int, width:
     return cut, W.partitionBy(*series, "_slice").orderBy(idx)
 
 
+def overlapping(df: DataFrame, series: list[str], idx: str, depth: int, width=SLICE) -> DataFrame:
+    """Rows by `_slice`, each slice led by copies of the `depth` rows before it; `_home` is a row's own slice.
+
+    For work on whole slices, by (series, _slice). Slices are at least `depth` wide.
+    """
+    return _overlapping(df, series, idx, depth, max(width, depth))[0]
+
+
 def last_rows(df: DataFrame, series: list[str], idx: str, n: int) -> DataFrame:
     """The n latest rows of each series. Spark keeps n per task before it shuffles."""
     latest = W.partitionBy(*series).orderBy(F.col(idx).desc())

@@ -617,10 +617,18 @@ def order_search(spark, folder):
 @query
 def order_search_ar(spark, folder):
     """The candidates without moving-average terms."""
-    found = orders.order_search(hours(spark, folder)).where("q = 0 and sq = 0").drop("q", "sq", "theta", "seasonal_theta")
+    found = orders.order_search(hours(spark, folder)).where("q = 0 and sq = 0").drop("q", "sq", "theta", "seasonal_theta", "change")
     return rounded(found, "phi", "seasonal_phi", "aic")
 
 
+@query
+def order_search_ma(spark, folder):
+    """The candidates with moving-average terms whose coefficients no longer move."""
+    found = orders.order_search(hours(spark, folder)).where("q + sq > 0 and change < 1e-9").drop("status", "change")
+    digits = {"phi": 5, "seasonal_phi": 5, "theta": 5, "seasonal_theta": 5, "aic": 4}
+    return found.withColumns({c: F.round(c, k) for c, k in digits.items()})
+
+
 @query
 def best_order(spark, folder):
     return orders.best_order(hours(spark, folder))

@@ -266,6 +266,61 @@ def walk_forward(p):
                     FROM wide JOIN solved ON key = series || ':' || idx GROUP BY 1, 2)"""
 
 
+def form(left, right):
+    """SQL of left' G right for two vectors {place: SQL} and the sums g00 .. g66."""
+    return " + ".join(f"({a}) * ({b}) * g{min(i, j)}{max(i, j)}" for i, a in left.items() for j, b in right.items())
+
+
+def solved_pair(base, one, two, has_one, has_two):
+    """SQL of the coefficients that minimise the sum of squares of base + c1 * one + c2 * two, 0 for one not asked for."""
+    a, b, c = form(one, one), form(one, two), form(two, two)
+    r, t = f"-({form(one, base)})", f"-({form(two, base)})"
+    both = f"(({a}) * ({c}) - ({b}) * ({b}))"
+    return (f"CASE WHEN {has_one} = 0 THEN 0 WHEN {has_two} = 0 THEN ({r}) / ({a}) ELSE (({r}) * ({c}) - ({t}) * ({b})) / {both} END",
+            f"CASE WHEN {has_two} = 0 THEN 0 WHEN {has_one} = 0 THEN ({t}) / ({c}) ELSE (({t}) * ({a}) - ({r}) * ({b})) / {both} END")
+
+
+def order_search_ma(rounds=30):
+    """The 48 candidates with a moving average: shocks from a long autoregression, then alternation over
+    the sums of products of z, its lags 1, 12, 13 and the shocks' lags 1, 12, 13."""
+    long, names = 25, ["z", "z1", "zs", "zt", "e1", "es", "et"]
+    zs = ", ".join(f"lag(z, {k}) OVER o AS l{k}" for k in range(1, long + 1))
+    products = ", ".join(f"sum(z * {'l' + str(k) if k else 'z'}) AS s{k}" for k in range(long + 1))
+    cells = " UNION ALL ".join(
+        f"SELECT key, {i} AS i, {j} AS j, s{abs(i - j) if j < long else i + 1}{' * (1 + 1e-9)' if i == j else ''} AS v FROM long_sums"
+        for i in range(long) for j in range(long + 1))
+    shock = " - ".join(["z", *[f"coef[{k}] * l{k}" for k in range(1, long + 1)]])
+    sums = ", ".join(f"sum({names[i]} * {names[j]}) AS g{i}{j}" for i in range(7) for j in range(i, 7))
+    a, th = solved_pair({0: "1", 2: "-b", 5: "-bt"}, {1: "-1", 3: "b"}, {4: "-1", 6: "-bt"}, "p", "q")
+    b, bt = solved_pair({0: "1", 1: "-a", 4: "-th"}, {2: "-1", 3: "a"}, {5: "-1", 6: "-th"}, "sp", "sq")
+    last = {0: "1", 1: "-a", 2: "-b", 3: "a * b", 4: "-th", 5: "-bt", 6: "-th * bt"}
+    return f"""WITH RECURSIVE {DENSE},
+    back AS (SELECT *, lag(y) OVER o AS y1, lag(y, 12) OVER o AS ys, lag(y, 13) OVER o AS yt FROM dense
+             WINDOW o AS (PARTITION BY series ORDER BY idx)),
+    forms AS (SELECT series, idx, 0 AS d, 0 AS sd, y AS z FROM back
+              UNION ALL SELECT series, idx, 1, 0, y - y1 FROM back UNION ALL SELECT series, idx, 0, 1, y - ys FROM back
+              UNION ALL SELECT series, idx, 1, 1, y - y1 - ys + yt FROM back),
+    lags AS (SELECT *, series || ':' || d || ':' || sd AS key, {zs} FROM forms
+             WHERE z IS NOT NULL WINDOW o AS (PARTITION BY series, d, sd ORDER BY idx)),
+    long_sums AS (SELECT key, {products} FROM lags GROUP BY 1),
+    cells AS ({cells}), {eliminated(long)},
+    model AS (SELECT key, list(v ORDER BY i) AS coef FROM solved GROUP BY 1),
+    shocks AS (SELECT series, d, sd, idx, z, l1 AS z1, l12 AS zs, l13 AS zt, {shock} AS e FROM lags JOIN model USING (key) WHERE l{long} IS NOT NULL),
+    seven AS (SELECT *, lag(e) OVER o AS e1, lag(e, 12) OVER o AS es, lag(e, 13) OVER o AS et FROM shocks
+              WINDOW o AS (PARTITION BY series, d, sd ORDER BY idx)),
+    g AS (SELECT series, d, sd, count(*) AS n, {sums} FROM seven WHERE idx >= 51 GROUP BY ALL),
+    fit AS (SELECT *, 0 AS round, 0.0::DOUBLE AS a, 0.0::DOUBLE AS th, 0.0::DOUBLE AS b, 0.0::DOUBLE AS bt, 0.0::DOUBLE AS moved
+            FROM g, (SELECT p, q, sp, sq FROM (VALUES (0), (1)) AS w(p), (VALUES (0), (1)) AS x(q), (VALUES (0), (1)) AS y(sp),
+                     (VALUES (0), (1)) AS z(sq) WHERE q + sq > 0)
+            UNION ALL
+            SELECT * EXCLUDE (pa, pth, pb, pbt) REPLACE (greatest(abs(a - pa), abs(th - pth), abs(b - pb), abs(bt - pbt)) AS moved) FROM
+            (SELECT * REPLACE (round + 1 AS round, {b} AS b, {bt} AS bt) FROM
+             (SELECT * REPLACE ({a} AS a, {th} AS th), a AS pa, th AS pth, b AS pb, bt AS pbt FROM fit WHERE round < {rounds}))),
+    done AS (SELECT *, {form(last, last)} AS css FROM fit WHERE round = {rounds} AND moved < 1e-9)
+    SELECT series, p, d, q, sp, sd, sq, n, round(a, 5) AS phi, round(b, 5) AS seasonal_phi, round(th, 5) AS theta,
+           round(bt, 5) AS seasonal_theta, round(n * (ln(2 * pi() * css / n) + 1) + 2 * (p + q + sp + sq + 1), 4) AS aic FROM done"""
+
+
 def order_search_ar(rounds=30):
     """Least squares of the 16 candidates with q = Q = 0, by alternation over sums of lagged products."""
     names = ["z", "z1", "zs", "zt"]
@@ -297,6 +352,7 @@ def order_search_ar(rounds=30):
 
 SQL = {
     "order_search_ar": order_search_ar(),
+    "order_search_ma": order_search_ma(),
     "ar10_forecast": ar_forecast(10, C.AR_STEPS),
     "walk_forward_ar5": walk_forward(5) + """
     SELECT series, idx, round(y, 6) AS y, round(forecast, 6) AS forecast FROM steps_ahead""",

@@ -418,3 +418,23 @@ def test_a_summary_does_what_its_observations_do(model, n):
     start = (np.zeros((size, size)), x, p, np.zeros(size), np.zeros((size, size)))
     _, b, c, _, _ = kalman._combine(start, kalman._summary(model, y))
     assert b == pytest.approx(states[-1], rel=1e-6, abs=1e-9) and c == pytest.approx(last, rel=1e-6, abs=1e-9)
+
+
+def test_order_search_reads_the_series_once(spark):
+    plan = orders.order_search(series(spark, a=seasonal_walk(3, 200, 0.5, 0.2)).repartition(3))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("FlatMapGroupsInPandas") == 3
+
+
+def test_a_high_level_costs_the_order_search_no_digits(spark):
+    y = seasonal_walk(8, 400, 0.4, 0.2)
+    low = orders.order_search(series(spark, a=y)).where("d + sd > 0").orderBy("p", "d", "q", "sp", "sd", "sq").collect()
+    high = orders.order_search(series(spark, a=y + 1e9)).where("d + sd > 0").orderBy("p", "d", "q", "sp", "sd", "sq").collect()
+    for a, b in zip(low, high):
+        assert b.aic == pytest.approx(a.aic, rel=1e-5) and (a.status != "ok" or b.phi == pytest.approx(a.phi, abs=1e-4))
+
+
+def test_order_search_slices_change_nothing(spark):
+    rows = series(spark, a=seasonal_walk(5, 600, 0.5, 0.2))
+    whole, parts = (orders.lag_products(rows, 51, "series", "idx", "y", width=w).first() for w in (4096, 64))
+    assert whole.n == parts.n == 600 - 51 and whole.head == parts.head
+    assert np.allclose(whole.products, parts.products, rtol=1e-10)
