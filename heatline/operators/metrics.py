@@ -2,13 +2,18 @@
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heatline.constants import FIT_BAND
+from heatline.functions.values import finite
 from heatline.operators.relational import between_open
 from heatline.operators.slices import lagged, previous
+from heatline.session import settle
+
+ACF_SLICE = 1 << 14
 
 
 def mse(label: Column, prediction: Column) -> Column:
@@ -123,6 +128,63 @@ def acf(rows: DataFrame, max_lag: int, series="series", idx="idx", value="y") ->
             .where(F.col("r").isNotNull()))
 
 
+def acf_all(rows: DataFrame, max_lag: int | None = None, series="series", idx="idx", value="y", width=ACF_SLICE) -> DataFrame:
+    """(series, lag, r) for every lag of a series, 1..n-1 (or to `max_lag`), around its mean.
+
+    Products of two slices of a series add up to all lags between them in one Fourier transform, so a
+    pair of slices costs width * log(width) and not a row per value and lag. Pairs of slices of the same
+    distance are added up as spectra, 32 at a time, and transformed back once. `idx` is gapless; a NULL or
+    non-finite value takes part in no product. A constant series has no rows.
+    """
+    y = finite(F.col(value))
+    level = settle(rows.groupBy(F.col(series).alias("_series")).agg(F.avg(y).alias("mean"), F.min(idx).alias("first"), F.max(idx).alias("last"))
+                   .where("mean is not null"))
+    kind = dict(rows.dtypes)[series]
+    cut = (rows.select(series, F.col(idx).alias("_idx"), y.alias("_y")).join(level, F.col(series).eqNullSafe(F.col("_series")))
+           .select(series, ((F.col("_idx") - F.col("first")) / width).cast("bigint").alias("s"),
+                   F.pmod(F.col("_idx") - F.col("first"), F.lit(width)).cast("int").alias("at"), (F.col("_y") - F.col("mean")).alias("v"),
+                   F.floor((F.col("last") - F.col("first")) / width).alias("slices")))
+
+    def packed(frame):
+        values = np.zeros(width)
+        values[frame["at"].to_numpy()] = frame["v"].fillna(0.0).to_numpy()
+        return pd.DataFrame({series: frame[series].iloc[:1].to_numpy(), "s": frame["s"].iloc[:1].to_numpy(), "ys": [values],
+                             "slices": frame["slices"].iloc[:1].to_numpy()})
+
+    slices = settle(cut.groupBy(series, "s").applyInPandas(packed, f"`{series}` {kind}, s bigint, ys array<double>, slices bigint"))
+    farthest = F.col("slices") - F.col("s")
+    if max_lag is not None:
+        farthest = F.least(farthest, F.lit(max_lag // width + 1).cast("bigint"))
+    earlier = slices.select(series, "s", F.col("ys").alias("before"), F.explode(F.sequence(F.lit(0).cast("bigint"), farthest)).alias("m"))
+    later = slices.select(F.col(series).alias("_series"), F.col("s").alias("_s"), "ys")
+    pairs = (earlier.join(later, F.col(series).eqNullSafe(F.col("_series")) & (F.col("s") + F.col("m") == F.col("_s")))
+             .select(series, "m", F.floor(F.col("s") / 32).alias("some"), "before", "ys"))
+
+    def products(frame):
+        total = np.zeros(width + 1, complex)
+        for before, ys in zip(frame["before"], frame["ys"]):
+            total += np.fft.rfft(ys, 2 * width) * np.conj(np.fft.rfft(before, 2 * width))
+        back, m = np.fft.irfft(total, 2 * width), int(frame["m"].iloc[0])
+        # Places 0..width-1 are lags from m * width on, places width+1.. those below it.
+        parts = [(m, back[:width])] + ([(m - 1, np.concatenate([[0.0], back[width + 1:]]))] if m else [])
+        return pd.DataFrame({series: [frame[series].iloc[0]] * len(parts), "block": [b for b, _ in parts], "p": [p for _, p in parts]})
+
+    def added(frame):
+        return pd.DataFrame({series: frame[series].iloc[:1].to_numpy(), "block": frame["block"].iloc[:1].to_numpy(),
+                             "p": [np.sum(np.stack(frame["p"].to_list()), axis=0)]})
+
+    schema = f"`{series}` {kind}, block bigint, p array<double>"
+    sums = settle(pairs.groupBy(series, "m", "some").applyInPandas(products, schema).groupBy(series, "block").applyInPandas(added, schema))
+    zero = sums.where("block = 0").select(F.col(series).alias("_series"), F.get("p", F.lit(0)).alias("spread"))
+    ends = level.select(F.col("_series").alias("_end"), (F.col("last") - F.col("first")).alias("longest"))
+    return (sums.select(series, "block", F.posexplode("p").alias("at", "p")).join(zero, F.col(series).eqNullSafe(F.col("_series")))
+            .join(ends, F.col(series).eqNullSafe(F.col("_end")))
+            .withColumn("lag", F.col("block") * width + F.col("at"))
+            .where(F.col("lag").between(1, F.col("longest") if max_lag is None else F.least(F.col("longest"), F.lit(max_lag))) & (F.col("spread") > 0))
+            .select(series, "lag", (F.col("p") / F.col("spread")).alias("r")))
+
+
+
 def best_positive(candidates: DataFrame, group: list[str], aic="aic") -> DataFrame:
     """The candidate with the smallest positive AIC of each group, with all its columns.
 

@@ -540,6 +540,13 @@ def autocorrelation_week(spark, folder):
         "lag", F.col("lag").cast("bigint")), "r")
 
 
+@query
+def autocorrelation_all(spark, folder):
+    """Every lag that a series has."""
+    # Adding zero makes one zero of the two that a double has.
+    return metrics.acf_all(hours(spark, folder)).withColumn("r", F.round("r", 6) + F.lit(0.0))
+
+
 # -- autoregressive models -----------------------------------------------------------------------
 
 @query

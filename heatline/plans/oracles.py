@@ -474,6 +474,7 @@ SQL = {
     "lag_correlation": PERSIST + " SELECT series, round(corr(p, label), 6) AS r FROM pairs GROUP BY 1",
     "autocorrelation": acf(C.MAX_LAG),
     "autocorrelation_week": acf(C.WEEK_LAG),
+    "autocorrelation_all": f"SELECT series, lag, r + 0.0::DOUBLE AS r FROM ({acf('(SELECT max(idx) FROM dense)')})",
     "seasonal_gram": f"""WITH RECURSIVE {DENSE}, {seasonal('dense')}
         SELECT series, equations + 25 AS n, equations, """ + ", ".join(
             f"round(g{i}{j}, 6) AS g_{i}_{j}" for i in range(4) for j in range(i, 4)) + " FROM g",

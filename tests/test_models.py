@@ -438,3 +438,27 @@ def test_order_search_slices_change_nothing(spark):
     whole, parts = (orders.lag_products(rows, 51, "series", "idx", "y", width=w).first() for w in (4096, 64))
     assert whole.n == parts.n == 600 - 51 and whole.head == parts.head
     assert np.allclose(whole.products, parts.products, rtol=1e-10)
+
+
+@pytest.mark.parametrize("width, max_lag", [(16384, None), (64, None), (64, 70), (16, 5)])
+def test_all_lags_equal_the_direct_sums(spark, width, max_lag):
+    rng = np.random.default_rng(9)
+    a, b = np.cumsum(rng.normal(size=700)), rng.normal(1e6, 1, size=130)
+    df = series(spark, a=a, b=b, flat=np.full(9, 3.0)).unionByName(
+        series(spark, c=a[:50]).withColumn("series", F.lit(None).cast("string")))
+    got = {(r.series, r.lag): r.r for r in metrics.acf_all(df.withColumn("idx", F.col("idx") + 5), max_lag, width=width).collect()}
+    for name, y in (("a", a), ("b", b), (None, a[:50])):
+        d = y - y.mean()
+        for k in range(1, min(len(y) - 1, max_lag or len(y)) + 1):
+            assert got.pop((name, k)) == pytest.approx((d[k:] @ d[:-k]) / (d @ d), abs=1e-9)
+    assert not got
+
+
+def test_a_long_series_has_all_its_lags(spark):
+    y = np.random.default_rng(1).normal(size=100_000)
+    got = {r.lag: r.r for r in metrics.acf_all(spark.range(100_000).selectExpr("'a' AS series", "id AS idx").join(
+        spark.createDataFrame(list(enumerate(map(float, y))), "idx bigint, y double"), "idx")).collect()}
+    d = y - y.mean()
+    assert len(got) == 99_999
+    for k in (1, 2, 777, 16383, 16384, 16385, 50_000, 99_999):
+        assert got[k] == pytest.approx((d[k:] @ d[:-k]) / (d @ d), abs=1e-9)
