@@ -904,6 +904,38 @@ def live_events(spark, folder):
     return out
 
 
+LATE_DAYS, LATE_DELAY_DAYS, LATE_EVERY = 10, 2, 7
+
+
+@query
+def stream_late_rows(spark, folder):
+    """Hourly sums of the rows in time, and how many came too late, per series.
+
+    The events come in batches of ten days; every seventh comes with the batch after its own, two days too
+    late or more, or just in time.
+    """
+    source, out = fresh_folder(spark, "events"), fresh_folder(spark, "late")
+    events = scored(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    first = events.agg(F.min("timestamp")).first()[0]
+    begin = F.floor(F.unix_seconds(F.lit(first)) / buckets.DAY)
+    own = F.floor((F.floor(F.unix_seconds("timestamp") / buckets.DAY) - begin) / LATE_DAYS)
+    dealt = settle(events.withColumn("part", (own + (F.col("event_id") % LATE_EVERY == 0).cast("int")).cast("int")))
+
+    def handle(df, batch_id):
+        kept = live.set_late_aside(df, batch_id, out, LATE_DELAY_DAYS * buckets.DAY)
+        tables.write_batch(buckets.bucket_sums(kept, "timestamp", "prediction", buckets.HOUR), f"{out}/hours", batch_id)
+
+    for part in sorted(r.part for r in dealt.select("part").distinct().collect()):
+        dealt.where(F.col("part") == part).drop("part").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        flow.start_batches(stream, handle, out + "-offsets", "append").awaitTermination()
+    hourly = buckets.bucket_means(tables.read_table(spark, f"{out}/hours").groupBy("series", "step").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n")), buckets.HOUR)
+    late = tables.read_table(spark, f"{out}/late").groupBy("series").agg(F.count("*").alias("n"))
+    return (hourly.select("series", F.col("timestamp").alias("times"), F.round("prediction", 9).alias("prediction"), "n")
+            .unionByName(late.withColumns({"times": F.lit(None).cast("timestamp_ntz"), "prediction": F.lit(None).cast("double")})))
+
+
 @query
 def stream_minutes(spark, folder):
     """Minute means that several batches have added up, one row per minute."""

@@ -506,6 +506,14 @@ SQL = {
         SELECT made.id, copy, made.label, other AS neighbour, round(weight, 9) AS weight,
                round(list_sum(a.v) + weight * (list_sum(b.v) - list_sum(a.v)), 6) AS total
         FROM made JOIN near ON near.id = made.id AND place = pick % known JOIN rows_ a ON a.id = made.id JOIN rows_ b ON b.id = other""",
+    "stream_late_rows": f"""WITH days AS (SELECT *, date_diff('day', (SELECT min(ts) FROM events)::DATE, ts::DATE) // {C.LATE_DAYS}
+                 + CASE WHEN event_id % {C.LATE_EVERY} = 0 THEN 1 ELSE 0 END AS part FROM events),
+        lasts AS (SELECT part, max(max(ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest
+                  FROM days GROUP BY 1),
+        judged AS (SELECT days.*, coalesce(ts < latest - INTERVAL {C.LATE_DELAY_DAYS} DAY, FALSE) AS late FROM days JOIN lasts USING (part))
+        SELECT event_type AS series, date_trunc('hour', ts) AS times, {mean()} AS prediction, count(*) AS n
+        FROM judged WHERE NOT late GROUP BY 1, 2
+        UNION ALL SELECT event_type, NULL, NULL, count(*) FROM judged WHERE late GROUP BY 1""",
     "stream_minutes": f"""SELECT event_type AS series, date_trunc('minute', ts) AS times, {mean()} AS prediction
         FROM events GROUP BY 1, 2""",
     "sarima_holdout": f"""WITH RECURSIVE {DENSE},

@@ -218,6 +218,24 @@ def signal_batch(scored: DataFrame, batch_id: int, folder: str, series="series",
     hours.write(state, batch_id)
 
 
+def set_late_aside(rows: DataFrame, batch_id: int, folder: str, delay: int, ts="timestamp") -> DataFrame:
+    """The rows of a batch that are in time; the late ones go to the table `late` and are not lost.
+
+    A row is late where its time lies more than `delay` seconds before the latest time of all earlier
+    batches, which is when a watermark would drop it without a word. Rows without a time are in time.
+    A replayed batch is judged as it was before and replaces its own rows.
+    """
+    spark = rows.sparkSession
+    seen = StateTable(spark, f"{folder}/state/seen", lambda parts: parts.agg(F.max("latest").alias("latest")))
+    before = seen.read(batch_id)
+    latest = before.first().latest if before is not None else None
+    seconds = F.unix_micros(F.col(ts).cast("timestamp"))
+    late = F.lit(False) if latest is None else F.coalesce(seconds < F.lit(latest - delay * 1_000_000), F.lit(False))
+    seen.write(rows.agg(F.max(seconds).alias("latest")).select(F.coalesce("latest", F.lit(latest).cast("bigint")).alias("latest")), batch_id)
+    write_batch(rows.where(late), f"{folder}/late", batch_id)
+    return rows.where(~late)
+
+
 def current_minutes(spark: SparkSession, folder: str, series="series") -> DataFrame:
     """`time_series` with one row per minute: what the last batch that touched it says."""
     return latest_rows(read_table(spark, f"{folder}/time_series"), [series, "times"])

@@ -83,3 +83,20 @@ def test_what_a_batch_reads_does_not_grow(spark, tmp_path, monkeypatch):
         live.signal_batch(spark.createDataFrame(made(rng, "a", first * 60, hours * 6, 10), SCHEMA), k, folder)
         sizes[k] = max(sum(read), 1)
     assert max(sizes[k] for k in range(18, 24)) < 2 * max(sizes[k] for k in (2, 3, 4, 5))
+
+
+def test_late_rows_are_set_aside_and_counted(spark, tmp_path):
+    """One row inside the delay, one outside, one without a time; the batch comes twice."""
+    def at(minute):
+        return START + dt.timedelta(minutes=minute)
+
+    batches = [[(at(0), "a", 1.0), (at(100), "a", 2.0)], [(at(95), "a", 3.0), (at(89), "b", 4.0), (None, "c", 5.0)], [(at(300), "a", 6.0)],
+               [(at(250), "a", 7.0)]]
+    kept = {}
+    for k, batch in enumerate(batches):
+        for _ in range(2 if k == 1 else 1):
+            df = live.set_late_aside(spark.createDataFrame(batch, SCHEMA), k, str(tmp_path), 600)
+            kept[k] = sorted(r.prediction for r in df.collect())
+    assert kept == {0: [1.0, 2.0], 1: [3.0, 5.0], 2: [6.0], 3: []}
+    late = spark.read.parquet(f"{tmp_path}/late").collect()
+    assert sorted((r.prediction, r.batch_id) for r in late) == [(4.0, 1), (7.0, 3)]
