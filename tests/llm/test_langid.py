@@ -1,8 +1,13 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from heatline.llm import langid
+from heatline.llm.common import held_out, unpack
+from heatline.llm.ngrams import FACTORS, FINISH
 
 
 def test_held_out_accuracy(spark):
@@ -50,3 +55,44 @@ def test_edge_cases(spark):
     assert bare.count() == 6
     blank = langid.identify(docs.selectExpr("doc_id", "text", "cast(null as string) as lang"))
     assert {r.lang_pred for r in blank.collect()} == {"und"}
+
+
+def slow_gram(part):
+    """The bucket of one n-gram, from whole numbers of Python."""
+    total = len(part) * 40503
+    for k, c in enumerate(part):
+        total += ord(c) * int(FACTORS[k])
+    total %= 2 ** 32
+    total ^= total >> 15
+    return (total * int(FINISH)) % 2 ** 32 >> (32 - langid.BITS)
+
+
+def slow_counts(text):
+    body = "".join(c if c.isalpha() else " " for c in text.lower())
+    if not body.strip():
+        return None
+    body = f" {body} "
+    return Counter(slow_gram(body[i:i + n]) for n in langid.ORDERS for i in range(len(body) - n + 1))
+
+
+def test_predictions_equal_brute_force(spark, tables):
+    """Document frequencies, TF-IDF and softmax of the fitted model, with dictionaries and one text at a time."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    learned = docs.where(~held_out(F.col("doc_id"))).where("text rlike '\\\\p{L}'")
+    model = unpack(langid.fit(learned))
+    found = {r.doc_id: slow_counts(r.text) for r in docs.collect()}
+    own = [r.doc_id for r in learned.select("doc_id").collect()]
+    df = Counter(g for i in own for g in found[i])
+    idf = {g: math.log((1 + len(own)) / (1 + df[g])) + 1 for c in found.values() if c for g in c}
+    assert all(abs(model["idf"][g] - v) < 1e-5 for g, v in idf.items())
+    w, names = model["w"].astype(float), model["names"].tolist()
+    got = {r.doc_id: r for r in langid.identify(docs).collect()}
+    for i, c in found.items():
+        if c is None:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        x = {g: n * idf[g] for g, n in c.items()}
+        length = math.sqrt(sum(v * v for v in x.values()))
+        z = [sum(v * w[g, k] for g, v in x.items()) / length / float(model["warm"]) + model["b"][k] for k in range(len(names))]
+        e = [math.exp(v - max(z)) for v in z]
+        assert got[i].lang_pred == names[z.index(max(z))] and abs(got[i].score - max(e) / sum(e)) < 1e-4

@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -74,3 +75,43 @@ def test_every_language_has_its_own_reference(spark):
     assert got[299].word_distance < 1e-6 and got[299].class_distance < 1e-6
     assert got[7].word_distance < 1e-6 and got[300].word_distance < 0.5
     assert set(rules.references(docs).where("lang = 'l299'").first().words) == set(rows[299][1].split())
+
+
+def slow_distance(p, q):
+    """Jensen-Shannon distance of two Counters, base 2."""
+    a, b = sum(p.values()), sum(q.values())
+    total = 0.0
+    for k in {*p, *q}:
+        x, y = p.get(k, 0) / a, q.get(k, 0) / b
+        m = (x + y) / 2
+        total += sum(v * math.log2(v / m) for v in (x, y) if v > 0) / 2
+    return math.sqrt(max(0.0, total))
+
+
+def test_distances_and_verdicts_equal_brute_force(spark, tables):
+    """References, histograms and limits from plain Counters over the whole table."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    rows = docs.collect()
+    classes, words = {}, {}
+    histogram = lambda text: Counter({k: n for k, n in enumerate(rules.class_counts(text).tolist()) if n})
+    for r in rows:
+        classes.setdefault(r.lang, Counter()).update(histogram(r.text))
+        words.setdefault(r.lang, Counter()).update(rules.letter_words(r.text))
+
+    def shortened(counts, common):
+        out = Counter({w: counts[w] for w in common if counts[w]})
+        out[None] = sum(counts.values()) - sum(out.values())
+        return out
+
+    common = {lang: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:rules.COMMON]] for lang, c in words.items()}
+    judged = {r.doc_id: r for r in rules.judge(docs).collect()}
+    for r in rows:
+        got, own, said = judged[r.doc_id], histogram(r.text), Counter(rules.letter_words(r.text))
+        by_class = slow_distance(own, classes[r.lang]) if sum(own.values()) >= rules.LEAST_CHARS else 0.0
+        n = sum(said.values())
+        by_word = slow_distance(shortened(said, common[r.lang]), shortened(words[r.lang], common[r.lang])) if n >= rules.LEAST_LETTER_WORDS else 0.0
+        assert abs(got.class_distance - by_class) < 1e-6 and abs(got.word_distance - by_word) < 1e-6
+        fits = (not by_class or by_class <= rules.CLASS_LIMIT[0] + rules.CLASS_LIMIT[1] / math.sqrt(sum(own.values()))) and (
+            not by_word or by_word <= rules.WORD_LIMIT[0] + rules.WORD_LIMIT[1] / math.sqrt(n))
+        failed = got.n_words < 50 or 100 * got.n_repeat_words > 50 * got.n_words
+        assert (got.base_failed, got.kept) == (failed, not failed and fits)
