@@ -33,7 +33,6 @@ PRICE_SINCE, PRICE_UNTIL = "1996-12-31 00:00:00", "1997-12-31 00:00:00"
 BATCH_EDGE = "2024-01-15 00:00:00"
 GARCH_ALPHA, GARCH_BETA = 0.1, 0.8
 GARCH_POINTS = garch.lattice()
-REPLAY_DELAY = "36500 days"
 WEEK_LAG = 168
 KALMAN_STEPS, VELOCITY_STEPS, GARCH_STEPS, AR_STEPS, MAX_LAG = 50, 500, 25, 100, 24
 
@@ -770,11 +769,11 @@ def csv_round_trip(spark, folder):
 
 @query
 def series_file(spark, folder):
-    """Hourly means of one topic, stored with an order column and read back in that order."""
+    """Hourly means of all topics, stored with an order column and read back in that order."""
     path = fresh_folder(spark, "series")
-    one = hours(spark, folder, "none").where("series = 'click'")
-    files.write_series(one.select(F.col("step").alias("position"), F.col("y").alias("prediction")), path)
-    return files.read_series(spark, path)
+    files.write_series(hours(spark, folder, "none").select("series", F.col("step").alias("position"), F.col("y").alias("prediction")),
+                       path, series="series")
+    return files.read_series(spark, path, series="series")
 
 
 @query
@@ -836,16 +835,17 @@ def current_hours(spark, path):
 
 @query
 def stream_dedup_hour_mean(spark, folder):
-    """Every message arrives twice; the second copy is dropped before the mean.
+    """Every message arrives twice; the second copy is dropped before the mean, however late it comes."""
+    out = fresh_folder(spark, "dedup")
+    twice = event_stream(spark, folder).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
 
-    The delay is that of a replay: longer than the table's span, so that no stored row is late.
-    """
-    once = event_stream(spark, folder)
-    twice = once.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    stream = flow.once_each(flow.event_time(twice, delay=REPLAY_DELAY), ["event_id"])
-    path = fresh_folder(spark, "dedup")
-    flow.run_available(flow.window_sums(stream, "1 hour"), path, path + "-offsets")
-    return current_hours(spark, path)
+    def handle(df, batch_id):
+        once = live.first_arrivals(df, batch_id, out, ["event_id"])
+        tables.write_batch(buckets.bucket_sums(once, "timestamp", "prediction", buckets.HOUR), f"{out}/hours", batch_id)
+
+    flow.start_batches(twice, handle, out + "-offsets", "append").awaitTermination()
+    whole = tables.read_table(spark, f"{out}/hours").groupBy("series", "step").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return means(whole, buckets.HOUR)
 
 
 @query

@@ -578,7 +578,7 @@ SQL = {
     "differences": f"""WITH {DENSE} SELECT series, idx, y - lag(y) OVER o AS by_1,
         y - lag(y, 12) OVER o AS by_12 FROM dense WINDOW o AS (PARTITION BY series ORDER BY idx)""",
     "hashed_counts": f"""WITH {TERMS} SELECT doc_id, len(words)::DOUBLE AS total FROM kept""",
-    "series_file": f"""WITH {SPARSE} SELECT idx, y FROM sparse WHERE series = 'click'""",
+    "series_file": f"""WITH {SPARSE} SELECT series, idx, y FROM sparse""",
     "stream_hour_mean": bucket("hour"),
     "stream_dedup_hour_mean": bucket("hour"),
     "stream_messages": f'WITH {DATED} SELECT "timestamp", text FROM timed',

@@ -44,15 +44,19 @@ def write_csv(df: DataFrame, path: str) -> None:
      .option("escape", '"').option("emptyValue", '""').csv(path))
 
 
-def write_series(df: DataFrame, path: str, order="position", value="prediction") -> None:
-    """A stored series: header CSV of an order column and the value."""
-    write_csv(df.select(F.col(order).cast("bigint").alias(order), value), path)
-
-
-def read_series(spark: SparkSession, path: str, order="position", value="prediction") -> DataFrame:
-    """(idx, y) of a stored series. The whole-number order column of the file says which value comes
-    first, not the place of a line; rows without an order or a number are dropped."""
-    schema = T.StructType([T.StructField(order, T.LongType()), T.StructField(value, T.StringType())])
-    rows = read_csv(spark, path, schema).select(F.col(order).alias("position"), number(F.col(value)).alias("y"))
-    ordered = row_index(rows.where("position is not null and y is not null"), [], "position", levels=3)
-    return ordered.select("idx", "y")
+def write_series(df: DataFrame, path: str, order="position", value="prediction", series=None) -> None:
+    """Stored series: header CSV of an order column and the value, and the series' name where there are several."""
+    names = [series] if series else []
+    write_csv(df.select(*names, F.col(order).cast("bigint").alias(order), value), path)
+
+
+def read_series(spark: SparkSession, path: str, order="position", value="prediction", series=None) -> DataFrame:
+    """(series, idx, y) of stored series, without the name where there is one. The whole-number order column
+    of the file says which value comes first, not the place of a line; rows without an order or a number are
+    dropped."""
+    names = [series] if series else []
+    schema = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(order, T.LongType()),
+                           T.StructField(value, T.StringType())])
+    rows = read_csv(spark, path, schema).select(*names, F.col(order).alias("position"), number(F.col(value)).alias("y"))
+    ordered = row_index(rows.where("position is not null and y is not null"), names, "position", levels=3)
+    return ordered.select(*names, "idx", "y")

@@ -12,7 +12,7 @@ from heatline.functions.text import clean_text
 from heatline.functions.values import plain_timestamp, step_start
 from heatline.operators.anomaly import RESOLUTION, bin_of, loci_counts
 from heatline.operators.autoreg import seasonal_lags, seasonal_rule, seasonal_solve
-from heatline.operators.buckets import HOUR, MINUTE, bucket_sums, coarser, mean_of
+from heatline.operators.buckets import DAY, HOUR, MINUTE, bucket_sums, coarser, mean_of
 from heatline.operators.recurrence import extend
 from heatline.operators.slices import row_index, sized
 from heatline.schemas import FORECAST_COLUMNS, MESSAGE_COLUMNS, TIME_SERIES_COLUMNS
@@ -218,6 +218,31 @@ def signal_batch(scored: DataFrame, batch_id: int, folder: str, series="series",
     hours.write(state, batch_id)
 
 
+def first_arrivals(rows: DataFrame, batch_id: int, folder: str, keys: list[str], ts="timestamp", seconds=DAY) -> DataFrame:
+    """The rows of a batch whose keys no earlier batch has had, one of each.
+
+    A message fetched again carries the time it was written, so digests are kept by that time in the table
+    `arrivals`, and a batch looks only into the steps of `seconds` that it touches: history of any length
+    costs disk and nothing else, and no state is held between batches. The digest is SHA-256 of the keys;
+    NULL is a key like any other, rows without a time have a step of their own. A replayed batch finds the
+    same rows again.
+    """
+    spark, path = rows.sparkSession, f"{folder}/arrivals"
+    step = F.coalesce(F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / seconds), F.lit(-1)).cast("bigint")
+    named = F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)]), {"ignoreNullFields": "false"})
+    marked = settle(rows.withColumn("_step", step).withColumn("_digest", F.unhex(F.sha2(named.cast("binary"), 256)))
+                    .dropDuplicates(["_step", "_digest"]))
+    there = {int(n.split("=")[1]) for n in folder_names(spark, path) if n.startswith("_step=")}
+    paths = [f"{path}/_step={r[0]}" for r in marked.select("_step").distinct().collect() if r[0] in there]
+    new = marked
+    if paths:
+        seen = spark.read.option("basePath", path).parquet(*paths).where(F.col("batch_id") < batch_id).select("_step", "_digest")
+        new = marked.join(seen, ["_step", "_digest"], "left_anti")
+    new.select("_digest", "_step", F.lit(batch_id).cast("bigint").alias("batch_id")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("_step", "batch_id").parquet(path)
+    return new.drop("_step", "_digest")
+
+
 def set_late_aside(rows: DataFrame, batch_id: int, folder: str, delay: int, ts="timestamp") -> DataFrame:
     """The rows of a batch that are in time; the late ones go to the table `late` and are not lost.
 

@@ -1,6 +1,8 @@
 import inspect
 
+import numpy as np
 import pytest
+from pyspark.ml.feature import Tokenizer
 from pyspark.sql import functions as F
 
 from heatline.operators import features, learn, metrics, relational
@@ -120,3 +122,23 @@ def test_registered_queries_learn_at_full_size(spark, tables, monkeypatch, name,
     monkeypatch.setattr(learn, maker, asked)
     with pytest.raises(Stop):
         QUERIES[name](spark, tables)
+
+
+def test_word_vectors_are_trained_in_several_parts(spark):
+    """Two words that stand in the same company are near each other; rare words have no vector."""
+    rng = np.random.default_rng(4)
+    lines = []
+    for i in range(3000):
+        topic, own = [("sun", [f"s{k}" for k in range(6)]), ("rain", [f"r{k}" for k in range(6)])][i % 2]
+        word = f"{topic}{'y' if rng.random() < 0.5 else 'ish'}"
+        lines.append((i, " ".join([*rng.choice(own, 3), word, *rng.choice(own, 3)])))
+    lines.append((9999, "onlyonce s1 s2"))
+    df = spark.createDataFrame(lines, "id bigint, text string")
+    tokens = Tokenizer(inputCol="text", outputCol="words").transform(df)
+    model = learn.vector_model(8, 4, least=5)
+    assert (model.getNumPartitions(), model.getMinCount()) == (4, 5)
+    vectors = {r.word: np.array(r.vector) for r in model.fit(tokens).getVectors().collect()}
+    near = lambda a, b: vectors[a] @ vectors[b] / np.linalg.norm(vectors[a]) / np.linalg.norm(vectors[b])
+    assert "onlyonce" not in vectors
+    assert near("suny", "sunish") > near("suny", "rainish") and near("rainy", "rainish") > near("rainy", "sunish")
+    assert learn.word_vectors(df, 4).select("vectors").first()[0].size == 4

@@ -100,3 +100,20 @@ def test_late_rows_are_set_aside_and_counted(spark, tmp_path):
     assert kept == {0: [1.0, 2.0], 1: [3.0, 5.0], 2: [6.0], 3: []}
     late = spark.read.parquet(f"{tmp_path}/late").collect()
     assert sorted((r.prediction, r.batch_id) for r in late) == [(4.0, 1), (7.0, 3)]
+
+
+def test_first_arrivals_over_any_history(spark, tmp_path, monkeypatch):
+    """Copies within a batch, in later batches and much later; NULL keys and times; a replay."""
+    schema, looked = "timestamp timestamp_ntz, id bigint, name string", []
+    day = [START + dt.timedelta(days=d) for d in range(40)]
+    batches = [[(day[0], 1, "a"), (day[0], 1, "a"), (day[0], 2, None)], [(day[1], 3, "b"), (day[0], 1, "a"), (None, 9, "z")],
+               [(day[30], 4, "c")], [(day[0], 2, None), (day[0], 2, "x"), (None, 9, "z"), (day[30], 5, "c")]]
+    real = live.folder_names
+    monkeypatch.setattr(live, "folder_names", lambda *a: looked.append(a) or real(*a))
+    kept = {}
+    for k, batch in enumerate(batches):
+        for _ in range(2 if k in (1, 3) else 1):
+            got = live.first_arrivals(spark.createDataFrame(batch, schema), k, str(tmp_path), ["id", "name"])
+            kept[k] = sorted((r.id, r.name) for r in got.collect())
+    assert kept == {0: [(1, "a"), (2, None)], 1: [(3, "b"), (9, "z")], 2: [(4, "c")], 3: [(2, "x"), (5, "c")]}
+    assert sorted(os.listdir(tmp_path / "arrivals"))[-1].startswith("_step=") and looked

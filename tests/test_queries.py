@@ -6,8 +6,8 @@ import pytest
 import __spark_entry__ as entry
 from heatline.plans.catalog import QUERIES
 
-SLOW = {"score_messages", "holdout_scores", "tuned_candidates", "classified_messages",
-        "svm_messages", "stream_scores", "retrained_scores"}
+# 60 fits of up to 100 rounds; `test_learn` holds the method against one fit per candidate.
+SLOW = {"tuned_candidates"}
 
 # On the smallest tables the first refits of these are singular, where no solution is the only one.
 FULLER = {"walk_forward_ar5", "walk_forward_error"}
