@@ -41,14 +41,29 @@ def residuals(returns: DataFrame, series="series", idx="idx", value="r") -> Data
 
 
 def _recursion(points, e, s2, start):
-    """Variances (rows x points) that follow `start`, and the one after the last row."""
+    """Variances (rows x points) that follow `start`, and the one after the last row.
+
+    The map of a row is affine, so the rows are cut into as many blocks as a block has rows, all blocks
+    run side by side from zero, and what enters a block is added to it, decayed.
+    """
     alpha, beta = np.array(points).T
     omega = s2 * (1 - alpha - beta)
-    path, now = np.empty((len(e), len(points))), start
-    for i, shock in enumerate(e):
-        path[i] = now
-        now = omega + alpha * shock * shock + beta * now
-    return path, now
+    length = int(np.sqrt(len(e))) + 1
+    blocks = -(-(len(e) + 1) // length)
+    squares = np.zeros(blocks * length)
+    squares[:len(e)] = e * e
+    squares = squares.reshape(blocks, length, 1)
+    path, now = np.empty((blocks, length, len(points))), np.zeros((blocks, len(points)))
+    for i in range(length):
+        path[:, i] = now
+        now = omega + alpha * squares[:, i] + beta * now
+    decay, over = beta ** np.arange(length)[:, None], beta ** length
+    entering = np.asarray(start, float)
+    for k in range(blocks):
+        path[k] += decay * entering
+        entering = now[k] + over * entering
+    path = path.reshape(blocks * length, -1)
+    return path[:len(e)], path[len(e)]
 
 
 def _entering(rows: DataFrame, points, series: str, idx: str, width: int):

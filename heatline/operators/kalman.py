@@ -57,20 +57,47 @@ def velocity_model(noise_dt=ACCELERATION_DT, variance=VELOCITY_NOISE) -> StateMo
 def advance(model: StateModel, x, p, values):
     """Filter values from state (x, p): one-step predictions, states after each, last covariance.
 
-    A missing value (NaN) moves the state without correcting it.
+    A missing value (NaN) moves the state without correcting it. The values are cut into as many blocks as
+    a block has values: what each block does to any state is summarised for all blocks at once, the state
+    is carried from block to block, and then all blocks are filtered side by side. So there are some three
+    times as many steps as the root of the length, each over arrays.
     """
-    predicted, states = np.empty(len(values)), np.empty((len(values), len(x)))
-    for i, z in enumerate(values):
-        x = model.F @ x
+    values = np.asarray(values, float)
+    length = max(1, int(np.sqrt(len(values))))
+    blocks = -(-len(values) // length)
+    z = np.full(blocks * length, np.nan)
+    z[:len(values)] = values
+    z = z.reshape(blocks, length)
+    xs, ps = np.empty((blocks, len(x))), np.empty((blocks, len(x), len(x)))
+    whole = _together(_elements(model, z.T)) if blocks > 1 else None
+    zero, none = np.zeros((len(x), len(x))), np.zeros(len(x))
+    for b in range(blocks):
+        xs[b], ps[b] = x, p
+        if b + 1 < blocks:
+            _, x, p, _, _ = _combine((zero, np.asarray(x, float), np.asarray(p, float), none, zero), tuple(w[b] for w in whole))
+    return _side_by_side(model, xs, ps, z, len(values))
+
+
+def _side_by_side(model: StateModel, x, p, z, count: int):
+    """`advance` of one block a row, each from its own state; only the first `count` values are real."""
+    blocks, length = z.shape
+    predicted, states = np.empty((blocks, length)), np.empty((blocks, length, x.shape[1]))
+    one, last = np.eye(x.shape[1]), (count - 1) % length if count else -1
+    ending = p[-1] if blocks else p
+    for i in range(length if blocks else 0):
+        x = x @ model.F.T
         p = model.F @ p @ model.F.T + model.Q
-        predicted[i] = model.H @ x
-        if not np.isnan(z):
-            gain = p @ model.H / (model.R + model.H @ p @ model.H)
-            x = x + gain * (z - predicted[i])
-            keep = np.eye(len(x)) - np.outer(gain, model.H)
-            p = keep @ p @ keep.T + model.R * np.outer(gain, gain)
-        states[i] = x
-    return predicted, states, p
+        predicted[:, i] = x @ model.H
+        there = ~np.isnan(z[:, i])
+        gain = p @ model.H
+        gain = np.where(there[:, None], gain / (model.R + gain @ model.H)[:, None], 0.0)
+        x = x + gain * np.where(there, z[:, i] - predicted[:, i], 0.0)[:, None]
+        keep = one - gain[:, :, None] * model.H
+        p = keep @ p @ np.swapaxes(keep, 1, 2) + model.R * gain[:, :, None] * gain[:, None, :]
+        states[:, i] = x
+        if i == last:
+            ending = p[-1]
+    return predicted.ravel()[:count], states.reshape(blocks * length, -1)[:count], ending
 
 
 def _summary(model: StateModel, values):
@@ -79,17 +106,22 @@ def _summary(model: StateModel, values):
     One element per observation, all stacked, then combined pairwise: as many steps as the logarithm
     of the length.
     """
+    return _together(_elements(model, values))
+
+
+def _elements(model: StateModel, values):
+    """The summary of each single observation, stacked like the values."""
     n, one = len(model.x0), np.eye(len(model.x0))
     spread = model.R + model.H @ model.Q @ model.H
     gain = model.Q @ model.H / spread
     seen = model.F.T @ model.H / spread
     keep = one - np.outer(gain, model.H)
-    z = np.where(np.isnan(values), 0.0, values)[:, None]
-    there = ~np.isnan(values)[:, None]
-    parts = (np.where(there[:, :, None], keep @ model.F, model.F), np.where(there, gain * z, 0.0),
-             np.where(there[:, :, None], keep @ model.Q, model.Q), np.where(there, seen * z, 0.0),
-             np.where(there[:, :, None], np.outer(model.F.T @ model.H, seen), np.zeros((n, n))))
-    return _together(parts)
+    z = np.where(np.isnan(values), 0.0, values)[..., None]
+    there = ~np.isnan(values)[..., None]
+    wide = there[..., None]
+    return (np.where(wide, keep @ model.F, model.F), np.where(there, gain * z, 0.0),
+            np.where(wide, keep @ model.Q, model.Q), np.where(there, seen * z, 0.0),
+            np.where(wide, np.outer(model.F.T @ model.H, seen), np.zeros((n, n))))
 
 
 def _together(parts):

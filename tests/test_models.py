@@ -462,3 +462,40 @@ def test_a_long_series_has_all_its_lags(spark):
     assert len(got) == 99_999
     for k in (1, 2, 777, 16383, 16384, 16385, 50_000, 99_999):
         assert got[k] == pytest.approx((d[k:] @ d[:-k]) / (d @ d), abs=1e-9)
+
+
+def one_by_one(model, x, p, values):
+    """The filter as it is defined, a value at a time."""
+    predicted, states = [], []
+    for z in values:
+        x, p = model.F @ x, model.F @ p @ model.F.T + model.Q
+        predicted.append(model.H @ x)
+        if not np.isnan(z):
+            gain = p @ model.H / (model.R + model.H @ p @ model.H)
+            x = x + gain * (z - predicted[-1])
+            keep = np.eye(len(x)) - np.outer(gain, model.H)
+            p = keep @ p @ keep.T + model.R * np.outer(gain, gain)
+        states.append(x)
+    return np.array(predicted), np.array(states), p
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 1000, 4096])
+@pytest.mark.parametrize("model", [kalman.velocity_model(), kalman.acceleration_model()])
+def test_blocks_of_a_filter_equal_single_steps(model, n):
+    y = np.cumsum(np.random.default_rng(n).normal(size=n)) + 50
+    y[::7] = np.nan
+    for got, want in zip(kalman.advance(model, model.x0, model.P0, y), one_by_one(model, model.x0, model.P0, y)):
+        assert np.allclose(got, want, rtol=1e-8, atol=1e-8)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 1000])
+def test_blocks_of_a_variance_equal_single_steps(n):
+    e = np.random.default_rng(n).normal(size=n)
+    points = garch.lattice()[::17]
+    path, after = garch._recursion(points, e, 1.3, np.linspace(0.5, 2, len(points)))
+    alpha, beta = np.array(points).T
+    now = np.linspace(0.5, 2, len(points))
+    for i in range(n):
+        assert np.allclose(path[i], now, rtol=1e-12)
+        now = 1.3 * (1 - alpha - beta) + alpha * e[i] ** 2 + beta * now
+    assert len(path) == n and np.allclose(after, now, rtol=1e-12)
