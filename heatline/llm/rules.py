@@ -20,6 +20,8 @@ MOST_REPEATED = 50
 WINDOW = 3
 COMMON = 40
 LEAST_CHARS = 200
+#: Languages that texts without one are compared with, a kilobyte or two each.
+MOST_LANGUAGES = 10_000
 LEAST_LETTER_WORDS = 40
 # Allowed distance: a base, and the sampling noise of a text of n items, noise / sqrt(n).
 CLASS_LIMIT = (0.13, 3.2)
@@ -180,7 +182,8 @@ def judge(docs: DataFrame, row_id="doc_id", text="text", lang="lang", class_limi
     `base_failed` is set below 50 words, or where over half of the words stand in repeated windows of
     three. Other texts are kept when neither histogram is further from its language than allowed: a
     limit plus the noise of a sample of the text's length, so that short texts are not held to what
-    only long ones can meet. A text without a language is compared with all, and the nearest counts.
+    only long ones can meet. A text without a language is compared with all, and the nearest counts; with
+    over 10,000 languages that is an error.
     A NULL text has no words and fails. Repeated rows are returned as often as they come, ids may be
     NULL, other columns are ignored; an empty table gives an empty result.
     """
@@ -189,7 +192,9 @@ def judge(docs: DataFrame, row_id="doc_id", text="text", lang="lang", class_limi
     refs = references(rows)
     whole = rows.where("lang is not null").join(refs, "lang", "left").select("doc_id", "text", "lang", *refs.columns[1:])
     if rows.where("lang is null").take(1):
-        # Any language may be the nearest, so these texts meet them all.
+        # Any language may be the nearest, so these texts meet them all: a broadcast of a proven size.
+        if refs.count() > MOST_LANGUAGES:
+            raise ValueError(f"texts without a language can be compared with {MOST_LANGUAGES} languages at most")
         every = docs.sparkSession.sparkContext.broadcast([tuple(r)[1:] for r in refs.orderBy("lang").collect()])
         held = rows.where("lang is null").select("doc_id", "text", "lang", *[
             F.lit(None).cast(kind).alias(name) for name, kind in refs.dtypes[1:]])

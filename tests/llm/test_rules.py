@@ -115,3 +115,12 @@ def test_distances_and_verdicts_equal_brute_force(spark, tables):
             not by_word or by_word <= rules.WORD_LIMIT[0] + rules.WORD_LIMIT[1] / math.sqrt(n))
         failed = got.n_words < 50 or 100 * got.n_repeat_words > 50 * got.n_words
         assert (got.base_failed, got.kept) == (failed, not failed and fits)
+
+
+def test_too_many_languages_for_texts_without_one(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, "a b", "y"), (3, "c d", None)], "doc_id long, text string, lang string")
+    assert rules.judge(docs).count() == 3
+    monkeypatch.setattr(rules, "MOST_LANGUAGES", 1)
+    assert rules.judge(docs.where("lang is not null")).count() == 2
+    with pytest.raises(ValueError):
+        rules.judge(docs)
