@@ -16,8 +16,8 @@ COSINE = 0.93
 RECALL = 0.97
 WIDTH = 2.0
 APART = 1.3
-COMPANY = 8
-LEAST_HASHES = 6
+COMPANY = 256
+LEAST_HASHES = 3
 SEED = 1234
 PART = 1024
 
@@ -31,7 +31,8 @@ def collision(distance: float, width: float = WIDTH) -> float:
 def shape(rows: int, cosine=COSINE, recall=RECALL) -> tuple[int, int]:
     """Projections per table and tables, for the most rows that share a label.
 
-    So many projections that about `COMPANY` unrelated rows (distance 1.3) share a bucket, and so many
+    So many projections that about `COMPANY` unrelated rows (distance 1.3) share a bucket: comparing them is
+    one product of matrices, while every table costs a copy of the vectors. And so many
     tables that a pair exactly at the threshold is found with probability `recall`; closer pairs are
     found more surely.
     """
@@ -103,10 +104,9 @@ def compare_place(got: dict, cosine: float):
         near &= first[:, None] != first[None, :]
     i, j = np.nonzero(np.triu(near))
     u, v = forest(near)
-    t = got["t"]
-    if t and len(i):
+    if got["sigs"].shape[1] and len(i):
         again = np.zeros(len(i), bool)
-        for earlier in range(t):
+        for earlier in range(got["sigs"].shape[1]):
             again |= got["sigs"][i, earlier] == got["sigs"][j, earlier]
         i, j = i[~again], j[~again]
     weight = got["weight"]
@@ -119,27 +119,33 @@ def links(distinct: DataFrame, cosine: float, hashes: int, tables: int) -> DataF
 
     `distinct` has (rep, weight, label, vec), each vector of a label once. A bucket of any size is
     compared in parts, and gives a spanning forest and a count per row, never its pairs.
+
+    Where rows meet is worked out on their keys alone; a vector is sent once to each of its places, with
+    its buckets in the tables before, by which a pair is counted only where it meets first.
     """
-    keyed = (signatures(distinct, hashes, tables)
-             .select("rep", "weight", "label", "vec", "sigs", F.posexplode("sigs").alias("t", "sig"))
-             .withColumn("key", F.xxhash64("label", F.size("vec"), "t", "sig")).drop("label", "sig"))
-    placed = meeting_places(keyed, "key", "rep", PART).drop("key")
+    signed = stored(signatures(distinct.withColumn("uid", F.monotonically_increasing_id()), hashes, tables), "signed")
+    keyed = (signed.select("uid", "label", F.size("vec").alias("d"), F.posexplode("sigs").alias("t", "sig"))
+             .select("uid", "t", F.xxhash64("label", "d", "t", "sig").alias("key")))
+    places = meeting_places(keyed, "key", "uid", PART).drop("key")
+    placed = (places.join(signed.drop("label"), "uid")
+              .select("place", "rep", "weight", "vec", "t", "_a", "_b", "_part", F.slice("sigs", F.lit(1), F.col("t")).alias("sigs")))
 
     def compare(got: pa.Table):
         place = got.column("place").to_numpy()
         edges = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1, [len(place)]))
         rep, weight, part = (got.column(c).to_numpy() for c in ("rep", "weight", "_part"))
         table, a, b = (got.column(c).to_numpy() for c in ("t", "_a", "_b"))
+        known = np.concatenate(([0], np.cumsum(table, dtype=np.int64)))
         vec = got.column("vec").combine_chunks()
         flat, ends = vec.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(pa.compute.list_value_length(vec).to_numpy())))
-        sigs = got.column("sigs").combine_chunks().flatten().to_numpy().reshape(-1, tables)
+        sigs = got.column("sigs").combine_chunks().flatten().to_numpy()
         out = []
         for lo, hi in zip(edges[:-1], edges[1:]):
             size = (ends[hi] - ends[lo]) // (hi - lo)
-            if hi - lo < 2 or size * (hi - lo) != ends[hi] - ends[lo]:
+            if hi - lo < 2 or size * (hi - lo) != ends[hi] - ends[lo] or (table[lo:hi] != table[lo]).any():
                 continue
             u, v, linked = compare_place({
-                "vec": unit(flat[ends[lo]:ends[hi]].reshape(hi - lo, size)), "sigs": sigs[lo:hi], "t": int(table[lo]),
+                "vec": unit(flat[ends[lo]:ends[hi]].reshape(hi - lo, size)), "sigs": sigs[known[lo]:known[hi]].reshape(hi - lo, int(table[lo])),
                 "a": a[lo], "b": b[lo], "part": part[lo:hi], "weight": weight[lo:hi]}, cosine)
             own = rep[lo:hi]
             on = np.flatnonzero(linked)
