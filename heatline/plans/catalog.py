@@ -767,6 +767,15 @@ def csv_round_trip(spark, folder):
     return files.read_csv(spark, path, df.schema)
 
 
+@query
+def legacy_csv(spark, folder):
+    """Messages written in the legacy encoding and read back: letters that it lacks are question marks."""
+    path = fresh_folder(spark, "legacy")
+    df = documents(spark, folder).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    files.write_legacy_csv(df, path)
+    return files.read_legacy_csv(spark, path, df.schema)
+
+
 @query
 def series_file(spark, folder):
     """Hourly means of all topics, stored with an order column and read back in that order."""

@@ -567,6 +567,7 @@ SQL = {
     "garch_forecast": GARCH_FIT + f"""SELECT series, h, round(s2 + pow(alpha + beta, h - 1)
         * (next_variance - s2), 6) AS variance FROM fits,
         (SELECT unnest(generate_series(1, {C.GARCH_STEPS}))::BIGINT AS h)""",
+    "legacy_csv": r"SELECT doc_id::VARCHAR AS doc_id, regexp_replace(text, '[^\x{00}-\x{FF}]', '?', 'g') AS text FROM documents",
     "csv_round_trip": f"""WITH {DATED} SELECT strftime("timestamp", '%Y-%m-%d %H:%M:%S')
         AS "timestamp", text FROM timed""",
     "batch_table": f"""SELECT event_id, ts AS "timestamp", event_type AS series,

@@ -38,10 +38,14 @@ def read_corpus(spark: SparkSession, folder: str, schema: T.StructType,
             .where(~F.rlike("_path", F.lit(f"/({listed})(/|$)"))).drop("_path"))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Replace the folder by header CSV with doubled quotes."""
+def write_csv(df: DataFrame, path: str, encoding="UTF-8") -> None:
+    """Replace the folder by header CSV with doubled quotes. What the encoding cannot write becomes `?`."""
     (df.write.mode("overwrite").option("header", True).option("quote", '"')
-     .option("escape", '"').option("emptyValue", '""').csv(path))
+     .option("escape", '"').option("emptyValue", '""').option("encoding", encoding).csv(path))
+
+
+def write_legacy_csv(df: DataFrame, path: str) -> None:
+    write_csv(df, path, LEGACY_ENCODING)
 
 
 def write_series(df: DataFrame, path: str, order="position", value="prediction", series=None) -> None:

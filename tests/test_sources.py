@@ -94,3 +94,13 @@ def test_a_series_file_is_read_in_its_order(spark, tmp_path):
     files.write_series(rows.repartition(3), str(tmp_path / "s"))
     got = files.read_series(spark, str(tmp_path / "s")).orderBy("idx").collect()
     assert [tuple(r) for r in got] == [(0, 1.5), (1, 2.5), (2, 3.5)]
+
+
+def test_legacy_files_hold_one_byte_a_letter(spark, tmp_path):
+    schema = "id string, text string"
+    df = spark.createDataFrame([("1", 'Ñandú "ß", ÿ'), ("2", "日本 – ok"), ("3", None)], schema)
+    files.write_legacy_csv(df, str(tmp_path / "l"))
+    raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "l").glob("part-*")))
+    assert "Ñandú".encode("latin-1") in raw and b"?? ? ok" in raw
+    got = {r.id: r.text for r in files.read_legacy_csv(spark, str(tmp_path / "l"), df.schema).collect()}
+    assert got == {"1": 'Ñandú "ß", ÿ', "2": "?? ? ok", "3": None}
