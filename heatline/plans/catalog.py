@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from heatline.constants import SCORE_SCALE, SYNTHETIC_AXIS_START
+from heatline.constants import HASH_FEATURES, SCORE_SCALE, SYNTHETIC_AXIS_START, TREE_DEPTH
 from heatline.functions import text as X
 from heatline.functions import values as V
 from heatline.operators import (
@@ -724,10 +724,10 @@ def holdout_scores(spark, folder):
 
 
 @query
-def tuned_candidates(spark, folder):
-    """Cross-validated error of each of the 48 candidates of the grid, in five folds."""
-    return spark.createDataFrame(learn.tune_by_prefix(labelled(spark, folder), "doc_id"),
-                                 "features int, depth int, rounds int, rmse double")
+def tuned_rounds(spark, folder):
+    """Cross-validated error of each number of rounds of the grid, at the stored feature size and depth."""
+    found = learn.tune_by_prefix(labelled(spark, folder), "doc_id", features=(HASH_FEATURES,), depths=(TREE_DEPTH,))
+    return spark.createDataFrame(found, "features int, depth int, rounds int, rmse double")
 
 
 @query

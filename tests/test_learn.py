@@ -107,7 +107,7 @@ def test_only_labelled_texts_are_cleaned(spark):
 
 @pytest.mark.parametrize("name, maker", [(n, "score_model") for n in ("score_messages", "retrained_scores", "holdout_scores",
                                                                       "stream_scores")]
-                         + [("tuned_candidates", "tune_by_prefix"), ("classified_messages", "class_model"), ("svm_messages", "class_model")])
+                         + [("classified_messages", "class_model"), ("svm_messages", "class_model")])
 def test_registered_queries_learn_at_full_size(spark, tables, monkeypatch, name, maker):
     class Stop(Exception):
         pass
@@ -142,3 +142,9 @@ def test_word_vectors_are_trained_in_several_parts(spark):
     assert "onlyonce" not in vectors
     assert near("suny", "sunish") > near("suny", "rainish") and near("rainy", "rainish") > near("rainy", "sunish")
     assert learn.word_vectors(df, 4).select("vectors").first()[0].size == 4
+
+
+def test_the_grid_is_the_stored_one():
+    bound = inspect.signature(learn.tune_by_prefix).parameters
+    sizes = [len(bound[name].default) for name in ("features", "depths", "rounds")]
+    assert sizes == [3, 4, 4] and bound["folds"].default == 5

@@ -6,9 +6,6 @@ import pytest
 import __spark_entry__ as entry
 from heatline.plans.catalog import QUERIES
 
-# 60 fits of up to 100 rounds; `test_learn` holds the method against one fit per candidate.
-SLOW = {"tuned_candidates"}
-
 # On the smallest tables the first refits of these are singular, where no solution is the only one.
 FULLER = {"walk_forward_ar5", "walk_forward_error"}
 
@@ -20,7 +17,7 @@ def test_equals_sql(spark, tables, name):
     assert not text and n > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(entry.oracle_sql())))
 def test_gives_rows(spark, tables, name):
     assert QUERIES[name](spark, tables).count() > 0
 
