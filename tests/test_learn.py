@@ -66,6 +66,21 @@ def test_prefixes_score_the_same_candidates(corpus):
     assert model.stages[2].getNumFeatures() == least[0] and model.stages[-1].getNumTrees == least[2]
 
 
+def test_trees_grow_in_few_parts_and_are_the_same(spark, corpus, monkeypatch):
+    """The parts that the trees see do not grow with those of the rows; the predictions stay."""
+    seen, real = [], learn.GBTRegressor.fit
+    monkeypatch.setattr(learn.GBTRegressor, "fit", lambda self, df, *a: seen.append(df.rdd.getNumPartitions()) or real(self, df, *a))
+    noisy = corpus.withColumn("label", F.col("label") + F.pmod(F.xxhash64("id"), F.lit(17))).repartition(60, "id")
+    model = learn.score_model(features=40, depth=3, rounds=4)
+    want = {r.id: r.prediction for r in model.fit(noisy).transform(noisy).collect()}
+    got = {r.id: r.prediction for r in learn.fit(model, noisy).transform(noisy).collect()}
+    assert got == {k: pytest.approx(v, rel=1e-9) for k, v in want.items()}
+    assert seen[-1] == 1
+    cores = spark.sparkContext.defaultParallelism
+    parts = [learn.gathered(noisy, n).rdd.getNumPartitions() for n in (0, 10_000, 10**6, 10**6 * cores)]
+    assert parts == [1, 2, max(cores, 10), min(60, 10 * cores)]
+
+
 def test_word_vectors(corpus):
     model = learn.score_model(features=20, depth=2, rounds=1, embeddings=4).fit(corpus)
     assert len(model.transform(corpus).first()["features"]) == 24
