@@ -91,6 +91,26 @@ def test_a_table_of_the_axis_and_a_search_give_the_same(monkeypatch):
     assert dealt == anomaly.critical_radii(far).tolist()
 
 
+def test_few_radii_are_summed_and_the_flags_are_those_of_all(monkeypatch):
+    """Fine bins, also with so many rows that fourth and third powers of them pass 64 bits."""
+    rng, summed, real = np.random.default_rng(8), [], anomaly.Counts.at
+    monkeypatch.setattr(anomaly.Counts, "at", lambda self, r: summed.append(r) or real(self, r))
+    x, c = np.unique(np.floor(np.concatenate([rng.exponential(20, 900), [230, 231, 400]]) / 0.05).astype(int), return_counts=True)
+    for copies in (1, 100, 3000):
+        summed.clear()
+        radii = anomaly.radii_of(x, 0.5, 0, 1)
+        got = anomaly.flagged_bins(x, c * copies, radii)
+        assert len(summed) < len(radii) / 5 and 0 < got.sum() < len(x)
+        want = np.zeros(len(x), bool)
+        for r in radii:
+            near = [np.searchsorted(x, x + s * w, side) for w in (r // 2, r) for s, side in ((1, "right"), (-1, "left"))]
+            na = anomaly.within(c * copies, *near[:2])
+            n, s1, s2 = (anomaly.within(v, *near[2:]) for v in (c * copies, c * copies * na, (c * copies * na).astype(object) * na))
+            gap = (s1 - na * n).astype(object)
+            want |= ((s1 >= 20 * n) & (gap > 0) & (gap * gap > 9 * (s2 * n - s1.astype(object) ** 2))).astype(bool)
+        assert (got == want).all()
+
+
 def test_a_far_stray_hides_no_other(spark, values):
     alone, joined = flags(rows(spark, values)), flags(rows(spark, np.append(values, 1e6)))
     assert joined[-1] == 1 and (joined[:-1] >= alone).mean() > 0.99 and joined[:-1].sum() >= alone.sum() - 3
