@@ -86,3 +86,14 @@ def test_stems_as_columns(spark):
     df = frame(spark, ["running", None]).withColumn("words", F.array("text", F.lit("cats")))
     assert column(df, stems(F.col("text"))) == ["run", None]
     assert column(df.where("i = 0"), stems_of(F.col("words"))) == [["run", "cat"]]
+
+
+def test_stems_of_arrays_hold_each_word_once(spark):
+    """Null arrays, empty ones and null words; a batch of ten thousand long texts."""
+    df = spark.createDataFrame([(1, ["running", "cats", None]), (2, None), (3, []), (4, ["cats"])], "i int, words array<string>")
+    got = {r.i: r.s for r in df.select("i", stems_of(F.col("words")).alias("s")).collect()}
+    assert got == {1: ["run", "cat", None], 2: None, 3: [], 4: ["cat"]}
+
+    long = spark.range(0, 10_000, 1, 1).select(F.array_repeat(F.lit("hopefulness"), 1500).alias("words"))
+    assert "ArrowEvalPython" in long.select(stems_of(F.col("words")))._jdf.queryExecution().executedPlan().toString()
+    assert long.select(F.sum(F.size(stems_of(F.col("words"))))).first()[0] == 15_000_000
