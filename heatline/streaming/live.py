@@ -24,6 +24,8 @@ from heatline.streaming.flow import latest_rows, signals
 MERGE_EVERY = 16
 #: Hours at the end of a series that may still change without its sums being made anew.
 OPEN_HOURS = 48
+#: Folders of minute sums that a batch leaves at most, and how much wider they get where there would be more.
+MOST_FOLDERS, WIDER = 256, 16
 LAGGED = ["w0", "w1", "ws", "wt"]
 PAIRS = [(i, j) for i in range(4) for j in range(i, 4)]
 
@@ -68,11 +70,27 @@ def of(left: DataFrame, right: DataFrame, series: str, how: str, *keys: str) ->
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_{c}" for c in (series, *keys)])
 
 
-def stored_minutes(spark: SparkSession, folder: str, batch_id: int, hours: list[int] | None) -> DataFrame | None:
-    """Minute sums of earlier batches: those of the given hours, or all."""
+def folders_of(hours: DataFrame) -> tuple[int, list[int]]:
+    """(width, blocks): the fewest hours to a folder that put these hours into `MOST_FOLDERS` folders at most."""
+    width = 1
+    while True:
+        blocks = [r[0] for r in hours.select(F.floor(F.col("hour") / width)).distinct().limit(MOST_FOLDERS + 1).collect()]
+        if len(blocks) <= MOST_FOLDERS:
+            return width, blocks
+        width *= WIDER
+
+
+def stored_minutes(spark: SparkSession, folder: str, batch_id: int, touched: tuple[int, list[int]] | None) -> DataFrame | None:
+    """Minute sums of earlier batches: those in folders with hours of the given ones (see `folders_of`), or all."""
     path = f"{folder}/minute_sums"
-    there = {int(n.split("=")[1]) for n in folder_names(spark, path) if n.startswith("hour=")}
-    paths = [f"{path}/hour={h}" for h in sorted(there if hours is None else there & set(hours))]
+    there = [n for n in folder_names(spark, path) if n.startswith("hours=")]
+
+    def meets(name: str) -> bool:
+        own, block = map(int, name.removeprefix("hours=").split("x"))
+        wide = max(own, touched[0])
+        return block * own // wide in {b * touched[0] // wide for b in touched[1]}
+
+    paths = [f"{path}/{n}" for n in sorted(there) if touched is None or meets(n)]
     if not paths:
         return None
     return spark.read.option("basePath", path).parquet(*paths).where(F.col("batch_id") < batch_id)
@@ -185,14 +203,15 @@ def signal_batch(scored: DataFrame, batch_id: int, folder: str, series="series",
                      .withColumn("hour", F.floor(F.col("step") * MINUTE / HOUR).cast("bigint")))
     finally:
         kept.unpersist()
-    new.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("hour", "batch_id").parquet(f"{folder}/minute_sums")
+    touched = folders_of(new.select("hour").distinct())
+    block = F.concat(F.lit(f"{touched[0]}x"), F.floor(F.col("hour") / touched[0]).cast("string"))
+    (new.withColumn("hours", block).withColumn("batch_id", F.lit(batch_id).cast("bigint")).drop("hour").hint("rebalance", "hours")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hours", "batch_id").parquet(f"{folder}/minute_sums"))
     if per_batch:
         outputs = signals(new.drop("hour"), series)
         write_batch(outputs["time_series"], f"{folder}/time_series", batch_id)
         write_batch(outputs["forecast"], f"{folder}/forecast", batch_id)
         return
-    touched = [r.hour for r in new.select("hour").distinct().collect()]
     minutes = settle(changed_minutes(new.drop("hour"), stored_minutes(spark, folder, batch_id, touched), series))
     bins = StateTable(spark, f"{folder}/state/bins", lambda parts: merged_bins(parts, series))
     changes = settle(bin_changes(minutes, series, resolution))

@@ -87,6 +87,25 @@ def test_what_a_batch_reads_does_not_grow(spark, tmp_path, monkeypatch):
     assert max(sizes[k] for k in range(10, 14)) < 2 * max(sizes[k] for k in (2, 3, 4, 5))
 
 
+def test_a_batch_of_many_hours_leaves_few_folders(spark, tmp_path, monkeypatch):
+    """Minutes spread over more hours than folders, then a batch of few hours among them, twice."""
+    monkeypatch.setattr(live, "MOST_FOLDERS", 8)
+    monkeypatch.setattr(live, "loci_counts", lambda own, series: own.select(series, "x", F.lit(False).alias("flagged")))
+    monkeypatch.setattr(live, "forecasts", lambda state, series: state.select(series, F.lit(START).alias("timestamp"), F.lit(0.0).alias("forecast")))
+    rng, folder = np.random.default_rng(4), str(tmp_path)
+    batches = [made(rng, "a", 0, 60, 150), made(rng, "a", 300, 5, 30)]
+    for k in (0, 1, 1):
+        live.signal_batch(spark.createDataFrame(batches[k], SCHEMA), k, folder)
+    left = [n for n in os.listdir(f"{folder}/minute_sums") if n.startswith("hours=")]
+    assert len(left) <= 2 * 8 and any(not n.startswith("hours=1x") for n in left)
+    values = {}
+    for t, _, v in batches[0] + batches[1]:
+        values.setdefault(t, []).append(v)
+    now = live.current_minutes(spark, folder).collect()
+    assert {r.times: r.prediction for r in now} == {t: pytest.approx(sum(v) / len(v)) for t, v in values.items()}
+    assert any(len(v) > 1 for v in values.values())
+
+
 def test_late_rows_are_set_aside_and_counted(spark, tmp_path):
     """One row inside the delay, one outside, one without a time; the batch comes twice."""
     def at(minute):
