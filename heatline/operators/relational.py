@@ -43,23 +43,41 @@ def align(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right, keys, "inner")
 
 
+def salt_of(spread: str, salts=SALTS) -> Column:
+    """0..salts-1, never NULL."""
+    return F.coalesce(F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"), F.lit(0))
+
+
+def salted(rows: DataFrame, keys, spread: str, salts=SALTS) -> DataFrame:
+    """The rows dealt out by key and a salt that is a hash of `spread`, both in `_place` instead of the keys.
+
+    `_place` is never NULL, so a NULL key is a key like any other and no filter tells two uses apart.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    place = F.struct(*keys, salt_of(spread, salts).alias("_salt"))
+    return rows.withColumn("_place", place).drop(*keys).repartition("_place")
+
+
 def salted_join(rows: DataFrame, lookup: DataFrame, keys, spread: str, salts=SALTS) -> DataFrame:
     """Join a large table with a lookup of unique keys when some keys are very frequent.
 
-    Rows of one key go to `salts` tasks by a hash of `spread`; the lookup is repeated per salt.
-    Always a merge join: Spark's size estimate knows neither these copies nor words split out of
-    texts, and would broadcast a vocabulary. A NULL key is a key like any other.
+    Rows of one key go to `salts` tasks by a hash of `spread`; the lookup is repeated per salt. Rows that
+    `salted` dealt out stay where they are. A lookup made from these, with a row per `_place`, is not repeated:
+    it has no key in a salt without rows, and each task looks its few rows up by hash instead of sorting.
+    Otherwise a merge join: Spark's size estimate knows neither the copies nor words split out of texts,
+    and would broadcast a vocabulary. A NULL key is a key like any other.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    # never NULL, so that no extra filter makes the two uses of a shared input differ
-    salt = F.coalesce(F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"), F.lit(0))
-    salted = rows.withColumn("_salt", salt)
-    copies = (lookup.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-              .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    same = F.col("_salt") == F.col("_copy")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    return salted.join(copies.hint("merge"), same, "inner").drop("_salt", "_copy", *[f"_key_{k}" for k in keys])
+    order = [c for c in rows.columns if c != "_place"]
+    if "_place" not in rows.columns:
+        rows = salted(rows, keys, spread, salts)
+    if "_place" in lookup.columns:
+        copies = lookup.hint("shuffle_hash")
+    else:
+        copies = (lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+                  .withColumn("_place", F.struct(*keys, "_salt")).drop("_salt", *keys).hint("merge"))
+    names = [*order, *[k for k in keys if k not in order], *[c for c in copies.columns if c != "_place"]]
+    return rows.join(copies, "_place").select(*[F.col(f"_place.{c}") if c in keys else c for c in names])
 
 
 def append_by_name(*frames: DataFrame) -> DataFrame:

@@ -102,6 +102,35 @@ def test_tfidf_equals_the_ml_formula(spark):
     assert len(got) == 5
 
 
+def test_tfidf_deals_the_counts_out_once(spark):
+    """Keys that repeat or are NULL and NULL terms as in a count by hand; the counts are not sorted for the join."""
+    import math
+    from collections import Counter
+    rows = [(i, f"hot w{i % 5} w{i % 5} once{i}") for i in range(60)]
+    rows += [(3, "hot again w1"), (None, "hot lost"), (None, "lost x"), (70, None), (71, "gap hot")]
+    docs = spark.createDataFrame(rows, "id bigint, text string")
+    words = F.transform(X.tokens(F.col("text")), lambda w: F.when(w != "gap", w))
+    tf = Counter((i, None if w == "gap" else w) for i, t in rows if t is not None for w in t.split(" "))
+    df = Counter(w for _, w in tf)
+    frame = features.tfidf_terms(docs, "id", words, salts=3)
+    got = [(r.id, r.term, r.tf, r.df, round(r.tfidf, 9)) for r in frame.collect()]
+    want = [(i, w, n, df[w], round(n * math.log((len(rows) + 1) / (df[w] + 1)), 9)) for (i, w), n in tf.items()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ReusedExchange" in plan
+
+
+def test_terms_are_counted_in_parts_of_bounded_size(spark, tmp_path, monkeypatch):
+    docs = spark.range(2000).select("id", F.concat_ws(" ", F.sha2(F.col("id").cast("string"), 256), "id").alias("text"))
+    docs.write.parquet(path := str(tmp_path / "docs"))
+    docs, words = spark.read.parquet(path), X.tokens(F.col("text"))
+    monkeypatch.setattr(features, "PART_BYTES", 4096, raising=False)
+    size = sum(f.stat().st_size for f in (tmp_path / "docs").glob("*.parquet"))
+    parts = features.term_counts(docs, "id", words).rdd.getNumPartitions()
+    assert size // 4096 > spark.sparkContext.defaultParallelism and size // 4096 <= parts <= size // 4096 + 2
+    assert features.term_counts(docs, "id", words).count() == 4000
+
+
 def test_stem_tables(spark):
     docs = spark.createDataFrame([(1, "running runs of"), (2, "runs")], "id bigint, text string")
     words = X.tokens(F.col("text"))
