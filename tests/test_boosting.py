@@ -55,6 +55,15 @@ def test_folds_of_many_rows_are_not_grown_by_mllib(spark, monkeypatch):
     assert [e[3] for e in found] == pytest.approx([e[3] for e in want])
 
 
+def test_many_rows_are_not_grown_by_mllib(spark, monkeypatch, tmp_path):
+    """The fitted pipeline is stored like any other."""
+    rows, model = labelled_texts(spark), learn.score_model(features=20, depth=2, rounds=3)
+    want = predictions(learn.fit(model, rows), rows)
+    without_mllib(monkeypatch)
+    learn.save_model(learn.fit(model, rows), str(tmp_path / "m"))
+    assert predictions(learn.load_model(str(tmp_path / "m")), rows) == {k: pytest.approx(v, rel=1e-9) for k, v in want.items()}
+
+
 def test_nothing_to_split(spark):
     rows = spark.createDataFrame([(i, Vectors.sparse(3, [], []), float(i % 2)) for i in range(10)], ["id", "features", "label"])
     model = boosting.fit(learn.regressor(3, 2), rows)
